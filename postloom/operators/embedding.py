@@ -22,13 +22,15 @@ def embed_column(df: DataFrame, text_col: str = "text", output_col: str = "embed
     return df.withColumn(output_col, hash_embedding(text_col, dim).cast("array<float>"))
 
 
-def assemble_embeddings(df: DataFrame, encoder: hooks.EncoderFactory | None = None, kind: str = "query", dim: int = 64, chunk: int = E5_CHUNK) -> DataFrame:
+def assemble_embeddings(df: DataFrame, encoder: hooks.EncoderFactory | None = None, kind: str = "query", dim: int = 64, chunk: int = E5_CHUNK, keep=()) -> DataFrame:
     """``(id, job_info, timestamp, embedding)`` from budgeted postings with column ``text``.
 
     The vector is made from the prefixed text while ``job_info`` keeps the plain one.
+    ``keep`` names further columns to carry along.
     """
-    prefixed = df.select("id", F.col("text").alias("job_info"), "timestamp", e5_prefix("text", kind).alias("_input"))
-    return embed_column(prefixed, "_input", "embedding", encoder, dim, chunk).drop("_input")
+    prefixed = df.select("id", F.col("text").alias("job_info"), "timestamp", *keep, e5_prefix("text", kind).alias("_input"))
+    embedded = embed_column(prefixed, "_input", "embedding", encoder, dim, chunk)
+    return embedded.select("id", "job_info", "timestamp", "embedding", *keep)
 
 
 def dimension_check(df: DataFrame, vector_col: str = "embedding") -> DataFrame:

@@ -55,13 +55,10 @@ def embedding_run(
     mark = read_watermark(spark, watermark_path)
     upper = watermark_advance(incremental_scan(source, mark), mark).first()["max_id"]
     budgeted = budgeted_postings(incremental_scan(source, mark, upper), max_tokens, tokenizer)
-    if encoder is None and tokenizer is None:
-        staged = budgeted
-    else:
-        staged = materialise(budgeted, "budgeted")
+    staged = materialise(assemble_embeddings(budgeted, encoder, kind, dim, keep=("n_tokens", "truncated")), "embedded")
     if report_path:
         run_report_append(batch_stats(staged).withColumn("ts", F.current_timestamp()), report_path)
-    embedded = materialise(assemble_embeddings(staged, encoder, kind, dim), "embedded")
+    embedded = staged.drop("n_tokens", "truncated")
     ensure_table(spark, table_path, embedded.schema)
     initial = spark.read.schema(embedded.schema).parquet(table_path).count()
     added = insert_into(table_path, embedded, "id", existing_above=mark)

@@ -1,0 +1,81 @@
+"""Run every registered query and its SQL twin, and compare the results.
+
+    python -m tests.check_oracle [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def connect(sf_dir: str):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return None
+    return value
+
+
+def _sorted_rows(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return sorted(plain, key=lambda r: tuple((v is None, str(type(v)), v if v is not None else 0) for v in r))
+
+
+def compare(df, connection, sql: str) -> str:
+    """An empty string when the results agree, else what differs."""
+    relation = connection.sql(sql)
+    expected, columns = relation.fetchall(), relation.columns
+    if sorted(columns) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    types = {c: str(t) for c, t in zip(columns, relation.types)}
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+    for name, kind in df.dtypes:
+        if kinds.get(types[name], types[name]) != kind:
+            return f"type of {name}: {kind} != {types[name]}"
+    got = _sorted_rows([tuple(r) for r in df.collect()], df.columns)
+    want = _sorted_rows(expected, columns)
+    if len(got) != len(want):
+        return f"{len(got)} rows != {len(want)}"
+    for a, b in zip(got, want):
+        if a != b:
+            return f"row {str(a)[:300]} != {str(b)[:300]}"
+    return ""
+
+
+def main(argv: list[str]) -> int:
+    from __spark_entry__ import oracle_sql, queries
+    from postloom.session import build_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    spark = build_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, sqls, failures = connect(sf_dir), oracle_sql(), 0
+    for name, run in queries().items():
+        if len(argv) > 1 and name not in argv[1:]:
+            continue
+        start = time.time()
+        try:
+            df = run(spark, sf_dir)
+            outcome = compare(df, connection, sqls[name]) if name in sqls else f"(no SQL, {df.count()} rows)"
+        except Exception as error:  # report and go on with the next query
+            outcome = f"{type(error).__name__}: {str(error)[:600]}"
+        failures += bool(outcome) and not outcome.startswith("(no SQL")
+        print(f"{name:28s} {time.time() - start:6.2f}s  {outcome or 'ok'}", flush=True)
+    print(f"{failures} failures")
+    return failures
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1:]))
