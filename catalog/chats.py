@@ -76,7 +76,7 @@ _WORDS_SQL = N_TOKENS_SQL.format(text="d.text")
     FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def _(spark, sf):
     """Labelled documents were answered: well for quality 1, with broken JSON for quality 0."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    docs = table(spark, sf, "documents", ["doc_id", "text", "source"], spread=True).select(F.col("doc_id").alias("id"), "text", "source")
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "quality")
     good = _response(F.concat(F.lit("Title: "), "source"), F.length("text"), F.length("source"))
     responses = docs.join(labels, "id").select("id", F.when(F.col("quality") == 1, good).otherwise(F.lit("{")).alias("response"))
@@ -104,7 +104,7 @@ def _echo_service():
         CASE WHEN {N_TOKENS_SQL.format(text='text')} > 50 THEN 'ok' ELSE 'short' END AS status
     FROM documents""")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text")
     return summary_run(docs, _echo_service).summaries
 
 
@@ -155,7 +155,7 @@ def _(spark, sf):
     summary = F.concat(
         F.lit("A preface\nTitle: "), "source", F.lit("\n\nLocation:\n"), "lang",
         F.lit("\nQualifications/Requirements:\nAbout the company: "), "text")
-    return split_summary_sections(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), summary.alias("summary")), JOB_SECTION_LABELS)
+    return split_summary_sections(table(spark, sf, "documents", spread=True).select(F.col("doc_id").alias("id"), summary.alias("summary")), JOB_SECTION_LABELS)
 
 
 @query("split_cv_sections", f"""

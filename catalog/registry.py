@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from postloom.session import spread_small
+from postloom.sources.tables import parquet_scan
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str | Callable[[], str]] = {}
 
@@ -22,13 +25,16 @@ def query(name: str, sql: str | Callable[[], str] | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread: bool = False) -> DataFrame:
+    """A whole table; ``spread`` deals out the rows of a small one for work heavy per row."""
+    rows = parquet_scan(spark, f"{sf_dir}/{name}.parquet", columns)
+    return spread_small(rows) if spread else rows
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def postings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The documents table in the shape of the postings table."""
-    return table(spark, sf_dir, "documents").select(
+    columns = ("doc_id", "source", "text", "lang")
+    return table(spark, sf_dir, "documents", columns, spread).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("title"),
         F.col("text").alias("description"),

@@ -64,7 +64,8 @@ def _(spark, sf):
 
 
 def _locations(spark, sf):
-    customer, nation, region = (table(spark, sf, n) for n in ("customer", "nation", "region"))
+    nation, region = (table(spark, sf, n) for n in ("nation", "region"))
+    customer = table(spark, sf, "customer", spread=True)
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("c_custkey").alias("id"), F.concat_ws(" ", "r_name", "n_name", "c_mktsegment", F.lit("Remote")).alias("location"))
@@ -96,14 +97,14 @@ _COUNTED_SQL = f"SELECT doc_id, {N_TOKENS_SQL.format(text='text')} AS n FROM doc
     SELECT count(*) AS batches, sum(n)::BIGINT AS tokens, count(*) FILTER (n > 1000) AS truncations,
         sum(n) / count(*) AS mean_tokens, round(sum(n) / 1000 * 0.0004::DOUBLE, 4)::DOUBLE AS cost FROM ({_COUNTED_SQL})""")
 def _(spark, sf):
-    return batch_stats(budget_tokens(table(spark, sf, "documents")), "openai")
+    return batch_stats(budget_tokens(table(spark, sf, "documents", ["doc_id", "lang", "text"], spread=True)), "openai")
 
 
 @query("embedding_cost", f"""
     WITH per AS (SELECT lang, sum(n)::BIGINT AS tokens FROM ({_COUNTED_SQL}) JOIN documents USING (doc_id) GROUP BY lang)
     SELECT lang, tokens, round(tokens / 1000 * 0.0004::DOUBLE, 4)::DOUBLE AS cost_openai, 0.0::DOUBLE AS cost_e5 FROM per""")
 def _(spark, sf):
-    counted = budget_tokens(table(spark, sf, "documents"))
+    counted = budget_tokens(table(spark, sf, "documents", ["doc_id", "lang", "text"], spread=True))
     per = counted.groupBy("lang").agg(F.sum("n_tokens").alias("tokens"))
     return per.select("lang", "tokens", *[embedding_cost("tokens", m).alias(f"cost_{m}") for m in EMBEDDING_PRICES])
 
@@ -131,7 +132,8 @@ _COSTS_SQL = f"""
 def _calls(spark, sf):
     """Order lines as calls: order and part numbers stand for token counts."""
     model = F.when(F.col("l_returnflag") == "A", "gpt-3.5-turbo").when(F.col("l_returnflag") == "N", "gpt-3.5-turbo-16k").otherwise("other")
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", model.alias("model"))
+    lines = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"], spread=True).select(
+        "l_orderkey", "l_linenumber", "l_partkey", model.alias("model"))
     return lines.withColumn("cost", completion_cost("l_orderkey", "l_partkey", "model"))
 
 
@@ -238,7 +240,7 @@ def _hash_query_sql(prefix: str, source: str, key: str) -> str:
 
 @query("embed_column", _hash_query_sql("", "documents", "doc_id"))
 def _(spark, sf):
-    return _long_vectors(embed_column(table(spark, sf, "documents").select("doc_id", "text")), "doc_id")
+    return _long_vectors(embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select("doc_id", "text")), "doc_id")
 
 
 @query("query_vector", _hash_query_sql("query: ", "benchmark", "item_id"))
@@ -252,7 +254,7 @@ def _(spark, sf):
     SELECT b.id, b.job_info, b.timestamp, round(max(h.value), 6)::DOUBLE AS largest, count(*) FILTER (h.value > 0) AS filled
     FROM budgeted b JOIN hashed h ON h.id = b.id GROUP BY ALL""")
 def _(spark, sf):
-    budgeted = budget_tokens(postings(spark, sf).withColumnRenamed("description", "text"), 100)
+    budgeted = budget_tokens(postings(spark, sf, spread=True).withColumnRenamed("description", "text"), 100)
     assembled = assemble_embeddings(budgeted)
     return assembled.select(
         "id", "job_info", "timestamp",
@@ -296,7 +298,7 @@ NEAREST_DOCUMENTS_SQL = f"""
 
 
 def nearest_documents(spark, sf):
-    docs = embed_column(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    docs = embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text"))
     items = query_vector(table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
     return nearest_postings(docs.select("id", "embedding"), items.select("query_id", "embedding"), k=5)
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, postings, query, table, truncated_sql
-from postloom.functions.vectors import hash_embedding
+from postloom.operators.embedding import embed_column
 from postloom.operators.merge import append_keep_last, insert_ignore, insert_report
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
-from postloom.session import fresh_path
+from postloom.session import fresh_path, materialise
 from postloom.sources.collection import collection_add, collection_count, collection_get, collection_peek
 from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import append_tables, csv_scan, csv_sink, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan
@@ -138,9 +138,9 @@ def _(spark, sf):
 
 def _collection(spark, sf):
     path = fresh_path(spark, "collection")
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("document"), hash_embedding("text").cast("array<float>").alias("embedding"))
+    rows = embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), F.col("text").alias("document")), "document")
     turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("id"), F.col("text").alias("document"), F.array().cast("array<float>").alias("embedding"))
-    collection_add(rows, path)
+    collection_add(materialise(rows, "collection-rows"), path)
     collection_add(turns, path)  # all ids are taken already
     return path
 
@@ -170,7 +170,7 @@ def _stats_sql(relation: str) -> str:
 def _(spark, sf):
     path = fresh_path(spark, "run-report")
     for name in ("documents", "conversations"):
-        stats = batch_stats(budget_tokens(table(spark, sf, name)))
+        stats = batch_stats(budget_tokens(table(spark, sf, name, ["text"], spread=True)))
         run_report_append(stats.withColumn("ts", F.current_timestamp()), path)
     return run_report_scan(spark, path).select("batches", "tokens", "truncations", "mean_tokens", "cost")
 
@@ -189,7 +189,7 @@ _EMBEDDED_SQL = f"""
 def _(spark, sf):
     """Two runs over the same source: the second finds nothing above the mark."""
     stored, mark = fresh_path(spark, "embeddings"), fresh_path(spark, "mark")
-    source = postings(spark, sf)
+    source = postings(spark, sf, spread=True)
     embedding_run(spark, source, stored, mark)
     embedding_run(spark, source, stored, mark)
     return spark.read.parquet(stored).select("id", "job_info", "timestamp", F.size("embedding").alias("dim"))
@@ -198,7 +198,7 @@ def _(spark, sf):
 @query("api_embedding", _EMBEDDED_SQL.replace("job_info", "original"))
 def _(spark, sf):
     path = fresh_path(spark, "api-embeddings")
-    api_embedding_run(postings(spark, sf), path, "parquet")
+    api_embedding_run(postings(spark, sf, spread=True), path, "parquet")
     return spark.read.parquet(path).select("id", "original", "timestamp", F.size("embedding").alias("dim"))
 
 
@@ -220,4 +220,4 @@ def _(spark, sf):
         {N_TOKENS_SQL.format(text='full_text')} > 1000 AS truncated
     FROM (SELECT *, {POSTING_TEXT_SQL} AS full_text FROM ({POSTINGS_SQL}))""")
 def _(spark, sf):
-    return budgeted_postings(postings(spark, sf))
+    return budgeted_postings(postings(spark, sf, spread=True))

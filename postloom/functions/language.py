@@ -32,6 +32,11 @@ def _col(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _matching(tokens, words: list[str], present: bool = True) -> Column:
+    """The tokens that are (or are not) in the list, which Spark turns into a hash set."""
+    return F.filter(tokens, lambda t: t.isin(words) if present else ~t.isin(words))
+
+
 def detect_language(col, languages=tuple(STOP_LISTS)) -> Column:
     """The language whose stop words occur most often; NULL when none occurs."""
     words = F.regexp_extract_all(F.lower(_col(col)), F.lit(r"\p{L}+"), F.lit(0))
@@ -39,7 +44,7 @@ def detect_language(col, languages=tuple(STOP_LISTS)) -> Column:
     def votes(tokens):
         return F.array(*[
             F.struct(
-                F.size(F.filter(tokens, lambda w, stops=stop_words(code): w.isin(stops))).alias("n"),
+                F.size(_matching(tokens, stop_words(code))).alias("n"),
                 F.lit(-position).alias("priority"),
                 F.lit(code).alias("lang"),
             )
@@ -63,7 +68,7 @@ def remove_stopwords(tokens, lang, languages=NORMALISED_LANGUAGES) -> Column:
     """Drop the stop words of the row's language; other languages keep every token."""
     tokens, lang, kept = _col(tokens), _col(lang), None
     for code in languages:
-        without = F.filter(tokens, lambda t, stops=stop_words(code): ~t.isin(stops))
+        without = _matching(tokens, stop_words(code), present=False)
         kept = F.when(lang == code, without) if kept is None else kept.when(lang == code, without)
     return kept.otherwise(tokens)
 

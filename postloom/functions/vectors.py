@@ -1,50 +1,58 @@
-"""Expressions over embedding arrays, and the built-in hashing encoder."""
+"""Vector expressions, and the built-in hashing encoder."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
+import hashlib
+import re
+from collections.abc import Callable
 
-def _col(col) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+import numpy as np
+from pyspark.sql import Column, functions as F
 
+from postloom import hooks
 
-def hash_buckets(col, dim: int) -> Column:
-    """One bucket in ``[0, dim)`` per whitespace-separated word."""
-    words = F.regexp_extract_all(_col(col), F.lit(r"\S+"), F.lit(0))
-    return F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % dim)
+_WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
+_REMEMBERED_WORDS = 500_000
 
 
-def hash_embedding(col, dim: int = 64) -> Column:
+def hashing_encoder(dim: int = 64) -> hooks.EncoderFactory:
     """Word counts per hash bucket, scaled to unit length; a text without words gives zeros.
 
-    A deterministic stand-in for a model: it needs no weights and runs in the JVM on the
-    row at hand, without a shuffle.
+    A deterministic stand-in for a model, without weights to load. The bucket of a word is
+    the leading 32 bits of its MD5 modulo ``dim``; each task remembers recent words.
     """
-    def histogram(buckets):
-        return F.transform(
-            F.sequence(F.lit(0).cast("long"), F.lit(dim - 1).cast("long")),
-            lambda i: (F.size(buckets) - F.size(F.array_remove(buckets, i))).cast("double"),
-        )
+    def factory() -> Callable[[list[str]], list[np.ndarray]]:
+        buckets: dict[str, int] = {}
 
-    counts = F.transform(F.array(hash_buckets(col, dim)), histogram)
-    return F.transform(counts, unit_vector)[0]
+        def bucket(word: str) -> int:
+            found = buckets.get(word)
+            if found is None:
+                if len(buckets) >= _REMEMBERED_WORDS:
+                    buckets.clear()
+                found = buckets[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dim
+            return found
 
+        def encode(texts: list[str]) -> list[np.ndarray]:
+            vectors = []
+            for text in texts:
+                counts = np.bincount([bucket(w) for w in _WORD.findall(text or "")], minlength=dim).astype(np.float64)
+                length = np.sqrt((counts * counts).sum())
+                vectors.append(counts / length if length else counts)
+            return vectors
 
-def norm(vector) -> Column:
-    return F.sqrt(F.aggregate(_col(vector), F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
+        return encode
+
+    return factory
 
 
-def unit_vector(vector) -> Column:
-    length = norm(vector)
-    scaled = F.transform(F.array(length), lambda n: F.transform(_col(vector), lambda v: F.when(n > 0, v / n).otherwise(F.lit(0.0))))
-    return scaled[0]
+def norm(vector) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
 
 
 def cosine(left, right) -> Column:
-    """Cosine in double precision; NULL when a vector has no length."""
+    """Cosine of two array columns in double precision; NULL when a vector has no length."""
     dot = F.aggregate(
-        F.zip_with(_col(left), _col(right), lambda a, b: a.cast("double") * b.cast("double")),
+        F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double")),
         F.lit(0.0), lambda acc, v: acc + v,
     )
     scale = norm(left) * norm(right)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -65,23 +66,26 @@ def stem_udf(factory: StemmerFactory):
     return stem
 
 
-def encode_texts(df: DataFrame, factory: EncoderFactory, text_col: str, output_col: str = "embedding", chunk: int = 15) -> DataFrame:
-    """Add a vector column, calling the encoder with at most ``chunk`` texts at a time."""
-    schema = T.StructType(df.schema.fields + [T.StructField(output_col, T.ArrayType(T.FloatType()))])
+def encode_udf(factory: EncoderFactory, chunk: int):
+    """Vectors from the encoder, which sees at most ``chunk`` texts per call.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    As a column function it moves only the text to Python and the vector back; the other
+    columns of the row stay where they are.
+    """
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = factory()
-        for batch in batches:
-            texts = batch[text_col].tolist()
-            vectors = []
+        for texts in batches:
+            vectors: list = []
             for start in range(0, len(texts), chunk):
-                part = encoder(texts[start:start + chunk])
-                if len(part) != len(texts[start:start + chunk]):
+                part = texts.iloc[start:start + chunk].tolist()
+                encoded = encoder(part)
+                if len(encoded) != len(part):
                     raise ValueError("the encoder must return one vector per text")
-                vectors.extend([float(v) for v in vector] for vector in part)
-            yield batch.assign(**{output_col: vectors})
+                vectors.extend(np.asarray(vector, dtype=np.float32) for vector in encoded)
+            yield pd.Series(vectors, index=texts.index, dtype=object)
 
-    return df.mapInPandas(run, schema)
+    return encode
 
 
 def complete_requests(

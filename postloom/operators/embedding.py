@@ -6,20 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from postloom import hooks
 from postloom.functions.text import e5_prefix
-from postloom.functions.vectors import hash_embedding
+from postloom.functions.vectors import hashing_encoder
 
 E5_CHUNK = 15
 API_CHUNK = 50
 
 
 def embed_column(df: DataFrame, text_col: str = "text", output_col: str = "embedding", encoder: hooks.EncoderFactory | None = None, dim: int = 64, chunk: int = E5_CHUNK) -> DataFrame:
-    """Add a vector per text: from the encoder hook, or from the hashing encoder.
+    """Add a vector per text, from the encoder hook or the built-in hashing encoder.
 
-    Rows stay where they are in both forms; there is no shuffle and no order to restore.
+    Rows stay where they are: there is no shuffle and no order to restore.
     """
-    if encoder is not None:
-        return hooks.encode_texts(df, encoder, text_col, output_col, chunk)
-    return df.withColumn(output_col, hash_embedding(text_col, dim).cast("array<float>"))
+    return df.withColumn(output_col, hooks.encode_udf(encoder or hashing_encoder(dim), chunk)(F.col(text_col)))
 
 
 def assemble_embeddings(df: DataFrame, encoder: hooks.EncoderFactory | None = None, kind: str = "query", dim: int = 64, chunk: int = E5_CHUNK, keep=()) -> DataFrame:

@@ -65,3 +65,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+    """Give a small input enough tasks for work that is heavy per row.
+
+    A small file tends to be a single row group, which one task must read alone. Below
+    ``max_bytes`` (the optimizer's estimate) its rows are dealt out over all cores; a larger
+    input is split by its files already and is left where it is.
+    """
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate <= max_bytes else df
