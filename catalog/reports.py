@@ -132,7 +132,7 @@ _COSTS_SQL = f"""
 def _calls(spark, sf):
     """Order lines as calls: order and part numbers stand for token counts."""
     model = F.when(F.col("l_returnflag") == "A", "gpt-3.5-turbo").when(F.col("l_returnflag") == "N", "gpt-3.5-turbo-16k").otherwise("other")
-    lines = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"], spread=True).select(
+    lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", model.alias("model"))
     return lines.withColumn("cost", completion_cost("l_orderkey", "l_partkey", "model"))
 

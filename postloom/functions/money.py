@@ -52,8 +52,12 @@ def completion_cost(prompt_tokens, completion_tokens, model) -> Column:
     prompt = F.col(prompt_tokens) if isinstance(prompt_tokens, str) else prompt_tokens
     completion = F.col(completion_tokens) if isinstance(completion_tokens, str) else completion_tokens
     name = F.col(model) if isinstance(model, str) else model
-    cost = None
-    for model_name, (prompt_price, completion_price) in COMPLETION_PRICES.items():
-        parts = round_binary(prompt / 1000 * prompt_price, 3) + round_binary(completion / 1000 * completion_price, 3)
-        cost = F.when(name == model_name, parts) if cost is None else cost.when(name == model_name, parts)
-    return cost.otherwise(F.lit(0.0))
+
+    def price(part: int) -> Column:
+        (first, prices), *others = COMPLETION_PRICES.items()
+        chosen = F.when(name == first, prices[part])
+        for model_name, prices in others:
+            chosen = chosen.when(name == model_name, prices[part])
+        return chosen.otherwise(0.0)
+
+    return round_binary(prompt / 1000 * price(0), 3) + round_binary(completion / 1000 * price(1), 3)

@@ -1,7 +1,9 @@
 """Places where a model, tokenizer or remote call is plugged in.
 
 Every hook takes a factory, not an object: the factory is shipped to the workers and
-called once per task, so a model is loaded where it is used and never per row.
+called once per task, so a model is loaded where it is used and never per row. The column
+hooks are marked non-deterministic: the optimizer would otherwise copy a call into filters
+that it derives from the result, and run a model twice.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def token_count_udf(factory: TokenizerFactory):
         for texts in batches:
             yield texts.map(lambda t: None if t is None else len(tokenizer.encode(t)))
 
-    return count
+    return count.asNondeterministic()
 
 
 def truncate_udf(factory: TokenizerFactory, max_tokens: int):
@@ -53,7 +55,7 @@ def truncate_udf(factory: TokenizerFactory, max_tokens: int):
         for texts in batches:
             yield texts.map(cut)
 
-    return truncate
+    return truncate.asNondeterministic()
 
 
 def stem_udf(factory: StemmerFactory):
@@ -63,7 +65,7 @@ def stem_udf(factory: StemmerFactory):
         for rows in batches:
             yield rows.map(lambda words: None if words is None else [stemmer(w) for w in words])
 
-    return stem
+    return stem.asNondeterministic()
 
 
 def encode_udf(factory: EncoderFactory, chunk: int):
@@ -85,7 +87,7 @@ def encode_udf(factory: EncoderFactory, chunk: int):
                 vectors.extend(np.asarray(vector, dtype=np.float32) for vector in encoded)
             yield pd.Series(vectors, index=texts.index, dtype=object)
 
-    return encode
+    return encode.asNondeterministic()
 
 
 def complete_requests(

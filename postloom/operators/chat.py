@@ -109,12 +109,11 @@ def summarise_with_fallback(texts: DataFrame, responses: DataFrame, model="gpt-3
     first usable response among the first ``max_attempts`` attempts (``ok``), or fall back
     to the original text at cost 0 (``failed``).
     """
-    answered = parse_responses(responses, model).filter("summary IS NOT NULL")
-    order = [F.col("summary")]
-    if attempt_col:
-        answered = answered.filter(F.col(attempt_col) <= max_attempts)
-        order = [F.col(attempt_col)] + order
-    first = answered.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1")
+    attempts = responses if attempt_col is None else responses.filter(F.col(attempt_col) <= max_attempts)
+    # Usable answers sort first, so that no filter has to parse the responses a second time.
+    order = [F.col("summary").isNull()] + ([F.col(attempt_col)] if attempt_col else []) + [F.col("summary")]
+    parsed = parse_responses(attempts, model)
+    first = parsed.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1")
     usable = first.select(F.col(key), F.col("summary").alias("_summary"), F.col("cost").alias("_cost"))
     gated = texts.withColumn("_long", F.coalesce(needs_summary(F.col(text_col)), F.lit(False)))
     joined = gated.join(usable, key, "left")

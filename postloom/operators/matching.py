@@ -57,7 +57,7 @@ def match_prompt(nearest: DataFrame, postings: DataFrame, cvs: DataFrame, instru
 def match_answers(answers: DataFrame, answer_col: str = "answer") -> DataFrame:
     """One row per judged posting; broken JSON gives none."""
     kept = [c for c in answers.columns if c != answer_col]
-    parsed = answers.select(*kept, F.explode(F.from_json(answer_col, MATCH_ANSWER)).alias("_a"))
+    parsed = answers.select(*kept, F.explode_outer(F.from_json(answer_col, MATCH_ANSWER)).alias("_a"))
     return parsed.select(*kept, "_a.id", "_a.suitability", "_a.explanation").filter("id IS NOT NULL")
 
 

@@ -48,11 +48,10 @@ def chunk_rows(df: DataFrame, order_by, n: int, partitions: int | None = None) -
     """Add ``chunk`` (0, 1, ...) and ``idx`` (position in the chunk) for chunks of ``n`` rows."""
     if n < 1:
         raise ValueError("the chunk size must be positive")
-    place = F.col("_rank") - 1
     return (
         global_rank(df, order_by, "_rank", partitions)
-        .withColumn("chunk", F.floor(place / n).cast("long"))
-        .withColumn("idx", (place % n).cast("int"))
+        .withColumn("chunk", F.expr(f"(_rank - 1) div {n}"))
+        .withColumn("idx", F.expr(f"cast((_rank - 1) % {n} AS int)"))
         .drop("_rank")
     )
 

@@ -34,5 +34,6 @@ def split_summary_sections(df: DataFrame, labels=JOB_SECTION_LABELS, key: str =
         F.split(text_col, pattern).alias("_pieces"),
     )
     paired = F.arrays_zip("_labels", F.slice("_pieces", F.lit(2), F.greatest(F.size("_labels"), F.lit(0))))
-    rows = split.filter(F.size("_labels") > 0).select(key, F.posexplode(paired).alias("pos", "_e"))
+    # The outer form spares a derived filter that would match the pattern a second time.
+    rows = split.select(key, F.posexplode_outer(paired).alias("pos", "_e")).filter("pos IS NOT NULL")
     return rows.select(key, "pos", F.col("_e._labels").alias("section"), F.regexp_replace(F.col("_e.1"), r"^\s+|\s+$", "").alias("value"))

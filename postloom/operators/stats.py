@@ -52,7 +52,8 @@ def location_token_counts(df: DataFrame, column: str = "location") -> DataFrame:
 
     Counts are combined inside each task before the shuffle, so frequent tokens are cheap.
     """
-    tokens = df.select(F.explode(F.split(column, r"\s+")).alias("token")).filter("token <> ''")
+    # The outer form spares a derived filter that would split every location a second time.
+    tokens = df.select(F.explode_outer(F.split(column, r"\s+")).alias("token")).filter("token <> ''")
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "token")
 
 
@@ -67,7 +68,8 @@ def describe_table(df: DataFrame, columns=None, select_rows: int = 200_000, accu
     around each rank, one scan counts the rows below and inside it, and this repeats until
     at most ``select_rows`` rows are inside. Those are counted per value and ranked. Every
     pass aggregates inside the tasks; no column is sorted whole or collected in one task.
-    The result is a small report made from the final counts.
+    The first sketch comes with the other statistics, so three scans usually do. The result
+    is a small report made from the final counts.
     """
     spark = df.sparkSession
     names = list(columns) if columns else [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -79,23 +81,27 @@ def describe_table(df: DataFrame, columns=None, select_rows: int = 200_000, accu
         return F.when(~F.isnan(value), value)
 
     values = df.select(*[clean(name).alias(f"v{i}") for i, name in enumerate(names)])
+    quartile_ends = [end for p in _QUARTILES.values() for end in _ends(p, accuracy)]
     facts = values.agg(*[
-        F.struct(F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)).alias(v) for v in values.columns
+        F.struct(F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v), F.percentile_approx(v, quartile_ends, accuracy)).alias(v)
+        for v in values.columns
     ]).first()
 
-    targets = {}
+    targets, proposals = {}, []
     for v in values.columns:
-        n = facts[v][0]
-        for p in _QUARTILES.values() if n else ():
+        n, sketch = facts[v][0], facts[v][5]
+        for i, p in enumerate(_QUARTILES.values()) if n else ():
             for rank in {floor(p * (n - 1)), ceil(p * (n - 1))}:
                 targets[v, rank] = _RankTarget(v, rank, n)
+                proposals.append((targets[v, rank], sketch[2 * i], sketch[2 * i + 1]))
+    _count_around(values, [p for p in proposals if p[0].inside > select_rows])
     while wide := [t for t in targets.values() if t.value is None and t.inside > select_rows]:
-        _narrow(values, wide, accuracy)
+        _count_around(values, _propose(values, wide, accuracy))
     _select(values, [t for t in targets.values() if t.value is None])
 
     rows = []
     for name, v in zip(names, values.columns):
-        n, mean, std, low, high = facts[v]
+        n, mean, std, low, high, _ = facts[v]
         found = {"count": float(n), "mean": mean, "std": std, "min": low, "max": high}
         for stat, p in _QUARTILES.items():
             position = p * (n - 1)
@@ -141,33 +147,40 @@ def _inside(column: str, low, high):
     return condition
 
 
-def _narrow(values: DataFrame, wide: list[_RankTarget], accuracy: int) -> None:
-    """Two scans: sketch each interval, then count around the proposed values.
+def _ends(share: float, accuracy: int) -> list[float]:
+    return [max(share - 2.0 / accuracy, 0.0), min(share + 2.0 / accuracy, 1.0)]
 
-    The proposed values leave the interval, so even a value that fills most rows is
-    passed in one step and the interval always shrinks.
-    """
+
+def _propose(values: DataFrame, wide: list[_RankTarget], accuracy: int) -> list[tuple]:
+    """One scan: for each target, values shortly before and after its rank."""
     groups: dict[tuple, list[_RankTarget]] = {}
     for target in wide:
         groups.setdefault(target.interval(), []).append(target)
     sketches = []
     for (column, low, high, below), members in groups.items():
-        ends = []
-        for t in members:
-            share = (t.rank - below) / (t.inside - 1)
-            ends += [max(share - 2.0 / accuracy, 0.0), min(share + 2.0 / accuracy, 1.0)]
+        ends = [end for t in members for end in _ends((t.rank - below) / (t.inside - 1), accuracy)]
         sketches.append(F.percentile_approx(F.when(_inside(column, low, high), F.col(column)), ends, accuracy))
-    proposed = values.agg(*[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
+    found = values.agg(*[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
+    return [
+        (t, ends[2 * i], ends[2 * i + 1])
+        for ends, members in zip(found, groups.values()) for i, t in enumerate(members)
+    ]
+
 
-    steps = []
-    for ends, members in zip(proposed, groups.values()):
-        steps += [(t, ends[2 * j], ends[2 * j + 1]) for j, t in enumerate(members)]
+def _count_around(values: DataFrame, proposals: list[tuple]) -> None:
+    """One scan that counts the rows around the proposed values and narrows the targets.
+
+    The proposed values leave the interval, so even a value that fills most rows is passed
+    in one step and the interval always shrinks.
+    """
+    if not proposals:
+        return
     counts = []
-    for t, low, high in steps:
+    for t, low, high in proposals:
         v = F.col(t.column)
         counts += [F.count_if(v < low), F.count_if(v <= low), F.count_if(v < high), F.count_if(v <= high)]
     counted = values.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
-    for i, (t, low, high) in enumerate(steps):
+    for i, (t, low, high) in enumerate(proposals):
         t.split(low, high, *counted[4 * i:4 * i + 4])
 
 

@@ -15,7 +15,7 @@ from postloom.operators.stats import MAX_TOKENS, batch_stats, budget_tokens
 from postloom.session import materialise
 from postloom.sources.collection import collection_add
 from postloom.sources.postings import incremental_scan, watermark_advance
-from postloom.sources.tables import csv_sink, ensure_table, parquet_sink, run_report_append
+from postloom.sources.tables import csv_sink, ensure_table, parquet_sink, run_report_append, table_exists
 from postloom.sources.watermark import commit_watermark, read_watermark
 
 
@@ -33,6 +33,10 @@ def budgeted_postings(postings: DataFrame, max_tokens: int = MAX_TOKENS, tokeniz
     return budget_tokens(postings.select("id", "timestamp", posting_text().alias("text")), max_tokens, "text", tokenizer)
 
 
+def _stored_rows(spark: SparkSession, table_path: str) -> int:
+    return spark.read.parquet(table_path).count() if table_exists(spark, table_path) else 0
+
+
 def embedding_run(
     spark: SparkSession,
     source: DataFrame,
@@ -49,21 +53,24 @@ def embedding_run(
 
     The vectors are written to the shared folder once, because the insert reads them twice
     and an encoder must not run again. The mark moves only after the insert: a run that
-    dies in between repeats its rows, and the insert ignores those already stored.
+    dies in between repeats its rows, and the insert ignores those already stored. Without
+    new rows nothing is written.
     """
     started = time.monotonic()
     mark = read_watermark(spark, watermark_path)
     upper = watermark_advance(incremental_scan(source, mark), mark).first()["max_id"]
+    if upper == mark:
+        stored = _stored_rows(spark, table_path)
+        return InsertReport(stored, 0, stored, time.monotonic() - started, mark)
     budgeted = budgeted_postings(incremental_scan(source, mark, upper), max_tokens, tokenizer)
     staged = materialise(assemble_embeddings(budgeted, encoder, kind, dim, keep=("n_tokens", "truncated")), "embedded")
     if report_path:
         run_report_append(batch_stats(staged).withColumn("ts", F.current_timestamp()), report_path)
     embedded = staged.drop("n_tokens", "truncated")
     ensure_table(spark, table_path, embedded.schema)
-    initial = spark.read.schema(embedded.schema).parquet(table_path).count()
+    initial = _stored_rows(spark, table_path)
     added = insert_into(table_path, embedded, "id", existing_above=mark)
-    if upper != mark:
-        commit_watermark(spark, watermark_path, upper)
+    commit_watermark(spark, watermark_path, upper)
     return InsertReport(initial, added, initial + added, time.monotonic() - started, upper)
 
 

@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.operators.merge import fresh_rows
+from postloom.operators.merge import insert_into
+from postloom.sources.tables import ensure_table
 
 COLLECTION_COLUMNS = ("id", "document", "embedding")
 
 
-def _open(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if like is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], like.schema)
+def _open(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def collection_add(rows: DataFrame, path: str) -> None:
     """Create the collection if needed and add the rows whose id it does not hold yet."""
     rows = rows.select(*COLLECTION_COLUMNS)
-    existing = _open(rows.sparkSession, path, like=rows)
-    fresh_rows(existing, rows, key="id").write.mode("append").parquet(path)
+    ensure_table(rows.sparkSession, path, rows.schema)
+    insert_into(path, rows, key="id")
 
 
 def collection_peek(spark: SparkSession, path: str, n: int = 10) -> DataFrame:

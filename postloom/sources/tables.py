@@ -37,7 +37,12 @@ def csv_sink(df: DataFrame, path: str, columns=("id", "original", "summary"), mo
 
 
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS, multiLine="true").schema(schema).csv(path)
+    """Read what ``csv_sink`` wrote.
+
+    The writer leaves NULL bare and quotes an empty text. Naming a NULL marker that no text
+    contains makes the reader tell the two apart.
+    """
+    return spark.read.options(**CSV_OPTIONS, multiLine="true", nullValue="\u0000").schema(schema).csv(path)
 
 
 def append_tables(first: DataFrame, second: DataFrame, source_column: str | None = None) -> DataFrame:
@@ -67,11 +72,17 @@ def run_report_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_REPORT).parquet(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Create an empty parquet table at ``path`` unless one is there."""
+def table_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.schema(schema).parquet(path)
+        spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        spark.createDataFrame([], schema).write.parquet(path)
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Create an empty parquet table at ``path`` unless one is there."""
+    if not table_exists(spark, path):
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)

@@ -6,20 +6,17 @@ the job dies in the middle of a commit.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postloom.schemas import WATERMARK
+from postloom.sources.tables import table_exists
 
 
 def _latest(spark: SparkSession, path: str):
-    try:
-        table = spark.read.schema(WATERMARK).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return table.agg(F.max("version").alias("version"), F.max_by("max_id", "version").alias("max_id")).first()
+    if not table_exists(spark, path):
+        return None
+    versions = spark.read.schema(WATERMARK).parquet(path)
+    return versions.agg(F.max("version").alias("version"), F.max_by("max_id", "version").alias("max_id")).first()
 
 
 def read_watermark(spark: SparkSession, path: str, default: int = 0) -> int:

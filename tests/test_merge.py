@@ -1,0 +1,71 @@
+import pandas as pd
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from postloom.operators.merge import append_keep_last, fresh_rows, insert_ignore, insert_into, insert_report
+from postloom.session import fresh_path
+from postloom.sources.tables import append_tables, ensure_table
+
+SCHEMA = "id long, seq long, body string"
+ROWS = st.lists(st.tuples(st.integers(0, 8), st.integers(0, 99)), max_size=25)
+
+
+def frame(spark, pairs, tag):
+    return spark.createDataFrame([(i, n, f"{tag}{v}") for n, (i, v) in enumerate(pairs)], SCHEMA)
+
+
+def unique(pairs):
+    return list(dict(reversed(pairs)).items())
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ROWS, ROWS)
+def test_merges_match_a_row_by_row_model(spark, old, new):
+    old = unique(old)
+    existing, added = frame(spark, old, "o"), frame(spark, new, "n")
+
+    ignoring = {i: f"o{v}" for i, v in old}
+    for i, v in new:
+        ignoring.setdefault(i, f"n{v}")
+    inserted = insert_ignore(existing, added, order_by="seq")
+    assert sorted((r["id"], r["body"]) for r in inserted.collect()) == sorted(ignoring.items())
+    assert fresh_rows(inserted, added, order_by="seq").count() == 0
+
+    report = insert_report(existing, added).first()
+    assert tuple(report) == (len(old), len(ignoring) - len(old), len(ignoring))
+
+    stacked = pd.DataFrame([(i, f"o{v}") for i, v in old] + [(i, f"n{v}") for i, v in new], columns=["id", "body"])
+    expected = sorted(stacked.drop_duplicates("id", keep="last").itertuples(index=False, name=None))
+    for existing_unique in (False, True):
+        kept = append_keep_last(existing, added, order_by="seq", existing_unique=existing_unique)
+        assert sorted((r["id"], r["body"]) for r in kept.collect()) == expected
+
+
+def test_input_order_decides_without_an_order_column(spark):
+    new = spark.createDataFrame([(1, 0, "first"), (1, 0, "second"), (2, 0, "only")], SCHEMA).coalesce(1)
+    empty = spark.createDataFrame([], SCHEMA)
+    assert {r["id"]: r["body"] for r in insert_ignore(empty, new).collect()} == {1: "first", 2: "only"}
+    assert {r["id"]: r["body"] for r in append_keep_last(empty, new).collect()} == {1: "second", 2: "only"}
+
+
+def test_insert_into_is_idempotent(spark):
+    path = fresh_path(spark, "table")
+    new = frame(spark, [(1, 1), (2, 2), (2, 3)], "n")
+    ensure_table(spark, path, new.schema)
+    assert insert_into(path, new, order_by="seq") == 2
+    assert insert_into(path, new, order_by="seq") == 0
+    more = frame(spark, [(2, 9), (7, 9)], "m")
+    assert insert_into(path, more, order_by="seq", existing_above=1) == 1
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_losers_leave_before_the_shuffle(spark, plan):
+    hot = spark.range(1000).select((F.col("id") % 2).alias("id"), F.col("id").alias("seq"), F.lit("x").alias("body"))
+    existing = spark.createDataFrame([], SCHEMA)
+    for merged in (insert_ignore(existing, hot, order_by="seq"), append_keep_last(existing, hot, order_by="seq")):
+        assert "WindowGroupLimit" in plan(merged) and "Partial" in plan(merged)
+
+
+def test_append_tables_keeps_duplicates(spark):
+    both = append_tables(frame(spark, [(1, 1)], "x"), frame(spark, [(1, 1)], "x"), "src")
+    assert sorted(r["src"] for r in both.collect()) == [0, 1]
