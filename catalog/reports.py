@@ -185,15 +185,15 @@ def _(spark, sf):
 
 _POOLED_SQL = """
     SELECT label AS seq_id, pos, round(avg(v), 6)::DOUBLE AS value FROM (
-        SELECT label, (p - 1)::INTEGER AS pos, CASE WHEN vec_id % 5 <> 0 THEN embedding[p]::DOUBLE END AS v
+        SELECT label, (p - 1)::INTEGER AS pos, CASE WHEN embedding[1] >= 0 THEN embedding[p]::DOUBLE END AS v
         FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS p FROM embeddings))
     GROUP BY ALL"""
 
 
 def _token_vectors(spark, sf):
-    """Vectors as tokens of the sequence named by their label; every fifth one is padding."""
+    """Vectors as tokens of the sequence named by their label; those with a negative first element are padding."""
     return table(spark, sf, "embeddings").select(
-        F.col("label").alias("seq_id"), (F.col("vec_id") % 5 != 0).cast("int").alias("mask"), F.col("embedding").alias("vec"))
+        F.col("label").alias("seq_id"), (F.col("embedding")[0] >= 0).cast("int").alias("mask"), F.col("embedding").alias("vec"))
 
 
 def _long_vectors(df, key):
@@ -249,12 +249,12 @@ def _(spark, sf):
 
 
 @query("assemble_embeddings", f"""
-    WITH budgeted AS (SELECT id, timestamp, {truncated_sql('description', 100)} AS job_info FROM ({POSTINGS_SQL})),
+    WITH budgeted AS (SELECT id, timestamp, {truncated_sql('description', 1000)} AS job_info FROM ({POSTINGS_SQL})),
     {hashed_sql("SELECT id, 'query: ' || job_info AS text FROM budgeted", 'id', 'text')}
     SELECT b.id, b.job_info, b.timestamp, round(max(h.value), 6)::DOUBLE AS largest, count(*) FILTER (h.value > 0) AS filled
     FROM budgeted b JOIN hashed h ON h.id = b.id GROUP BY ALL""")
 def _(spark, sf):
-    budgeted = budget_tokens(postings(spark, sf, spread=True).withColumnRenamed("description", "text"), 100)
+    budgeted = budget_tokens(postings(spark, sf, spread=True).withColumnRenamed("description", "text"))
     assembled = assemble_embeddings(budgeted)
     return assembled.select(
         "id", "job_info", "timestamp",

@@ -55,10 +55,10 @@ def _(spark, sf):
 
 
 @query("truncate_tokens", f"""
-    SELECT doc_id AS id, {truncated_sql('text', 100)} AS text, {N_TOKENS_SQL.format(text='text')}::INTEGER AS n_tokens,
-        {N_TOKENS_SQL.format(text='text')} > 100 AS truncated FROM documents""")
+    SELECT doc_id AS id, {truncated_sql('text', 1000)} AS text, {N_TOKENS_SQL.format(text='text')}::INTEGER AS n_tokens,
+        {N_TOKENS_SQL.format(text='text')} > 1000 AS truncated FROM documents""")
 def _(spark, sf):
-    return budget_tokens(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text"), 100)
+    return budget_tokens(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text"))
 
 
 @query("word_count", r"SELECT doc_id AS id, len(regexp_extract_all(text, '\S+'))::INTEGER AS words FROM documents")

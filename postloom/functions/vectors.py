@@ -12,7 +12,6 @@ from pyspark.sql import Column, functions as F
 from postloom import hooks
 
 _WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
-_REMEMBERED_WORDS = 500_000
 
 
 def hashing_encoder(dim: int = 64) -> hooks.EncoderFactory:
@@ -27,7 +26,7 @@ def hashing_encoder(dim: int = 64) -> hooks.EncoderFactory:
         def bucket(word: str) -> int:
             found = buckets.get(word)
             if found is None:
-                if len(buckets) >= _REMEMBERED_WORDS:
+                if len(buckets) >= hooks.REMEMBERED_WORDS:
                     buckets.clear()
                 found = buckets[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dim
             return found

@@ -30,6 +30,9 @@ EncoderFactory = Callable[[], Callable[[list[str]], "list[list[float]]"]]
 CompletionFactory = Callable[[], Callable[[str], "str | dict"]]
 StemmerFactory = Callable[[], Callable[[str], str]]
 
+# Words that a task keeps results for before it starts over.
+REMEMBERED_WORDS = 500_000
+
 
 def token_count_udf(factory: TokenizerFactory):
     @F.pandas_udf(T.IntegerType())
@@ -97,11 +100,12 @@ def complete_requests(
     request_col: str = "request",
     attempts: int = 5,
     backoff: float = 5.0,
+    pause: float = 0.5,
     concurrency: int = 8,
 ) -> DataFrame:
     """``(key, attempts, response)`` from a completion call per request.
 
-    A failed call is repeated up to ``attempts`` times in all, waiting ``backoff ** n``
+    Every call waits ``pause`` seconds first. A failed call is repeated up to ``attempts`` times in all, waiting ``backoff ** n``
     seconds after the n-th failure; the response is NULL when all of them failed. Calls of
     one task overlap in ``concurrency`` threads. Write the result to a table before using
     it twice: recomputing it would call the service again.
@@ -119,6 +123,7 @@ def complete_requests(
         def ask(request):
             for attempt in range(1, attempts + 1):
                 try:
+                    time.sleep(pause)
                     answer = call(request)
                     return attempt, answer if isinstance(answer, str) else json.dumps(answer)
                 except Exception:

@@ -33,20 +33,16 @@ def last_per_key(df: DataFrame, key: str = "id", order_by=None) -> DataFrame:
     return _one_per_key(df, key, [F.col(n).desc() for n in names]).drop(*extra)
 
 
-def fresh_rows(existing: DataFrame, new: DataFrame, key: str = "id", order_by=None, existing_above: int | None = None) -> DataFrame:
+def fresh_rows(existing: DataFrame, new: DataFrame, key: str = "id", order_by=None) -> DataFrame:
     """The rows of ``new`` that an insert would add: first of each key, key not stored yet.
 
     The existing side is first cut to the keys that ``new`` contains. With a small
     increment Spark broadcasts that key list after checking its size, and the large table
     is scanned for one column but never shuffled; otherwise it falls back to a shuffled
-    join on the unique key. ``existing_above`` states that ``new`` has no key at or below
-    that value (the watermark), which lets the scan of the stored table skip older files.
+    join on the unique key.
     """
     candidates = first_per_key(new, key, order_by)
-    stored = existing.select(key)
-    if existing_above is not None:
-        stored = stored.filter(F.col(key) > F.lit(existing_above))
-    clashes = stored.join(new.select(key), key, "left_semi")
+    clashes = existing.select(key).join(new.select(key), key, "left_semi")
     return candidates.join(clashes, key, "left_anti").select(*new.columns)
 
 
@@ -56,15 +52,20 @@ def insert_ignore(existing: DataFrame, new: DataFrame, key: str = "id", order_by
     return existing.unionByName(added.select(*existing.columns))
 
 
-def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None, existing_above: int | None = None) -> int:
+def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> int:
     """Append the fresh rows to the parquet table at ``path`` and return their number.
 
-    ``new`` should be a stored table, since it is read twice. Parquet has no unique index,
-    so there must be a single writer; running the same insert again adds nothing.
+    ``new`` should be a stored table, since it is read several times. The range of its keys
+    is looked up first and limits the scan of the stored table: keys mostly grow, so an
+    increment skips nearly all older files. Parquet has no unique index, so there must be a
+    single writer; running the same insert again adds nothing.
     """
-    existing = new.sparkSession.read.schema(new.schema).parquet(path)
+    low, high = new.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return 0
+    existing = new.sparkSession.read.schema(new.schema).parquet(path).filter(F.col(key).between(low, high))
     added = Observation()
-    counted = fresh_rows(existing, new, key, order_by, existing_above).observe(added, F.count(F.lit(1)).alias("n"))
+    counted = fresh_rows(existing, new, key, order_by).observe(added, F.count(F.lit(1)).alias("n"))
     counted.write.mode("append").parquet(path)
     return added.get["n"]
 

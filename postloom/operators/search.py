@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from postloom import hooks
 from postloom.functions.text import e5_prefix
 from postloom.operators.embedding import embed_column
+from postloom.session import materialise
 
 # Queries that every task may hold at once; larger sets are cut into blocks.
 BROADCAST_QUERIES = 2048
 BLOCK_POSTINGS = 20_000
+# Scores that a task holds at once (32 MB of doubles).
+SCORE_CELLS = 4_000_000
 
 
 def query_vector(queries: DataFrame, text_col: str = "text", encoder: hooks.EncoderFactory | None = None, dim: int = 64) -> DataFrame:
@@ -48,13 +51,17 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def _merge_batch(best: dict, query_ids: np.ndarray, query_matrix: np.ndarray, ids: np.ndarray, vectors, k: int, digits: int) -> None:
-    scores = np.round(_unit_rows(vectors) @ query_matrix.T, digits)
-    for column, query in enumerate(query_ids):
-        found_ids, found = _best(ids, scores[:, column], k)
-        if column in best:
-            found_ids, found = _best(np.concatenate([best[column][0], found_ids]), np.concatenate([best[column][1], found]), k)
-        best[column] = (found_ids, found)
+def _merge_batch(best: dict, query_matrix: np.ndarray, ids: np.ndarray, vectors: pd.Series, k: int, digits: int) -> None:
+    """Fold a batch of postings into the best ids and scores per query (by matrix row)."""
+    rows = max(1, SCORE_CELLS // len(query_matrix))
+    for begin in range(0, len(ids), rows):
+        part = ids[begin:begin + rows]
+        scores = np.round(_unit_rows(vectors.iloc[begin:begin + rows]) @ query_matrix.T, digits)
+        for column in range(len(query_matrix)):
+            found_ids, found = _best(part, scores[:, column], k)
+            if column in best:
+                found_ids, found = _best(np.concatenate([best[column][0], found_ids]), np.concatenate([best[column][1], found]), k)
+            best[column] = (found_ids, found)
 
 
 def _as_frame(best: dict, query_ids: np.ndarray) -> pd.DataFrame:
@@ -99,7 +106,9 @@ def nearest_postings(
     if len(head) <= broadcast_queries:
         candidates = _scan_candidates(table, head, k, digits)
     else:
-        candidates = _block_candidates(table, vectors, k, digits, broadcast_queries, block_postings)
+        stored = materialise(vectors, "queries")  # an encoder must not run once per use
+        blocks = ceil(postings.count() / block_postings)
+        candidates = _block_candidates(table, stored, k, digits, broadcast_queries, max(blocks, 1))
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
@@ -112,20 +121,19 @@ def _scan_candidates(table: DataFrame, rows: list, k: int, digits: int) -> DataF
         best: dict = {}
         for batch in batches:
             if len(batch):
-                _merge_batch(best, query_ids, shared.value, batch["id"].to_numpy(), batch["embedding"], k, digits)
+                _merge_batch(best, shared.value, batch["id"].to_numpy(), batch["embedding"], k, digits)
         yield _as_frame(best, query_ids)
 
     return table.mapInPandas(run, _CANDIDATES)
 
 
-def _block_candidates(table: DataFrame, vectors: DataFrame, k: int, digits: int, query_block: int, posting_block: int) -> DataFrame:
+def _block_candidates(table: DataFrame, vectors: DataFrame, k: int, digits: int, query_block: int, posting_blocks: int) -> DataFrame:
     """Every block of queries meets every block of postings in one bounded group.
 
-    Blocks come from a hash of the unique ids, so their sizes are even; a group holds about
-    ``query_block`` x ``posting_block`` scores and emits ``k`` rows per query.
+    Blocks come from a hash of the unique ids, so their sizes are even. A group holds one
+    block of each side and emits ``k`` rows per query.
     """
     query_blocks = ceil(vectors.count() / query_block)
-    posting_blocks = max(1, ceil(table.count() / posting_block))
     left = vectors.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).withColumn(
         "pb", F.explode(F.sequence(F.lit(0), F.lit(posting_blocks - 1)))
     )
@@ -137,7 +145,7 @@ def _block_candidates(table: DataFrame, vectors: DataFrame, k: int, digits: int,
         best: dict = {}
         query_ids = asked["query_id"].to_numpy()
         if len(asked) and len(offered):
-            _merge_batch(best, query_ids, _unit_rows(asked["embedding"]), offered["id"].to_numpy(), offered["embedding"], k, digits)
+            _merge_batch(best, _unit_rows(asked["embedding"]), offered["id"].to_numpy(), offered["embedding"], k, digits)
         return _as_frame(best, query_ids)
 
     return left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInPandas(meet, _CANDIDATES)

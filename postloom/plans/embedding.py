@@ -69,7 +69,7 @@ def embedding_run(
     embedded = staged.drop("n_tokens", "truncated")
     ensure_table(spark, table_path, embedded.schema)
     initial = _stored_rows(spark, table_path)
-    added = insert_into(table_path, embedded, "id", existing_above=mark)
+    added = insert_into(table_path, embedded)
     commit_watermark(spark, watermark_path, upper)
     return InsertReport(initial, added, initial + added, time.monotonic() - started, upper)
 

@@ -30,6 +30,7 @@ def summary_run(
     instructions: str | None = None,
     attempts: int = MAX_ATTEMPTS,
     backoff: float = 5.0,
+    pause: float = 0.5,
     concurrency: int = 8,
     report_path: str | None = None,
 ) -> SummaryRun:
@@ -43,7 +44,8 @@ def summary_run(
     model = model or REQUEST_KINDS[kind]["model"]
     asked = request_json(build_requests(texts.filter(needs_summary(F.col("text"))), kind, "text", instructions, model))
     answers = materialise(
-        hooks.complete_requests(asked, completion, attempts=attempts, backoff=backoff, concurrency=concurrency), "answers"
+        hooks.complete_requests(asked, completion, attempts=attempts, backoff=backoff, pause=pause, concurrency=concurrency),
+        "answers",
     )
     summaries = materialise(summarise_with_fallback(texts, answers, model), "summaries")
     total = cost_total(summaries).first()["total_cost"]

@@ -69,7 +69,7 @@ def flaky_service():
 
 def test_summary_run_retries_and_falls_back(spark):
     texts = spark.createDataFrame([(1, LONG), (2, "tiny"), (3, LONG + "broken")], "id long, text string")
-    run = summary_run(texts, flaky_service, backoff=0.0)
+    run = summary_run(texts, flaky_service, backoff=0.0, pause=0.0)
     rows = {r["id"]: r for r in run.summaries.collect()}
     assert {i: r["status"] for i, r in rows.items()} == {1: "ok", 2: "short", 3: "failed"}
     assert rows[3]["summary"] == LONG + "broken"
@@ -78,7 +78,7 @@ def test_summary_run_retries_and_falls_back(spark):
 
 def test_attempts_are_bounded(spark):
     requests = spark.createDataFrame([(1, '{"messages": [{}, {"content": "broken"}]}')], "id long, request string")
-    assert complete_requests(requests, flaky_service, attempts=4, backoff=0.0).first()["attempts"] == 4
+    assert complete_requests(requests, flaky_service, attempts=4, backoff=0.0, pause=0.0).first()["attempts"] == 4
 
 
 def test_match_results_order(spark):

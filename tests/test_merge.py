@@ -55,7 +55,7 @@ def test_insert_into_is_idempotent(spark):
     assert insert_into(path, new, order_by="seq") == 2
     assert insert_into(path, new, order_by="seq") == 0
     more = frame(spark, [(2, 9), (7, 9)], "m")
-    assert insert_into(path, more, order_by="seq", existing_above=1) == 1
+    assert insert_into(path, more, order_by="seq") == 1
     assert spark.read.parquet(path).count() == 3
 
 
