@@ -201,11 +201,6 @@ def _long_vectors(df, key):
 
 
 @query("mean_pool", _POOLED_SQL)
-def _(spark, sf):
-    return _long_vectors(mean_pool(_token_vectors(spark, sf), dim=64), "seq_id")
-
-
-@query("mean_pool_any_dim", _POOLED_SQL)
 def _(spark, sf):
     return _long_vectors(mean_pool(_token_vectors(spark, sf)), "seq_id")
 
@@ -282,7 +277,7 @@ def _(spark, sf):
     """Each label's mean vector as the query."""
     vectors = table(spark, sf, "embeddings")
     tokens = vectors.select(F.col("label").alias("query_id"), F.lit(1).alias("mask"), F.col("embedding").alias("vec"))
-    return nearest_postings(vectors.select(F.col("vec_id").alias("id"), "embedding"), mean_pool(tokens, "query_id", dim=64), k=10)
+    return nearest_postings(vectors.select(F.col("vec_id").alias("id"), "embedding"), mean_pool(tokens, "query_id"), k=10)
 
 
 NEAREST_DOCUMENTS_SQL = f"""

@@ -205,7 +205,8 @@ def _(spark, sf):
 @query("embedding_stream", _EMBEDDED_SQL)
 def _(spark, sf):
     schema = table(spark, sf, "documents").schema
-    raw = posting_stream(spark, sf, schema, glob="documents.parquet")
+    # As a pattern, because a stream takes a plain path for a directory only.
+    raw = posting_stream(spark, f"{sf}/documents.parque[t]", schema)
     stream = raw.select(
         F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("description"), F.col("lang").alias("location"),
         F.expr("timestampadd(MINUTE, cast(doc_id AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("timestamp"),

@@ -94,21 +94,21 @@ def _quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-def _tokens_sql() -> str:
+def _tokens_sql(norm: str = _NORMALISED_SQL) -> str:
     """``toks (id, lang, pos, token)`` in long form."""
     spaced = r"regexp_replace(regexp_replace(clean, '([:,])([^\d])', ' \1 \2', 'g'), '([:,])$', ' \1 ', 'g')"
     for left, right in (("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na")):
         spaced = rf"regexp_replace({spaced}, '\b({left})({right})\b', '\1 \2', 'g')"
     return f"""
-    norm AS ({_NORMALISED_SQL}),
+    norm AS ({norm}),
     lists AS (SELECT id, lang, list_filter(string_split_regex({spaced}, ' +'), lambda t: t <> '') AS ts FROM norm),
     toks AS (SELECT id, lang, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM lists)"""
 
 
 def _kept_sql() -> str:
     return f"""
-    kept AS (SELECT * FROM toks WHERE NOT (lang = 'en' AND token IN ({_quoted(_stop_list('en'))}))
-        AND NOT (lang = 'es' AND token IN ({_quoted(_stop_list('es'))})))"""
+    kept AS (SELECT * FROM toks WHERE NOT (coalesce(lang, '') = 'en' AND token IN ({_quoted(_stop_list('en'))}))
+        AND NOT (coalesce(lang, '') = 'es' AND token IN ({_quoted(_stop_list('es'))})))"""
 
 
 def _joined(relation: str, column: str, output: str) -> str:
@@ -212,3 +212,12 @@ def _(spark, sf):
 @query("normalise_text", lambda: f"WITH {_tokens_sql()}, {_kept_sql()}, {_stems_sql()} {_joined('stemmed', 'stem', 'normalised')}")
 def _(spark, sf):
     return L.normalise_text(_documents(spark, sf), "text", "lang").select("id", "normalised")
+
+
+def _detected_norm_sql() -> str:
+    return f"SELECT n.id, d.detected AS lang, n.clean FROM ({_NORMALISED_SQL}) n JOIN ({_detected_sql()}) d ON d.id = n.id"
+
+
+@query("normalise_detected", lambda: f"WITH {_tokens_sql(_detected_norm_sql())}, {_kept_sql()}, {_stems_sql()} {_joined('stemmed', 'stem', 'normalised')}")
+def _(spark, sf):
+    return L.normalise_text(_documents(spark, sf), "text").select("id", "normalised")

@@ -34,6 +34,16 @@ StemmerFactory = Callable[[], Callable[[str], str]]
 REMEMBERED_WORDS = 500_000
 
 
+def tiktoken_tokenizer(model: str = "gpt-3.5-turbo") -> TokenizerFactory:
+    """The byte-pair tokenizer of a model; the package fetches its vocabulary once per host."""
+    def factory() -> Tokenizer:
+        import tiktoken
+
+        return tiktoken.encoding_for_model(model)
+
+    return factory
+
+
 def token_count_udf(factory: TokenizerFactory):
     @F.pandas_udf(T.IntegerType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

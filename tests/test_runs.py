@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from postloom.__main__ import main
 from postloom.plans import embedding as runs
 from postloom.schemas import POSTINGS, RUN_REPORT
 from postloom.session import fresh_path, materialise, shared_dir, spread_small
@@ -114,3 +115,12 @@ def test_spreading_depends_on_size(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert spread_small(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread_small(docs, max_bytes=10) is docs
+
+
+def test_command_line(spark, capsys):
+    source, table, mark, flat = (fresh_path(spark, n) for n in ("source", "table", "mark", "flat"))
+    postings(spark, 3, 4).write.parquet(source)
+    main(["embed", "--postings", source, "--output", table, "--watermark", mark, "--dim", "4", "--tokenizer", "tests.test_texts:byte_tokenizer"])
+    assert "jobs_added=2" in capsys.readouterr().out and read_watermark(spark, mark) == 4
+    main(["api-embed", "--postings", source, "--output", flat, "--encoder", "tests.test_vectors:length_encoder"])
+    assert spark.read.parquet(flat).count() == 2

@@ -2,6 +2,7 @@ import tiktoken
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from postloom import hooks
 from postloom.functions.text import clean_text, e5_prefix, posting_text, regex_normalise, section_format, word_count
 from postloom.functions.tokens import token_count, truncate_tokens
 from postloom.operators.filters import length_gate
@@ -70,3 +71,9 @@ def test_tokenizer_hook(spark):
     assert column(spark, ["abcd", "ab", None], truncate_tokens("v", 3, tokenizer=byte_tokenizer)) == ["abc", "ab", None]
     rows = budget_tokens(spark.createDataFrame([("abcd",), ("ab",)], "text string"), 3, tokenizer=byte_tokenizer).collect()
     assert [(r["text"], r["n_tokens"], r["truncated"]) for r in rows] == [("abc", 4, True), ("ab", 2, False)]
+
+
+def test_tiktoken_factory_asks_for_the_model(monkeypatch):
+    asked = []
+    monkeypatch.setattr(tiktoken, "encoding_for_model", lambda model: asked.append(model) or byte_tokenizer())
+    assert hooks.tiktoken_tokenizer("some-model")().decode([104, 105]) == "hi" and asked == ["some-model"]

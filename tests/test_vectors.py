@@ -49,9 +49,8 @@ def test_assembled_text_has_no_prefix(spark):
 def test_mean_pool_ignores_masked_and_marks_empty(spark):
     tokens = [(1, 1, [1.0, 2.0]), (1, 1, [3.0, 6.0]), (1, 0, [9.0, 9.0]), (2, 0, [5.0, 5.0])]
     df = spark.createDataFrame(tokens, "seq_id int, mask int, vec array<float>")
-    for dim in (None, 2):
-        pooled = {r["seq_id"]: r["embedding"] for r in mean_pool(df, dim=dim).collect()}
-        assert pooled == {1: [2.0, 4.0], 2: [None, None]}
+    pooled = {r["seq_id"]: r["embedding"] for r in mean_pool(df).collect()}
+    assert pooled == {1: [2.0, 4.0], 2: [None, None]}
 
 
 def test_dimension_check(spark):
