@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, postings, query, table, truncated_sql
 from postloom.operators.embedding import embed_column
-from postloom.operators.merge import append_keep_last, insert_ignore, insert_report
+from postloom.operators.merge import append_keep_last, insert_ignore, insert_report, update_table
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
 from postloom.session import fresh_path, materialise
@@ -136,6 +136,15 @@ def _(spark, sf):
     return append_keep_last(*_documents_then_turns(spark, sf), order_by="seq", existing_unique=True)
 
 
+@query("update_table", _KEPT_SQL)
+def _(spark, sf):
+    old, new = _documents_then_turns(spark, sf)
+    path = fresh_path(spark, "kept")
+    parquet_sink(old, path)
+    update_table(path, new, order_by="seq")
+    return parquet_scan(spark, path)
+
+
 def _collection(spark, sf):
     path = fresh_path(spark, "collection")
     rows = embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), F.col("text").alias("document")), "document")

@@ -54,8 +54,9 @@ def detect_language(col, languages=tuple(STOP_LISTS)) -> Column:
             for position, code in enumerate(languages)
         ])
 
-    best = F.array_max(F.transform(F.array(words), lambda t: F.array_max(votes(t))))
-    return F.when(best["n"] > 0, best["lang"])
+    # Wrapping a value in an array names it, so that it is computed once.
+    best = F.transform(F.array(words), lambda tokens: F.array_max(votes(tokens)))
+    return F.transform(best, lambda b: F.when(b["n"] > 0, b["lang"]))[0]
 
 
 def tokenize(col) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
+from postloom.session import materialise
+
 
 def _one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     window = Window.partitionBy(key).orderBy(*order)
@@ -55,8 +57,12 @@ def insert_ignore(existing: DataFrame, new: DataFrame, key: str = "id", order_by
 def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> int:
     """Append the fresh rows to the parquet table at ``path`` and return their number.
 
-    ``new`` should be a stored table, since it is read several times. The range of its keys
-    is looked up first and limits the scan of the stored table: keys mostly grow, so an
+    ``new`` should be a stored table, since it is read several times. Only keys are shuffled:
+    the keys that are stored already and those that repeat within ``new`` are written to two
+    small tables first, whose true sizes then let the optimizer broadcast them. The wide
+    rows pass from scan to file; only rows of repeated keys are ranked.
+
+    The key range of ``new`` limits the scan of the stored table: keys mostly grow, so an
     increment skips nearly all older files. Parquet has no unique index, so there must be a
     single writer; running the same insert again adds nothing.
     """
@@ -64,9 +70,17 @@ def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> in
     if low is None:
         return 0
     existing = new.sparkSession.read.schema(new.schema).parquet(path).filter(F.col(key).between(low, high))
+    clashes = materialise(existing.select(key).join(new.select(key), key, "left_semi"), "clashing-keys")
+    counts = new.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialise(counts.filter("_n > 1").select(key), "repeated-keys")
+
+    rows, names, _ = _seq(new, order_by)
+    fresh = rows.join(clashes, key, "left_anti")
+    if not repeated.isEmpty():
+        once = fresh.join(repeated, key, "left_anti")
+        fresh = once.unionByName(first_per_key(fresh.join(repeated, key, "left_semi"), key, names))
     added = Observation()
-    counted = fresh_rows(existing, new, key, order_by).observe(added, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("append").parquet(path)
+    fresh.select(*new.columns).observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
     return added.get["n"]
 
 
@@ -97,3 +111,14 @@ def append_keep_last(existing: DataFrame, new: DataFrame, key: str = "id", order
     stacked = old.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
     order = [F.col("_src").desc()] + [F.col(n).desc() for n in names]
     return _one_per_key(stacked, key, order).select(*existing.columns)
+
+
+def update_table(path: str, new: DataFrame, key: str = "id", order_by=None) -> None:
+    """Keep the last row per key in the parquet table at ``path``, in place.
+
+    Spark cannot overwrite what it is reading, so the result is written to the shared
+    folder first; that copy remains if the job dies while the table is replaced.
+    """
+    existing = new.sparkSession.read.schema(new.schema).parquet(path)
+    staged = materialise(append_keep_last(existing, new, key, order_by), "updated")
+    staged.write.mode("overwrite").parquet(path)

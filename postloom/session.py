@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Applied to a session only where the caller did not set them already.
+# Applied to a new session where the application did not set them itself.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,9 +23,14 @@ def build_session(app_name: str = "postloom", master: str | None = None, conf: d
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
