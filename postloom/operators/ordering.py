@@ -16,21 +16,23 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank", partitions: int
     Rows are range-partitioned and sorted inside each partition; a row's rank is its
     position there plus the rows of all earlier partitions. The sorted rows are written
     once, because the range bounds are sampled and another evaluation could cut them
-    elsewhere. Input position breaks ties, so equal keys spread over partitions too.
+    elsewhere. Input position breaks ties, so equal keys spread over partitions too. Sampling
+    reads the input twice; pass a stored table rather than an expensive plan. Without
+    ``partitions`` adaptive execution joins small neighbours.
     """
     spark = df.sparkSession
     names = [order_by] if isinstance(order_by, str) else list(order_by)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = [partitions] if partitions else []
     ordered = (
         df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(n, *names, "_tie")
+        .repartitionByRange(*bounds, *names, "_tie")
         .sortWithinPartitions(*names, "_tie")
         .drop("_tie")
         .withColumn("_pos", F.monotonically_increasing_id())
     )
     stored = materialise(ordered, "ranked")
     part = F.shiftright("_pos", _POSITION_BITS)
-    sizes = stored.groupBy(part.cast("int").alias("_part")).count().orderBy("_part").collect()  # at most n rows
+    sizes = stored.groupBy(part.cast("int").alias("_part")).count().orderBy("_part").collect()  # one row per partition
     offsets, before = [], 0
     for row in sizes:
         offsets.append((row["_part"], before))
@@ -45,7 +47,10 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank", partitions: int
 
 
 def chunk_rows(df: DataFrame, order_by, n: int, partitions: int | None = None) -> DataFrame:
-    """Add ``chunk`` (0, 1, ...) and ``idx`` (position in the chunk) for chunks of ``n`` rows."""
+    """Add ``chunk`` (0, 1, ...) and ``idx`` (position in the chunk) for chunks of ``n`` rows.
+
+    Needed where the chunk number itself matters; encoder hooks cut their own chunks.
+    """
     if n < 1:
         raise ValueError("the chunk size must be positive")
     return (

@@ -8,7 +8,8 @@ from postloom.plans import embedding as runs
 from postloom.schemas import POSTINGS, RUN_REPORT
 from postloom.session import fresh_path, materialise, shared_dir, spread_small
 from postloom.sources.collection import collection_count, collection_peek
-from postloom.sources.postings import incremental_scan, jdbc_options, watermark_advance
+from postloom.sources.jdbc import jdbc_options, jdbc_write_options, vector_text
+from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import csv_scan, csv_sink, run_report_scan
 from postloom.sources.watermark import commit_watermark, read_watermark, watermark_table
 from postloom.streaming.increments import embedding_stream, posting_stream
@@ -100,12 +101,19 @@ def test_stream_takes_late_low_ids(spark):
 
 
 def test_jdbc_options_cut_the_new_range():
-    options = jdbc_options("jdbc:postgresql://host/db", "main_jobs", 100, 900, 8, user="u")
+    options = jdbc_options("jdbc:postgresql://host/db", "postings", 100, 900, 8, user="u")
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"], options["user"]) == ("101", "900", "8", "u")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", 0, 1, 0)
 
 
+def test_jdbc_writes_vectors_as_text(spark):
+    df = spark.createDataFrame([([1.0, -2.5],), ([],)], "embedding array<float>")
+    assert [r[0] for r in df.select(vector_text("embedding")).collect()] == ["[1.0,-2.5]", "[]"]
+    options = jdbc_write_options("jdbc:x", "t", 500, user="u")
+    assert (options["batchsize"], options["stringtype"], options["user"]) == ("500", "unspecified", "u")
+
+
 def test_shared_folder(spark):
     assert fresh_path(spark, "x").startswith(shared_dir(spark)) and fresh_path(spark, "x") != fresh_path(spark, "x")
     assert materialise(spark.range(3), "three").count() == 3
