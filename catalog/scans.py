@@ -9,7 +9,7 @@ from postloom.operators.embedding import embed_column
 from postloom.operators.merge import append_keep_last, insert_ignore, insert_report, update_table
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
-from postloom.session import fresh_path, materialise
+from postloom.session import fresh_path, materialise, small_input_tasks
 from postloom.sources.collection import collection_add, collection_count, collection_get, collection_peek
 from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import append_tables, csv_scan, csv_sink, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan
@@ -213,15 +213,16 @@ def _(spark, sf):
 
 @query("embedding_stream", _EMBEDDED_SQL)
 def _(spark, sf):
-    schema = table(spark, sf, "documents").schema
+    documents = table(spark, sf, "documents")
     # As a pattern, because a stream takes a plain path for a directory only.
-    raw = posting_stream(spark, f"{sf}/documents.parque[t]", schema)
+    raw = posting_stream(spark, f"{sf}/documents.parque[t]", documents.schema)
     stream = raw.select(
         F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("description"), F.col("lang").alias("location"),
         F.expr("timestampadd(MINUTE, cast(doc_id AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("timestamp"),
     )
     stored = fresh_path(spark, "stream-table")
-    embedding_stream(stream, stored, fresh_path(spark, "stream-checkpoint")).awaitTermination()
+    checkpoint = fresh_path(spark, "stream-checkpoint")
+    embedding_stream(stream, stored, checkpoint, partitions=small_input_tasks(documents)).awaitTermination()
     return spark.read.parquet(stored).select("id", "job_info", "timestamp", F.size("embedding").alias("dim"))
 
 

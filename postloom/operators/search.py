@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from postloom import hooks
@@ -32,11 +32,15 @@ def query_vector_of(spark: SparkSession, text: str, encoder: hooks.EncoderFactor
     return query_vector(spark.createDataFrame([(0, text)], "query_id long, text string"), "text", encoder, dim)
 
 
-def _unit_rows(vectors) -> np.ndarray:
-    matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+def _unit_rows(vectors: pa.ListArray) -> np.ndarray:
+    """The vectors of a column as rows of unit length; no Python object per value."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError("vectors of one column must have the same dimension")
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lengths), -1)
+    norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
     with np.errstate(invalid="ignore", divide="ignore"):
-        return matrix / lengths
+        return matrix / norms
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,12 +55,12 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def _merge_batch(best: dict, query_matrix: np.ndarray, ids: np.ndarray, vectors: pd.Series, k: int, digits: int) -> None:
+def _merge_batch(best: dict, query_matrix: np.ndarray, ids: np.ndarray, vectors: pa.ListArray, k: int, digits: int) -> None:
     """Fold a batch of postings into the best ids and scores per query (by matrix row)."""
     rows = max(1, SCORE_CELLS // len(query_matrix))
     for begin in range(0, len(ids), rows):
         part = ids[begin:begin + rows]
-        scores = np.round(_unit_rows(vectors.iloc[begin:begin + rows]) @ query_matrix.T, digits)
+        scores = np.round(_unit_rows(vectors.slice(begin, rows)) @ query_matrix.T, digits)
         for column in range(len(query_matrix)):
             found_ids, found = _best(part, scores[:, column], k)
             if column in best:
@@ -64,15 +68,11 @@ def _merge_batch(best: dict, query_matrix: np.ndarray, ids: np.ndarray, vectors:
             best[column] = (found_ids, found)
 
 
-def _as_frame(best: dict, query_ids: np.ndarray) -> pd.DataFrame:
-    columns = [c for c in best if len(best[c][0])]
-    if not columns:
-        return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-    return pd.DataFrame({
-        "query_id": np.concatenate([np.repeat(query_ids[c], len(best[c][0])) for c in columns]),
-        "id": np.concatenate([best[c][0] for c in columns]),
-        "score": np.concatenate([best[c][1] for c in columns]),
-    })
+def _candidates(best: dict, query_ids: np.ndarray) -> pa.Table:
+    parts = [(np.repeat(query_ids[c], len(ids)), ids, scores) for c, (ids, scores) in best.items()]
+    columns = [np.concatenate(column) for column in zip(*parts)] if parts else [[], [], []]
+    types = (pa.int64(), pa.int64(), pa.float64())
+    return pa.table({f.name: pa.array(c, t) for f, c, t in zip(_CANDIDATES.fields, columns, types)})
 
 
 _CANDIDATES = T.StructType([
@@ -115,16 +115,16 @@ def nearest_postings(
 
 def _scan_candidates(table: DataFrame, rows: list, k: int, digits: int) -> DataFrame:
     query_ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    shared = table.sparkSession.sparkContext.broadcast(_unit_rows([r["embedding"] for r in rows]))
+    matrix = _unit_rows(pa.array([r["embedding"] for r in rows], pa.list_(pa.float64())))
+    shared = table.sparkSession.sparkContext.broadcast(matrix)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict = {}
         for batch in batches:
-            if len(batch):
-                _merge_batch(best, shared.value, batch["id"].to_numpy(), batch["embedding"], k, digits)
-        yield _as_frame(best, query_ids)
+            _merge_batch(best, shared.value, batch.column("id").to_numpy(), batch.column("embedding"), k, digits)
+        yield from _candidates(best, query_ids).to_batches()
 
-    return table.mapInPandas(run, _CANDIDATES)
+    return table.mapInArrow(run, _CANDIDATES)
 
 
 def _block_candidates(table: DataFrame, vectors: DataFrame, k: int, digits: int, query_block: int, posting_blocks: int) -> DataFrame:
@@ -141,11 +141,12 @@ def _block_candidates(table: DataFrame, vectors: DataFrame, k: int, digits: int,
         "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))
     )
 
-    def meet(asked: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
+    def meet(asked: pa.Table, offered: pa.Table) -> pa.Table:
         best: dict = {}
-        query_ids = asked["query_id"].to_numpy()
+        query_ids = asked.column("query_id").to_numpy()
         if len(asked) and len(offered):
-            _merge_batch(best, _unit_rows(asked["embedding"]), offered["id"].to_numpy(), offered["embedding"], k, digits)
-        return _as_frame(best, query_ids)
+            queries, vectors = (side.column("embedding").combine_chunks() for side in (asked, offered))
+            _merge_batch(best, _unit_rows(queries), offered.column("id").to_numpy(), vectors, k, digits)
+        return _candidates(best, query_ids)
 
-    return left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInPandas(meet, _CANDIDATES)
+    return left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInArrow(meet, _CANDIDATES)

@@ -72,12 +72,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
-    """Give a small input enough tasks for work that is heavy per row.
+def small_input_tasks(df: DataFrame, max_bytes: int = 1 << 30) -> int | None:
+    """How many tasks to deal a small input out to; None for one above ``max_bytes``.
 
-    A small file tends to be a single row group, which one task must read alone. Below
-    ``max_bytes`` (the optimizer's estimate) its rows are dealt out over all cores; a larger
-    input is split by its files already and is left where it is.
+    A small file tends to be a single row group, which one task must read alone. A larger
+    input is split by its files already. The size is the optimizer's estimate.
     """
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate <= max_bytes else df
+    return df.sparkSession.sparkContext.defaultParallelism if estimate <= max_bytes else None
+
+
+def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+    """Give a small input enough tasks for work that is heavy per row."""
+    tasks = small_input_tasks(df, max_bytes)
+    return df.repartition(tasks) if tasks else df
