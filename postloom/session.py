@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import importlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,7 @@ DEFAULT_CONF = {
 }
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[tuple[str, ...]] = set()
 
 
 def build_session(app_name: str = "postloom", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -86,3 +90,23 @@ def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
     """Give a small input enough tasks for work that is heavy per row."""
     tasks = small_input_tasks(df, max_bytes)
     return df.repartition(tasks) if tasks else df
+
+
+def ship_packages(spark: SparkSession, *names: str) -> None:
+    """Send the source of packages to the executors, whose hooks import them.
+
+    For sessions whose executors do not have the packages installed and that were started
+    without ``--py-files``. Repeated calls for one application do nothing.
+    """
+    context = spark.sparkContext
+    key = (context.applicationId, *names)
+    if key in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="postloom-source-")) / "packages.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for name in names:
+            root = Path(importlib.import_module(name).__file__).parent
+            for source in sorted(root.rglob("*.py")):
+                target.write(source, Path(name) / source.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(key)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from postloom.schemas import RUN_REPORT
@@ -73,13 +72,9 @@ def run_report_scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    """Asks the file system; a failed read would show up as an error in the logs."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:

@@ -28,7 +28,8 @@ def commit_watermark(spark: SparkSession, path: str, max_id: int) -> None:
     """Append the mark as the newest version; call it only after the sink succeeded."""
     latest = _latest(spark, path)
     version = 0 if latest is None or latest["version"] is None else latest["version"] + 1
-    spark.createDataFrame([(version, int(max_id))], WATERMARK).coalesce(1).write.mode("append").parquet(path)
+    row = spark.range(0, 1, 1, 1).select(F.lit(version).cast("long").alias("version"), F.lit(max_id).cast("long").alias("max_id"))
+    row.write.mode("append").parquet(path)
 
 
 def watermark_table(spark: SparkSession, path: str) -> DataFrame:
