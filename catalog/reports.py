@@ -33,29 +33,27 @@ def _(spark, sf):
 
 
 def _dictionary(spark, sf):
-    """Regions as continents and nations as countries; each supplier is a subdivision."""
-    nation, region, supplier = (table(spark, sf, n) for n in ("nation", "region", "supplier"))
-    parts = supplier.groupBy("s_nationkey").agg(F.collect_list(F.struct(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("subdivisions_code"),
-        F.col("s_name").alias("subdivisions_name"))).alias("subdivisions"))
-    countries = nation.join(parts, F.col("n_nationkey") == F.col("s_nationkey"), "left").select(
-        "n_regionkey",
-        F.struct(
-            F.col("n_name").alias("country_name"),
-            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("country_code"),
-            F.concat(F.lit("Capital "), F.col("n_nationkey").cast("string")).alias("capital_english"),
-            F.coalesce("subdivisions", F.array().cast("array<struct<subdivisions_code:string,subdivisions_name:string>>")).alias("subdivisions"),
-        ).alias("country"))
+    """Regions as continents and nations as countries: both tables have a fixed size."""
+    nation, region = (table(spark, sf, n) for n in ("nation", "region"))
+
+    def named(prefix):
+        return F.concat(F.lit(prefix), F.col("n_nationkey").cast("string"))
+
+    countries = nation.select("n_regionkey", F.struct(
+        F.col("n_name").alias("country_name"), named("N").alias("country_code"), named("Capital ").alias("capital_english"),
+        F.array(*[
+            F.struct(named(f"D{i}-").alias("subdivisions_code"), named(f"District {i} of ").alias("subdivisions_name")) for i in (1, 2)
+        ]).alias("subdivisions"),
+    ).alias("country"))
     continents = countries.join(region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.collect_list("country").alias("Countries"))
     return continents.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("r_name", F.struct("Countries"))))).alias("dictionary"))
 
 
 _VALUES_SQL = """
-    SELECT n_name AS country_name, 'name' AS kind, n_name AS value FROM nation WHERE n_name = 'NATION_1'
-    UNION ALL SELECT n_name, 'code', 'N' || n_nationkey FROM nation WHERE n_name = 'NATION_1'
-    UNION ALL SELECT n_name, 'capital', 'Capital ' || n_nationkey FROM nation WHERE n_name = 'NATION_1'
-    UNION ALL SELECT n_name, 'subdivision_code', 'S' || s_suppkey FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE n_name = 'NATION_1'
-    UNION ALL SELECT n_name, 'subdivision_name', s_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE n_name = 'NATION_1'"""
+    SELECT n_name AS country_name, unnest(['name', 'code', 'capital', 'subdivision_code', 'subdivision_name', 'subdivision_code', 'subdivision_name']) AS kind,
+        unnest([n_name, 'N' || n_nationkey, 'Capital ' || n_nationkey, 'D1-' || n_nationkey, 'District 1 of ' || n_nationkey,
+            'D2-' || n_nationkey, 'District 2 of ' || n_nationkey]) AS value
+    FROM nation WHERE n_name = 'NATION_1'"""
 
 
 @query("country_values", _VALUES_SQL)

@@ -14,8 +14,9 @@ from postloom.functions.text import e5_prefix
 from postloom.operators.embedding import embed_column
 from postloom.session import materialise
 
-# Queries that every task may hold at once; larger sets are cut into blocks.
-BROADCAST_QUERIES = 2048
+# Queries that every task may hold at once (50 MB at 768 dimensions); larger sets are cut
+# into blocks.
+BROADCAST_QUERIES = 8192
 BLOCK_POSTINGS = 20_000
 # Scores that a task holds at once (32 MB of doubles).
 SCORE_CELLS = 4_000_000
@@ -100,8 +101,8 @@ def nearest_postings(
     """
     vectors = queries.select(F.col("query_id").cast("long").alias("query_id"), "embedding").filter("embedding IS NOT NULL")
     table = postings.select(F.col("id").cast("long").alias("id"), "embedding").filter("embedding IS NOT NULL")
-    head = vectors.limit(broadcast_queries + 1).collect()  # bounded by the limit
-    if not head:
+    head = vectors.limit(broadcast_queries + 1).toArrow()  # bounded by the limit
+    if not len(head):
         return queries.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
     if len(head) <= broadcast_queries:
         candidates = _scan_candidates(table, head, k, digits)
@@ -113,10 +114,9 @@ def nearest_postings(
     return candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
-def _scan_candidates(table: DataFrame, rows: list, k: int, digits: int) -> DataFrame:
-    query_ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    matrix = _unit_rows(pa.array([r["embedding"] for r in rows], pa.list_(pa.float64())))
-    shared = table.sparkSession.sparkContext.broadcast(matrix)
+def _scan_candidates(table: DataFrame, queries: pa.Table, k: int, digits: int) -> DataFrame:
+    query_ids = queries.column("query_id").to_numpy()
+    shared = table.sparkSession.sparkContext.broadcast(_unit_rows(queries.column("embedding").combine_chunks()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict = {}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from postloom.__main__ import main
 from postloom.plans import embedding as runs
 from postloom.schemas import POSTINGS, RUN_REPORT
-from postloom.session import fresh_path, materialise, shared_dir, spread_small
+from postloom.session import fresh_path, materialise, shared_dir, small_input_tasks, spread_small
 from postloom.sources.collection import collection_count, collection_peek
 from postloom.sources.jdbc import jdbc_options, jdbc_write_options, vector_text
 from postloom.sources.postings import incremental_scan, watermark_advance
@@ -121,7 +121,8 @@ def test_shared_folder(spark):
 
 def test_spreading_depends_on_size(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert spread_small(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert small_input_tasks(docs, bytes_per_task=1) == spark.sparkContext.defaultParallelism
+    assert small_input_tasks(docs, max_bytes=10) is None
     assert spread_small(docs, max_bytes=10) is docs
 
 
