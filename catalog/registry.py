@@ -66,17 +66,18 @@ def truncated_sql(text: str, k: int) -> str:
     )
 
 
-def hashed_sql(source: str, key: str, text: str, dim: int = 64) -> str:
+def hashed_sql(source: str, key: str, text: str, dim: int = 64, suffix: str = "") -> str:
     """CTEs that give ``hashed (key, pos, value)``, the hashing encoder in long form."""
+    x = suffix
     return rf"""
-    src AS ({source}),
-    words AS (SELECT {key}, unnest(regexp_extract_all({text}, '\S+')) AS word FROM src),
-    buckets AS (
+    src{x} AS ({source}),
+    words{x} AS (SELECT {key}, unnest(regexp_extract_all({text}, '\S+')) AS word FROM src{x}),
+    buckets{x} AS (
         SELECT {key}, (concat('0x', substr(md5(word), 1, 8))::UBIGINT % {dim})::INTEGER AS pos, count(*)::DOUBLE AS c
-        FROM words GROUP BY ALL),
-    lengths AS (SELECT {key}, sqrt(sum(c * c)) AS length FROM buckets GROUP BY ALL),
-    slots AS (SELECT s.{key}, p.pos FROM src s, (SELECT unnest(range({dim}))::INTEGER AS pos) p),
-    hashed AS (
-        SELECT slots.{key}, slots.pos, coalesce(b.c / l.length, 0.0)::FLOAT::DOUBLE AS value
-        FROM slots LEFT JOIN buckets b ON b.{key} = slots.{key} AND b.pos = slots.pos
-        LEFT JOIN lengths l ON l.{key} = slots.{key})"""
+        FROM words{x} GROUP BY ALL),
+    lengths{x} AS (SELECT {key}, sqrt(sum(c * c)) AS length FROM buckets{x} GROUP BY ALL),
+    slots{x} AS (SELECT s.{key}, p.pos FROM src{x} s, (SELECT unnest(range({dim}))::INTEGER AS pos) p),
+    hashed{x} AS (
+        SELECT s.{key}, s.pos, coalesce(b.c / l.length, 0.0)::FLOAT::DOUBLE AS value
+        FROM slots{x} s LEFT JOIN buckets{x} b ON b.{key} = s.{key} AND b.pos = s.pos
+        LEFT JOIN lengths{x} l ON l.{key} = s.{key})"""

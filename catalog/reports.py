@@ -281,7 +281,7 @@ def _(spark, sf):
 NEAREST_DOCUMENTS_SQL = f"""
     {hashed_sql("SELECT doc_id, text FROM documents", "doc_id", "text")},
     documents_v AS (SELECT doc_id AS id, list(value ORDER BY pos) AS v FROM hashed GROUP BY doc_id),
-    {hashed_sql("SELECT item_id, 'query: ' || text AS text FROM benchmark", "item_id", "text").replace("src", "src2").replace("words", "words2").replace("buckets", "buckets2").replace("lengths", "lengths2").replace("slots", "slots2").replace("hashed", "hashed2")},
+    {hashed_sql("SELECT item_id, 'query: ' || text AS text FROM benchmark", "item_id", "text", suffix="2")},
     items_v AS (SELECT item_id AS query_id, list(value ORDER BY pos) AS q FROM hashed2 GROUP BY item_id),
     scored AS (
         SELECT query_id, id, round(list_cosine_similarity(v, q), 6)::DOUBLE AS score FROM documents_v, items_v

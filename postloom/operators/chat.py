@@ -102,7 +102,16 @@ def parse_responses(df: DataFrame, model="gpt-3.5-turbo", response_col: str = "r
     return parsed.withColumn("cost", F.when(F.col("prompt_tokens").isNotNull(), cost))
 
 
-def summarise_with_fallback(texts: DataFrame, responses: DataFrame, model="gpt-3.5-turbo", key: str = "id", text_col: str = "text", attempt_col: str | None = None, max_attempts: int = MAX_ATTEMPTS, min_words: int = MIN_WORDS) -> DataFrame:
+def summarise_with_fallback(
+    texts: DataFrame,
+    responses: DataFrame,
+    model="gpt-3.5-turbo",
+    key: str = "id",
+    text_col: str = "text",
+    attempt_col: str | None = None,
+    max_attempts: int = MAX_ATTEMPTS,
+    min_words: int = MIN_WORDS,
+) -> DataFrame:
     """``(key, original, summary, cost, status)`` for every text.
 
     Texts of at most ``min_words`` words pass through as ``short``. The others take the

@@ -25,6 +25,11 @@ def _seq(df: DataFrame, order_by) -> tuple[DataFrame, list[str], list[str]]:
     return df.withColumn("_seq", F.monotonically_increasing_id()), ["_seq"], ["_seq"]
 
 
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    """Each key once: copies are merged in the tasks, so none is heavy in a join."""
+    return df.select(key).distinct()
+
+
 def first_per_key(df: DataFrame, key: str = "id", order_by=None) -> DataFrame:
     df, names, extra = _seq(df, order_by)
     return _one_per_key(df, key, [F.col(n).asc() for n in names]).drop(*extra)
@@ -44,7 +49,7 @@ def fresh_rows(existing: DataFrame, new: DataFrame, key: str = "id", order_by=No
     join on the unique key.
     """
     candidates = first_per_key(new, key, order_by)
-    clashes = existing.select(key).join(new.select(key), key, "left_semi")
+    clashes = existing.select(key).join(_keys(new, key), key, "left_semi")
     return candidates.join(clashes, key, "left_anti").select(*new.columns)
 
 
@@ -58,9 +63,9 @@ def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> in
     """Append the fresh rows to the parquet table at ``path`` and return their number.
 
     ``new`` should be a stored table, since it is read several times. Only keys are shuffled:
-    the keys that are stored already and those that repeat within ``new`` are written to two
-    small tables first, whose true sizes then let the optimizer broadcast them. The wide
-    rows pass from scan to file; only rows of repeated keys are ranked.
+    the keys of ``new`` with their counts, and those of them that are stored already, are
+    written first. Their true sizes then decide between broadcast and shuffled joins. The
+    wide rows usually pass from scan to file; only rows of repeated keys are ranked.
 
     The key range of ``new`` limits the scan of the stored table: keys mostly grow, so an
     increment skips nearly all older files. Parquet has no unique index, so there must be a
@@ -70,9 +75,9 @@ def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> in
     if low is None:
         return 0
     existing = new.sparkSession.read.schema(new.schema).parquet(path).filter(F.col(key).between(low, high))
-    clashes = materialise(existing.select(key).join(new.select(key), key, "left_semi"), "clashing-keys")
-    counts = new.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialise(counts.filter("_n > 1").select(key), "repeated-keys")
+    keys = materialise(new.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "new-keys")
+    clashes = materialise(existing.select(key).join(keys, key, "left_semi"), "clashing-keys")
+    repeated = materialise(keys.filter("_n > 1").select(key), "repeated-keys")
 
     rows, names, _ = _seq(new, order_by)
     fresh = rows.join(clashes, key, "left_anti")
@@ -104,7 +109,7 @@ def append_keep_last(existing: DataFrame, new: DataFrame, key: str = "id", order
     Write the result to another path than the one being read.
     """
     if existing_unique:
-        kept = existing.join(new.select(key), key, "left_anti").select(*existing.columns)
+        kept = existing.join(_keys(new, key), key, "left_anti").select(*existing.columns)
         return kept.unionByName(last_per_key(new, key, order_by).select(*existing.columns))
     new, names, extra = _seq(new, order_by)
     old, old_names, old_extra = _seq(existing, order_by)

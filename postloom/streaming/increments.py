@@ -46,7 +46,16 @@ def insert_stream(rows: DataFrame, table_path: str, checkpoint: str, key: str =
     )
 
 
-def embedding_stream(postings: DataFrame, table_path: str, checkpoint: str, max_tokens: int = MAX_TOKENS, kind: str = "query", dim: int = 64, encoder: hooks.EncoderFactory | None = None, partitions: int | None = None) -> StreamingQuery:
+def embedding_stream(
+    postings: DataFrame,
+    table_path: str,
+    checkpoint: str,
+    max_tokens: int = MAX_TOKENS,
+    kind: str = "query",
+    dim: int = 64,
+    encoder: hooks.EncoderFactory | None = None,
+    partitions: int | None = None,
+) -> StreamingQuery:
     """Format, budget and embed a posting stream and insert it into the embedding table.
 
     ``partitions`` deals out the rows of each micro-batch, for sources with few row groups.
