@@ -17,7 +17,10 @@ from postloom import hooks
 from postloom.functions.text import regex_normalise
 
 # Language code -> name of the stop-word list that ships with Spark. The order decides ties.
-STOP_LISTS = {"en": "english", "es": "spanish", "fr": "french", "de": "german"}
+STOP_LISTS = {
+    "en": "english", "es": "spanish", "fr": "french", "de": "german", "pt": "portuguese", "it": "italian", "nl": "dutch",
+    "sv": "swedish", "da": "danish", "no": "norwegian", "fi": "finnish", "hu": "hungarian", "tr": "turkish", "ru": "russian",
+}
 NORMALISED_LANGUAGES = ("en", "es")
 
 # How the word tokenizer splits colons and glued English forms.
@@ -35,27 +38,24 @@ def _col(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _matching(tokens, words: list[str], present: bool = True) -> Column:
-    """The tokens that are (or are not) in the list, which Spark turns into a hash set."""
-    return F.filter(tokens, lambda t: t.isin(words) if present else ~t.isin(words))
+def _listed(words) -> str:
+    """A SQL list. As text it reaches the JVM at once; thousands of literals made one by one
+    from Python would take seconds. Spark turns the comparison into a hash lookup."""
+    return "(" + ", ".join("'" + w.replace("'", "\\'") + "'" for w in words) + ")"
 
 
-def detect_language(col, languages=tuple(STOP_LISTS)) -> Column:
-    """The language whose stop words occur most often; NULL when none occurs."""
-    words = F.regexp_extract_all(F.lower(_col(col)), F.lit(r"\p{L}+"), F.lit(0))
-
-    def votes(tokens):
-        return F.array(*[
-            F.struct(
-                F.size(_matching(tokens, stop_words(code))).alias("n"),
-                F.lit(-position).alias("priority"),
-                F.lit(code).alias("lang"),
-            )
-            for position, code in enumerate(languages)
-        ])
-
+def detect_language(column: str, languages=tuple(STOP_LISTS)) -> Column:
+    """The language whose stop words occur most often in the named column; NULL if none does."""
+    lists = {code: stop_words(code) for code in languages}
+    # Most words are in no list; dropping them first leaves little to look up per language.
     # Wrapping a value in an array names it, so that it is computed once.
-    best = F.transform(F.array(words), lambda tokens: F.array_max(votes(tokens)))
+    words = f"regexp_extract_all(lower(`{column}`), r'\\p{{L}}+', 0)"
+    telling = f"filter({words}, w -> w IN {_listed(sorted(set().union(*lists.values())))})"
+    votes = ", ".join(
+        f"struct(size(filter(ws, w -> w IN {_listed(stops)})) AS n, {-position} AS priority, '{code}' AS lang)"
+        for position, (code, stops) in enumerate(lists.items())
+    )
+    best = F.expr(f"transform(array({telling}), ws -> array_max(array({votes})))")
     return F.transform(best, lambda b: F.when(b["n"] > 0, b["lang"]))[0]
 
 
@@ -67,13 +67,14 @@ def tokenize(col) -> Column:
     return F.filter(F.split(spaced, " +"), lambda t: t != "")
 
 
-def remove_stopwords(tokens, lang, languages=NORMALISED_LANGUAGES) -> Column:
-    """Drop the stop words of the row's language; other languages keep every token."""
-    tokens, lang, kept = _col(tokens), _col(lang), None
+def remove_stopwords(tokens: str, lang: str, languages=NORMALISED_LANGUAGES) -> Column:
+    """Drop the stop words of the row's language from the named token column; other
+    languages keep every token."""
+    kept = None
     for code in languages:
-        without = _matching(tokens, stop_words(code), present=False)
-        kept = F.when(lang == code, without) if kept is None else kept.when(lang == code, without)
-    return kept.otherwise(tokens)
+        without = F.expr(f"filter(`{tokens}`, t -> t NOT IN {_listed(stop_words(code))})")
+        kept = F.when(F.col(lang) == code, without) if kept is None else kept.when(F.col(lang) == code, without)
+    return kept.otherwise(F.col(tokens))
 
 
 # --- English: regular noun plurals -----------------------------------------------------
