@@ -9,7 +9,7 @@ from postloom.operators.embedding import embed_column
 from postloom.operators.merge import append_keep_last, insert_ignore, insert_report, update_table
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
-from postloom.session import fresh_path, materialise, small_input_tasks
+from postloom.session import fresh_path, small_input_tasks
 from postloom.sources.collection import collection_add, collection_count, collection_get, collection_peek
 from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import append_tables, csv_scan, csv_sink, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan
@@ -147,10 +147,14 @@ def _(spark, sf):
 
 def _collection(spark, sf):
     path = fresh_path(spark, "collection")
-    rows = embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), F.col("text").alias("document")), "document")
-    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("id"), F.col("text").alias("document"), F.array().cast("array<float>").alias("embedding"))
-    collection_add(materialise(rows, "collection-rows"), path)
-    collection_add(turns, path)  # all ids are taken already
+    rows = table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), F.col("text").alias("document"))
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("id"), F.col("text").alias("document"))
+
+    def embed(added):
+        return embed_column(added, "document")
+
+    collection_add(rows, path, embed)
+    collection_add(turns, path, embed)  # all ids are taken already
     return path
 
 

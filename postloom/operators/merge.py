@@ -7,6 +7,8 @@ each task before the shuffle, so a key with very many copies does not gather in
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from postloom.session import materialise
@@ -59,13 +61,16 @@ def insert_ignore(existing: DataFrame, new: DataFrame, key: str = "id", order_by
     return existing.unionByName(added.select(*existing.columns))
 
 
-def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> int:
+def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None, enrich: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Append the fresh rows to the parquet table at ``path`` and return their number.
 
-    ``new`` should be a stored table, since it is read several times. Only keys are shuffled:
-    the keys of ``new`` with their counts, and those of them that are stored already, are
-    written first. Their true sizes then decide between broadcast and shuffled joins. The
-    wide rows usually pass from scan to file; only rows of repeated keys are ranked.
+    ``enrich`` turns the surviving rows into rows of the table. Expensive columns belong
+    there: they are computed once, and only for rows that are inserted.
+
+    Only keys are shuffled: the keys of ``new`` with their counts, and those of them that are
+    stored already, are written first. Their true sizes then decide between broadcast and
+    shuffled joins. The wide rows usually pass from scan to file; only rows of repeated keys
+    are ranked. ``new`` is read several times, mostly in one column.
 
     The key range of ``new`` limits the scan of the stored table: keys mostly grow, so an
     increment skips nearly all older files. Parquet has no unique index, so there must be a
@@ -74,9 +79,9 @@ def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> in
     low, high = new.agg(F.min(key), F.max(key)).first()
     if low is None:
         return 0
-    existing = new.sparkSession.read.schema(new.schema).parquet(path).filter(F.col(key).between(low, high))
+    stored = new.sparkSession.read.parquet(path).select(key).filter(F.col(key).between(low, high))
     keys = materialise(new.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "new-keys")
-    clashes = materialise(existing.select(key).join(keys, key, "left_semi"), "clashing-keys")
+    clashes = materialise(stored.join(keys, key, "left_semi"), "clashing-keys")
     repeated = materialise(keys.filter("_n > 1").select(key), "repeated-keys")
 
     rows, names, _ = _seq(new, order_by)
@@ -84,8 +89,10 @@ def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None) -> in
     if not repeated.isEmpty():
         once = fresh.join(repeated, key, "left_anti")
         fresh = once.unionByName(first_per_key(fresh.join(repeated, key, "left_semi"), key, names))
+    fresh = fresh.select(*new.columns)
     added = Observation()
-    fresh.select(*new.columns).observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    written = (enrich(fresh) if enrich else fresh).observe(added, F.count(F.lit(1)).alias("n"))
+    written.write.mode("append").parquet(path)
     return added.get["n"]
 
 

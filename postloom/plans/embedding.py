@@ -12,7 +12,6 @@ from postloom.functions.text import posting_text
 from postloom.operators.embedding import API_CHUNK, assemble_embeddings, embed_column
 from postloom.operators.merge import insert_into
 from postloom.operators.stats import MAX_TOKENS, batch_stats, budget_tokens
-from postloom.session import materialise
 from postloom.sources.collection import collection_add
 from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import csv_sink, ensure_table, parquet_sink, run_report_append, table_exists
@@ -51,10 +50,10 @@ def embedding_run(
 ) -> InsertReport:
     """Embed the postings above the watermark, insert them, then commit the new mark.
 
-    The vectors are written to the shared folder once, because the insert reads them twice
-    and an encoder must not run again. The mark moves only after the insert: a run that
+    Keys that the table holds already are dropped first, so the encoder sees only rows that
+    will be stored, and each of them once. The mark moves only after the insert: a run that
     dies in between repeats its rows, and the insert ignores those already stored. Without
-    new rows nothing is written.
+    new rows nothing is written. The report covers all rows above the mark.
     """
     started = time.monotonic()
     mark = read_watermark(spark, watermark_path)
@@ -62,14 +61,17 @@ def embedding_run(
     if upper == mark:
         stored = _stored_rows(spark, table_path)
         return InsertReport(stored, 0, stored, time.monotonic() - started, mark)
-    budgeted = budgeted_postings(incremental_scan(source, mark, upper), max_tokens, tokenizer)
-    staged = materialise(assemble_embeddings(budgeted, encoder, kind, dim, keep=("n_tokens", "truncated")), "embedded")
+    rows = incremental_scan(source, mark, upper)
     if report_path:
-        run_report_append(batch_stats(staged).withColumn("ts", F.current_timestamp()), report_path)
-    embedded = staged.drop("n_tokens", "truncated")
-    ensure_table(spark, table_path, embedded.schema)
+        stats = batch_stats(budgeted_postings(rows, max_tokens, tokenizer))
+        run_report_append(stats.withColumn("ts", F.current_timestamp()), report_path)
+
+    def embed(fresh: DataFrame) -> DataFrame:
+        return assemble_embeddings(budgeted_postings(fresh, max_tokens, tokenizer), encoder, kind, dim)
+
+    ensure_table(spark, table_path, embed(rows).schema)
     initial = _stored_rows(spark, table_path)
-    added = insert_into(table_path, embedded)
+    added = insert_into(table_path, rows, enrich=embed)
     commit_watermark(spark, watermark_path, upper)
     return InsertReport(initial, added, initial + added, time.monotonic() - started, upper)
 
@@ -89,12 +91,13 @@ def api_embedding_run(
     """
     if sink not in ("parquet", "csv", "collection"):
         raise ValueError(f"unknown sink {sink!r}")
-    texts = budgeted_postings(postings, max_tokens, tokenizer).select("id", F.col("text").alias("original"), "timestamp")
-    embedded = embed_column(texts, "original", "embedding", encoder, dim, API_CHUNK)
+    def embed(rows: DataFrame) -> DataFrame:
+        texts = budgeted_postings(rows, max_tokens, tokenizer).select("id", F.col("text").alias("original"), "timestamp")
+        return embed_column(texts, "original", "embedding", encoder, dim, API_CHUNK)
+
     if sink == "parquet":
-        parquet_sink(embedded.select("id", "original", "embedding", "timestamp"), path)
+        parquet_sink(embed(postings).select("id", "original", "embedding", "timestamp"), path)
     elif sink == "csv":
-        csv_sink(embedded, path, ("id", "original", "embedding"))
+        csv_sink(embed(postings), path, ("id", "original", "embedding"))
     else:
-        rows = embedded.select("id", F.col("original").alias("document"), "embedding")
-        collection_add(materialise(rows, "collection"), path)
+        collection_add(postings, path, enrich=lambda rows: embed(rows).withColumnRenamed("original", "document"))

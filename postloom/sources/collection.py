@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postloom.operators.merge import insert_into
@@ -14,11 +16,16 @@ def _open(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def collection_add(rows: DataFrame, path: str) -> None:
-    """Create the collection if needed and add the rows whose id it does not hold yet."""
-    rows = rows.select(*COLLECTION_COLUMNS)
-    ensure_table(rows.sparkSession, path, rows.schema)
-    insert_into(path, rows, key="id")
+def collection_add(rows: DataFrame, path: str, enrich: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Create the collection if needed and add the rows whose id it does not hold yet.
+
+    ``enrich`` makes the document and its embedding from the rows that are added.
+    """
+    def entries(added: DataFrame) -> DataFrame:
+        return (enrich(added) if enrich else added).select(*COLLECTION_COLUMNS)
+
+    ensure_table(rows.sparkSession, path, entries(rows).schema)
+    insert_into(path, rows, key="id", enrich=entries)
 
 
 def collection_peek(spark: SparkSession, path: str, n: int = 10) -> DataFrame:

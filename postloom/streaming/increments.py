@@ -6,6 +6,8 @@ files were read, so a posting that arrives late with a low id is not lost.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +16,6 @@ from postloom.operators.embedding import assemble_embeddings
 from postloom.operators.merge import insert_into
 from postloom.operators.stats import MAX_TOKENS
 from postloom.plans.embedding import budgeted_postings
-from postloom.session import materialise
 from postloom.sources.tables import ensure_table
 
 
@@ -27,16 +28,22 @@ def posting_stream(spark: SparkSession, path: str, schema: T.StructType, glob: s
     return reader.parquet(path)
 
 
-def insert_stream(rows: DataFrame, table_path: str, checkpoint: str, key: str = "id") -> StreamingQuery:
+def insert_stream(
+    rows: DataFrame,
+    table_path: str,
+    checkpoint: str,
+    key: str = "id",
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
     """Insert-ignore every micro-batch into a parquet table, then stop when caught up.
 
     A repeated batch finds its keys in the table and adds nothing, so the result has each
-    key once although the sink is called at least once.
+    key once although the sink is called at least once. ``enrich`` computes the expensive
+    columns of the rows that are inserted; ``rows`` itself is read several times per batch.
     """
     def store(batch: DataFrame, _: int) -> None:
-        staged = materialise(batch, "stream-batch")
-        ensure_table(staged.sparkSession, table_path, staged.schema)
-        insert_into(table_path, staged, key)
+        ensure_table(batch.sparkSession, table_path, (enrich(batch) if enrich else batch).schema)
+        insert_into(table_path, batch, key, enrich=enrich)
 
     return (
         rows.writeStream.foreachBatch(store)
@@ -62,5 +69,7 @@ def embedding_stream(
     """
     if partitions:
         postings = postings.repartition(partitions)
-    rows = assemble_embeddings(budgeted_postings(postings, max_tokens), encoder, kind, dim)
-    return insert_stream(rows, table_path, checkpoint)
+    def embed(rows: DataFrame) -> DataFrame:
+        return assemble_embeddings(budgeted_postings(rows, max_tokens), encoder, kind, dim)
+
+    return insert_stream(postings, table_path, checkpoint, enrich=embed)

@@ -67,6 +67,24 @@ def test_embedding_run_repeats_safely(spark, monkeypatch):
     assert reports.schema == RUN_REPORT and reports.count() == 2
 
 
+def test_encoder_sees_only_rows_that_are_inserted(spark):
+    table, mark = fresh_path(spark, "table"), fresh_path(spark, "mark")
+    texts = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def encode(batch):
+            texts.add(len(batch))
+            return [[1.0] for _ in batch]
+
+        return encode
+
+    runs.embedding_run(spark, postings(spark, 1, 2, 3, 3), table, mark, encoder=factory)
+    assert texts.value == 3
+    commit_watermark(spark, mark, 0)  # read everything again
+    report = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, encoder=factory)
+    assert (report.jobs_added, texts.value) == (1, 4)
+
+
 def test_api_run_sinks(spark):
     source = postings(spark, 1, 2)
     paths = {sink: fresh_path(spark, sink) for sink in ("parquet", "csv", "collection")}
