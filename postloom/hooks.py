@@ -103,31 +103,20 @@ def encode_udf(factory: EncoderFactory, chunk: int):
     return encode.asNondeterministic()
 
 
-def complete_requests(
-    requests: DataFrame,
-    factory: CompletionFactory,
-    key: str = "id",
-    request_col: str = "request",
-    attempts: int = 5,
-    backoff: float = 5.0,
-    pause: float = 0.5,
-    concurrency: int = 8,
-) -> DataFrame:
-    """``(key, attempts, response)`` from a completion call per request.
-
-    Every call waits ``pause`` seconds first. A failed call is repeated up to ``attempts`` times in all, waiting ``backoff ** n``
-    seconds after the n-th failure; the response is NULL when all of them failed. Calls of
-    one task overlap in ``concurrency`` threads. Write the result to a table before using
-    it twice: recomputing it would call the service again.
+_COMPLETION = T.StructType([T.StructField("attempts", T.IntegerType()), T.StructField("response", T.StringType())])
+
+
+def complete_udf(factory: CompletionFactory, attempts: int = 5, backoff: float = 5.0, pause: float = 0.5, concurrency: int = 8):
+    """``struct(attempts, response)`` from a completion call per request text.
+
+    Every call waits ``pause`` seconds first. A failed call is repeated up to ``attempts``
+    times in all, waiting ``backoff ** n`` seconds after the n-th failure; the response is
+    NULL when all of them failed. Calls of one task overlap in ``concurrency`` threads.
+    Write the result to a table before using it twice: recomputing it would call the
+    service again.
     """
-    key_type = requests.schema[key].dataType
-    schema = T.StructType([
-        T.StructField(key, key_type),
-        T.StructField("attempts", T.IntegerType()),
-        T.StructField("response", T.StringType()),
-    ])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(_COMPLETION)
+    def complete(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         call = factory()
 
         def ask(request):
@@ -142,12 +131,13 @@ def complete_requests(
             return attempts, None
 
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
-            for batch in batches:
-                answers = list(pool.map(ask, batch[request_col]))
-                yield pd.DataFrame({
-                    key: batch[key],
-                    "attempts": [a for a, _ in answers],
-                    "response": [r for _, r in answers],
-                })
-
-    return requests.select(key, request_col).mapInPandas(run, schema)
+            for requests in batches:
+                yield pd.DataFrame(list(pool.map(ask, requests)), columns=_COMPLETION.names)
+
+    return complete.asNondeterministic()
+
+
+def complete_requests(requests: DataFrame, factory: CompletionFactory, key: str = "id", request_col: str = "request", **settings) -> DataFrame:
+    """``(key, attempts, response)`` for every request; ``settings`` as in ``complete_udf``."""
+    answered = requests.select(key, complete_udf(factory, **settings)(F.col(request_col)).alias("_answer"))
+    return answered.select(key, "_answer.attempts", "_answer.response")

@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from postloom import hooks
-from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, request_json, summarise_with_fallback
-from postloom.operators.filters import needs_summary
+from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, is_long, request_json, summarise_in_place
 from postloom.operators.stats import cost_total
 from postloom.session import materialise
 from postloom.sources.tables import run_report_append
@@ -38,17 +37,18 @@ def summary_run(
 
     Only texts that pass the length gate reach the service: they are filtered before the
     call, since a conditional expression would not keep a Python call from running. The
-    answers are written once, then joined back by id.
+    answers are written beside their texts once, so nothing is joined or shuffled;
+    ``summaries`` reads from there and is ready for a sink.
     """
     started = time.monotonic()
     model = model or REQUEST_KINDS[kind]["model"]
-    asked = request_json(build_requests(texts.filter(needs_summary(F.col("text"))), kind, "text", instructions, model))
-    answers = materialise(
-        hooks.complete_requests(asked, completion, attempts=attempts, backoff=backoff, pause=pause, concurrency=concurrency),
-        "answers",
-    )
-    summaries = materialise(summarise_with_fallback(texts, answers, model), "summaries")
-    total = cost_total(summaries).first()["total_cost"]
+    call = hooks.complete_udf(completion, attempts, backoff, pause, concurrency)
+    asked = request_json(build_requests(texts.filter(is_long()), kind, "text", instructions, model))
+    answered = asked.select("id", "text", F.lit(True).alias("_long"), call(F.col("request")).alias("_answer"))
+    staged = materialise(answered.select("id", "text", "_long", "_answer.response"), "answers")
+    short = texts.filter(~is_long()).select("id", "text", F.lit(False).alias("_long"), F.lit(None).cast("string").alias("response"))
+    summaries = summarise_in_place(staged.unionByName(short), model)
+    total = cost_total(summarise_in_place(staged, model)).first()["total_cost"]  # short texts cost nothing
     seconds = time.monotonic() - started
     if report_path:
         totals = texts.sparkSession.createDataFrame([(total, seconds)], "total_cost double, seconds double")
