@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.llm import mixing, sharding, warc
+from postloom.llm import fingerprints, language_id, licences, mixing, secrets, sharding, warc
 from postloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,40 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_records(documents(spark, sf_dir), weights=[1.0] * 24, grown_weight=1.0).withColumn("law", F.lit("key"))
 
 
+@query("op2_licences")
+def op2_licences(spark, sf_dir):
+    """Licence phrases and template spans of all documents."""
+    found = licences.scan_licences(documents(spark, sf_dir))
+    starts, own = F.col("phrases.start"), F.col("phrases.label")
+    covers = F.transform("spans", lambda s: s["cover"])
+    # A phrase is a template that is covered whole.
+    score = F.when(F.size("phrases") > 0, 1.0).when(F.size("spans") > 0, F.least(F.array_max(covers), F.lit(1.0))).otherwise(0.0)
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(own)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(own, F.col("spans.label"))), ",").alias("labels"),
+        score.alias("score"), F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+@query("op4_secrets")
+def op4_secrets(spark, sf_dir):
+    """Secrets of all documents, as counts and positions."""
+    found = secrets.scan_secrets(documents(spark, sf_dir))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of(*kinds):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id", *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(joined(of(*secrets.BASE_KINDS)).cast("binary"), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
+    )
+
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
@@ -52,6 +86,20 @@ def op6_warc(spark, sf_dir):
     return warc.read_records(spark, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op8_fingerprints")
+def op8_fingerprints(spark, sf_dir):
+    """Fingerprints of all documents, compared with their edited texts and successors."""
+    return fingerprints.compare_versions(documents(spark, sf_dir))
+
+
+@query("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    """Languages of all documents, learned from the folds that are not held out."""
+    docs = documents(spark, sf_dir)
+    found = language_id.predict_languages(docs, language_id.fit_languages(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 # Shares of the tokens after mixing; the leading domain is used a little more than once.
 MIXTURE, EPOCHS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}, 1.05
 
