@@ -31,7 +31,7 @@ def bitmap_of(keys: Column, df: DataFrame) -> np.ndarray:
     """
     top = F.shiftrightunsigned(keys, 64 - BITMAP_BITS)
     words = (
-        df.select(F.shiftright(top, 6).cast("int").alias("word"), F.shiftleft(F.lit(1).cast("long"), (top % 64).cast("int")).alias("bit"))
+        df.select(F.shiftright(top, 6).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (top % 64).cast("int")).alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     )
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.llm import fingerprints, language_id, licences, mixing, secrets, sharding, warc
+from postloom.llm import fingerprints, language_id, licences, minhash, mixing, secrets, sharding, warc
 from postloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,27 @@ def op4_secrets(spark, sf_dir):
     )
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+NEAR_DUPLICATES_SQL = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS node FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY ALL) r USING (doc_id)"""
+
+
+@query("op5_minhash", NEAR_DUPLICATES_SQL)
+def op5_minhash(spark, sf_dir):
+    """Near-duplicate classes of all documents at similarity 0.85."""
+    return minhash.near_duplicates(documents(spark, sf_dir), percent=85)
+
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
