@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.llm import fingerprints, language_id, licences, minhash, mixing, secrets, sharding, warc
+from postloom.llm import decontamination, fingerprints, language_id, licences, minhash, mixing, secrets, sharding, warc
 from postloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,12 @@ def op6_warc(spark, sf_dir):
     return warc.read_records(spark, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op7_decontamination")
+def op7_decontamination(spark, sf_dir):
+    """Benchmark items that documents hold, verbatim or with other numbers, names and units."""
+    return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("op8_fingerprints")
 def op8_fingerprints(spark, sf_dir):
     """Fingerprints of all documents, compared with their edited texts and successors."""
