@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.llm import decontamination, fingerprints, language_id, licences, minhash, mixing, secrets, sharding, warc
+from postloom.llm import decontamination, fingerprints, language_id, licences, minhash, mixing, secrets, sharding, token_shards, warc
 from postloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,25 @@ def op2_licences(spark, sf_dir):
     )
 
 
+# Where the public vocabularies are.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def training_order(docs: DataFrame) -> DataFrame:
+    """The sequences of all documents, written in training order and read back from the shards."""
+    spark = docs.sparkSession
+    path = fresh_path(spark, "token-shards")
+    token_shards.write_training_order(docs, path, token_shards.read_ranks(VOCABULARY))
+    return token_shards.read_training_order(spark, path).select(
+        "slot", "shard", F.col("key").alias("doc_id"), "seq", "n_tokens", F.crc32("tokens").alias("tokens_crc32"))
+
+
+@query("op3_token_shards")
+def op3_token_shards(spark, sf_dir):
+    """All documents as token sequences of 256 in training order."""
+    return training_order(documents(spark, sf_dir))
+
+
 @query("op4_secrets")
 def op4_secrets(spark, sf_dir):
     """Secrets of all documents, as counts and positions."""
