@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -185,8 +186,6 @@ def keep_identified(df: DataFrame, model: LanguageModel, text: str = "text") ->
 
     The text passes once through Python beside its row, which stays where it is.
     """
-    import pandas as pd
-
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
