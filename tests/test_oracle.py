@@ -1,5 +1,9 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -27,3 +31,12 @@ def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["id", "timestamp", "text", "n_tokens", "truncated"]
     assert df.count() > 0
+
+
+def test_sql_needs_no_spark_folder(tmp_path):
+    """The twins are built in a process whose Spark has neither jars nor a session."""
+    code = f"import pyspark; pyspark.__file__ = {str(tmp_path / '__init__.py')!r}; import __spark_entry__ as e; print(len(e.oracle_sql()))"
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-W", "error::UserWarning", "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout.split()[-1]) == len(oracle_sql())
