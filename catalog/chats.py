@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import N_TOKENS_SQL, postings, query, table
-from catalog.reports import NEAREST_DOCUMENTS_SQL, _rounded_sql, nearest_documents
+from catalog.registry import N_TOKENS_SQL, hashed_sql, postings, query, table, truncated_sql
+from catalog.reports import NEAREST_DOCUMENTS_SQL, VALUES_SQL, _rounded_sql, country_dictionary, nearest_documents
+from postloom.functions.language import stem_tokens
 from postloom.operators import chat
+from postloom.operators.embedding import embed_column
 from postloom.operators.matching import CV_DELIMITER, POSTINGS_HEADING, SUITABILITY, default_match_instructions, match_prompt, match_results
 from postloom.operators.sections import CV_SECTION_LABELS, JOB_SECTION_LABELS, split_summary_sections
+from postloom.operators.stats import budget_tokens
+from postloom.plans.matching import eligible_postings, prompts_for_cvs
 from postloom.plans.summaries import summary_run
+from postloom.session import fresh_path
+from postloom.sources.countries import country_values, read_country_dictionary
+from postloom.sources.tables import run_report_scan
 
 
 def _text_sql(value: str) -> str:
@@ -76,7 +83,7 @@ _WORDS_SQL = N_TOKENS_SQL.format(text="d.text")
     FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def _(spark, sf):
     """Labelled documents were answered: well for quality 1, with broken JSON for quality 0."""
-    docs = table(spark, sf, "documents", ["doc_id", "text", "source"], spread=True).select(F.col("doc_id").alias("id"), "text", "source")
+    docs = table(spark, sf, "documents", ["doc_id", "text", "source"]).select(F.col("doc_id").alias("id"), "text", "source")
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "quality")
     good = _response(F.concat(F.lit("Title: "), "source"), F.length("text"), F.length("source"))
     responses = docs.join(labels, "id").select("id", F.when(F.col("quality") == 1, good).otherwise(F.lit("{")).alias("response"))
@@ -104,8 +111,92 @@ def _echo_service():
         CASE WHEN {N_TOKENS_SQL.format(text='text')} > 50 THEN 'ok' ELSE 'short' END AS status
     FROM documents""")
 def _(spark, sf):
-    docs = table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text")
-    return summary_run(docs, _echo_service, pause=0.0).summaries
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    return summary_run(docs, _echo_service, fresh_path(spark, "answers"), pause=0.0).summaries
+
+
+@query("summary_report", f"""
+    SELECT n AS reports, sum(cost::DECIMAL(20, 3))::DOUBLE AS total_cost FROM (
+        SELECT DISTINCT text, {_rounded_sql("(length(text) + length('Job Opening: --------'))", '0.0015')} + {_rounded_sql('400', '0.002')} AS cost
+        FROM documents WHERE {N_TOKENS_SQL.format(text='text')} > 50), (SELECT 2::BIGINT AS n) GROUP BY n""")
+def _(spark, sf):
+    """The summary half of the run report: two runs, of which the second finds all answers."""
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    answers, report = fresh_path(spark, "answers"), fresh_path(spark, "report")
+    for _run in range(2):
+        summary_run(docs, _echo_service, answers, pause=0.0, report_path=report)
+    total = F.sum(F.col("total_cost").cast("decimal(20,3)")).cast("double")
+    return run_report_scan(spark, report).agg(F.count(F.lit(1)).alias("reports"), total.alias("total_cost"))
+
+
+def _upper_tokenizer():
+    """A deterministic tokenizer for the hook: the runs of capital letters and of others are tokens."""
+    import re
+
+    class Runs:
+        def encode(self, text):
+            return [m.group() for m in re.finditer(r"[A-Z]+|[^A-Z]+", text)]
+
+        def decode(self, tokens):
+            return "".join(tokens)
+
+    return Runs()
+
+
+@query("tokenizer_hook", """
+    WITH t AS (SELECT doc_id AS id, regexp_extract_all(text, '[A-Z]+|[^A-Z]+') AS ts FROM documents)
+    SELECT id, len(ts)::INTEGER AS n_tokens, len(ts) > 20 AS truncated, array_to_string(ts[1:20], '') AS text FROM t""")
+def _(spark, sf):
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    return budget_tokens(docs, 20, tokenizer=_upper_tokenizer)
+
+
+def _first_letters():
+    """A deterministic stemmer for the hook."""
+    return lambda word: word[:4]
+
+
+@query("stemmer_hook", r"""
+    WITH w AS (SELECT doc_id AS id, lang, string_split(text, ' ') AS ws FROM documents)
+    SELECT id, array_to_string(CASE WHEN lang = 'de' THEN list_transform(ws, lambda x: left(x, 4)) ELSE ws END, ' ') AS stems FROM w WHERE lang IN ('de', 'fr')""")
+def _(spark, sf):
+    docs = table(spark, sf, "documents", ["doc_id", "lang", "text"]).filter(F.col("lang").isin("de", "fr"))
+    stems = stem_tokens(F.split("text", " "), "lang", {"de": _first_letters})
+    return docs.select(F.col("doc_id").alias("id"), F.array_join(stems, " ").alias("stems"))
+
+
+@query("cv_prompts", f"""
+    WITH eligible AS (
+        SELECT doc_id AS id, text FROM documents JOIN nation ON n_nationkey = doc_id % 25
+        WHERE doc_id % 30 >= 15 AND EXISTS (SELECT 1 FROM ({VALUES_SQL}) WHERE contains(lower('In ' || n_name), lower(value)))),
+    {hashed_sql(f"SELECT id, {truncated_sql('text', 512)} AS text FROM eligible", 'id', 'text')},
+    vectors AS (SELECT id, list(value ORDER BY pos) AS v FROM hashed GROUP BY id),
+    {hashed_sql(f"SELECT item_id, {truncated_sql("'query: ' || text", 512)} AS text FROM benchmark", 'item_id', 'text', suffix='2')},
+    asked AS (SELECT item_id AS query_id, list(value ORDER BY pos) AS q FROM hashed2 GROUP BY item_id),
+    scored AS (SELECT query_id, id, round(list_cosine_similarity(v, q), 6)::DOUBLE AS score FROM vectors, asked WHERE list_max(v) > 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored),
+    listed AS (
+        SELECT n.query_id, string_agg('<' || n.id || '> ---' || d.text || '---', chr(10) ORDER BY n.rank) AS body
+        FROM ranked n JOIN documents d ON d.doc_id = n.id WHERE rank <= 3 GROUP BY n.query_id)
+    SELECT query_id, {_text_sql(default_match_instructions())} || chr(10) || chr(10) || '{CV_DELIMITER}' || b.text || '{CV_DELIMITER}'
+        || chr(10) || chr(10) || '{POSTINGS_HEADING}' || chr(10) || chr(10) || body AS prompt
+    FROM listed JOIN benchmark b ON b.item_id = query_id""")
+def _(spark, sf):
+    """The query side in one: recent postings of one country, the nearest to each CV, as prompts.
+
+    A document lies in nation ``doc_id % 25`` and is ``29 - doc_id % 30`` days old; the
+    dictionary of countries goes through its JSON file.
+    """
+    path = fresh_path(spark, "dictionary")
+    country_dictionary(spark, sf).coalesce(1).write.text(path)
+    values = country_values(read_country_dictionary(spark, path), "NATION_1")
+    nation = table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    postings_ = table(spark, sf, "documents", ["doc_id", "text"]).join(nation, F.col("doc_id") % 25 == F.col("n_nationkey")).select(
+        F.col("doc_id").alias("id"), F.col("text").alias("job_info"), F.concat(F.lit("In "), "n_name").alias("location"),
+        F.expr("timestampadd(DAY, cast(doc_id % 30 AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("timestamp"))
+    cvs = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    embedded = embed_column(eligible_postings(postings_, "2024-01-30", values, literal=True), "job_info")
+    return prompts_for_cvs(embedded, cvs, k=3)
 
 
 _RANK_SQL = "CASE suitability " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(SUITABILITY, start=1)) + f" ELSE {len(SUITABILITY) + 1} END"
@@ -155,7 +246,7 @@ def _(spark, sf):
     summary = F.concat(
         F.lit("A preface\nTitle: "), "source", F.lit("\n\nLocation:\n"), "lang",
         F.lit("\nQualifications/Requirements:\nAbout the company: "), "text")
-    return split_summary_sections(table(spark, sf, "documents", spread=True).select(F.col("doc_id").alias("id"), summary.alias("summary")), JOB_SECTION_LABELS)
+    return split_summary_sections(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), summary.alias("summary")), JOB_SECTION_LABELS)
 
 
 @query("split_cv_sections", f"""

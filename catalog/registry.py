@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.session import spread_small
 from postloom.sources.tables import parquet_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,16 +24,14 @@ def query(name: str, sql: str | Callable[[], str] | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread: bool = False) -> DataFrame:
-    """A whole table; ``spread`` deals out the rows of a small one for work heavy per row."""
-    rows = parquet_scan(spark, f"{sf_dir}/{name}.parquet", columns)
-    return spread_small(rows) if spread else rows
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+    """A whole table."""
+    return parquet_scan(spark, f"{sf_dir}/{name}.parquet", columns)
 
 
-def postings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table in the shape of the postings table."""
-    columns = ("doc_id", "source", "text", "lang")
-    return table(spark, sf_dir, "documents", columns, spread).select(
+    return table(spark, sf_dir, "documents", ("doc_id", "source", "text", "lang")).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("title"),
         F.col("text").alias("description"),
@@ -81,3 +78,17 @@ def hashed_sql(source: str, key: str, text: str, dim: int = 64, suffix: str = ""
         SELECT s.{key}, s.pos, coalesce(b.c / l.length, 0.0)::FLOAT::DOUBLE AS value
         FROM slots{x} s LEFT JOIN buckets{x} b ON b.{key} = s.{key} AND b.pos = s.pos
         LEFT JOIN lengths{x} l ON l.{key} = s.{key})"""
+
+
+def embedded_sql(relation: str, text: str, prefix: str = "query: ") -> str:
+    """The rest of a WITH clause: every vector element of the embedded rows of ``relation (id, text, timestamp)``."""
+    cut = truncated_sql("full_text", 512)
+    return f"""{hashed_sql(f"SELECT id, {cut} AS text FROM (SELECT id, '{prefix}' || {text} AS full_text FROM {relation})", 'id', 'text')}
+    SELECT b.id, md5(b.{text}) AS {text}_md5, b.timestamp, h.pos, round(h.value, 6)::DOUBLE AS value
+    FROM {relation} b JOIN hashed h ON h.id = b.id"""
+
+
+def embedded_rows(rows: DataFrame, text: str) -> DataFrame:
+    """The same from a table of embeddings; texts as digests, since they repeat per element."""
+    elements = rows.select("id", F.md5(text).alias(f"{text}_md5"), "timestamp", F.posexplode("embedding").alias("pos", "value"))
+    return elements.withColumn("value", F.round(F.col("value").cast("double"), 6))

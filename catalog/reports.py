@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import N_TOKENS_SQL, POSTINGS_SQL, hashed_sql, postings, query, table, truncated_sql
+from catalog.registry import embedded_rows, embedded_sql, N_TOKENS_SQL, POSTINGS_SQL, hashed_sql, postings, query, table, truncated_sql
 from postloom.functions.money import EMBEDDING_PRICES, completion_cost, embedding_cost
 from postloom.operators.embedding import assemble_embeddings, dimension_check, embed_column, mean_pool
 from postloom.operators.filters import country_filter, id_lookup, id_lookup_in, recent_filter
@@ -32,7 +32,7 @@ def _(spark, sf):
     return id_lookup_in(docs, table(spark, sf, "labels").select(F.col("doc_id").alias("ids")), 1)
 
 
-def _dictionary(spark, sf):
+def country_dictionary(spark, sf):
     """Regions as continents and nations as countries: both tables have a fixed size."""
     nation, region = (table(spark, sf, n) for n in ("nation", "region"))
 
@@ -49,21 +49,21 @@ def _dictionary(spark, sf):
     return continents.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("r_name", F.struct("Countries"))))).alias("dictionary"))
 
 
-_VALUES_SQL = """
+VALUES_SQL = """
     SELECT n_name AS country_name, unnest(['name', 'code', 'capital', 'subdivision_code', 'subdivision_name', 'subdivision_code', 'subdivision_name']) AS kind,
         unnest([n_name, 'N' || n_nationkey, 'Capital ' || n_nationkey, 'D1-' || n_nationkey, 'District 1 of ' || n_nationkey,
             'D2-' || n_nationkey, 'District 2 of ' || n_nationkey]) AS value
     FROM nation WHERE n_name = 'NATION_1'"""
 
 
-@query("country_values", _VALUES_SQL)
+@query("country_values", VALUES_SQL)
 def _(spark, sf):
-    return country_values(_dictionary(spark, sf), "NATION_1")
+    return country_values(country_dictionary(spark, sf), "NATION_1")
 
 
 def _locations(spark, sf):
     nation, region = (table(spark, sf, n) for n in ("nation", "region"))
-    customer = table(spark, sf, "customer", spread=True)
+    customer = table(spark, sf, "customer")
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("c_custkey").alias("id"), F.concat_ws(" ", "r_name", "n_name", "c_mktsegment", F.lit("Remote")).alias("location"))
@@ -76,16 +76,16 @@ _LOCATIONS_SQL = """SELECT c_custkey AS id, concat_ws(' ', r_name, n_name, c_mkt
 
 @query("country_filter", f"""
     SELECT id, lower(location) AS location FROM ({_LOCATIONS_SQL})
-    WHERE EXISTS (SELECT 1 FROM ({_VALUES_SQL}) WHERE regexp_matches(lower(location), lower(value)))""")
+    WHERE EXISTS (SELECT 1 FROM ({VALUES_SQL}) WHERE regexp_matches(lower(location), lower(value)))""")
 def _(spark, sf):
-    return country_filter(_locations(spark, sf), country_values(_dictionary(spark, sf), "NATION_1"))
+    return country_filter(_locations(spark, sf), country_values(country_dictionary(spark, sf), "NATION_1"))
 
 
 @query("country_filter_literal", f"""
     SELECT id, location FROM ({_LOCATIONS_SQL})
-    WHERE EXISTS (SELECT 1 FROM ({_VALUES_SQL}) WHERE contains(lower(location), lower(value)))""")
+    WHERE EXISTS (SELECT 1 FROM ({VALUES_SQL}) WHERE contains(lower(location), lower(value)))""")
 def _(spark, sf):
-    return country_filter(_locations(spark, sf), country_values(_dictionary(spark, sf), "NATION_1"), literal=True, lowercase=False)
+    return country_filter(_locations(spark, sf), country_values(country_dictionary(spark, sf), "NATION_1"), literal=True, lowercase=False)
 
 
 _COUNTED_SQL = f"SELECT doc_id, {N_TOKENS_SQL.format(text='text')} AS n FROM documents"
@@ -95,28 +95,28 @@ _COUNTED_SQL = f"SELECT doc_id, {N_TOKENS_SQL.format(text='text')} AS n FROM doc
     SELECT count(*) AS batches, sum(n)::BIGINT AS tokens, count(*) FILTER (n > 1000) AS truncations,
         sum(n) / count(*) AS mean_tokens, round(sum(n) / 1000 * 0.0004::DOUBLE, 4)::DOUBLE AS cost FROM ({_COUNTED_SQL})""")
 def _(spark, sf):
-    return batch_stats(budget_tokens(table(spark, sf, "documents", ["doc_id", "lang", "text"], spread=True)), "openai")
+    return batch_stats(budget_tokens(table(spark, sf, "documents", ["doc_id", "lang", "text"])), "openai")
 
 
 @query("embedding_cost", f"""
     WITH per AS (SELECT lang, sum(n)::BIGINT AS tokens FROM ({_COUNTED_SQL}) JOIN documents USING (doc_id) GROUP BY lang)
     SELECT lang, tokens, round(tokens / 1000 * 0.0004::DOUBLE, 4)::DOUBLE AS cost_openai, 0.0::DOUBLE AS cost_e5 FROM per""")
 def _(spark, sf):
-    counted = budget_tokens(table(spark, sf, "documents", ["doc_id", "lang", "text"], spread=True))
+    counted = budget_tokens(table(spark, sf, "documents", ["doc_id", "lang", "text"]))
     per = counted.groupBy("lang").agg(F.sum("n_tokens").alias("tokens"))
     return per.select("lang", "tokens", *[embedding_cost("tokens", m).alias(f"cost_{m}") for m in EMBEDDING_PRICES])
 
 
 def _rounded_sql(tokens: str, price: str) -> str:
-    """``round(tokens / 1000 * price, 3)`` on the binary value, by an error-free product."""
-    x = f"({tokens} / 1000 * {price}::DOUBLE)"
-    split = "134217729.0::DOUBLE"
-    high = f"({x} * {split} - ({x} * {split} - {x}))"
-    # 1000 needs 10 bits, so both half products are exact.
-    rest = f"(({high} * 1000.0::DOUBLE - {x} * 1000.0::DOUBLE) + ({x} - {high}) * 1000.0::DOUBLE)"
-    whole, excess = f"floor({x} * 1000.0::DOUBLE)", f"({x} * 1000.0::DOUBLE - floor({x} * 1000.0::DOUBLE))"
-    up = f"({excess} > 0.5 OR ({excess} = 0.5 AND ({rest} > 0 OR ({rest} = 0 AND {whole} % 2 = 1))))"
-    return f"(({whole} + CASE WHEN {up} THEN 1 ELSE 0 END) / 1000.0::DOUBLE)"
+    """``round(tokens / 1000 * price, 3)`` on the binary value, in whole numbers.
+
+    A double times a power of two is exact, and so is what follows in 128-bit integers.
+    """
+    unit = f"{1 << 70}::HUGEINT"
+    scaled = f"((({tokens} / 1000 * {price}::DOUBLE) * {float(1 << 70)!r}::DOUBLE)::HUGEINT * 1000)"
+    whole, rest = f"({scaled} // {unit})", f"({scaled} % {unit})"
+    up = f"({rest} > {1 << 69}::HUGEINT OR ({rest} = {1 << 69}::HUGEINT AND {whole} % 2 = 1))"
+    return f"(({whole} + CASE WHEN {up} THEN 1 ELSE 0 END)::DOUBLE / 1000.0::DOUBLE)"
 
 
 _COSTS_SQL = f"""
@@ -140,9 +140,9 @@ def _(spark, sf):
     return _calls(spark, sf)
 
 
-@query("cost_total", f"SELECT count(*) AS calls, round(sum(cost), 3)::DOUBLE AS total_cost FROM ({_COSTS_SQL})")
+@query("cost_total", f"SELECT count(*) AS calls, sum(cost::DECIMAL(20, 3))::DOUBLE AS total_cost FROM ({_COSTS_SQL})")
 def _(spark, sf):
-    return cost_total(_calls(spark, sf)).withColumn("total_cost", F.round("total_cost", 3))
+    return cost_total(_calls(spark, sf))
 
 
 def _describe_sql() -> str:
@@ -227,13 +227,15 @@ def _(spark, sf):
 
 
 def _hash_query_sql(prefix: str, source: str, key: str) -> str:
-    return f"""WITH {hashed_sql(f"SELECT {key}, '{prefix}' || text AS text FROM {source}", key, 'text')}
+    """Vectors of what the model reads: the first 512 tokens of the prefixed text."""
+    full = f"SELECT {key}, '{prefix}' || text AS text FROM {source}"
+    return f"""WITH {hashed_sql(f"SELECT {key}, {truncated_sql('text', 512)} AS text FROM ({full})", key, 'text')}
     SELECT {key}, pos, round(value, 6)::DOUBLE AS value FROM hashed"""
 
 
 @query("embed_column", _hash_query_sql("", "documents", "doc_id"))
 def _(spark, sf):
-    return _long_vectors(embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select("doc_id", "text")), "doc_id")
+    return _long_vectors(embed_column(table(spark, sf, "documents", ["doc_id", "text"]).select("doc_id", "text")), "doc_id")
 
 
 @query("query_vector", _hash_query_sql("query: ", "benchmark", "item_id"))
@@ -241,18 +243,21 @@ def _(spark, sf):
     return _long_vectors(query_vector(table(spark, sf, "benchmark")), "item_id")
 
 
+@query("embed_cut", f"""
+    WITH {hashed_sql(f"SELECT doc_id, {truncated_sql('text', 16)} AS text FROM documents", 'doc_id', 'text')}
+    SELECT doc_id, pos, round(value, 6)::DOUBLE AS value FROM hashed""")
+def _(spark, sf):
+    """A model that reads 16 tokens: nearly all texts are cut."""
+    docs = table(spark, sf, "documents", ["doc_id", "text"])
+    return _long_vectors(embed_column(docs, max_input_tokens=16), "doc_id")
+
+
 @query("assemble_embeddings", f"""
     WITH budgeted AS (SELECT id, timestamp, {truncated_sql('description', 1000)} AS job_info FROM ({POSTINGS_SQL})),
-    {hashed_sql("SELECT id, 'query: ' || job_info AS text FROM budgeted", 'id', 'text')}
-    SELECT b.id, b.job_info, b.timestamp, round(max(h.value), 6)::DOUBLE AS largest, count(*) FILTER (h.value > 0) AS filled
-    FROM budgeted b JOIN hashed h ON h.id = b.id GROUP BY ALL""")
+    {embedded_sql('budgeted', 'job_info')}""")
 def _(spark, sf):
-    budgeted = budget_tokens(postings(spark, sf, spread=True).withColumnRenamed("description", "text"))
-    assembled = assemble_embeddings(budgeted)
-    return assembled.select(
-        "id", "job_info", "timestamp",
-        F.round(F.array_max("embedding").cast("double"), 6).alias("largest"),
-        F.size(F.filter("embedding", lambda v: v > 0)).cast("long").alias("filled"))
+    budgeted = budget_tokens(postings(spark, sf).withColumnRenamed("description", "text"))
+    return embedded_rows(assemble_embeddings(budgeted), "job_info")
 
 
 @query("dimension_check", "SELECT len(embedding)::INTEGER AS dim, count(*) AS n FROM embeddings GROUP BY ALL")
@@ -279,9 +284,9 @@ def _(spark, sf):
 
 
 NEAREST_DOCUMENTS_SQL = f"""
-    {hashed_sql("SELECT doc_id, text FROM documents", "doc_id", "text")},
+    {hashed_sql(f"SELECT doc_id, {truncated_sql('text', 512)} AS text FROM documents", "doc_id", "text")},
     documents_v AS (SELECT doc_id AS id, list(value ORDER BY pos) AS v FROM hashed GROUP BY doc_id),
-    {hashed_sql("SELECT item_id, 'query: ' || text AS text FROM benchmark", "item_id", "text", suffix="2")},
+    {hashed_sql(f"SELECT item_id, {truncated_sql("'query: ' || text", 512)} AS text FROM benchmark", "item_id", "text", suffix="2")},
     items_v AS (SELECT item_id AS query_id, list(value ORDER BY pos) AS q FROM hashed2 GROUP BY item_id),
     scored AS (
         SELECT query_id, id, round(list_cosine_similarity(v, q), 6)::DOUBLE AS score FROM documents_v, items_v
@@ -291,7 +296,7 @@ NEAREST_DOCUMENTS_SQL = f"""
 
 
 def nearest_documents(spark, sf):
-    docs = embed_column(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text"))
+    docs = embed_column(table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text"))
     items = query_vector(table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
     return nearest_postings(docs.select("id", "embedding"), items.select("query_id", "embedding"), k=5)
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, postings, query, table, truncated_sql
+from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, embedded_rows, embedded_sql, hashed_sql, postings, query, table, truncated_sql
 from postloom.operators.embedding import embed_column
-from postloom.operators.merge import append_keep_last, insert_ignore, insert_report, update_table
+from postloom.operators.merge import append_keep_last, create_keyed_table, insert_ignore, insert_into, insert_report, read_keyed_table, update_table
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
-from postloom.session import fresh_path, small_input_tasks
+from postloom.session import fresh_path
 from postloom.sources.collection import collection_add, collection_count, collection_get, collection_peek
 from postloom.sources.postings import incremental_scan, watermark_advance
-from postloom.sources.tables import append_tables, csv_scan, csv_sink, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan
+from postloom.sources.tables import append_tables, csv_scan, csv_sink, ensure_table, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan, with_file_order
 from postloom.sources.watermark import commit_watermark, read_watermark
 from postloom.streaming.increments import embedding_stream, posting_stream
 
@@ -140,27 +140,98 @@ def _(spark, sf):
 def _(spark, sf):
     old, new = _documents_then_turns(spark, sf)
     path = fresh_path(spark, "kept")
-    parquet_sink(old, path)
-    update_table(path, new, order_by="seq")
+    create_keyed_table(old, path, order_by="seq", buckets=8)
+    update_table(path, new, order_by="seq", buckets=8)
+    return read_keyed_table(parquet_scan(spark, path))
+
+
+def _turn_files(spark, sf):
+    """The conversations as a table of several files, in no order."""
+    path = fresh_path(spark, "turns")
+    table(spark, sf, "conversations").repartition(5, "turn").write.parquet(path)
+    return path
+
+
+_FIRST_TURNS_SQL = """
+    SELECT conv_id AS id, turn, role AS title, text AS description FROM (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM conversations) WHERE place = 1"""
+
+
+@query("insert_repeated", f"SELECT id, turn, description AS text FROM ({_FIRST_TURNS_SQL})")
+def _(spark, sf):
+    """Every conversation id comes several times, from several files; the first turn is inserted."""
+    turns = parquet_scan(spark, _turn_files(spark, sf)).select(F.col("conv_id").alias("id"), "turn", "text")
+    path = fresh_path(spark, "inserted")
+    ensure_table(spark, path, turns.schema)
+    insert_into(path, turns, order_by="turn")
+    insert_into(path, turns, order_by="turn")  # all ids are there now
     return parquet_scan(spark, path)
 
 
+@query("insert_in_file_order", "SELECT doc_id AS id, source FROM documents")
+def _(spark, sf):
+    """A source without an order column: the rows of the first scan come before their changed copies."""
+    path, target = fresh_path(spark, "copies"), fresh_path(spark, "inserted")
+    docs = table(spark, sf, "documents", ["doc_id", "source"]).withColumnRenamed("doc_id", "id")
+    changed = docs.withColumn("source", F.lit("changed"))
+    both = docs.withColumn("n", F.lit(0)).unionByName(changed.withColumn("n", F.lit(1)))
+    both.write.partitionBy("n").parquet(path)  # the files of n=0 come first by path
+    rows = with_file_order(spark.read.parquet(path)).drop("n")
+    ensure_table(spark, target, docs.schema)
+    insert_into(target, rows, order_by="file_order", enrich=lambda fresh: fresh.drop("file_order"))
+    return parquet_scan(spark, target)
+
+
+def _turn_postings(turns):
+    """Turns as postings: the conversation is the id, so ids repeat."""
+    return turns.select(
+        F.col("conv_id").alias("id"), "turn", F.col("role").alias("title"), F.col("text").alias("description"), F.lit(None).cast("string").alias("location"),
+        F.expr("timestampadd(MINUTE, cast(turn AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("timestamp"))
+
+
+_TURNS_EMBEDDED_SQL = f"""
+    WITH firsts AS (
+        SELECT id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(turn) AS timestamp, title, description, NULL::VARCHAR AS location FROM ({_FIRST_TURNS_SQL})),
+    budgeted AS (SELECT id, timestamp, {truncated_sql('full_text', 1000)} AS job_info FROM (SELECT *, {POSTING_TEXT_SQL} AS full_text FROM firsts) {{where}}),
+    {embedded_sql('budgeted', 'job_info')}"""
+
+
+@query("embedding_repeated", _TURNS_EMBEDDED_SQL.replace("{where}", "WHERE id > 0"))
+def _(spark, sf):
+    stored, mark = fresh_path(spark, "embeddings"), fresh_path(spark, "mark")
+    embedding_run(spark, _turn_postings(parquet_scan(spark, _turn_files(spark, sf))), stored, mark, order_by="turn")
+    return embedded_rows(spark.read.parquet(stored), "job_info")
+
+
+@query("stream_repeated", _TURNS_EMBEDDED_SQL.replace("{where}", ""))
+def _(spark, sf):
+    path = _turn_files(spark, sf)
+    stream = _turn_postings(posting_stream(spark, path, spark.read.parquet(path).schema))
+    stored, checkpoint = fresh_path(spark, "stream-table"), fresh_path(spark, "stream-checkpoint")
+    embedding_stream(stream, stored, checkpoint, order_by="turn").awaitTermination()
+    return embedded_rows(spark.read.parquet(stored), "job_info")
+
+
 def _collection(spark, sf):
     path = fresh_path(spark, "collection")
-    rows = table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), F.col("text").alias("document"))
+    rows = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), F.col("text").alias("document"))
     turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("id"), F.col("text").alias("document"))
 
     def embed(added):
         return embed_column(added, "document")
 
-    collection_add(rows, path, embed)
-    collection_add(turns, path, embed)  # all ids are taken already
+    collection_add(rows, path, order_by="document", enrich=embed)
+    collection_add(turns, path, order_by="document", enrich=embed)  # all ids are taken already
     return path
 
 
-@query("document_collection", "SELECT doc_id AS id, text AS document FROM documents")
+@query("document_collection", f"""
+    WITH {hashed_sql(f"SELECT doc_id, {truncated_sql('text', 512)} AS text FROM documents", 'doc_id', 'text')}
+    SELECT d.doc_id AS id, md5(d.text) AS document_md5, h.pos, round(h.value, 6)::DOUBLE AS value
+    FROM documents d JOIN hashed h ON h.doc_id = d.doc_id""")
 def _(spark, sf):
-    return collection_get(spark, _collection(spark, sf), ("document",))
+    entries = collection_get(spark, _collection(spark, sf), ("document", "embedding"))
+    return embedded_rows(entries.withColumn("timestamp", F.lit(None)), "document").drop("timestamp")
 
 
 @query("collection_peek", "SELECT doc_id AS id, text AS document FROM documents ORDER BY doc_id LIMIT 10")
@@ -183,7 +254,7 @@ def _stats_sql(relation: str) -> str:
 def _(spark, sf):
     path = fresh_path(spark, "run-report")
     for name in ("documents", "conversations"):
-        stats = batch_stats(budget_tokens(table(spark, sf, name, ["text"], spread=True)))
+        stats = batch_stats(budget_tokens(table(spark, sf, name, ["text"])))
         run_report_append(stats.withColumn("ts", F.current_timestamp()), path)
     return run_report_scan(spark, path).select("batches", "tokens", "truncations", "mean_tokens", "cost")
 
@@ -193,29 +264,32 @@ def _(spark, sf):
     return rename_legacy_key(table(spark, sf, "embeddings").select(F.col("vec_id").alias("ids"), "label"))
 
 
-_EMBEDDED_SQL = f"""
-    SELECT id, {truncated_sql('full_text', 1000)} AS job_info, timestamp, 64::INTEGER AS dim
-    FROM (SELECT *, {POSTING_TEXT_SQL} AS full_text FROM ({POSTINGS_SQL}))"""
+def _embedded_sql(text: str, prefix: str, where: str = "") -> str:
+    return f"""
+    WITH budgeted AS (
+        SELECT id, {truncated_sql('full_text', 1000)} AS {text}, timestamp
+        FROM (SELECT *, {POSTING_TEXT_SQL} AS full_text FROM ({POSTINGS_SQL})) {where}),
+    {embedded_sql('budgeted', text, prefix)}"""
 
 
-@query("incremental_embedding", f"{_EMBEDDED_SQL} WHERE id > 0")
+@query("incremental_embedding", _embedded_sql("job_info", "query: ", "WHERE id > 0"))
 def _(spark, sf):
     """Two runs over the same source: the second finds nothing above the mark."""
     stored, mark = fresh_path(spark, "embeddings"), fresh_path(spark, "mark")
-    source = postings(spark, sf, spread=True)
-    embedding_run(spark, source, stored, mark)
-    embedding_run(spark, source, stored, mark)
-    return spark.read.parquet(stored).select("id", "job_info", "timestamp", F.size("embedding").alias("dim"))
+    source = postings(spark, sf)
+    embedding_run(spark, source, stored, mark, order_by="timestamp")
+    embedding_run(spark, source, stored, mark, order_by="timestamp")
+    return embedded_rows(spark.read.parquet(stored), "job_info")
 
 
-@query("api_embedding", _EMBEDDED_SQL.replace("job_info", "original"))
+@query("api_embedding", _embedded_sql("original", ""))
 def _(spark, sf):
     path = fresh_path(spark, "api-embeddings")
-    api_embedding_run(postings(spark, sf, spread=True), path, "parquet")
-    return spark.read.parquet(path).select("id", "original", "timestamp", F.size("embedding").alias("dim"))
+    api_embedding_run(postings(spark, sf), path, "parquet")
+    return embedded_rows(spark.read.parquet(path), "original")
 
 
-@query("embedding_stream", _EMBEDDED_SQL)
+@query("embedding_stream", _embedded_sql("job_info", "query: "))
 def _(spark, sf):
     documents = table(spark, sf, "documents")
     # As a pattern, because a stream takes a plain path for a directory only.
@@ -226,8 +300,8 @@ def _(spark, sf):
     )
     stored = fresh_path(spark, "stream-table")
     checkpoint = fresh_path(spark, "stream-checkpoint")
-    embedding_stream(stream, stored, checkpoint, partitions=small_input_tasks(documents)).awaitTermination()
-    return spark.read.parquet(stored).select("id", "job_info", "timestamp", F.size("embedding").alias("dim"))
+    embedding_stream(stream, stored, checkpoint, order_by="timestamp").awaitTermination()
+    return embedded_rows(spark.read.parquet(stored), "job_info")
 
 
 @query("budgeted_postings", f"""
@@ -235,4 +309,4 @@ def _(spark, sf):
         {N_TOKENS_SQL.format(text='full_text')} > 1000 AS truncated
     FROM (SELECT *, {POSTING_TEXT_SQL} AS full_text FROM ({POSTINGS_SQL}))""")
 def _(spark, sf):
-    return budgeted_postings(postings(spark, sf, spread=True))
+    return budgeted_postings(postings(spark, sf))

@@ -25,19 +25,19 @@ def _(spark, sf):
 
 @query("clean_text", "SELECT doc_id AS id, translate(text, '()'',', '') AS cleaned FROM documents")
 def _(spark, sf):
-    return postings(spark, sf, spread=True).select("id", clean_text("description").alias("cleaned"))
+    return postings(spark, sf).select("id", clean_text("description").alias("cleaned"))
 
 
 @query("nest_sections", " UNION ALL ".join(
     f"SELECT id, {i}::INTEGER AS pos, {section_sql(c, c)} AS section FROM ({POSTINGS_SQL})"
     for i, c in enumerate(("title", "location", "description"))))
 def _(spark, sf):
-    return postings(spark, sf, spread=True).select("id", F.posexplode(nest_sections()).alias("pos", "section"))
+    return postings(spark, sf).select("id", F.posexplode(nest_sections()).alias("pos", "section"))
 
 
 @query("join_sections", f"SELECT id, {POSTING_TEXT_SQL} AS text FROM ({POSTINGS_SQL})")
 def _(spark, sf):
-    return postings(spark, sf, spread=True).select("id", join_sections(nest_sections()).alias("text"))
+    return postings(spark, sf).select("id", join_sections(nest_sections()).alias("text"))
 
 
 @query("e5_prefix", """
@@ -49,26 +49,26 @@ def _(spark, sf):
 
 @query("token_count", f"SELECT doc_id AS id, {N_TOKENS_SQL.format(text='text')}::INTEGER AS n_tokens FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), token_count("text").alias("n_tokens"))
+    return table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), token_count("text").alias("n_tokens"))
 
 
 @query("truncate_tokens", f"""
     SELECT doc_id AS id, {truncated_sql('text', 1000)} AS text, {N_TOKENS_SQL.format(text='text')}::INTEGER AS n_tokens,
         {N_TOKENS_SQL.format(text='text')} > 1000 AS truncated FROM documents""")
 def _(spark, sf):
-    return budget_tokens(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text"))
+    return budget_tokens(table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text"))
 
 
 @query("word_count", r"SELECT doc_id AS id, len(regexp_extract_all(text, '\S+'))::INTEGER AS words FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), word_count("text").alias("words"))
+    return table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), word_count("text").alias("words"))
 
 
 @query("length_gate", r"""
     SELECT id, words, CASE WHEN words > 50 THEN 'summarise' ELSE 'pass' END AS gate
     FROM (SELECT doc_id AS id, len(regexp_extract_all(text, '\S+'))::INTEGER AS words FROM documents)""")
 def _(spark, sf):
-    return length_gate(table(spark, sf, "documents", ["doc_id", "text"], spread=True).select(F.col("doc_id").alias("id"), "text")).select("id", "words", "gate")
+    return length_gate(table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")).select("id", "words", "gate")
 
 
 # --- SQL twins of the language steps -----------------------------------------------------
@@ -154,7 +154,7 @@ def _detected_sql() -> str:
 
 
 def _documents(spark, sf):
-    return table(spark, sf, "documents", ["doc_id", "lang", "text"], spread=True).select(F.col("doc_id").alias("id"), "lang", "text")
+    return table(spark, sf, "documents", ["doc_id", "lang", "text"]).select(F.col("doc_id").alias("id"), "lang", "text")
 
 
 def _clean_tokens(spark, sf):

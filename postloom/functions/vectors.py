@@ -1,58 +1,29 @@
-"""Vector expressions, and the built-in hashing encoder."""
+"""The built-in hashing encoder as a column expression."""
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections.abc import Callable
-
-import numpy as np
 from pyspark.sql import Column, functions as F
 
-from postloom import hooks
-
-_WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
+_BLANKS = "\t\n\x0b\f\r"
 
 
-def hashing_encoder(dim: int = 64) -> hooks.EncoderFactory:
+def hashed_vector(text: Column, dim: int = 64, max_words: int | None = None) -> Column:
     """Word counts per hash bucket, scaled to unit length; a text without words gives zeros.
 
     A deterministic stand-in for a model, without weights to load. The bucket of a word is
-    the leading 32 bits of its MD5 modulo ``dim``; each task remembers recent words.
+    the leading 32 bits of its MD5 modulo ``dim``. Only the first ``max_words`` words count.
     """
-    def factory() -> Callable[[list[str]], list[np.ndarray]]:
-        buckets: dict[str, int] = {}
-
-        def bucket(word: str) -> int:
-            found = buckets.get(word)
-            if found is None:
-                if len(buckets) >= hooks.REMEMBERED_WORDS:
-                    buckets.clear()
-                found = buckets[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dim
-            return found
-
-        def encode(texts: list[str]) -> list[np.ndarray]:
-            vectors = []
-            for text in texts:
-                counts = np.bincount([bucket(w) for w in _WORD.findall(text or "")], minlength=dim).astype(np.float64)
-                length = np.sqrt((counts * counts).sum())
-                vectors.append(counts / length if length else counts)
-            return vectors
-
-        return encode
-
-    return factory
-
-
-def norm(vector) -> Column:
-    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
-
-
-def cosine(left, right) -> Column:
-    """Cosine of two array columns in double precision; NULL when a vector has no length."""
-    dot = F.aggregate(
-        F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double")),
-        F.lit(0.0), lambda acc, v: acc + v,
-    )
-    scale = norm(left) * norm(right)
-    return F.when(scale > 0, dot / scale)
+    words = F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _BLANKS, " " * len(_BLANKS)), " "), "")
+    if max_words is not None:
+        words = F.slice(words, 1, max_words)
+    buckets = F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % dim).cast("int"))
+
+    # A value in an array of one element has a name in the lambda, so it is computed once.
+    def counted(found: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.size(F.filter(found, lambda b: b == d)).cast("double"))
+
+    def scaled(counts: Column) -> Column:
+        length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, c: total + c * c))
+        return F.get(F.transform(F.array(length), lambda size: F.transform(counts, lambda c: F.when(size > 0, c / size).otherwise(0.0).cast("float"))), 0)
+
+    return F.get(F.transform(F.transform(F.array(buckets), counted), scaled), 0)

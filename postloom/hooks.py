@@ -16,7 +16,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 
 
 class Tokenizer(Protocol):
@@ -30,9 +30,6 @@ EncoderFactory = Callable[[], Callable[[list[str]], "list[list[float]]"]]
 CompletionFactory = Callable[[], Callable[[str], "str | dict"]]
 StemmerFactory = Callable[[], Callable[[str], str]]
 
-# Words that a task keeps results for before it starts over.
-REMEMBERED_WORDS = 500_000
-
 
 def tiktoken_tokenizer(model: str = "gpt-3.5-turbo") -> TokenizerFactory:
     """The byte-pair tokenizer of a model; the package fetches its vocabulary once per host."""
@@ -112,8 +109,9 @@ def complete_udf(factory: CompletionFactory, attempts: int = 5, backoff: float =
     Every call waits ``pause`` seconds first. A failed call is repeated up to ``attempts``
     times in all, waiting ``backoff ** n`` seconds after the n-th failure; the response is
     NULL when all of them failed. Calls of one task overlap in ``concurrency`` threads.
-    Write the result to a table before using it twice: recomputing it would call the
-    service again.
+    Write the result to a table before using it (``plans.summaries``): recomputing it would
+    call the service again. A request that keeps failing holds one of the threads for the
+    sum of the waits.
     """
     @F.pandas_udf(_COMPLETION)
     def complete(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -135,9 +133,3 @@ def complete_udf(factory: CompletionFactory, attempts: int = 5, backoff: float =
                 yield pd.DataFrame(list(pool.map(ask, requests)), columns=_COMPLETION.names)
 
     return complete.asNondeterministic()
-
-
-def complete_requests(requests: DataFrame, factory: CompletionFactory, key: str = "id", request_col: str = "request", **settings) -> DataFrame:
-    """``(key, attempts, response)`` for every request; ``settings`` as in ``complete_udf``."""
-    answered = requests.select(key, complete_udf(factory, **settings)(F.col(request_col)).alias("_answer"))
-    return answered.select(key, "_answer.attempts", "_answer.response")

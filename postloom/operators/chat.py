@@ -125,23 +125,20 @@ def summarise_with_fallback(
     first = parsed.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1")
     usable = first.select(F.col(key), F.col("summary").alias("_summary"), F.col("cost").alias("_cost"))
     gated = texts.withColumn("_long", is_long(text_col, min_words))
-    return _outcome(gated.join(usable, key, "left"), key, text_col)
+    return outcome(gated.join(usable, key, "left"), key, text_col)
 
 
 def is_long(text_col: str = "text", min_words: int = MIN_WORDS) -> Column:
     return F.coalesce(needs_summary(F.col(text_col), min_words), F.lit(False))
 
 
-def summarise_in_place(answered: DataFrame, model="gpt-3.5-turbo", key: str = "id", text_col: str = "text") -> DataFrame:
-    """The same result for rows that carry their own ``response`` (NULL for short texts).
-
-    The answer never leaves the row of its text, so there is no join.
-    """
-    parsed = parse_responses(answered.select(key, text_col, "_long", "response"), model)
-    return _outcome(parsed.withColumnRenamed("summary", "_summary").withColumnRenamed("cost", "_cost"), key, text_col)
+def request_key(request_col: str = "request") -> Column:
+    """What an answer is stored under: equal requests have one answer."""
+    return F.sha2(request_col, 256)
 
 
-def _outcome(df: DataFrame, key: str, text_col: str) -> DataFrame:
+def outcome(df: DataFrame, key: str = "id", text_col: str = "text") -> DataFrame:
+    """The result rows of texts that carry ``_long``, ``_summary`` and ``_cost``."""
     taken = F.col("_long") & F.col("_summary").isNotNull()
     return df.select(
         key,

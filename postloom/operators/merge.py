@@ -1,8 +1,10 @@
 """Keyed merges of new rows into an existing table.
 
 ``insert_ignore`` keeps the existing row of a key, ``append_keep_last`` the newest one.
-Both pick a winner per key with ``row_number() = 1``: Spark then drops the losers of
-each task before the shuffle, so a key with very many copies does not gather in one task.
+Which of several new rows counts as first or last is decided by columns that the caller
+names (``file_order`` of a scan gives the order of files and rows); a table has no order of
+its own. The winner of a key is ``row_number() = 1``: Spark drops the losers of each task
+before the shuffle, so a key with very many copies does not gather in one task.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from postloom.session import materialise
+# Files of a keyed table are grouped by this many hash buckets of the key.
+BUCKETS = 64
 
 
 def _one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -19,12 +22,11 @@ def _one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def _seq(df: DataFrame, order_by) -> tuple[DataFrame, list[str], list[str]]:
-    """Columns that give the row order; input position when the caller names none."""
-    if order_by:
-        names = [order_by] if isinstance(order_by, str) else list(order_by)
-        return df, names, []
-    return df.withColumn("_seq", F.monotonically_increasing_id()), ["_seq"], ["_seq"]
+def _names(order_by) -> list[str]:
+    names = [order_by] if isinstance(order_by, str) else list(order_by)
+    if not names:
+        raise ValueError("name the columns that order the rows of a key")
+    return names
 
 
 def _keys(df: DataFrame, key: str) -> DataFrame:
@@ -32,17 +34,15 @@ def _keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
-def first_per_key(df: DataFrame, key: str = "id", order_by=None) -> DataFrame:
-    df, names, extra = _seq(df, order_by)
-    return _one_per_key(df, key, [F.col(n).asc() for n in names]).drop(*extra)
+def first_per_key(df: DataFrame, key: str = "id", *, order_by) -> DataFrame:
+    return _one_per_key(df, key, [F.col(n).asc() for n in _names(order_by)])
 
 
-def last_per_key(df: DataFrame, key: str = "id", order_by=None) -> DataFrame:
-    df, names, extra = _seq(df, order_by)
-    return _one_per_key(df, key, [F.col(n).desc() for n in names]).drop(*extra)
+def last_per_key(df: DataFrame, key: str = "id", *, order_by) -> DataFrame:
+    return _one_per_key(df, key, [F.col(n).desc() for n in _names(order_by)])
 
 
-def fresh_rows(existing: DataFrame, new: DataFrame, key: str = "id", order_by=None) -> DataFrame:
+def fresh_rows(existing: DataFrame, new: DataFrame, key: str = "id", *, order_by) -> DataFrame:
     """The rows of ``new`` that an insert would add: first of each key, key not stored yet.
 
     The existing side is first cut to the keys that ``new`` contains. With a small
@@ -50,46 +50,34 @@ def fresh_rows(existing: DataFrame, new: DataFrame, key: str = "id", order_by=No
     is scanned for one column but never shuffled; otherwise it falls back to a shuffled
     join on the unique key.
     """
-    candidates = first_per_key(new, key, order_by)
+    candidates = first_per_key(new, key, order_by=order_by)
     clashes = existing.select(key).join(_keys(new, key), key, "left_semi")
     return candidates.join(clashes, key, "left_anti").select(*new.columns)
 
 
-def insert_ignore(existing: DataFrame, new: DataFrame, key: str = "id", order_by=None) -> DataFrame:
+def insert_ignore(existing: DataFrame, new: DataFrame, key: str = "id", *, order_by) -> DataFrame:
     """The table after inserting ``new``; rows of keys already present are ignored."""
-    added = fresh_rows(existing, new, key, order_by)
+    added = fresh_rows(existing, new, key, order_by=order_by)
     return existing.unionByName(added.select(*existing.columns))
 
 
-def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None, enrich: Callable[[DataFrame], DataFrame] | None = None) -> int:
+def insert_into(path: str, new: DataFrame, key: str = "id", *, order_by, enrich: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Append the fresh rows to the parquet table at ``path`` and return their number.
 
     ``enrich`` turns the surviving rows into rows of the table. Expensive columns belong
     there: they are computed once, and only for rows that are inserted.
 
-    Only keys are shuffled: the keys of ``new`` with their counts, and those of them that are
-    stored already, are written first. Their true sizes then decide between broadcast and
-    shuffled joins. The wide rows usually pass from scan to file; only rows of repeated keys
-    are ranked. ``new`` is read several times, mostly in one column.
-
-    The key range of ``new`` limits the scan of the stored table: keys mostly grow, so an
-    increment skips nearly all older files. Parquet has no unique index, so there must be a
-    single writer; running the same insert again adds nothing.
+    One plan without intermediate tables: the increment is shuffled by key once, to find
+    the first row of each key, and the same partitioning serves the anti-join with the
+    stored keys. The key range of ``new`` limits the scan of the stored keys: keys mostly
+    grow, so an increment skips nearly all older files. Parquet has no unique index, so
+    there must be a single writer; running the same insert again adds nothing.
     """
     low, high = new.agg(F.min(key), F.max(key)).first()
     if low is None:
         return 0
     stored = new.sparkSession.read.parquet(path).select(key).filter(F.col(key).between(low, high))
-    keys = materialise(new.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "new-keys")
-    clashes = materialise(stored.join(keys, key, "left_semi"), "clashing-keys")
-    repeated = materialise(keys.filter("_n > 1").select(key), "repeated-keys")
-
-    rows, names, _ = _seq(new, order_by)
-    fresh = rows.join(clashes, key, "left_anti")
-    if not repeated.isEmpty():
-        once = fresh.join(repeated, key, "left_anti")
-        fresh = once.unionByName(first_per_key(fresh.join(repeated, key, "left_semi"), key, names))
-    fresh = fresh.select(*new.columns)
+    fresh = first_per_key(new, key, order_by=order_by).join(stored, key, "left_anti").select(*new.columns)
     added = Observation()
     written = (enrich(fresh) if enrich else fresh).observe(added, F.count(F.lit(1)).alias("n"))
     written.write.mode("append").parquet(path)
@@ -98,7 +86,7 @@ def insert_into(path: str, new: DataFrame, key: str = "id", order_by=None, enric
 
 def insert_report(existing: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """``(initial_count, jobs_added, final_count)`` of the insert, in one job."""
-    added = fresh_rows(existing.select(key), new.select(key), key)
+    added = _keys(new, key).join(existing.select(key), key, "left_anti")
     sides = existing.select(F.lit(1).alias("old"), F.lit(0).alias("add")).unionByName(
         added.select(F.lit(0).alias("old"), F.lit(1).alias("add"))
     )
@@ -107,30 +95,47 @@ def insert_report(existing: DataFrame, new: DataFrame, key: str = "id") -> DataF
     return sides.agg(initial.alias("initial_count"), jobs_added.alias("jobs_added"), (initial + jobs_added).alias("final_count"))
 
 
-def append_keep_last(existing: DataFrame, new: DataFrame, key: str = "id", order_by=None, existing_unique: bool = False) -> DataFrame:
+def append_keep_last(existing: DataFrame, new: DataFrame, key: str = "id", *, order_by, existing_unique: bool = False) -> DataFrame:
     """The existing rows followed by the new ones, keeping the last row of each key.
 
     When the stored table is known to hold one row per key (it was written by this
     operator), ``existing_unique`` avoids ranking it again: stored rows of replaced keys
     are dropped by an anti-join and the rest passes through unshuffled if ``new`` is small.
-    Write the result to another path than the one being read.
     """
     if existing_unique:
         kept = existing.join(_keys(new, key), key, "left_anti").select(*existing.columns)
-        return kept.unionByName(last_per_key(new, key, order_by).select(*existing.columns))
-    new, names, extra = _seq(new, order_by)
-    old, old_names, old_extra = _seq(existing, order_by)
-    stacked = old.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
-    order = [F.col("_src").desc()] + [F.col(n).desc() for n in names]
+        return kept.unionByName(last_per_key(new, key, order_by=order_by).select(*existing.columns))
+    stacked = existing.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
+    order = [F.col("_src").desc()] + [F.col(n).desc() for n in _names(order_by)]
     return _one_per_key(stacked, key, order).select(*existing.columns)
 
 
-def update_table(path: str, new: DataFrame, key: str = "id", order_by=None) -> None:
-    """Keep the last row per key in the parquet table at ``path``, in place.
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(rows: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Replace the buckets that ``rows`` has, and no others."""
+    bucketed = rows.withColumn("bucket", _bucket(key, buckets)).repartition("bucket")
+    bucketed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def create_keyed_table(rows: DataFrame, path: str, key: str = "id", *, order_by, buckets: int = BUCKETS) -> None:
+    """A table with the last row of each key, in folders by hash bucket of the key."""
+    _write_buckets(last_per_key(rows, key, order_by=order_by), path, key, buckets)
+
+
+def read_keyed_table(df: DataFrame) -> DataFrame:
+    return df.drop("bucket")
+
+
+def update_table(path: str, new: DataFrame, key: str = "id", *, order_by, buckets: int = BUCKETS) -> None:
+    """Keep the last row per key in the keyed table at ``path``.
 
-    Spark cannot overwrite what it is reading, so the result is written to the shared
-    folder first; that copy remains if the job dies while the table is replaced.
+    Only the buckets of new keys are read and replaced. The stored side has one row per
+    key, so an anti-join merges it. A dynamic overwrite moves finished files into place
+    when the job commits; until then the old ones stay.
     """
-    existing = new.sparkSession.read.schema(new.schema).parquet(path)
-    staged = materialise(append_keep_last(existing, new, key, order_by), "updated")
-    staged.write.mode("overwrite").parquet(path)
+    touched = [row["bucket"] for row in new.select(_bucket(key, buckets).alias("bucket")).distinct().collect()]  # at most ``buckets``
+    stored = new.sparkSession.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*new.columns)
+    _write_buckets(append_keep_last(stored, new, key, order_by=order_by, existing_unique=True), path, key, buckets)

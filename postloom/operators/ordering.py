@@ -2,51 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from postloom.session import materialise
+# Rows that are looked at to cut a table into ranges, per range.
+SAMPLED_ROWS = 32
 
-# monotonically_increasing_id() holds the partition number above bit 33.
-_POSITION_BITS = 33
 
-
-def global_rank(df: DataFrame, order_by, rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order_by, rank_col: str = "rank", ranges: int | None = None) -> DataFrame:
     """Number the rows 1..n in the given order without gathering them in one task.
 
-    Rows are range-partitioned and sorted inside each partition; a row's rank is its
-    position there plus the rows of all earlier partitions. The sorted rows are written
-    once, because the range bounds are sampled and another evaluation could cut them
-    elsewhere. Input position breaks ties, so equal keys spread over partitions too. Sampling
-    reads the input twice; pass a stored table rather than an expensive plan. Without
-    ``partitions`` adaptive execution joins small neighbours.
+    The table is cut into ``ranges`` (by default the number of shuffle partitions) at fixed
+    bounds from a small sample, the rows with the smallest hashes. A row's rank is its
+    position in its range plus the rows of all earlier ranges; both scans that find the
+    bounds and the counts read the key columns only where the source allows it. The bounds
+    are literals, so every evaluation cuts alike and nothing has to be written. Rows with
+    equal keys are told apart by a hash of the whole row, so they spread over ranges; rows
+    that are equal in all columns take their ranks in any order.
     """
-    spark = df.sparkSession
     names = [order_by] if isinstance(order_by, str) else list(order_by)
-    bounds = [partitions] if partitions else []
-    ordered = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*bounds, *names, "_tie")
-        .sortWithinPartitions(*names, "_tie")
-        .drop("_tie")
-        .withColumn("_pos", F.monotonically_increasing_id())
-    )
-    stored = materialise(ordered, "ranked")
-    part = F.shiftright("_pos", _POSITION_BITS)
-    sizes = stored.groupBy(part.cast("int").alias("_part")).count().orderBy("_part").collect()  # one row per partition
-    offsets, before = [], 0
-    for row in sizes:
-        offsets.append((row["_part"], before))
-        before += row["count"]
-    lookup = spark.createDataFrame(offsets, "_part int, _before long")
-    return (
-        stored.withColumn("_part", part.cast("int"))
-        .join(F.broadcast(lookup), "_part")
-        .withColumn(rank_col, F.col("_before") + F.col("_pos").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1)
-        .select(*df.columns, rank_col)
-    )
-
-
-def chunk_rows(df: DataFrame, order_by, n: int, partitions: int | None = None) -> DataFrame:
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumn("_tie", F.xxhash64(*df.columns))
+    place = F.struct(*names, "_tie")
+    sample = keyed.select(place.alias("p")).orderBy("p._tie").limit(SAMPLED_ROWS * ranges).orderBy("p").collect()
+    bounds = [sample[i * len(sample) // ranges]["p"] for i in range(1, ranges)] if sample else []
+    ranged = keyed.withColumn("_range", _range_of(place, bounds, keyed.select(*names, "_tie").schema))
+    sizes = {row["_range"]: row["count"] for row in ranged.groupBy("_range").count().collect()}  # one row per range
+    before = [0]
+    for number in range(len(bounds)):
+        before.append(before[-1] + sizes.get(number, 0))
+    position = F.row_number().over(Window.partitionBy("_range").orderBy(*names, "_tie"))
+    earlier = F.get(F.lit(before).cast("array<bigint>"), F.col("_range"))
+    return ranged.withColumn(rank_col, earlier + position).select(*df.columns, rank_col)
+
+
+def _range_of(place: Column, bounds: list, schema: T.StructType) -> Column:
+    """How many bounds lie at or below a place."""
+    if not bounds:
+        return F.lit(0)
+    literals = F.array(*[F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(bound, schema)]) for bound in bounds])
+    return F.size(F.filter(literals, lambda bound: bound <= place))
+
+
+def chunk_rows(df: DataFrame, order_by, n: int, ranges: int | None = None) -> DataFrame:
     """Add ``chunk`` (0, 1, ...) and ``idx`` (position in the chunk) for chunks of ``n`` rows.
 
     Needed where the chunk number itself matters; encoder hooks cut their own chunks.
@@ -54,7 +51,7 @@ def chunk_rows(df: DataFrame, order_by, n: int, partitions: int | None = None) -
     if n < 1:
         raise ValueError("the chunk size must be positive")
     return (
-        global_rank(df, order_by, "_rank", partitions)
+        global_rank(df, order_by, "_rank", ranges)
         .withColumn("chunk", F.expr(f"(_rank - 1) div {n}"))
         .withColumn("idx", F.expr(f"cast((_rank - 1) % {n} AS int)"))
         .drop("_rank")

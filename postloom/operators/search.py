@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,20 +12,19 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from postloom import hooks
 from postloom.functions.text import e5_prefix
 from postloom.operators.embedding import embed_column
-from postloom.session import materialise
 
-# Queries that every task may hold at once (50 MB at 768 dimensions); larger sets are cut
-# into blocks.
-BROADCAST_QUERIES = 8192
-BLOCK_POSTINGS = 20_000
+# Bytes of query vectors that are shipped to the tasks at once.
+BLOCK_BYTES = 50 << 20
 # Scores that a task holds at once (32 MB of doubles).
 SCORE_CELLS = 4_000_000
+# Parts into which the candidates of a query are ranked before the last ranking.
+SALTS = 32
 
 
-def query_vector(queries: DataFrame, text_col: str = "text", encoder: hooks.EncoderFactory | None = None, dim: int = 64) -> DataFrame:
-    """Add ``embedding`` of the text prefixed as a query."""
+def query_vector(queries: DataFrame, text_col: str = "text", encoder: hooks.EncoderFactory | None = None, dim: int = 64, **limits) -> DataFrame:
+    """Add ``embedding`` of the text prefixed as a query; ``limits`` as in ``embed_column``."""
     prefixed = queries.withColumn("_input", e5_prefix(text_col, "query"))
-    return embed_column(prefixed, "_input", "embedding", encoder, dim).drop("_input")
+    return embed_column(prefixed, "_input", "embedding", encoder, dim, **limits).drop("_input")
 
 
 def query_vector_of(spark: SparkSession, text: str, encoder: hooks.EncoderFactory | None = None, dim: int = 64) -> DataFrame:
@@ -38,7 +37,10 @@ def _unit_rows(vectors: pa.ListArray) -> np.ndarray:
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
     if len(lengths) and (lengths != lengths[0]).any():
         raise ValueError("vectors of one column must have the same dimension")
-    matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lengths), -1)
+    return _unit(vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lengths), -1))
+
+
+def _unit(matrix: np.ndarray) -> np.ndarray:
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
     with np.errstate(invalid="ignore", divide="ignore"):
         return matrix / norms
@@ -83,70 +85,52 @@ _CANDIDATES = T.StructType([
 ])
 
 
-def nearest_postings(
-    postings: DataFrame,
-    queries: DataFrame,
-    k: int = 10,
-    digits: int = 6,
-    broadcast_queries: int = BROADCAST_QUERIES,
-    block_postings: int = BLOCK_POSTINGS,
-) -> DataFrame:
+def nearest_postings(postings: DataFrame, queries: DataFrame, k: int = 10, digits: int = 6, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` most similar postings of every query, exactly.
 
     ``postings`` has ``(id, embedding)``, ``queries`` has ``(query_id, embedding)``; scores
-    are cosines rounded to ``digits``, equal scores rank by id. Up to ``broadcast_queries``
-    query vectors are shipped to the tasks, each of which scans its postings once with a
-    matrix product and keeps ``k`` rows per query. More queries are cut into blocks that
-    meet blocks of postings. Either way only per-task winners are shuffled.
+    are cosines rounded to ``digits``, equal scores rank by id. Query vectors pass through
+    the driver in blocks of at most ``block_bytes``; each block is shipped to the tasks,
+    which scan their postings with a matrix product and keep ``k`` rows per query. Only
+    these are shuffled, and ranked in parts before the last ranking, so one query with
+    very many tasks does not meet in one task whole.
     """
     vectors = queries.select(F.col("query_id").cast("long").alias("query_id"), "embedding").filter("embedding IS NOT NULL")
     table = postings.select(F.col("id").cast("long").alias("id"), "embedding").filter("embedding IS NOT NULL")
-    head = vectors.limit(broadcast_queries + 1).toArrow()  # bounded by the limit
-    if not len(head):
+    blocks = [_scan_candidates(table, ids, matrix, k, digits) for ids, matrix in _query_blocks(vectors, block_bytes)]
+    if not blocks:
         return queries.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
-    if len(head) <= broadcast_queries:
-        candidates = _scan_candidates(table, head, k, digits)
-    else:
-        stored = materialise(vectors, "queries")  # an encoder must not run once per use
-        blocks = ceil(postings.count() / block_postings)
-        candidates = _block_candidates(table, stored, k, digits, broadcast_queries, max(blocks, 1))
-    window = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
-
-
-def _scan_candidates(table: DataFrame, queries: pa.Table, k: int, digits: int) -> DataFrame:
-    query_ids = queries.column("query_id").to_numpy()
-    shared = table.sparkSession.sparkContext.broadcast(_unit_rows(queries.column("embedding").combine_chunks()))
+    candidates = reduce(DataFrame.unionByName, blocks)
+    best = [F.desc("score"), F.asc("id")]
+    salted = candidates.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    part = salted.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_salt").orderBy(*best))).filter(F.col("_r") <= k)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*best))
+    return part.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
+def _query_blocks(vectors: DataFrame, block_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors of the queries, in blocks; the plan of the queries runs once."""
+    ids: list[int] = []
+    rows: list[np.ndarray] = []
+    for row in vectors.toLocalIterator():
+        vector = np.asarray(row["embedding"], dtype=np.float64)
+        if rows and (len(rows) + 1) * vector.nbytes > block_bytes:
+            yield np.array(ids), _unit(np.stack(rows))
+            ids, rows = [], []
+        ids.append(row["query_id"])
+        rows.append(vector)
+    if rows:
+        yield np.array(ids), _unit(np.stack(rows))
+
+
+def _scan_candidates(table: DataFrame, query_ids: np.ndarray, matrix: np.ndarray, k: int, digits: int) -> DataFrame:
+    shared = table.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries = shared.value
         best: dict = {}
         for batch in batches:
-            _merge_batch(best, shared.value, batch.column("id").to_numpy(), batch.column("embedding"), k, digits)
-        yield from _candidates(best, query_ids).to_batches()
+            _merge_batch(best, queries, batch.column("id").to_numpy(), batch.column("embedding"), k, digits)
+        yield from _candidates(best, ids).to_batches()
 
     return table.mapInArrow(run, _CANDIDATES)
-
-
-def _block_candidates(table: DataFrame, vectors: DataFrame, k: int, digits: int, query_block: int, posting_blocks: int) -> DataFrame:
-    """Every block of queries meets every block of postings in one bounded group.
-
-    Blocks come from a hash of the unique ids, so their sizes are even. A group holds one
-    block of each side and emits ``k`` rows per query.
-    """
-    query_blocks = ceil(vectors.count() / query_block)
-    left = vectors.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).withColumn(
-        "pb", F.explode(F.sequence(F.lit(0), F.lit(posting_blocks - 1)))
-    )
-    right = table.withColumn("pb", F.pmod(F.xxhash64("id"), F.lit(posting_blocks)).cast("int")).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))
-    )
-
-    def meet(asked: pa.Table, offered: pa.Table) -> pa.Table:
-        best: dict = {}
-        query_ids = asked.column("query_id").to_numpy()
-        if len(asked) and len(offered):
-            queries, vectors = (side.column("embedding").combine_chunks() for side in (asked, offered))
-            _merge_batch(best, _unit_rows(queries), offered.column("id").to_numpy(), vectors, k, digits)
-        return _candidates(best, query_ids)
-
-    return left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInArrow(meet, _CANDIDATES)

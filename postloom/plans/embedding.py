@@ -13,6 +13,7 @@ from postloom.operators.embedding import API_CHUNK, assemble_embeddings, embed_c
 from postloom.operators.merge import insert_into
 from postloom.operators.stats import MAX_TOKENS, batch_stats, budget_tokens
 from postloom.sources.collection import collection_add
+from postloom.schemas import POSTING_COLUMNS
 from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import csv_sink, ensure_table, parquet_sink, run_report_append, table_exists
 from postloom.sources.watermark import commit_watermark, read_watermark
@@ -41,6 +42,8 @@ def embedding_run(
     source: DataFrame,
     table_path: str,
     watermark_path: str,
+    *,
+    order_by,
     max_tokens: int = MAX_TOKENS,
     kind: str = "query",
     dim: int = 64,
@@ -50,18 +53,22 @@ def embedding_run(
 ) -> InsertReport:
     """Embed the postings above the watermark, insert them, then commit the new mark.
 
+    Of several postings with one id the first by ``order_by`` is stored.
+
     Keys that the table holds already are dropped first, so the encoder sees only rows that
     will be stored, and each of them once. The mark moves only after the insert: a run that
     dies in between repeats its rows, and the insert ignores those already stored. Without
     new rows nothing is written. The report covers all rows above the mark.
     """
     started = time.monotonic()
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    columns = list(dict.fromkeys([*POSTING_COLUMNS, *order]))
     mark = read_watermark(spark, watermark_path)
     upper = watermark_advance(incremental_scan(source, mark), mark).first()["max_id"]
     if upper == mark:
         stored = _stored_rows(spark, table_path)
         return InsertReport(stored, 0, stored, time.monotonic() - started, mark)
-    rows = incremental_scan(source, mark, upper)
+    rows = incremental_scan(source, mark, upper, columns)
     if report_path:
         stats = batch_stats(budgeted_postings(rows, max_tokens, tokenizer))
         run_report_append(stats.withColumn("ts", F.current_timestamp()), report_path)
@@ -71,7 +78,7 @@ def embedding_run(
 
     ensure_table(spark, table_path, embed(rows).schema)
     initial = _stored_rows(spark, table_path)
-    added = insert_into(table_path, rows, enrich=embed)
+    added = insert_into(table_path, rows, order_by=order_by, enrich=embed)
     commit_watermark(spark, watermark_path, upper)
     return InsertReport(initial, added, initial + added, time.monotonic() - started, upper)
 
@@ -80,6 +87,8 @@ def api_embedding_run(
     postings: DataFrame,
     path: str,
     sink: str = "parquet",
+    *,
+    order_by=None,
     encoder: hooks.EncoderFactory | None = None,
     max_tokens: int = MAX_TOKENS,
     dim: int = 64,
@@ -87,10 +96,14 @@ def api_embedding_run(
 ) -> None:
     """Embed the unprefixed texts and store them; the watermark does not move.
 
-    ``sink`` is ``parquet`` (with the timestamp), ``csv`` (without it) or ``collection``.
+    ``sink`` is ``parquet`` (with the timestamp), ``csv`` (without it) or ``collection``,
+    which adds the first row of each new id by ``order_by``.
     """
     if sink not in ("parquet", "csv", "collection"):
         raise ValueError(f"unknown sink {sink!r}")
+    if sink == "collection" and order_by is None:
+        raise ValueError("name the columns that order the rows of an id")
+
     def embed(rows: DataFrame) -> DataFrame:
         texts = budgeted_postings(rows, max_tokens, tokenizer).select("id", F.col("text").alias("original"), "timestamp")
         return embed_column(texts, "original", "embedding", encoder, dim, API_CHUNK)
@@ -100,4 +113,4 @@ def api_embedding_run(
     elif sink == "csv":
         csv_sink(embed(postings), path, ("id", "original", "embedding"))
     else:
-        collection_add(postings, path, enrich=lambda rows: embed(rows).withColumnRenamed("original", "document"))
+        collection_add(postings, path, order_by=order_by, enrich=lambda rows: embed(rows).withColumnRenamed("original", "document"))

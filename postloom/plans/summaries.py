@@ -5,13 +5,15 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from postloom import hooks
-from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, is_long, request_json, summarise_in_place
-from postloom.operators.stats import cost_total
-from postloom.session import materialise
-from postloom.sources.tables import run_report_append
+from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, is_long, outcome, parse_responses, request_json, request_key
+from postloom.sources.tables import ensure_table, run_report_append
+
+ANSWERS = "key string, summary string, prompt_tokens int, completion_tokens int, cost double"
+# Requests that are answered before their answers are stored.
+WAVE_REQUESTS = 10_000
 
 
 @dataclass(frozen=True)
@@ -21,9 +23,34 @@ class SummaryRun:
     seconds: float
 
 
+def answer_requests(requests: DataFrame, call, answers_path: str, model: str, wave_requests: int = WAVE_REQUESTS) -> float:
+    """Ask what the table at ``answers_path`` has no usable answer to; the cost of this run.
+
+    ``requests (key, request)`` may repeat: each key is asked once. Answers are parsed and
+    appended in waves of about ``wave_requests``, so a run that dies loses one wave, and the
+    next run asks only for the rest. Failed requests are stored without a summary and asked
+    again by a later run.
+    """
+    spark = requests.sparkSession
+    ensure_table(spark, answers_path, spark.createDataFrame([], ANSWERS).schema)
+    usable = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").select("key")
+    todo = requests.groupBy("key").agg(F.first("request").alias("request")).join(usable, "key", "left_anti")
+    waves = -(-todo.select("key").count() // wave_requests)
+    total = 0.0
+    for wave in range(waves):
+        part = todo.filter(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
+        answered = part.select("key", call(F.col("request")).alias("_answer")).select("key", "_answer.response")
+        parsed = parse_responses(answered, model).select("key", "summary", F.col("prompt_tokens").cast("int"), F.col("completion_tokens").cast("int"), "cost")
+        cost = Observation()
+        parsed.observe(cost, F.sum(F.col("cost").cast("decimal(20,3)")).alias("cost")).write.mode("append").parquet(answers_path)
+        total += float(cost.get["cost"] or 0)
+    return total
+
+
 def summary_run(
     texts: DataFrame,
     completion: hooks.CompletionFactory,
+    answers_path: str,
     kind: str = "job",
     model: str | None = None,
     instructions: str | None = None,
@@ -32,25 +59,28 @@ def summary_run(
     pause: float = 0.5,
     concurrency: int = 8,
     report_path: str | None = None,
+    wave_requests: int = WAVE_REQUESTS,
 ) -> SummaryRun:
-    """Summaries of ``texts (id, text)`` with their cost.
+    """Summaries of ``texts (id, text)``; ``total_cost`` is what this run paid.
 
-    Only texts that pass the length gate reach the service: they are filtered before the
-    call, since a conditional expression would not keep a Python call from running. The
-    answers are written beside their texts once, so nothing is joined or shuffled;
-    ``summaries`` reads from there and is ready for a sink.
+    Only texts that pass the length gate reach the service, equal ones once, and none that
+    the answer table at ``answers_path`` holds already. ``summaries`` joins the texts to
+    that table and is ready for a sink.
     """
     started = time.monotonic()
+    spark = texts.sparkSession
     model = model or REQUEST_KINDS[kind]["model"]
     call = hooks.complete_udf(completion, attempts, backoff, pause, concurrency)
-    asked = request_json(build_requests(texts.filter(is_long()), kind, "text", instructions, model))
-    answered = asked.select("id", "text", F.lit(True).alias("_long"), call(F.col("request")).alias("_answer"))
-    staged = materialise(answered.select("id", "text", "_long", "_answer.response"), "answers")
-    short = texts.filter(~is_long()).select("id", "text", F.lit(False).alias("_long"), F.lit(None).cast("string").alias("response"))
-    summaries = summarise_in_place(staged.unionByName(short), model)
-    total = cost_total(summarise_in_place(staged, model)).first()["total_cost"]  # short texts cost nothing
+    asked = request_json(build_requests(texts.select("id", "text"), kind, "text", instructions, model))
+    # Short texts have keys of their own, so that they spread over the tasks of the join.
+    keyed = asked.select("id", "text", "request", is_long().alias("_long")).withColumn(
+        "key", F.when(F.col("_long"), request_key()).otherwise(F.concat(F.lit("short "), F.xxhash64("id").cast("string"))))
+    total = answer_requests(keyed.filter("_long").select("key", "request"), call, answers_path, model, wave_requests)
+    answers = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").dropDuplicates(["key"])
+    answers = answers.select("key", F.col("summary").alias("_summary"), F.col("cost").alias("_cost"))
+    summaries = outcome(keyed.drop("request").join(answers, "key", "left"))
     seconds = time.monotonic() - started
     if report_path:
-        totals = texts.sparkSession.createDataFrame([(total, seconds)], "total_cost double, seconds double")
+        totals = spark.createDataFrame([(total, seconds)], "total_cost double, seconds double")
         run_report_append(totals.withColumn("ts", F.current_timestamp()), report_path)
     return SummaryRun(summaries, total, seconds)

@@ -76,24 +76,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_input_tasks(df: DataFrame, max_bytes: int = 1 << 30, bytes_per_task: int = 1 << 18) -> int | None:
-    """How many tasks to deal a small input out to; None for one above ``max_bytes``.
-
-    A small file tends to be a single row group, which one task must read alone. A larger
-    input is split by its files already. The size is the optimizer's estimate.
-    """
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if estimate > max_bytes:
-        return None
-    return max(1, min(df.sparkSession.sparkContext.defaultParallelism, estimate // bytes_per_task))
-
-
-def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
-    """Give a small input enough tasks for work that is heavy per row."""
-    tasks = small_input_tasks(df, max_bytes)
-    return df if tasks is None or tasks == 1 else df.repartition(tasks)
-
-
 def ship_packages(spark: SparkSession, *names: str) -> None:
     """Send the source of packages to the executors, whose hooks import them.
 

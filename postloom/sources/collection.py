@@ -16,16 +16,17 @@ def _open(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def collection_add(rows: DataFrame, path: str, enrich: Callable[[DataFrame], DataFrame] | None = None) -> None:
+def collection_add(rows: DataFrame, path: str, *, order_by, enrich: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Create the collection if needed and add the rows whose id it does not hold yet.
 
+    Of several rows with one id the first by ``order_by`` is added.
     ``enrich`` makes the document and its embedding from the rows that are added.
     """
     def entries(added: DataFrame) -> DataFrame:
         return (enrich(added) if enrich else added).select(*COLLECTION_COLUMNS)
 
     ensure_table(rows.sparkSession, path, entries(rows).schema)
-    insert_into(path, rows, key="id", enrich=entries)
+    insert_into(path, rows, key="id", order_by=order_by, enrich=entries)
 
 
 def collection_peek(spark: SparkSession, path: str, n: int = 10) -> DataFrame:

@@ -21,6 +21,15 @@ def parquet_scan(spark: SparkSession, path: str, columns=None) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
+def with_file_order(scan: DataFrame, column: str = "file_order") -> DataFrame:
+    """Add the place of each row of a file scan: its file, then its row there.
+
+    A fixed order that no partitioning changes, for merges of sources without a column
+    that orders their rows.
+    """
+    return scan.withColumn(column, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+
+
 def parquet_sink(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 

@@ -33,6 +33,8 @@ def insert_stream(
     table_path: str,
     checkpoint: str,
     key: str = "id",
+    *,
+    order_by,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Insert-ignore every micro-batch into a parquet table, then stop when caught up.
@@ -43,7 +45,7 @@ def insert_stream(
     """
     def store(batch: DataFrame, _: int) -> None:
         ensure_table(batch.sparkSession, table_path, (enrich(batch) if enrich else batch).schema)
-        insert_into(table_path, batch, key, enrich=enrich)
+        insert_into(table_path, batch, key, order_by=order_by, enrich=enrich)
 
     return (
         rows.writeStream.foreachBatch(store)
@@ -57,19 +59,18 @@ def embedding_stream(
     postings: DataFrame,
     table_path: str,
     checkpoint: str,
+    *,
+    order_by,
     max_tokens: int = MAX_TOKENS,
     kind: str = "query",
     dim: int = 64,
     encoder: hooks.EncoderFactory | None = None,
-    partitions: int | None = None,
 ) -> StreamingQuery:
     """Format, budget and embed a posting stream and insert it into the embedding table.
 
-    ``partitions`` deals out the rows of each micro-batch, for sources with few row groups.
+    Of the rows of a micro-batch with one id the first by ``order_by`` is inserted.
     """
-    if partitions:
-        postings = postings.repartition(partitions)
     def embed(rows: DataFrame) -> DataFrame:
         return assemble_embeddings(budgeted_postings(rows, max_tokens), encoder, kind, dim)
 
-    return insert_stream(postings, table_path, checkpoint, enrich=embed)
+    return insert_stream(postings, table_path, checkpoint, order_by=order_by, enrich=embed)

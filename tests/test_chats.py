@@ -1,14 +1,16 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from postloom.hooks import complete_requests
+from postloom.hooks import complete_udf
 from postloom.operators import chat
 from postloom.operators.matching import category_rank, match_prompt, match_results
 from postloom.operators.sections import CV_SECTION_LABELS, split_summary_sections
 from postloom.plans.matching import eligible_postings, prompts_for_cvs
 from postloom.plans.summaries import summary_run
+from postloom.session import fresh_path
 
 LONG = "word " * 51
 
@@ -69,7 +71,7 @@ def flaky_service():
 
 def test_summary_run_retries_and_falls_back(spark):
     texts = spark.createDataFrame([(1, LONG), (2, "tiny"), (3, LONG + "broken")], "id long, text string")
-    run = summary_run(texts, flaky_service, backoff=0.0, pause=0.0)
+    run = summary_run(texts, flaky_service, fresh_path(spark, "answers"), backoff=0.0, pause=0.0)
     rows = {r["id"]: r for r in run.summaries.collect()}
     assert {i: r["status"] for i, r in rows.items()} == {1: "ok", 2: "short", 3: "failed"}
     assert rows[3]["summary"] == LONG + "broken"
@@ -78,7 +80,35 @@ def test_summary_run_retries_and_falls_back(spark):
 
 def test_attempts_are_bounded(spark):
     requests = spark.createDataFrame([(1, '{"messages": [{}, {"content": "broken"}]}')], "id long, request string")
-    assert complete_requests(requests, flaky_service, attempts=4, backoff=0.0, pause=0.0).first()["attempts"] == 4
+    call = complete_udf(flaky_service, attempts=4, backoff=0.0, pause=0.0)
+    assert requests.select(call(F.col("request")).alias("a")).first()["a"]["attempts"] == 4
+
+
+def test_answers_are_paid_once(spark, tmp_path):
+    asked, failing = spark.sparkContext.accumulator(0), str(tmp_path / "failing")
+    texts = spark.createDataFrame([(i, f"{LONG} {i % 30}") for i in range(60)], "id long, text string")
+
+    def service():
+        def call(request):
+            if os.path.exists(failing) and "17" in json.loads(request)["messages"][1]["content"]:
+                os._exit(1)  # the worker dies, not just the call
+            asked.add(1)
+            return {"choices": [{"message": {"content": "Title: ok"}}], "usage": {"prompt_tokens": 1000, "completion_tokens": 500}}
+
+        return call
+
+    answers = fresh_path(spark, "answers")
+    open(failing, "w").close()
+    with pytest.raises(Exception):
+        summary_run(texts, service, answers, pause=0.0, wave_requests=6)
+    stored = spark.read.parquet(answers).count()
+    os.remove(failing)
+    run = summary_run(texts, service, answers, pause=0.0, wave_requests=6)
+    assert {r["status"] for r in run.summaries.collect()} == {"ok"} and run.summaries.count() == 60
+    assert spark.read.parquet(answers).count() == 30 and run.total_cost == pytest.approx(0.003 * (30 - stored), abs=1e-9)
+    before = asked.value
+    again = summary_run(texts, service, answers, pause=0.0)
+    assert asked.value == before and again.total_cost == 0 and again.summaries.count() == 60
 
 
 def test_match_results_order(spark):

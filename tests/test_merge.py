@@ -1,10 +1,11 @@
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from postloom.operators.merge import append_keep_last, fresh_rows, insert_ignore, insert_into, insert_report
+from postloom.operators.merge import append_keep_last, create_keyed_table, first_per_key, fresh_rows, insert_ignore, insert_into, insert_report, read_keyed_table, update_table
 from postloom.session import fresh_path
-from postloom.sources.tables import append_tables, ensure_table
+from postloom.sources.tables import append_tables, ensure_table, with_file_order
 
 SCHEMA = "id long, seq long, body string"
 ROWS = st.lists(st.tuples(st.integers(0, 8), st.integers(0, 99)), max_size=25)
@@ -41,11 +42,42 @@ def test_merges_match_a_row_by_row_model(spark, old, new):
         assert sorted((r["id"], r["body"]) for r in kept.collect()) == expected
 
 
-def test_input_order_decides_without_an_order_column(spark):
-    new = spark.createDataFrame([(1, 0, "first"), (1, 0, "second"), (2, 0, "only")], SCHEMA).coalesce(1)
-    empty = spark.createDataFrame([], SCHEMA)
-    assert {r["id"]: r["body"] for r in insert_ignore(empty, new).collect()} == {1: "first", 2: "only"}
-    assert {r["id"]: r["body"] for r in append_keep_last(empty, new).collect()} == {1: "second", 2: "only"}
+def test_an_order_is_required(spark):
+    new = frame(spark, [(1, 1)], "n")
+    with pytest.raises(TypeError):
+        insert_ignore(new, new)
+    with pytest.raises(ValueError):
+        insert_ignore(new, new, order_by=[])
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_winners_do_not_depend_on_partitions(spark, partitions):
+    pairs = [(i % 50, n) for n, i in enumerate(range(600))]
+    rows = frame(spark, pairs, "n").repartition(partitions)
+    path = fresh_path(spark, "table")
+    ensure_table(spark, path, rows.schema)
+    assert insert_into(path, rows, order_by="seq") == 50
+    assert {r["id"]: r["seq"] for r in spark.read.parquet(path).collect()} == {i: i for i in range(50)}
+
+
+def test_file_order(spark):
+    path = fresh_path(spark, "files")
+    for part in ([(1, 0, "first"), (2, 1, "x")], [(1, 2, "second")] * 500):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    rows = with_file_order(spark.read.parquet(path))
+    order = sorted({r["file_order"]["file_path"] for r in rows.collect()})
+    winner = {r["id"]: r["body"] for r in first_per_key(rows.repartition(7), order_by="file_order").collect()}
+    assert winner[1] == ("first" if rows.filter(f"file_order.file_path = '{order[0]}'").filter("id = 2").count() else "second")
+
+
+def test_update_touches_only_its_buckets(spark):
+    path = fresh_path(spark, "keyed")
+    create_keyed_table(frame(spark, [(i, 0) for i in range(40)] + [(3, 9)], "o"), path, order_by="seq", buckets=8)
+    before = {f for f in spark.read.parquet(path).inputFiles()}
+    update_table(path, frame(spark, [(3, 5), (3, 6), (100, 1)], "n"), order_by="seq", buckets=8)
+    stored = {r["id"]: r["body"] for r in read_keyed_table(spark.read.parquet(path)).collect()}
+    assert len(stored) == 41 and stored[3] == "n6" and stored[100] == "n1" and stored[4] == "o0"
+    assert len(before & {f for f in spark.read.parquet(path).inputFiles()}) >= 5
 
 
 def test_insert_into_is_idempotent(spark):

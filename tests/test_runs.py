@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from postloom.__main__ import main
 from postloom.plans import embedding as runs
 from postloom.schemas import POSTINGS, RUN_REPORT
-from postloom.session import fresh_path, materialise, shared_dir, small_input_tasks, spread_small
+from postloom.session import fresh_path, materialise, shared_dir
 from postloom.sources.collection import collection_count, collection_peek
 from postloom.sources.jdbc import jdbc_options, jdbc_write_options, vector_text
 from postloom.sources.postings import incremental_scan, watermark_advance
@@ -42,7 +42,7 @@ def test_watermark_versions(spark):
 
 def test_embedding_run_repeats_safely(spark, monkeypatch):
     table, mark, report = (fresh_path(spark, n) for n in ("table", "mark", "report"))
-    first = runs.embedding_run(spark, postings(spark, 1, 2), table, mark, dim=8, report_path=report)
+    first = runs.embedding_run(spark, postings(spark, 1, 2), table, mark, order_by="timestamp", dim=8, report_path=report)
     assert (first.initial_count, first.jobs_added, first.final_count, first.max_id) == (0, 2, 2, 2)
 
     def dies(*_):
@@ -51,12 +51,12 @@ def test_embedding_run_repeats_safely(spark, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(runs, "commit_watermark", dies)
         with pytest.raises(RuntimeError):
-            runs.embedding_run(spark, postings(spark, 1, 2, 3), table, mark, dim=8)
+            runs.embedding_run(spark, postings(spark, 1, 2, 3), table, mark, order_by="timestamp", dim=8)
     assert read_watermark(spark, mark) == 2
 
-    again = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, dim=8, report_path=report)
+    again = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, order_by="timestamp", dim=8, report_path=report)
     assert (again.initial_count, again.jobs_added, again.final_count, again.max_id) == (3, 1, 4, 4)
-    idle = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, dim=8)
+    idle = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, order_by="timestamp", dim=8)
     assert (idle.jobs_added, idle.final_count, idle.max_id) == (0, 4, 4)
 
     stored = spark.read.parquet(table)
@@ -78,10 +78,10 @@ def test_encoder_sees_only_rows_that_are_inserted(spark):
 
         return encode
 
-    runs.embedding_run(spark, postings(spark, 1, 2, 3, 3), table, mark, encoder=factory)
+    runs.embedding_run(spark, postings(spark, 1, 2, 3, 3), table, mark, order_by="timestamp", encoder=factory)
     assert texts.value == 3
     commit_watermark(spark, mark, 0)  # read everything again
-    report = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, encoder=factory)
+    report = runs.embedding_run(spark, postings(spark, 1, 2, 3, 4), table, mark, order_by="timestamp", encoder=factory)
     assert (report.jobs_added, texts.value) == (1, 4)
 
 
@@ -89,11 +89,11 @@ def test_api_run_sinks(spark):
     source = postings(spark, 1, 2)
     paths = {sink: fresh_path(spark, sink) for sink in ("parquet", "csv", "collection")}
     for sink, path in paths.items():
-        runs.api_embedding_run(source, path, sink, dim=4)
+        runs.api_embedding_run(source, path, sink, order_by="timestamp", dim=4)
     assert spark.read.parquet(paths["parquet"]).columns == ["id", "original", "embedding", "timestamp"]
     rows = csv_scan(spark, paths["csv"], "id long, original string, embedding string").collect()
     assert len(json.loads(rows[0]["embedding"])) == 4
-    runs.api_embedding_run(postings(spark, 2, 3), paths["collection"], "collection", dim=4)
+    runs.api_embedding_run(postings(spark, 2, 3), paths["collection"], "collection", order_by="timestamp", dim=4)
     assert collection_count(spark, paths["collection"]).first()["n"] == 3
     assert [r["id"] for r in collection_peek(spark, paths["collection"], 2).collect()] == [1, 2]
     with pytest.raises(ValueError):
@@ -114,7 +114,7 @@ def test_stream_takes_late_low_ids(spark):
     for batch in ((5, 6), (1, 6)):  # id 1 arrives late, id 6 again
         rows = postings(spark, *batch).select(*[F.col(f.name).cast(f.dataType) for f in POSTINGS.fields])
         rows.coalesce(1).write.mode("append").parquet(source)
-        embedding_stream(posting_stream(spark, source, POSTINGS, max_files=1), table, checkpoint, dim=4).awaitTermination()
+        embedding_stream(posting_stream(spark, source, POSTINGS, max_files=1), table, checkpoint, order_by="timestamp", dim=4).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == [1, 5, 6]
 
 
@@ -137,13 +137,6 @@ def test_shared_folder(spark):
     assert materialise(spark.range(3), "three").count() == 3
 
 
-def test_spreading_depends_on_size(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert small_input_tasks(docs, bytes_per_task=1) == spark.sparkContext.defaultParallelism
-    assert small_input_tasks(docs, max_bytes=10) is None
-    assert spread_small(docs, max_bytes=10) is docs
-
-
 def test_command_line(spark, capsys):
     source, table, mark, flat = (fresh_path(spark, n) for n in ("source", "table", "mark", "flat"))
     postings(spark, 3, 4).write.parquet(source)
