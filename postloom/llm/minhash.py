@@ -2,10 +2,10 @@
 
 Every whole text is a set of word shingles. Equal sets are grouped by a 128-bit digest and
 stand for one another as their smallest key from then on. Sets meet in a bucket when all
-values of a band agree. In a bucket only pairs with a hub are candidates; they are confirmed
-on the full sets. While the members of a bucket that were no hub yet lie in more than one
-component, it gets more hubs, so no link between different sets of a bucket is lost, and
-pairs whose members are connected already are never made.
+values of a band agree. In a bucket the pairs with its hub are candidates, which are
+confirmed on the full sets. Buckets whose members are in one component by then are done. In
+the others the members are compared in blocks of bounded size: no pair is made there but
+the links that full sets confirm, and no link between different sets of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from postloom.llm.common import HashedWords, bitmap_of, in_bitmap, mixed, pick
 from postloom.llm.components import connected_components
@@ -29,6 +29,8 @@ BINS = BANDS * ROWS
 _ATTEMPTS = 1024
 # Where an empty bin looks for a value: a fixed random sequence of bins for each bin.
 DONORS = (mixed(np.arange(1, BINS * _ATTEMPTS + 1, dtype=np.uint64)) % np.uint64(BINS)).astype(np.int64).reshape(BINS, _ATTEMPTS)
+# Sets of a bucket that are compared at once.
+BLOCK = 256
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,19 +126,22 @@ def _full_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.filter(F.col("key").isNotNull()).select("key", "text", F.xxhash64("key").alias("hash")).mapInArrow(sets, f"key {kind}, hashes binary")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two full sets, sorted, reach the similarity."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")  # merges two sorted runs
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``(a, b)`` whose full sets are similar enough."""
     kind = pairs.schema["a"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            similar = []
-            for one, two in zip(batch.column("hashes_a"), batch.column("hashes_b")):
-                x, y = np.frombuffer(one.as_py(), np.uint64), np.frombuffer(two.as_py(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")  # merges two sorted runs
-                common = int((both[1:] == both[:-1]).sum())
-                similar.append(100 * common >= percent * (len(x) + len(y) - common))
+            sides = zip(batch.column("hashes_a"), batch.column("hashes_b"))
+            similar = [_similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
     left, right = sets.select(F.col("key").alias("a"), F.col("hashes").alias("hashes_a")), sets.select(F.col("key").alias("b"), F.col("hashes").alias("hashes_b"))
@@ -186,33 +191,87 @@ def _links(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     fame = shared.groupBy("set").agg(F.sum("size").alias("fame"))
     shared = materialise(shared.drop("size").join(fame, "set"), "bucket-fame")
     sets = materialise(_full_sets(rows, fame.select(F.col("set").alias("key"))), "full-sets")
-    active = shared.withColumn("component", F.col("set"))
-    first = F.max(F.struct("fame", "set", "n", "component")).alias("h")
-    hubs = materialise(active.groupBy("bucket").agg(first).select("bucket", "h.*"), "hubs")
-    used = tried = links = None
-    more = 1
-    while True:
-        hub = hubs.select("bucket", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        met = active.join(hub, "bucket").filter((F.col("c_a") != F.col("component")) & _may_be_similar(F.col("n"), F.col("n_a"), percent))
-        pairs = met.select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "candidate-pairs")
-        found = materialise(_confirmed(pairs, sets, percent), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        spent = hubs.select("bucket", "set")
-        used = spent if used is None else used.unionByName(spent)
-
-        labels = connected_components(links).withColumnRenamed("node", "set")
-        left = shared.join(used, ["bucket", "set"], "left_anti").join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
-        mixed_buckets = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-        active = materialise(left.join(mixed_buckets.select("bucket"), "bucket"), "open-buckets")
-        if active.isEmpty():
-            return links
-        order = Window.partitionBy("bucket").orderBy(F.desc("fame"), F.desc("set"))
-        hubs = materialise(active.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= more).drop("_r"), "hubs")
-        more *= 2
+    hubs = shared.groupBy("bucket").agg(F.max(F.struct("fame", "set", "n")).alias("h")).select("bucket", F.col("h.set").alias("hub"), F.col("h.n").alias("n_hub"))
+    star = shared.join(hubs, "bucket").filter((F.col("set") != F.col("hub")) & _may_be_similar(F.col("n"), F.col("n_hub"), percent))
+    pairs = materialise(star.select(F.least("hub", "set").alias("a"), F.greatest("hub", "set").alias("b")).distinct(), "candidate-pairs")
+    links = materialise(_confirmed(pairs, sets, percent), "star-links")
+
+    labels = connected_components(links).withColumnRenamed("node", "set")
+    labelled = shared.join(labels, "set", "left").select("bucket", "set", F.coalesce("component", "set").alias("component"))
+    several = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    # A bucket of two sets is done: one of them was the hub.
+    open_buckets = labelled.join(several.filter("size > 2").select("bucket", "size"), "bucket")
+    return links.unionByName(materialise(_block_links(open_buckets, sets, percent), "block-links"))
+
+
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join components within the buckets ``(bucket, size, set, component)``.
+
+    A bucket is dealt out to blocks of about BLOCK sets, and each two of its blocks meet in
+    a group of their own, so a group is bounded however large a bucket is.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("set", "bucket"), blocks).cast("int")
+    dealt = members.select("bucket", "set", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    placed = dealt.select("bucket", "set", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    kind = members.schema["set"].dataType.simpleString()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, group = None, []
+        for batch in batches:
+            found: list = []
+            for bucket, low, high, own, key, component, hashes in zip(*(batch.column(c) for c in ("bucket", "low", "high", "own", "set", "component", "hashes"))):
+                here = (bucket.as_py(), low.as_py(), high.as_py())
+                if here != place:
+                    found += _group_links(group, percent)
+                    place, group = here, []
+                group.append((own.as_py() == here[1], own.as_py() == here[2], key.as_py(), component.as_py(), np.frombuffer(hashes.as_py(), np.uint64)))
+            yield _pair_batch(found, batch.schema.field("set").type)
+        if group:
+            yield _pair_batch(_group_links(group, percent), batch.schema.field("set").type)
+
+    met = placed.join(sets.withColumnRenamed("key", "set"), "set").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return met.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
+
+
+def _pair_batch(pairs: list, kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], ["a", "b"])
+
+
+def _group_links(group: list, percent: int) -> list[tuple]:
+    """Confirmed links between the two blocks of a group, ``(in first, in second, key, component, hashes)``.
+
+    Pairs of one component are passed over, as are pairs that a link of this group has
+    joined, pairs of unlike sizes, and pairs whose signatures agree in fewer bins than six
+    standard deviations below what the similarity makes expect.
+    """
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    share = percent / 100
+    least = int(BINS * (share - 6 * (share * (1 - share) / BINS) ** 0.5))
+    signatures = np.stack([signature(member[4]) for member in group]) if group else None
+    sizes = np.array([len(member[4]) for member in group])
+    second = np.array([member[1] for member in group], dtype=bool)
+    same = any(member[0] and member[1] for member in group)
+    found = []
+    for i, (in_first, _, key, component, hashes) in enumerate(group):
+        if not in_first:
+            continue
+        likely = second & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])) & ((signatures == signatures[i]).sum(axis=1) >= least)
+        if same:
+            likely[:i + 1] = False
+        for j in np.flatnonzero(likely).tolist():
+            _, _, other, other_component, other_hashes = group[j]
+            mine, theirs = find(component), find(other_component)
+            if mine != theirs and key != other and _similar(hashes, other_hashes, percent):
+                root[mine] = theirs
+                found.append((min(key, other), max(key, other)))
+    return found
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
