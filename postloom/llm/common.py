@@ -57,7 +57,7 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
 class HashedWords(dict):
     """64-bit hashes of words, remembered for a bounded number of different words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 

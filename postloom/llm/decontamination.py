@@ -36,7 +36,7 @@ PLACE = {kind: np.uint64(xxhash.xxh3_64_intdigest(name) & ~7) for kind, name in
 class TypedTokens(dict):
     """Hashes of lower-cased tokens with their kind, remembered for a bounded number of tokens."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 

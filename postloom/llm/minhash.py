@@ -169,9 +169,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     kind = rows.schema["key"].dataType.simpleString()
     digests = materialise(rows.mapInArrow(_digest, f"key {kind}, n bigint, high bigint, low bigint, bands array<bigint>"), "shingle-digests")
     linkable = F.col("key").isNotNull() & (F.col("n") > 0)
-    groups = digests.filter(linkable).groupBy("high", "low").agg(F.min("key").alias("set"))
-    members = materialise(
-        digests.filter(linkable).join(groups, ["high", "low"]).select("key", "n", "set", F.when(F.col("key") == F.col("set"), F.col("bands")).alias("bands")), "set-members")
+    # Only sets that occur more than once are joined, from a table, so that Spark can split a
+    # set with very many copies over tasks.
+    copied = digests.filter(linkable).groupBy("high", "low").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    known = digests.filter(linkable).join(materialise(copied, "copied-sets"), ["high", "low"], "left").withColumn("set", F.coalesce("first", "key"))
+    members = materialise(known.select("key", "n", "set", F.when(F.col("key") == F.col("set"), F.col("bands")).alias("bands")), "set-members")
 
     links = _links(rows, members, percent)
     component = F.coalesce("component", "set")
