@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from postloom.llm.common import mixed, pick
 
-# Cells of the sketch that is stored as the fingerprint; a retry takes four times as many.
-BASE_CELLS, GROWTH = 16, 4
-HASHES = 3
+# Cells of the sketch that is stored as the fingerprint, and digests' places in a sketch.
+BASE_CELLS, HASHES = 16, 3
 PARAGRAPH = re.compile(r"[^\n.!?]+[.!?]*")
 PARAGRAPH_CHARS = 160
 # Rows for one task when documents are put in order.
@@ -52,15 +51,21 @@ class Sketch:
     checks: np.ndarray
 
     @classmethod
-    def of(cls, digests: np.ndarray, cells: int) -> "Sketch":
-        counts, sums, checks = np.zeros(cells, np.int32), np.zeros(cells, np.uint64), np.zeros(cells, np.uint32)
-        if len(digests):
-            at, check = _places(digests, cells), _checks(digests)
-            counts += np.bincount(at, minlength=cells).astype(np.int32)
-            np.bitwise_xor.at(sums, at, np.tile(digests, HASHES))
-            np.bitwise_xor.at(checks, at, np.tile(check, HASHES))
+    def of(cls, digests: np.ndarray, cells: int, signs: np.ndarray | None = None) -> "Sketch":
+        """The sketch of digests, each counted once or by its sign."""
+        if not len(digests):
+            return cls(np.zeros(cells, np.int64), np.zeros(cells, np.uint64), np.zeros(cells, np.uint32))
+        at, sums, checks = _places(digests, cells), np.zeros(cells, np.uint64), np.zeros(cells, np.uint32)
+        counts = np.bincount(at, None if signs is None else _thrice(signs), cells).astype(np.int64)
+        np.bitwise_xor.at(sums, at, _thrice(digests))
+        np.bitwise_xor.at(checks, at, _thrice(_checks(digests)))
         return cls(counts, sums, checks)
 
+    @classmethod
+    def of_difference(cls, first: np.ndarray, second: np.ndarray, cells: int) -> "Sketch":
+        """``of(first).minus(of(second))``, made at once."""
+        return cls.of(np.concatenate((first, second)), cells, np.repeat([1, -1], [len(first), len(second)]))
+
     def minus(self, other: "Sketch") -> "Sketch":
         return Sketch(self.counts - other.counts, self.digests ^ other.digests, self.checks ^ other.checks)
 
@@ -72,87 +77,90 @@ class Sketch:
     def parse(cls, text: str) -> "Sketch":
         data = base64.b64decode(text)
         cells = len(data) // 16
-        return cls(np.frombuffer(data, "<i4", cells), np.frombuffer(data, "<u8", cells, 4 * cells), np.frombuffer(data, "<u4", cells, 12 * cells))
-
-    def peel(self) -> tuple[list[int], list[int]] | None:
-        """Digests of the first side only and of the second only; None if cells stay entangled."""
-        cells = len(self.counts)
-        counts, sums, checks = self.counts.tolist(), self.digests.tolist(), self.checks.tolist()
-        sides: tuple[list[int], list[int]] = ([], [])
-        single = np.flatnonzero(np.abs(self.counts) == 1)
-        ready = single[_checks(self.digests[single]) == self.checks[single]].tolist()
-        while ready:
-            cell = ready.pop()
-            sign, digest = counts[cell], sums[cell]
-            if abs(sign) != 1 or _check(digest) != checks[cell]:
-                continue
-            sides[0 if sign == 1 else 1].append(digest)
-            check = checks[cell]
-            for at in _place(digest, cells):
-                counts[at] -= sign
-                sums[at] ^= digest
-                checks[at] ^= check
-                if counts[at] in (1, -1):
-                    ready.append(at)
-        return None if any(counts) or any(sums) or any(checks) else sides
-
-
-MASK = (1 << 64) - 1
-
-
-def _mix(h: int) -> int:
-    """``common.mixed`` for one number."""
-    h ^= h >> 33
-    h = h * 0xFF51AFD7ED558CCD & MASK
-    h ^= h >> 33
-    h = h * 0xC4CEB9FE1A85EC53 & MASK
-    return h ^ h >> 33
-
-
-def _place(digest: int, cells: int) -> list[int]:
-    """One cell in each of HASHES parts of the table."""
-    h, part = _mix(digest ^ cells), cells // HASHES
-    return [j * part + (h >> 21 * j & 0x1FFFFF) * (part if j < HASHES - 1 else cells - 2 * part) // 0x200000 for j in range(HASHES)]
+        return cls(np.frombuffer(data, "<i4", cells).astype(np.int64), np.frombuffer(data, "<u8", cells, 4 * cells), np.frombuffer(data, "<u4", cells, 12 * cells))
 
+    def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """Digests of the first side only and of the second only; None if cells stay entangled.
+
+        All cells that hold one digest are emptied at once, round by round.
+        """
+        counts, sums, checks = self.counts.copy(), self.digests.copy(), self.checks.copy()
+        found, signs = [], []
+        for _ in range(len(counts) + 1):
+            single = np.flatnonzero(np.abs(counts) == 1)
+            single = single[_checks(sums[single]) == checks[single]]
+            if not len(single):
+                break
+            digests, first = np.unique(sums[single], return_index=True)
+            sign, at = counts[single][first], _places(digests, len(counts))
+            found.append(digests)
+            signs.append(sign)
+            np.subtract.at(counts, at, _thrice(sign))
+            np.bitwise_xor.at(sums, at, _thrice(digests))
+            np.bitwise_xor.at(checks, at, _thrice(_checks(digests)))
+        if counts.any() or sums.any() or checks.any():
+            return None
+        digests, sign = np.concatenate(found or [sums[:0]]), np.concatenate(signs or [counts[:0]])
+        return digests[sign > 0], digests[sign < 0]
 
-def _places(digests: np.ndarray, cells: int) -> np.ndarray:
-    h, part = mixed(digests ^ np.uint64(cells)), cells // HASHES
-    widths = [part if j < HASHES - 1 else cells - 2 * part for j in range(HASHES)]
-    return np.concatenate([
-        (j * part + ((h >> np.uint64(21 * j) & np.uint64(0x1FFFFF)) * np.uint64(widths[j]) >> np.uint64(21)).astype(np.int64)) for j in range(HASHES)])
 
+_SHIFTS = np.array([[0], [21], [42]], dtype=np.uint64)
 
-def _check(digest: int) -> int:
-    return digest * 0x9E3779B97F4A7C15 >> 32 & 0xFFFFFFFF
+
+def _thrice(values: np.ndarray) -> np.ndarray:
+    """The values once for each part of the table."""
+    return np.concatenate((values,) * HASHES)
+
+
+def _places(digests: np.ndarray, cells: int) -> np.ndarray:
+    """One cell for each digest in each of HASHES parts of the table, part after part."""
+    h, part = mixed(digests ^ np.uint64(cells)), cells // HASHES
+    shares = h >> _SHIFTS & np.uint64(0x1FFFFF)
+    widths = np.array([[part], [part], [cells - 2 * part]], dtype=np.uint64)
+    return ((shares * widths >> np.uint64(21)).view(np.int64) + np.array([[0], [part], [2 * part]])).ravel()
 
 
 def _checks(digests: np.ndarray) -> np.ndarray:
     return ((digests * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
-def difference(first: np.ndarray, second: np.ndarray, cells: int = BASE_CELLS) -> tuple[list[int], list[int], int]:
+@dataclass
+class Fingerprint:
+    """The paragraph digests of a document and the sketch of them that is stored."""
+
+    digests: np.ndarray
+    base: Sketch
+
+    @classmethod
+    def of(cls, text: str) -> "Fingerprint":
+        digests = paragraph_digests(text)
+        return cls(digests, Sketch.of(digests, BASE_CELLS))
+
+
+def difference(first: Fingerprint, second: Fingerprint) -> tuple[np.ndarray, np.ndarray, int]:
     """Digests that only one of two documents has, and the cells that were needed.
 
-    Tries the stored size first; a sketch that cannot be peeled is made again, larger. The
-    places of digests change with the size, so two digests that met everywhere part.
+    Tries the stored sketches first. If their difference cannot be peeled, larger ones are
+    made: twice as many cells as both have digests, and twice as many again each time. The
+    places of digests change with the size, so digests that met everywhere part.
     """
-    while True:
-        sides = Sketch.of(first, cells).minus(Sketch.of(second, cells)).peel()
-        if sides is not None:
-            return *sides, cells
-        cells *= GROWTH
+    cells, sides = BASE_CELLS, first.base.minus(second.base).peel()
+    while sides is None:
+        cells = 2 * max(cells, len(first.digests) + len(second.digests))
+        sides = Sketch.of_difference(first.digests, second.digests, cells).peel()
+    return *sides, cells
 
 
-def likeness(first: np.ndarray, second: np.ndarray) -> float:
+def likeness(first: Fingerprint, second: Fingerprint) -> float:
     """Jaccard similarity of the paragraphs, from the peeled difference; 1 for two empty texts."""
     only_first, only_second, _ = difference(first, second)
-    union = len(first) + len(only_second)
-    return 1.0 if union == 0 else (len(first) - len(only_first)) / union
+    union = len(first.digests) + len(only_second)
+    return 1.0 if union == 0 else (len(first.digests) - len(only_first)) / union
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [Sketch.of(paragraph_digests(value.as_py() or ""), BASE_CELLS).text() for value in batch.column("text")]
+        found = [Fingerprint.of(value.as_py() or "").base.text() for value in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.string())], ["key", "fingerprint"])
 
 
@@ -177,24 +185,26 @@ def with_successor(df: DataFrame, key: str, text: str, rows_per_block: int = ROW
     bounds = np.unique(np.array(rows.approxQuantile("key", [i / blocks for i in range(1, blocks)], error), dtype=np.float64))
     last = np.iinfo(np.int64).max
 
+    def numbers(keys: pd.Series, no_key: pd.Series) -> np.ndarray:
+        return np.where(no_key, len(bounds) + 1, np.searchsorted(bounds, keys.astype("float64"), side="right"))
+
     @F.pandas_udf(T.LongType())
-    def block_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.where(keys.isna(), len(bounds) + 1, np.searchsorted(bounds, keys.astype("float64"), side="right")))
+    def block_of(keys: pd.Series, no_key: pd.Series) -> pd.Series:
+        return pd.Series(numbers(keys, no_key))
 
-    known = F.coalesce(F.col("key").cast("long"), F.lit(last))
-    keyed = rows.select(known.alias("key"), F.col("key").isNull().alias("no_key"))
-    firsts = keyed.groupBy(block_of(F.when(~F.col("no_key"), F.col("key"))).alias("block")).agg(F.min("key").alias("first")).orderBy("block").collect()
+    # A null key stands behind all others; without nulls the functions see whole numbers.
+    keyed = rows.withColumn("no_key", F.col("key").isNull()).withColumn("known", F.coalesce(F.col("key").cast("long"), F.lit(last)))
+    firsts = keyed.select("known", "no_key").groupBy(block_of("known", "no_key").alias("block")).agg(F.min("known").alias("first")).orderBy("block").collect()
     previous = {row["block"]: firsts[i - 1]["block"] for i, row in enumerate(firsts)}
     first = {row["block"]: row["first"] for row in firsts}
 
     @F.pandas_udf("own bigint, before bigint")
-    def place(keys: pd.Series) -> pd.DataFrame:
-        own = np.where(keys.isna(), len(bounds) + 1, np.searchsorted(bounds, keys.astype("float64"), side="right"))
-        numbers = keys.fillna(last).astype("int64")
-        before = [previous[b] if first[b] == k else None for b, k in zip(own.tolist(), numbers.tolist())]
+    def place(keys: pd.Series, no_key: pd.Series) -> pd.DataFrame:
+        own = numbers(keys, no_key)
+        before = [previous[b] if first[b] == k else None for b, k in zip(own.tolist(), keys.tolist())]
         return pd.DataFrame({"own": own, "before": pd.array(before, dtype="Int64")})
 
-    placed = rows.withColumn("_at", place(F.col("key").cast("long")))
+    placed = keyed.withColumn("_at", place("known", "no_key"))
     copies = F.array_compact(F.array(
         F.struct(F.col("_at.own").alias("block"), F.lit(False).alias("tail")),
         F.when(F.col("_at.before").isNotNull(), F.struct(F.col("_at.before").alias("block"), F.lit(True).alias("tail")))))
@@ -212,7 +222,7 @@ RESULT = "key bigint, n_chars bigint, edited_sha256 string, fingerprint string,
 
 def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document against its edited text and its successor; two documents are held at a time."""
-    block = key = text = digests = None
+    block = key = text = own = None
     done = True  # the block's tail was seen
     names = [part.split()[0] for part in RESULT.split(", ")]
 
@@ -222,15 +232,14 @@ def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             next_key, next_text, next_block, tail = next_key.as_py(), next_text.as_py() or "", next_block.as_py(), tail.as_py()
             if next_block == block and done:
                 continue  # further rows with the key of the next block's first
-            next_digests = paragraph_digests(next_text)
+            following = Fingerprint.of(next_text)
             if next_block == block:
                 changed = edited(text, next_text)
-                changed_digests = paragraph_digests(changed)
+                other = Fingerprint.of(changed)
                 out.append((
                     key, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
-                    Sketch.of(digests, BASE_CELLS).text(), Sketch.of(changed_digests, BASE_CELLS).text(),
-                    likeness(digests, changed_digests), likeness(digests, next_digests)))
-            block, key, text, digests, done = next_block, next_key, next_text, next_digests, tail
+                    own.base.text(), other.base.text(), likeness(own, other), likeness(own, following)))
+            block, key, text, own, done = next_block, next_key, next_text, following, tail
         kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
         columns = list(zip(*out)) or [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, kinds[part.split()[1]]) for c, part in zip(columns, RESULT.split(", "))], names)
