@@ -16,7 +16,7 @@ from postloom.session import materialise
 WINDOW = 5
 # Characters that are split into tokens at once.
 BLOCK_CHARS = 1 << 20
-TOKEN = re.compile(r"[^\W_]+(?:[.,]\d+)*|[.!?\n]")
+TOKEN = re.compile(r"[^\W_]+(?:[.,]\d+)*|[.!?]")
 BREAK = re.compile(r"\s")
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -44,7 +44,7 @@ class TypedTokens(dict):
         if len(self) >= self.limit:
             self.clear()
         lower = token.lower()
-        kind = END if token in ".!?\n" else NUMBER if token[0].isdigit() else CAPITAL if token[0] != lower[0] else WORD
+        kind = END if token in ".!?" else NUMBER if token[0].isdigit() else CAPITAL if token[0] != lower[0] else WORD
         value = (xxhash.xxh3_64_intdigest(lower.encode("utf-8", "surrogatepass")) & ~7) | kind | (4 if lower in UNITS else 0)
         self[token] = value
         return value
