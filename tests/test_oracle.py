@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.registry import QUERIES
 from tests.check_oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, connection, name):
     df = queries()[name](spark, SF_DIR)
     sql = oracle_sql().get(name)
