@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # 2 ** 24 bits: 2 MiB wherever a bitmap goes, however large the set that it stands for.
 BITMAP_BITS = 24
@@ -23,6 +23,19 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return numbered.select(*[F.col(f"_{df.columns.index(name)}").alias(new) for new, name in columns.items()])
 
 
+def hashed_sample(df: DataFrame, group: str, key: str, limit: int, counts: dict) -> DataFrame:
+    """About ``limit`` rows of each group, never more: those whose keys have the smallest hashes.
+
+    ``counts`` has the rows of each group. Rows beyond twice the expected hash leave where
+    they are read, so a group that is most of the table does not gather in one task.
+    """
+    draw = F.shiftrightunsigned(F.xxhash64(key), 11) / float(1 << 53)
+    bound = F.element_at(F.create_map(*[F.lit(x) for g, n in counts.items() for x in (g, min(1.0, 2.0 * limit / n))]), F.col(group)) if counts else F.lit(1.0)
+    near = df.withColumn("_draw", draw).filter(F.col("_draw") <= bound)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_draw", key))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank", "_draw")
+
+
 def bitmap_of(keys: Column, df: DataFrame) -> np.ndarray:
     """A bitmap of the top bits of 64-bit hash keys, built by an aggregate.
 

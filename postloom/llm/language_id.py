@@ -10,9 +10,9 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import pick
+from postloom.llm.common import hashed_sample, pick
 
 FEATURES = 2048
 # The machines are fitted on at most this many labelled documents, shared by the languages.
@@ -143,17 +143,18 @@ def fit_languages(df: DataFrame, key: str = "doc_id", text: str = "text", lang:
     """Learn from a bounded sample of the labelled rows that are not held out.
 
     Per language the keys with the smallest hashes are taken, at most ``training_rows``
-    divided by the number of languages (at least one). The sample's keys are chosen from a
+    divided by the number of languages. The sample's keys are chosen from a
     narrow scan and are broadcast, being bounded; the driver gets the feature vectors (8 KB
     each). Rows without text, letters or language are not learned from.
     """
     rows = pick(df, key=key, text=text, lang=lang).filter(~held_out(F.col("key")) & F.col("lang").isNotNull())
     narrow = rows.select("key", "lang")
-    languages = narrow.groupBy("lang").count().count()
-    if not languages:
+    counts = {r["lang"]: r["count"] for r in narrow.groupBy("lang").count().limit(training_rows + 1).collect()}
+    if not counts:
         return LanguageModel({}, np.zeros((0, FEATURES + 1)), {})
-    window = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = narrow.withColumn("_r", F.row_number().over(window)).filter(F.col("_r") <= max(1, training_rows // languages)).select("key").distinct()
+    if len(counts) > training_rows:
+        raise ValueError(f"more than {training_rows} languages; raise training_rows")
+    chosen = hashed_sample(narrow, "lang", "key", training_rows // len(counts), counts).select("key").distinct()
     sample = rows.join(F.broadcast(chosen), "key", "left_semi").filter(F.col("text").rlike(r"\p{L}"))
     pairs = sample.select("lang", "text").mapInArrow(_features, "lang string, vector binary").toPandas().sort_values(["lang", "vector"])
     if not len(pairs):

@@ -6,9 +6,9 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import pick
+from postloom.llm.common import hashed_sample, pick
 from postloom.session import materialise
 
 DOMAINS = ("good", "poor", "toxic")
@@ -76,8 +76,7 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     priors = [math.log((counts.get(d, 0) + 1) / (total + len(DOMAINS))) for d in DOMAINS]
     if not total:
         return DomainModel(DOMAINS, priors)
-    by_hash = Window.partitionBy("domain").orderBy(F.xxhash64("key"), "key")
-    sample = marked.withColumn("_r", F.row_number().over(by_hash)).filter(F.col("_r") <= training_rows).drop("_r")
+    sample = hashed_sample(marked, "domain", "key", training_rows, counts)
     texts = pick(documents, key=key, text=text).join(F.broadcast(sample), "key")
     seen = materialise(texts.select("domain", F.array_distinct(word_list(F.col("text"))).alias("words")), "training-words")
     sizes = {r["domain"]: r["n"] for r in seen.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
