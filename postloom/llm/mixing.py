@@ -20,6 +20,7 @@ TRAINING_ROWS = 2_000
 TELLING_WORDS, LEAST_Z, LEAST_LIFT = 200, 5.0, 4.0
 # Steps after which the rates are written, so that a row's work does not grow with the steps.
 STEPS_PER_WRITE = 8
+NEVER = -1e6
 SEPARATORS = ".,;:?()\"\n\t\r\f\x0b"
 
 
@@ -68,14 +69,16 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     The sample holds, per domain, the ``training_rows`` labelled keys with the smallest
     hashes; it is the only bounded thing here, and being bounded it is broadcast to the
     scan of the documents. Priors count all labelled rows. Without labelled rows every
-    domain is equally likely. Labels that are null, or of a null key, are left out.
+    domain is equally likely, and a domain without labelled rows has no documents otherwise.
+    Labels that are null, or of a null key, are left out.
     """
     marked = pick(labels, key=key, quality=quality, toxic=toxic).select("key", label_domain(F.col("quality"), F.col("toxic")).alias("domain")).dropna()
     counts = {r["domain"]: r["n"] for r in marked.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
-    priors = [math.log((counts.get(d, 0) + 1) / (total + len(DOMAINS))) for d in DOMAINS]
     if not total:
-        return DomainModel(DOMAINS, priors)
+        return DomainModel(DOMAINS, [0.0] * len(DOMAINS))
+    # A domain without labelled rows has no posterior, so no targets are sought through it.
+    priors = [math.log(counts[d] / total) if d in counts else NEVER for d in DOMAINS]
     sample = hashed_sample(marked, "domain", "key", training_rows, counts)
     texts = pick(documents, key=key, text=text).join(F.broadcast(sample), "key")
     seen = materialise(texts.select("domain", F.array_distinct(word_list(F.col("text"))).alias("words")), "training-words")
@@ -129,8 +132,8 @@ def fit_rates(members: DataFrame, weights: Mapping[str, float], model: DomainMod
     """Nonnegative rates per document whose expected domain token totals match targets.
 
     ``members`` has ``n_tokens`` and ``p`` (posteriors). Targets divide a total by
-    ``weights``; the total is such that the domain of the largest weight is used
-    ``epochs`` times. Minimises ``sum_d (s_d - T_d)^2 / A_d`` over rates ``r >= 0``, where
+    ``weights``; the total is such that the domain of the largest weight, of those that
+    have tokens, is used ``epochs`` times. Minimises ``sum_d (s_d - T_d)^2 / A_d`` over rates ``r >= 0``, where
     ``s_d`` is the expected total ``sum_i r_i n_i p_id`` and ``A_d`` the total at rates 1.
     In the metric of the token counts the Hessian is a stochastic matrix, so a unit step
     converges. A step is one aggregate over the narrow table: it returns one number per
@@ -148,8 +151,8 @@ def fit_rates(members: DataFrame, weights: Mapping[str, float], model: DomainMod
 
     share = [weights.get(d, 0.0) / sum(weights.values()) for d in model.domains]
     available = totals(members, F.lit(1.0))
-    lead = max(size, key=lambda d: (share[d], -d))
-    total = epochs * available[lead] / share[lead]
+    lead = max(size, key=lambda d: (share[d] * (available[d] > 0), -d))
+    total = epochs * available[lead] / share[lead] if share[lead] else 0.0
     targets = [total * s for s in share]
     residuals: list[list[float]] = []
     rows, pending, reached = members.withColumn("r", F.lit(1.0)), [], available
