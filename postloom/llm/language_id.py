@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postloom.llm.common import hashed_sample, pick
 
-FEATURES = 2048
+FEATURE_BITS = 10
+FEATURES = 1 << FEATURE_BITS
 # The machines are fitted on at most this many labelled documents, shared by the languages.
-TRAINING_ROWS = 4_000
+TRAINING_ROWS = 2_000
 UNKNOWN = "und"
 # Bytes of lower-cased text that are counted at once.
 BLOCK_CHARS = 1 << 20
@@ -49,7 +50,7 @@ def features(text: str) -> np.ndarray:
         b = np.frombuffer(part.encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.uint32)
         if len(b) >= 3:
             code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
-            counts += np.bincount((code * np.uint32(2654435761)) >> np.uint32(32 - 11), minlength=FEATURES)
+            counts += np.bincount((code * np.uint32(2654435761)) >> np.uint32(32 - FEATURE_BITS), minlength=FEATURES)
     total = counts.sum()
     return np.sqrt(counts / total) if total else np.zeros(FEATURES)
 
@@ -144,7 +145,7 @@ def fit_languages(df: DataFrame, key: str = "doc_id", text: str = "text", lang:
 
     Per language the keys with the smallest hashes are taken, at most ``training_rows``
     divided by the number of languages. The sample's keys are chosen from a
-    narrow scan and are broadcast, being bounded; the driver gets the feature vectors (8 KB
+    narrow scan and are broadcast, being bounded; the driver gets the feature vectors (4 KB
     each). Rows without text, letters or language are not learned from.
     """
     rows = pick(df, key=key, text=text, lang=lang).filter(~held_out(F.col("key")) & F.col("lang").isNotNull())
