@@ -24,6 +24,11 @@ NEVER = -1e6
 SEPARATORS = ".,;:?()\"\n\t\r\f\x0b"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def word_list(text: Column) -> Column:
     """Lower-case words and runs of symbols of the whole text, in order; none for a null text."""
     spaced = F.translate(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS, " " * len(SEPARATORS))
@@ -55,12 +60,13 @@ class DomainModel:
             table = F.array(*[F.lit([float(w) for w in row]) for row in self.weights])
             found = F.array_intersect(words, telling)
             scores = F.aggregate(found, scores, lambda sums, w: F.zip_with(sums, F.get(table, F.array_position(telling, w).cast("int") - 1), lambda a, b: a + b))
-        # A one-element outer array binds a value that is used more than once.
         def softmax(s):
-            powers = F.transform(s, lambda x: F.exp(x - F.array_max(s)))
-            return F.get(F.transform(F.array(powers), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))), 0)
+            return bound(F.array_max(s), lambda top: bound(F.transform(s, lambda x: F.exp(x - top)), shares))
+
+        def shares(powers):
+            return bound(F.aggregate(powers, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(powers, lambda x: x / total))
 
-        return F.get(F.transform(F.array(scores), softmax), 0)
+        return bound(scores, softmax)
 
 
 def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality", toxic: str = "toxic", training_rows: int = TRAINING_ROWS) -> DomainModel:
@@ -125,7 +131,7 @@ class Mixture:
     reached: Sequence[float]
 
     def rate(self, posteriors: Column) -> Column:
-        return stepped(F.lit(1.0), posteriors, self.residuals)
+        return bound(posteriors, lambda p: stepped(F.lit(1.0), p, self.residuals))
 
 
 def fit_rates(members: DataFrame, weights: Mapping[str, float], model: DomainModel, epochs: float = 1.0, max_steps: int = 64, tolerance: float = 1e-3) -> Mixture:
@@ -192,7 +198,7 @@ def mix(documents: DataFrame, labels: DataFrame, weights: Mapping[str, float], e
 def drawn_copies(rate: Column, key: Column) -> Column:
     """How often a row is taken: the whole part of its rate, and once more by a hash draw."""
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), key), 11) / float(1 << 53)
-    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("int")
+    return bound(rate, lambda r: (F.floor(r) + (draw < r - F.floor(r)).cast("int")).cast("int"))
 
 
 def resample(documents: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text") -> DataFrame:
