@@ -12,10 +12,10 @@ from postloom.llm.common import hashed_sample, pick
 from postloom.session import materialise
 
 DOMAINS = ("good", "poor", "toxic")
-# The classifier is fitted on at most this many labelled documents of each domain ...
+# The classifier is fitted on at most this many different labelled texts of each domain ...
 TRAINING_ROWS = 2_000
-# ... and remembers at most this many telling words: in some domain so many standard errors
-# and so many times more frequent than elsewhere. Frequent words that a domain merely has
+# ... and remembers at most this many telling words of each: so many standard errors and so
+# many times more frequent in it than elsewhere. Frequent words that a domain merely has
 # fewer of would decide by the language and length of a text.
 TELLING_WORDS, LEAST_Z, LEAST_LIFT = 200, 5.0, 4.0
 # Steps after which the rates are written, so that a row's work does not grow with the steps.
@@ -35,6 +35,11 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(F.regexp_replace(spaced, r"([!%&*#$|]+)", " $1 "), " "), "")
 
 
+def text_digest(text: Column) -> Column:
+    """A hash that texts share if they differ in case, separators and spaces only; null texts count as empty."""
+    return F.xxhash64(F.translate(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS + " ", ""))
+
+
 def label_domain(quality: Column, toxic: Column) -> Column:
     """The domain that a row of the labelled table stands for; null if a label is missing."""
     return F.when(toxic == 1, "toxic").when((toxic == 0) & (quality == 1), "good").when((toxic == 0) & (quality == 0), "poor")
@@ -42,7 +47,7 @@ def label_domain(quality: Column, toxic: Column) -> Column:
 
 @dataclass(frozen=True)
 class DomainModel:
-    """Naive Bayes over presence and absence of telling words; its size is bounded by TELLING_WORDS.
+    """Naive Bayes over presence and absence of telling words; its size is bounded by TELLING_WORDS of each domain.
 
     ``priors`` are the log scores of a text without any of the words, ``weights`` what each adds.
     """
@@ -70,28 +75,31 @@ class DomainModel:
 
 
 def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality", toxic: str = "toxic", training_rows: int = TRAINING_ROWS) -> DomainModel:
-    """Fit the domain classifier on a bounded sample of labelled documents.
-
-    The sample holds, per domain, the ``training_rows`` labelled keys with the smallest
-    hashes; it is the only bounded thing here, and being bounded it is broadcast to the
-    scan of the documents. Priors count all labelled rows. Without labelled rows every
-    domain is equally likely, and a domain without labelled rows has no documents otherwise.
-    Labels that are null, or of a null key, are left out.
+    """Fit the domain classifier on a bounded sample of different labelled texts.
+
+    A text counts once in a domain, however many labelled rows are copies of it. The sample
+    holds, per domain, the ``training_rows`` texts whose digests have the smallest hashes,
+    and being bounded it is broadcast to the scan of the documents. Priors count all
+    different labelled texts. Without labelled documents every domain is equally likely,
+    and a domain without any has no documents otherwise. Labels that are null, or of a null
+    key, are left out.
     """
     marked = pick(labels, key=key, quality=quality, toxic=toxic).select("key", label_domain(F.col("quality"), F.col("toxic")).alias("domain")).dropna()
-    counts = {r["domain"]: r["n"] for r in marked.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The digests only are shuffled to the labels; of the copies of a text the least key stands for all.
+    rows = pick(documents, key=key, text=text).withColumn("digest", text_digest(F.col("text")))
+    different = materialise(rows.select("key", "digest").join(marked, "key").groupBy("domain", "digest").agg(F.min("key").alias("key")), "labelled-texts")
+    counts = {r["domain"]: r["n"] for r in different.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     if not total:
         return DomainModel(DOMAINS, [0.0] * len(DOMAINS))
-    # A domain without labelled rows has no posterior, so no targets are sought through it.
+    # A domain without labelled documents has no posterior, so no targets are sought through it.
     priors = [math.log(counts[d] / total) if d in counts else NEVER for d in DOMAINS]
-    sample = hashed_sample(marked, "domain", "key", training_rows, counts)
-    texts = pick(documents, key=key, text=text).join(F.broadcast(sample), "key")
+    sample = hashed_sample(different, "domain", "digest", training_rows, counts)
+    # A key may stand on several rows.
+    texts = rows.join(F.broadcast(sample), ["key", "digest"]).dropDuplicates(["domain", "digest"])
     seen = materialise(texts.select("domain", F.array_distinct(word_list(F.col("text"))).alias("words")), "training-words")
     sizes = {r["domain"]: r["n"] for r in seen.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(sizes.values())
-    if not n:
-        return DomainModel(DOMAINS, priors)
     per_word = seen.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("df"), *[F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"df_{d}") for d in DOMAINS])
 
@@ -103,7 +111,11 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
         spread = F.sqrt(share * (1 - share) * (1 / own + 1 / rest))
         return F.when((spread > 0) & (inside >= LEAST_LIFT * outside), (inside - outside) / spread).otherwise(0.0)
 
-    telling = per_word.withColumn("z", F.greatest(*[z(d) for d in DOMAINS])).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(TELLING_WORDS).collect()
+    chosen = {}
+    for d in DOMAINS:
+        best = per_word.withColumn("z", z(d)).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(TELLING_WORDS)
+        chosen |= {r["word"]: r for r in best.collect()}
+    telling = [chosen[w] for w in sorted(chosen)]
     shares = [[(r[f"df_{d}"] + 0.5) / (sizes.get(d, 0) + 1) for d in DOMAINS] for r in telling]
     # All words absent is the base; a word that is found replaces its absence by its presence.
     base = [p + sum(math.log(1 - row[i]) for row in shares) for i, p in enumerate(priors)]

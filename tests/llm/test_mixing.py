@@ -67,6 +67,21 @@ def test_posteriors_follow_the_labels(spark):
     assert (best["at"] == best["domain"].map({d: i + 1 for i, d in enumerate(mixing.DOMAINS)})).mean() > 0.97
 
 
+def test_copies_of_one_text_count_once(spark):
+    """A third of all rows are one long good text: its words must not stand for the good domain."""
+    docs, labels = corpus(5, 1000)
+    domains = {i: "toxic" if t else "good" if q else "poor" for i, q, t in labels}
+    copy = " ".join(f"copied{i}" for i in range(400))
+    copies = [(10_000 + i, copy.upper() if i % 3 else copy + "  .") for i in range(500)]
+    model = mixing.fit_domains(*frames(spark, docs + copies, labels + [(i, 1, 0) for i, _ in copies[:200]]))
+    judged = mixing.memberships(frames(spark, docs + copies[:1], labels)[0], model).collect()
+    best = {r["key"]: mixing.DOMAINS[r["p"].index(max(r["p"]))] for r in judged}
+    assert not [w for w in model.words if w.startswith("copied")]
+    for domain in mixing.DOMAINS:
+        assert np.mean([best[i] == domain for i, d in domains.items() if d == domain]) > 0.95
+    assert best[10_000] == "good"
+
+
 def test_infeasible_and_wrong_targets(spark):
     members = spark.createDataFrame([(1, 10, [0.5, 0.5, 0.0]), (2, 30, [0.5, 0.5, 0.0])], "key long, n_tokens long, p array<double>")
     model = mixing.DomainModel(mixing.DOMAINS, [0.0, 0.0, 0.0])
