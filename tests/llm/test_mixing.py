@@ -82,6 +82,18 @@ def test_copies_of_one_text_count_once(spark):
     assert best[10_000] == "good"
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_toxic_recall_in_every_language(spark, sf):
+    """Rare languages have few labelled rows, and their toxic words are inflected."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    marked = docs.join(labels, "doc_id").withColumn("domain", mixing.label_domain(F.col("quality"), F.col("toxic")))
+    judged = mixing.memberships(docs, mixing.fit_domains(docs, labels)).join(marked.select(F.col("doc_id").alias("key"), "lang", "domain"), "key")
+    best = judged.select("lang", "domain", (F.array_position("p", F.array_max("p")) == 3).alias("found")).toPandas()
+    toxic = best[best["domain"] == "toxic"].groupby("lang")["found"].mean()
+    assert set(toxic.index) == {"en", "de", "fr", "es"} and (toxic > 0.85).all(), toxic
+    assert best[best["domain"] == "good"]["found"].mean() < 0.01
+
+
 def test_infeasible_and_wrong_targets(spark):
     members = spark.createDataFrame([(1, 10, [0.5, 0.5, 0.0]), (2, 30, [0.5, 0.5, 0.0])], "key long, n_tokens long, p array<double>")
     model = mixing.DomainModel(mixing.DOMAINS, [0.0, 0.0, 0.0])
