@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import tempfile
 import uuid
@@ -20,7 +21,7 @@ DEFAULT_CONF = {
 }
 
 _LOCAL_DIRS: dict[str, str] = {}
-_SHIPPED: set[tuple[str, ...]] = set()
+_SHIPPED: set[tuple[str, str]] = set()
 
 
 def build_session(app_name: str = "postloom", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -76,21 +77,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def package_archive(name: str, folder: Path) -> Path:
+    """A zip of a package's sources, named by its content: equal sources give equal files."""
+    root = Path(importlib.import_module(name).__file__).parent
+    sources = [(str(Path(name) / p.relative_to(root)), p.read_bytes()) for p in sorted(root.rglob("*.py"))]
+    content = hashlib.sha256()
+    for place, code in sources:
+        content.update(f"{place}:{len(code)}:".encode() + code)
+    archive = folder / f"{name}-{content.hexdigest()[:16]}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for place, code in sources:
+            target.writestr(zipfile.ZipInfo(place, date_time=(1980, 1, 1, 0, 0, 0)), code)
+    return archive
+
+
 def ship_packages(spark: SparkSession, *names: str) -> None:
     """Send the source of packages to the executors, whose hooks import them.
 
     For sessions whose executors do not have the packages installed and that were started
-    without ``--py-files``. Repeated calls for one application do nothing.
+    without ``--py-files``. Each package is sent once per application, in an archive of its
+    own, in whatever combination and order calls name it.
     """
     context = spark.sparkContext
-    key = (context.applicationId, *names)
-    if key in _SHIPPED:
-        return
-    archive = Path(tempfile.mkdtemp(prefix="postloom-source-")) / "packages.zip"
-    with zipfile.ZipFile(archive, "w") as target:
-        for name in names:
-            root = Path(importlib.import_module(name).__file__).parent
-            for source in sorted(root.rglob("*.py")):
-                target.write(source, Path(name) / source.relative_to(root))
-    context.addPyFile(str(archive))
-    _SHIPPED.add(key)
+    for name in names:
+        if (context.applicationId, name) not in _SHIPPED:
+            context.addPyFile(str(package_archive(name, Path(tempfile.mkdtemp(prefix="postloom-source-")))))
+            _SHIPPED.add((context.applicationId, name))
