@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postloom.llm import decontamination, fingerprints, language_id, licences, minhash, mixing, secrets, sharding, token_shards, warc
+from postloom.llm import (
+    collocations, decontamination, exact, fingerprints, importance, language_id, licences, minhash, mixing, secrets, sharding, token_shards, warc,
+)
 from postloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +158,79 @@ def op10_mixing(spark, sf_dir):
     rates, mixture = mixing.mix(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), MIXTURE, EPOCHS)
     posteriors = [F.get("p", d).alias(f"p_{name}") for d, name in enumerate(mixture.model.domains)]
     return rates.select(F.col("key").alias("doc_id"), "n_tokens", *posteriors, "rate", mixing.drawn_copies(F.col("rate"), F.col("key")).alias("copies"))
+
+
+FOLDED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+WORDS_SQL = rf"regexp_extract_all({FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _ngrams_sql(words: str) -> str:
+    return f"list_concat({words}, list_transform(range(1, len({words})), lambda i: array_to_string({words}[i:i + 1], ' ')), list_transform(range(1, len({words}) - 1), lambda i: array_to_string({words}[i:i + 2], ' ')))"
+
+
+# The checksum of each different n-gram, one octet after the other by the usual table.
+IMPORTANCE_SQL = rf"""
+WITH RECURSIVE crc_rows AS (SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+    UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc_rows WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM crc_rows WHERE k = 8),
+d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+dg AS (SELECT doc_id, len(w) AS n_words, {_ngrams_sql('w')} AS g FROM d),
+bw AS (SELECT {WORDS_SQL} AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(g) AS g FROM dg),
+bf AS (SELECT unnest({_ngrams_sql('w')}) AS g FROM bw),
+octets AS (SELECT g, list_transform(regexp_extract_all(hex(encode(g)), '..'), lambda x: ('0x' || x)::BIGINT) AS o FROM (SELECT g FROM df UNION SELECT g FROM bf)),
+hashed AS (SELECT g, xor(list_reduce(list_prepend(4294967295::BIGINT, o), lambda acc, b: xor(acc // 256, tab[xor(acc, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+    FROM octets, crc),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN hashed USING (g) GROUP BY ALL),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN hashed USING (g) GROUP BY ALL),
+totals AS (SELECT (SELECT count(*) FROM df)::DOUBLE AS big_s, (SELECT count(*) FROM bf)::DOUBLE AS big_t),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (big_s + 10000) / ((coalesce(s, 0) + 1.0::DOUBLE) * (big_t + 10000))))::BIGINT AS gain
+    FROM s FULL JOIN t USING (bucket), totals),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM df JOIN hashed USING (g) JOIN gains USING (bucket) GROUP BY ALL),
+scored AS (SELECT doc_id, n_words, len(g)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+    FROM dg LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_words::BIGINT AS n_words, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END::BIGINT AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+@query("op11_importance", IMPORTANCE_SQL)
+def op11_importance(spark, sf_dir):
+    """Weights, scores and draws of all documents towards the benchmark's n-grams."""
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query("op12_exact", EXACT_SQL)
+def op12_exact(spark, sf_dir):
+    """Groups of equal texts of all documents."""
+    return exact.exact_duplicates(documents(spark, sf_dir), all_digests=True).withColumnRenamed("keep", "keep_id")
+
+
+COLLOCATIONS_SQL = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({FOLDED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')),
+    list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))) AS phrase FROM w),
+f AS (SELECT lang, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE phrase NOT LIKE '% %' GROUP BY ALL),
+c AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE phrase LIKE '% %' AND f >= 10),
+k AS (SELECT *, unnest(range(1, len(ws))) AS k FROM c),
+cut AS (SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r, 1000000::HUGEINT * k.a * k.a // (l.f * r.f) AS score FROM k
+    JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.ws[1:k.k], ' ')
+    JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.ws[k.k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (SELECT lang, part, max(a) AS a FROM (SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS part FROM c WHERE len(ws) = 3) GROUP BY ALL),
+free AS (SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.part = b.phrase WHERE h.a IS NULL OR 100 * h.a < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_collocations", COLLOCATIONS_SQL)
+def op13_collocations(spark, sf_dir):
+    """The phrases of each language whose words keep together most."""
+    return collocations.collocations(documents(spark, sf_dir))
