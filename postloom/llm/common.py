@@ -80,12 +80,14 @@ class Sieve:
     words: DataFrame
 
     @classmethod
-    def of(cls, df: DataFrame, hashes: Column) -> "Sieve":
-        bits = min(SIEVE_BITS, max(10, math.ceil(math.log2(16 * df.count() + 1))))
+    def of(cls, df: DataFrame, hashes: Column, at_most: int | None = None) -> "Sieve":
+        """A sieve of all keys; ``at_most`` bounds their number, else they are counted."""
+        bits = min(SIEVE_BITS, max(10, math.ceil(math.log2(16 * (df.count() if at_most is None else at_most) + 1))))
         top = F.shiftrightunsigned(hashes, 64 - bits)
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), (top % 64).cast("int"))
         words = df.select(F.shiftright(top, 6).alias("sieve_word"), bit.alias("bit")).groupBy("sieve_word").agg(F.bit_or("bit").alias("sieve_bits"))
-        return cls(bits, materialise(words, "sieve"))
+        # The rows are so few by construction that one file holds them.
+        return cls(bits, materialise(words.repartition(1), "sieve"))
 
     def mark(self, rows: DataFrame, hashes: Column, name: str) -> DataFrame:
         """``rows`` with a boolean column: false for keys that are not members."""

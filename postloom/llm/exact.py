@@ -32,7 +32,8 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", pre
     rows = pick(df, key=key, text=text).withColumn("text", F.coalesce("text", F.lit("")))
     placed = rows.withColumn("octets", F.octet_length("text")).withColumn("head", F.xxhash64("octets", F.substring("text", 1, prefix_chars)))
     shared = placed.groupBy("octets", "head").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sieve = Sieve.of(materialise(shared, "shared-prefixes"), F.col("head"))
+    # A shared group has two rows, so half of the rows bounds their number.
+    sieve = Sieve.of(shared, F.col("head"), at_most=rows.count() // 2)
     whole = F.sha2(F.col("text").cast("binary"), 256)
     hashed = sieve.mark(placed, F.col("head"), "met").select(
         "key", "octets", "met", (whole if all_digests else F.when(F.col("met"), whole)).alias("digest"), F.monotonically_increasing_id().alias("row"))
