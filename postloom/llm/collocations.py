@@ -23,7 +23,9 @@ def _lead_columns(df: DataFrame, text: str, lang: str, order: int) -> DataFrame:
     rows = pick(df, text=text, lang=lang)
     marked = F.translate(F.coalesce("text", F.lit("")), UPPER + BREAKS + "\t", LOWER + "\n" * len(BREAKS) + " ")
     pieces = rows.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.split(marked, "\n")).alias("piece"))
-    words = pieces.filter("piece <> ''").select("lang", F.array_remove(F.split("piece", " "), "").alias("words"))
+    trimmed = pieces.select("lang", F.trim("piece").alias("piece")).filter("piece <> ''")
+    cut = F.split("piece", " ")
+    words = trimmed.select("lang", F.when(F.instr("piece", "  ") == 0, cut).otherwise(F.array_remove(cut, "")).alias("words"))
     shifted = [F.col("words"), *[F.slice("words", k + 1, F.size("words")) for k in range(1, order)]]
     zipped = F.arrays_zip(*[column.alias(f"w{k}") for k, column in enumerate(shifted, 1)])
     return words.select("lang", F.inline(zipped)).toDF("lang", *[f"w{k}" for k in range(1, order + 1)])
@@ -59,18 +61,26 @@ def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang", order:
         goes_on = goes_on & F.col(f"_met{k}") & F.col(f"w{k}").isNotNull()
         windows = windows.withColumn(f"_p{k}", F.when(goes_on, F.col(f"w{k}")).otherwise(""))
     padded = windows.select("lang", "w1", *[F.col(f"_p{k}").alias(f"w{k}") for k in range(2, order + 1)])
-    longest = padded.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("c"))
+    # Written, because two plans read it; its own rows are the longest phrases, so they need no second shuffle.
+    longest = materialise(padded.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("c")), "longest-windows")
     # Bit k of the grouping number tells that the k-th column from the right was summed over.
-    levels = longest.rollup("lang", *names).agg(F.sum("c").alias("c"), F.grouping_id().alias("level"))
-    size = F.lit(order) - F.bit_count("level")
-    kept = levels.withColumn("size", size).filter((F.col("size") == 0) | ((F.col("size") > 0) & (F.col("c") >= least)))
+    sums = longest.rollup("lang", *names[:-1]).agg(F.sum("c").alias("c"), F.grouping_id().alias("level"))
+    shorter = sums.select("lang", *names[:-1], F.lit("").alias(names[-1]), "c", (F.lit(order - 1) - F.bit_count("level")).cast("int").alias("size"))
+    levels = longest.select("lang", *names, "c", F.lit(order).alias("size")).unionAll(shorter)
     # A window that was padded counts for its words only; '' stands for no word.
     last = F.get(F.array(*names), F.col("size") - 1)
-    whole = kept.filter((F.col("size") == 0) | (last != "")).select(
-        "lang", F.array_join(F.slice(F.array(*names), 1, F.col("size")), " ").alias("phrase"), F.col("size").cast("int").alias("size"), "c")
+    whole = levels.filter((F.col("size") == 0) | ((F.col("size") > 0) & (F.col("c") >= least) & (last != ""))).select(
+        "lang", F.array_join(F.slice(F.array(*names), 1, F.col("size")), " ").alias("phrase"), "size", "c")
     return materialise(whole, "phrase-counts")
 
 
+def _with_count(cuts: DataFrame, counts: DataFrame, part: str, name: str) -> DataFrame:
+    """``cuts`` with the count of a part. A word may begin or end very many phrases; it is looked up once per salt."""
+    needed = cuts.select("lang", part, "salt").distinct()
+    found = needed.join(counts.select("lang", F.col("phrase").alias(part), F.col("c").alias(name)), ["lang", part])
+    return cuts.join(found, ["lang", part, "salt"])
+
+
 def collocations(
     df: DataFrame, text: str = "text", lang: str = "lang", order: int = 3, least: int = 10, inside_percent: int = 50, top: int = 2_000
 ) -> DataFrame:
@@ -94,12 +104,8 @@ def collocations(
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).withColumn(
         "head", F.array_join(F.slice(words, F.lit(1), F.col("k")), " ")).withColumn("rest", F.array_join(F.slice(words, F.col("k") + 1, F.col("size")), " "))
 
-    def of_part(part: str, count: str) -> DataFrame:
-        # A word may begin or end very many phrases: its count stands at every salt.
-        return counts.filter((F.col("size") > 0) & (F.col("size") < order)).select(
-            "lang", F.col("phrase").alias(part), F.col("c").alias(count), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).alias("salt"))
-
-    counted = cuts.join(of_part("head", "l"), ["lang", "head", "salt"]).join(of_part("rest", "r"), ["lang", "rest", "salt"])
+    parts = counts.filter((F.col("size") > 0) & (F.col("size") < order))
+    counted = _with_count(_with_count(cuts, parts, "head", "l"), parts, "rest", "r")
     wide = {c: F.col(c).cast("decimal(19,0)") for c in ("a", "l", "r")}
     scored = counted.withColumn("score", F.call_function("div", (wide["a"] * wide["a"]) * F.lit(1_000_000).cast("decimal(7,0)"), wide["l"] * wide["r"]))
     best = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
@@ -110,8 +116,11 @@ def collocations(
     inside = candidates.filter("size > 2").select("lang", F.explode(spans).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("held"))
     free = best.join(inside, ["lang", "phrase"], "left").filter(F.col("held").isNull() | (100 * F.col("held") < inside_percent * F.col("a")))
 
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))
-    listed = free.withColumn("rank", rank).filter(F.col("rank") <= top)
+    # Salted parts are ranked first, so the last task of a language gets ``SALTS * top`` rows at most.
+    order_by = (F.desc("cut.score"), F.desc("a"), "phrase")
+    part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    near = free.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order_by))).filter(F.col("rank") <= top)
+    listed = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order_by))).filter(F.col("rank") <= top)
     # One row per language.
     totals = counts.filter("size = 0").select("lang", F.col("c").alias("n"))
     return listed.join(totals, "lang").select(
