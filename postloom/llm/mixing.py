@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 from collections.abc import Mapping, Sequence
@@ -11,7 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import hashed_sample, pick
+from postloom.llm.common import Sieve, hashed_sample, pick
 from postloom.session import materialise
 
 DOMAINS = ("good", "poor", "toxic")
@@ -26,8 +27,9 @@ BEGINNINGS = (4, 5, 6)
 LEAST_TEXTS, LEAST_Z, LEAST_LIFT, TELLING_WORDS = 2, 3.5, 3.0, 2_000
 # Penalty of the squared distance of weights from where they start, and gradient steps of the fit.
 RIDGE, FIT_STEPS = 0.3, 300
-# Steps after which the rates are written, so that a row's work does not grow with the steps.
-STEPS_PER_WRITE = 8
+# Penalty of rates that are not 1, against the squared distance from the targets; it makes
+# the best rates unique and spreads use over documents.
+RATE_RIDGE = 1e-3
 NEVER = -1e6
 SEPARATORS = ".,;:?()\"\n\t\r\f\x0b"
 
@@ -51,17 +53,46 @@ def with_beginnings(words: Column) -> Column:
     return F.concat(words, *[starts(n) for n in BEGINNINGS])
 
 
+def _slot(word: str, size: int) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) & (size - 1)
+
+
 def looked_up(found: Column, values: Mapping[str, object], kind: str) -> Column:
     """The values of those of ``found`` that have one, from a literal table of hash buckets."""
     size = 1 << max(1, len(values)).bit_length()
     buckets: list[dict] = [{} for _ in range(size)]
     for word, value in values.items():
-        buckets[xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) & (size - 1)][word] = value
+        buckets[_slot(word, size)][word] = value
     table = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
     hits = F.transform(found, lambda w: F.try_element_at(F.get(table, F.xxhash64(w).bitwiseAND(F.lit(size - 1)).cast("int")), w))
     return F.filter(hits, lambda v: v.isNotNull())
 
 
+def telling(words: Column, known: Sequence[str]) -> Column:
+    """Those of ``words`` that may be among ``known`` themselves or by a beginning, in order.
+
+    Most words leave after one probe, of their first characters; the others are probed by
+    their whole form and by longer beginnings. The probes are bits of hashes, 16 for each
+    known word: some words stay wrongly, and the look-up decides.
+    """
+    size = max(64, 1 << (16 * max(1, len(known))).bit_length())
+
+    def member(forms, part: Column) -> Column:
+        bits = [0] * (size // 64)
+        for form in forms:
+            at = _slot(form, size)
+            bits[at >> 6] |= 1 << (at & 63)
+        signed = [b - (1 << 64) if b >> 63 else b for b in bits]
+        table = F.from_json(F.lit(json.dumps(signed)), "array<bigint>")
+        # The hash is made once: both its word and its bit are of the same element.
+        return bound(F.xxhash64(part).bitwiseAND(F.lit(size - 1)).cast("int"), lambda h: F.getbit(F.get(table, F.shiftright(h, 6)), h.bitwiseAND(F.lit(63))) == 1)
+
+    starts = {n: [w[:-1] for w in known if len(w) == n + 1 and w.endswith("*")] for n in BEGINNINGS}
+    head = min(BEGINNINGS)
+    probes = lambda w: [member(known, w), *[member(forms, F.substring(w, 1, n)) for n, forms in starts.items() if forms]]
+    return F.filter(words, lambda w: member({k[:head] for k in known}, F.substring(w, 1, head)) & functools.reduce(lambda a, b: a | b, probes(w)))
+
+
 def text_digest(text: Column) -> Column:
     """A hash that texts share if they differ in case, separators and spaces only; null texts count as empty."""
     return F.xxhash64(F.translate(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS + " ", ""))
@@ -89,7 +120,7 @@ class DomainModel:
         """``array<double>``, one probability per domain, from a list of words."""
         scores = F.lit([float(p) for p in self.priors])
         if self.words:
-            rows = looked_up(with_beginnings(words), dict(zip(self.words, self.weights)), "array<double>")
+            rows = looked_up(with_beginnings(telling(words, self.words)), dict(zip(self.words, self.weights)), "array<double>")
             scores = F.aggregate(rows, scores, lambda sums, row: F.zip_with(sums, row, lambda a, b: a + b))
 
         def softmax(s):
@@ -138,8 +169,11 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     """
     marked = pick(labels, key=key, quality=quality, toxic=toxic).select("key", label_domain(F.col("quality"), F.col("toxic")).alias("domain")).dropna()
     # The digests only are shuffled to the labels; of the copies of a text the least key stands for all.
-    rows = pick(documents, key=key, text=text).withColumn("digest", text_digest(F.col("text")))
-    different = materialise(rows.select("key", "digest").join(marked, "key").groupBy("domain", "digest").agg(F.min("key").alias("key")), "labelled-texts")
+    rows = pick(documents, key=key, text=text)
+    # A sieve of the labelled keys decides which texts are hashed at all.
+    sieve = Sieve.of(marked, F.xxhash64("key"), at_most=marked.count())
+    labelled = sieve.mark(rows, F.xxhash64("key"), "met").filter("met").select("key", text_digest(F.col("text")).alias("digest"))
+    different = materialise(labelled.join(marked, "key").groupBy("domain", "digest").agg(F.min("key").alias("key")), "labelled-texts")
     counts = {r["domain"]: r["n"] for r in different.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     if not total:
@@ -147,8 +181,8 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     # A domain without labelled documents has no posterior, so no targets are sought through it.
     priors = [math.log(counts[d] / total) if d in counts else NEVER for d in DOMAINS]
     sample = hashed_sample(different, "domain", "digest", training_rows, counts)
-    # A key may stand on several rows.
-    texts = rows.join(F.broadcast(sample), ["key", "digest"]).dropDuplicates(["domain", "digest"])
+    # The join is by key alone, so that the texts of the sample only are hashed; a key may stand on several rows.
+    texts = rows.join(F.broadcast(sample), "key").filter(text_digest(F.col("text")) == F.col("digest")).dropDuplicates(["domain", "digest"])
     seen = materialise(texts.select("domain", with_beginnings(word_list(F.col("text"))).alias("words")), "training-words")
     sizes = {r["domain"]: r["n"] for r in seen.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(sizes.values())
@@ -189,69 +223,104 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     return DomainModel(DOMAINS, base, telling, rows_of.round(6).tolist())
 
 
-def stepped(rate: Column, posteriors: Column, residuals: Sequence[Sequence[float]]) -> Column:
-    """The rate after one projected step per residual vector: ``r <- max(0, r - p . e)``."""
-    if not residuals:
-        return rate
-    steps = F.array(*[F.lit([float(x) for x in e]) for e in residuals])
-    zero = F.lit(0.0)
-    return F.aggregate(steps, rate, lambda r, e: F.greatest(zero, r - F.aggregate(F.zip_with(posteriors, e, lambda p, x: p * x), zero, lambda a, b: a + b)))
+def _product(p: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(p, y, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
 
 
 @dataclass(frozen=True)
 class Mixture:
-    """Fitted rates, as the residuals that lead to them from 1."""
+    """Fitted rates: a document's is ``max(0, 1 - p . shift)``, ``shift`` being the projected steps so far.
+
+    ``distances`` tell how far each domain's total is from its target, as a share of the
+    domain's tokens. ``converged`` tells that the rates are the best ones; targets that no
+    rates reach have distances all the same.
+    """
 
     model: DomainModel
-    residuals: Sequence[Sequence[float]]
+    shift: Sequence[float]
     available: Sequence[float]
     targets: Sequence[float]
     reached: Sequence[float]
+    distances: Sequence[float]
+    converged: bool
+    steps: int
 
     def rate(self, posteriors: Column) -> Column:
-        return bound(posteriors, lambda p: stepped(F.lit(1.0), p, self.residuals))
+        return F.greatest(F.lit(0.0), F.lit(1.0) - _product(posteriors, F.lit([float(y) for y in self.shift])))
 
 
-def fit_rates(members: DataFrame, weights: Mapping[str, float], model: DomainModel, epochs: float = 1.0, max_steps: int = 64, tolerance: float = 1e-3) -> Mixture:
+def fit_rates(members: DataFrame, weights: Mapping[str, float], model: DomainModel, epochs: float = 1.0, ridge: float = RATE_RIDGE, tolerance: float = 1e-6) -> Mixture:
     """Nonnegative rates per document whose expected domain token totals match targets.
 
     ``members`` has ``n_tokens`` and ``p`` (posteriors). Targets divide a total by
     ``weights``; the total is such that the domain of the largest weight, of those that
-    have tokens, is used ``epochs`` times. Minimises ``sum_d (s_d - T_d)^2 / A_d`` over rates ``r >= 0``, where
-    ``s_d`` is the expected total ``sum_i r_i n_i p_id`` and ``A_d`` the total at rates 1.
-    In the metric of the token counts the Hessian is a stochastic matrix, so a unit step
-    converges. A step is one aggregate over the narrow table: it returns one number per
-    domain. It ends when every total is within ``tolerance`` of its target, as a share of
-    ``A_d``, or when a step moves no total by a tenth of that, which is near the
-    least-squares point of targets that no rates reach.
+    have tokens, is used ``epochs`` times. Minimises over rates ``r >= 0``
+
+        sum_d (s_d - T_d)^2 / A_d  +  ridge sum_i n_i (r_i - 1)^2
+
+    where ``s_d`` is the expected total ``sum_i r_i n_i p_id`` and ``A_d`` the total at
+    rates 1. The penalty makes the minimum unique: of all rates that serve the targets
+    alike, those nearest to 1. Steps start at 1 and are projected as a whole, so the rate
+    is ``max(0, 1 - p . y)`` for the sum ``y`` of the steps, one number per domain. A step
+    is one aggregate over the narrow table: the gradient, and the products of posteriors
+    over the rows whose rate is not 0, which scale it (scaled gradient projection). It is
+    halved until the dual objective, which is concave, rises enough. The fit ends when the
+    gradient is within ``tolerance`` of ``A_d`` in every domain, which is where the rates
+    are best, or when no step raises the objective in floating point; no number of steps
+    ends it. Domains without tokens take no part.
     """
     if not weights or any(w < 0 for w in weights.values()) or set(weights) - set(model.domains) or not any(weights.values()):
         raise ValueError(f"weights must be nonnegative, not all 0, for domains of {model.domains}")
-    size = range(len(model.domains))
-
-    def totals(rows: DataFrame, rate: Column) -> list[float]:
-        mass = rate * F.col("n_tokens")
-        return [float(x or 0.0) for x in rows.agg(*[F.sum(mass * F.get("p", d)).alias(f"s{d}") for d in size]).first()]
-
-    share = [weights.get(d, 0.0) / sum(weights.values()) for d in model.domains]
-    available = totals(members, F.lit(1.0))
-    lead = max(size, key=lambda d: (share[d] * (available[d] > 0), -d))
-    total = epochs * available[lead] / share[lead] if share[lead] else 0.0
-    targets = [total * s for s in share]
-    residuals: list[list[float]] = []
-    rows, pending, reached = members.withColumn("r", F.lit(1.0)), [], available
-    for _ in range(max_steps):
-        error = [(reached[d] - targets[d]) / available[d] if available[d] > 0 else 0.0 for d in size]
-        if max(map(abs, error)) <= tolerance:
+    size = len(model.domains)
+    pairs = [(a, b) for a in range(size) for b in range(a, size)]
+
+    def evaluate(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Value, totals and products of posteriors at a sum of steps."""
+        u, n = F.col("u"), F.col("n_tokens")
+        value = F.when(u < 1, 2 * u - u * u).otherwise(1.0)
+        active = F.when(u < 1, n).otherwise(0)
+        rows = members.withColumn("u", _product(F.col("p"), F.lit([float(x) for x in y])))
+        row = rows.agg(
+            F.sum(n * value), *[F.sum(active * (1 - u) * F.get("p", d)) for d in range(size)],
+            *[F.sum(active * F.get("p", a) * F.get("p", b)) for a, b in pairs]).first()
+        found = [float(x or 0.0) for x in row]
+        gram = np.zeros((size, size))
+        for (a, b), x in zip(pairs, found[size + 1:]):
+            gram[a, b] = gram[b, a] = x
+        return found[0], np.array(found[1:size + 1]), gram
+
+    y = np.zeros(size)
+    value, reached, gram = evaluate(y)
+    available = reached
+    own = available > 0
+    share = np.array([weights.get(d, 0.0) for d in model.domains]) / sum(weights.values())
+    lead = max(range(size), key=lambda d: (share[d] * own[d], -d))
+    targets = share * (epochs * available[lead] / share[lead] if share[lead] else 0.0)
+    scale = np.where(own, available, 1.0)
+
+    def objective(value: float, y: np.ndarray) -> float:
+        return 0.5 * value - y @ targets - 0.5 * ridge * (scale * y) @ y
+
+    steps, converged = 0, False
+    while True:
+        slope = np.where(own, reached - targets - ridge * scale * y, 0.0)
+        converged = bool(np.all(np.abs(slope) <= tolerance * scale))
+        if converged:
             break
-        residuals.append(error)
-        pending.append(error)
-        if len(pending) == STEPS_PER_WRITE:
-            rows, pending = materialise(rows.withColumn("r", stepped(F.col("r"), F.col("p"), pending)), "mixing-rates"), []
-        before, reached = reached, totals(rows, stepped(F.col("r"), F.col("p"), pending))
-        if all(abs(a - b) <= 0.1 * tolerance * max(1.0, x) for a, b, x in zip(before, reached, available)):
+        # Scaled by the tokens of the domains, so that small domains count as much as large ones.
+        root = np.sqrt(scale)
+        step = np.linalg.solve(gram / np.outer(root, root) + ridge * np.eye(size), slope / root) / root
+        length, before, rise = 1.0, objective(value, y), slope @ step
+        while length > 1e-12:
+            after = evaluate(y + length * step)
+            if objective(after[0], y + length * step) >= before + 1e-4 * length * rise:
+                break
+            length /= 2
+        else:
             break
-    return Mixture(model, residuals, available, targets, reached)
+        y, (value, reached, gram), steps = y + length * step, after, steps + 1
+    distances = np.where(own, (reached - targets) / scale, 0.0)
+    return Mixture(model, y.round(9).tolist(), available.tolist(), targets.tolist(), reached.tolist(), distances.tolist(), converged, steps)
 
 
 def memberships(documents: DataFrame, model: DomainModel, key: str = "doc_id", text: str = "text") -> DataFrame:
