@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import math
 from collections.abc import Mapping, Sequence
@@ -32,6 +31,7 @@ RIDGE, FIT_STEPS = 0.3, 300
 RATE_RIDGE = 1e-3
 NEVER = -1e6
 SEPARATORS = ".,;:?()\"\n\t\r\f\x0b"
+SYMBOLS = "!%&*#$|"
 
 
 def bound(value: Column, use) -> Column:
@@ -53,44 +53,34 @@ def with_beginnings(words: Column) -> Column:
     return F.concat(words, *[starts(n) for n in BEGINNINGS])
 
 
-def _slot(word: str, size: int) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) & (size - 1)
+def looked_up(words: Column, values: Mapping[str, object], kind: str) -> Column:
+    """The values of the words and of their beginnings, as often as ``words`` has them, from a literal table.
 
+    The table has a bucket per hash of the first characters, so a word makes one probe and
+    most words meet an empty bucket; the forms in the bucket are compared whole.
+    """
+    head = min(BEGINNINGS)
+    size = 1 << (8 * max(1, len(values))).bit_length()
+    buckets: list[list] = [[] for _ in range(size)]
 
-def looked_up(found: Column, values: Mapping[str, object], kind: str) -> Column:
-    """The values of those of ``found`` that have one, from a literal table of hash buckets."""
-    size = 1 << max(1, len(values)).bit_length()
-    buckets: list[dict] = [{} for _ in range(size)]
-    for word, value in values.items():
-        buckets[_slot(word, size)][word] = value
-    table = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
-    hits = F.transform(found, lambda w: F.try_element_at(F.get(table, F.xxhash64(w).bitwiseAND(F.lit(size - 1)).cast("int")), w))
-    return F.filter(hits, lambda v: v.isNotNull())
+    def put(form: str, more: bool, value: object) -> None:
+        at = xxhash.xxh64_intdigest(form[:head].encode("utf-8", "surrogatepass"), 42) & (size - 1)
+        buckets[at].append({"form": form, "more": more, "value": value})
 
+    for word, value in values.items():
+        if not word.endswith("*") or not word.strip(SYMBOLS):
+            put(word, False, value)
+        if word.endswith("*") and len(word) - 1 in BEGINNINGS:
+            put(word[:-1], True, value)
+    entry = f"struct<form:string,more:boolean,value:{kind}>"
+    table = F.from_json(F.lit(json.dumps([b or None for b in buckets])), f"array<array<{entry}>>")
 
-def telling(words: Column, known: Sequence[str]) -> Column:
-    """Those of ``words`` that may be among ``known`` themselves or by a beginning, in order.
+    def found(w: Column) -> Column:
+        bucket = F.get(table, F.xxhash64(F.substring(w, 1, head)).bitwiseAND(F.lit(size - 1)).cast("int"))
+        return F.filter(bucket, lambda e: F.startswith(w, e["form"]) & ((w == e["form"]) != e["more"]))
 
-    Most words leave after one probe, of their first characters; the others are probed by
-    their whole form and by longer beginnings. The probes are bits of hashes, 16 for each
-    known word: some words stay wrongly, and the look-up decides.
-    """
-    size = max(64, 1 << (16 * max(1, len(known))).bit_length())
-
-    def member(forms, part: Column) -> Column:
-        bits = [0] * (size // 64)
-        for form in forms:
-            at = _slot(form, size)
-            bits[at >> 6] |= 1 << (at & 63)
-        signed = [b - (1 << 64) if b >> 63 else b for b in bits]
-        table = F.from_json(F.lit(json.dumps(signed)), "array<bigint>")
-        # The hash is made once: both its word and its bit are of the same element.
-        return bound(F.xxhash64(part).bitwiseAND(F.lit(size - 1)).cast("int"), lambda h: F.getbit(F.get(table, F.shiftright(h, 6)), h.bitwiseAND(F.lit(63))) == 1)
-
-    starts = {n: [w[:-1] for w in known if len(w) == n + 1 and w.endswith("*")] for n in BEGINNINGS}
-    head = min(BEGINNINGS)
-    probes = lambda w: [member(known, w), *[member(forms, F.substring(w, 1, n)) for n, forms in starts.items() if forms]]
-    return F.filter(words, lambda w: member({k[:head] for k in known}, F.substring(w, 1, head)) & functools.reduce(lambda a, b: a | b, probes(w)))
+    hits = F.filter(F.transform(words, found), lambda b: F.size(b) > 0)
+    return F.transform(F.flatten(hits), lambda e: e["value"])
 
 
 def text_digest(text: Column) -> Column:
@@ -120,7 +110,7 @@ class DomainModel:
         """``array<double>``, one probability per domain, from a list of words."""
         scores = F.lit([float(p) for p in self.priors])
         if self.words:
-            rows = looked_up(with_beginnings(telling(words, self.words)), dict(zip(self.words, self.weights)), "array<double>")
+            rows = looked_up(words, dict(zip(self.words, self.weights)), "array<double>")
             scores = F.aggregate(rows, scores, lambda sums, row: F.zip_with(sums, row, lambda a, b: a + b))
 
         def softmax(s):
@@ -183,10 +173,10 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     sample = hashed_sample(different, "domain", "digest", training_rows, counts)
     # The join is by key alone, so that the texts of the sample only are hashed; a key may stand on several rows.
     texts = rows.join(F.broadcast(sample), "key").filter(text_digest(F.col("text")) == F.col("digest")).dropDuplicates(["domain", "digest"])
-    seen = materialise(texts.select("domain", with_beginnings(word_list(F.col("text"))).alias("words")), "training-words")
+    seen = materialise(texts.select("domain", word_list(F.col("text")).alias("words")), "training-words")
     sizes = {r["domain"]: r["n"] for r in seen.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(sizes.values())
-    per_word = seen.select("domain", F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(
+    per_word = seen.select("domain", F.explode(F.array_distinct(with_beginnings(F.col("words")))).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("df"), *[F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"df_{d}") for d in DOMAINS]).filter(F.col("df") >= LEAST_TEXTS)
     per_word = materialise(per_word, "word-counts")
 
@@ -213,7 +203,7 @@ def fit_domains(documents: DataFrame, labels: DataFrame, key: str = "doc_id", te
     at = np.array([i for _, words in places for i in words], dtype=np.int64)
     row = np.repeat(np.arange(len(places)), [len(words) for _, words in places])
     # Whole words start at their smoothed log ratios; beginnings stand for words too, and start at 0.
-    start = np.array([[0.0 if w[1:].endswith("*") and w.strip("!%&*#$|") else chosen[w].get(d, 0.0) for d in present] for w in telling])
+    start = np.array([[0.0 if w[1:].endswith("*") and w.strip(SYMBOLS) else chosen[w].get(d, 0.0) for d in present] for w in telling])
     weights, intercepts = fit_weights(at, row, np.array([present.index(d) for d, _ in places]), start)
     # The sample has its own shares of the domains; the intercepts go back to those of all texts.
     base, rows_of = list(priors), np.zeros((len(telling), len(DOMAINS)))
