@@ -1,19 +1,25 @@
-"""Benchmark decontamination by templates: typed placeholders, hashed windows, slot consistency."""
+"""Benchmark decontamination by templates: typed placeholders, hashed windows, aligned tokens, slot consistency."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from postloom.llm.common import bitmap_of, in_bitmap, mixed, pick
+from postloom.llm.common import Sieve, bitmap_of, in_bitmap, mixed, pick
 from postloom.session import materialise
 
-WINDOW = 5
+# Tokens of a window: of items of LONG_ITEM tokens or more, one changed token anywhere leaves
+# a whole window of WINDOW; of shorter ones, from twice SHORT_WINDOW on, one of SHORT_WINDOW.
+WINDOW, LONG_ITEM, SHORT_WINDOW = 5, 10, 4
+# A place in a document is compared with an item token by token if windows cover this share
+# of the item or as many tokens as make a verbatim run.
+LEAST_SEEDED, VERBATIM_RUN = 0.4, 13
 # Characters that are split into tokens at once.
 BLOCK_CHARS = 1 << 20
 TOKEN = re.compile(r"[^\W_]+(?:[.,]\d+)*|[.!?]")
@@ -98,89 +104,186 @@ def windows(template: np.ndarray, size: int = WINDOW) -> np.ndarray:
     return mixed(h + np.uint64(width))
 
 
-SCHEMA = "window bigint, pos bigint, literals array<bigint>, slots array<boolean>"
+def window_size(tokens: int) -> int:
+    return WINDOW if tokens >= LONG_ITEM else min(SHORT_WINDOW, tokens)
 
 
-def _window_rows(rows: DataFrame, bitmap: np.ndarray | None, size: int) -> DataFrame:
-    """A row per window in both readings, of all windows or of those that a bitmap may hold."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
+# Windows of literal tokens are no windows of templates.
+LITERAL = np.uint64(0xA0761D6478BD642F)
+
+
+def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens and windows of the items; an item without words is left out.
+
+    Windows of placeholders only would meet every table of numbers. They are left out, and
+    an item that has no others, or fewer than SHORT_WINDOW tokens, is known by its literal tokens.
+    """
+    known = TypedTokens()
+    for batch in batches:
+        rows: list[dict] = []
+        for asked, value in zip(batch.column("asked").to_pylist(), batch.column("text")):
+            template, caseless, literal, slot = canonical(value.as_py() or "", known)
+            n = len(literal)
+            if not n:
+                continue
+            size = window_size(n)
+            found: set[tuple[int, int]] = set()
+            if n >= SHORT_WINDOW:
+                for reading in (template, caseless):
+                    filled = np.convolve(reading != literal, np.ones(size, dtype=np.int64), "valid")
+                    hashes = windows(reading, size).view(np.int64)
+                    found.update((int(hashes[i]), int(i)) for i in np.flatnonzero(filled < size))
+            plain = not found
+            if plain:
+                found = {(int(h), i) for i, h in enumerate((windows(literal, size) ^ LITERAL).view(np.int64))}
+            rows.append({
+                "asked": asked, "size": size, "plain": plain, "n_tokens": n, "template": template.view(np.int64), "caseless": caseless.view(np.int64),
+                "literal": literal.view(np.int64), "slot": slot, "seeds": [{"window": h, "item_pos": i} for h, i in sorted(found)]})
+        longs = pa.list_(pa.int64())
+        schema = pa.schema([
+            ("asked", pa.int64()), ("size", pa.int32()), ("plain", pa.bool_()), ("n_tokens", pa.int64()), ("template", longs), ("caseless", longs), ("literal", longs),
+            ("slot", pa.list_(pa.bool_())), ("seeds", pa.list_(pa.struct([("window", pa.int64()), ("item_pos", pa.int64())])))])
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+
+ITEM_SCHEMA = """asked bigint, size int, plain boolean, n_tokens bigint, template array<bigint>, caseless array<bigint>, literal array<bigint>,
+    slot array<boolean>, seeds array<struct<window:bigint,item_pos:bigint>>"""
+
+
+def _document_windows(docs: DataFrame, bitmap: np.ndarray, kinds: list[tuple[int, bool]]) -> DataFrame:
+    """``(key, window, pos)`` of the windows, of the items' sizes and in all readings, that a bitmap may hold."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TypedTokens()
         for batch in batches:
-            keys: list = []
-            hashes, places, literals, slots = [], [], [], []
-            for key, value in zip(batch.column("key").to_pylist(), batch.column("text")):
-                template, caseless, literal, slot = canonical(value.as_py() or "", known)
-                found, other = windows(template, size), windows(caseless, size)
-                twice = np.flatnonzero(found != other)
-                found, at = np.concatenate([found, other[twice]]), np.concatenate([np.arange(len(found)), twice])
-                if shared is not None:
-                    member = in_bitmap(shared.value, found)
-                    found, at = found[member], at[member]
-                for i in at.tolist():
-                    keys.append(key)
-                    literals.append(literal[i:i + size].view(np.int64))
-                    slots.append(slot[i:i + size])
-                hashes.append(found.view(np.int64))
-                places.append(at)
-            empty = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(keys, batch.schema.field("key").type), pa.array(np.concatenate(hashes or empty)), pa.array(np.concatenate(places or empty).astype(np.int64)),
-                pa.array(literals, pa.list_(pa.int64())), pa.array(slots, pa.list_(pa.bool_()))], ["key", "window", "pos", "literals", "slots"])
-
-    return rows.mapInArrow(emit, f"key {rows.schema['key'].dataType.simpleString()}, {SCHEMA}")
+            rows, hashes, places = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for number, value in enumerate(batch.column("text")):
+                template, caseless, literal, _ = canonical(value.as_py() or "", known)
+                for size, plain in kinds:
+                    if len(literal) < size:
+                        continue
+                    found = windows(literal, size) ^ LITERAL if plain else windows(template, size)
+                    at = np.flatnonzero(in_bitmap(shared.value, found))
+                    if not plain:
+                        other = windows(caseless, size)
+                        twice = np.flatnonzero((found != other) & in_bitmap(shared.value, other))
+                        found, at = np.concatenate([found[at], other[twice]]), np.concatenate([at, twice])
+                    else:
+                        found = found[at]
+                    hashes.append(found)
+                    places.append(at)
+                    rows.append(np.full(len(at), number))
+            taken = batch.column("key").take(pa.array(np.concatenate(rows or [np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([taken, pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(places))], ["key", "window", "pos"])
+
+    return docs.mapInArrow(emit, f"key {docs.schema['key'].dataType.simpleString()}, window bigint, pos bigint")
+
+
+def aligned(item: dict, document: tuple[np.ndarray, ...], diagonal: int) -> dict:
+    """An item against the document's tokens near a diagonal, in the reading that aligns more of them.
+
+    Insertions, deletions and changed tokens are left unaligned; a token may be shifted by
+    a quarter of the item's length.
+    """
+    n = item["n_tokens"]
+    margin = max(3, n // 4)
+    low, high = max(0, diagonal - margin), max(0, diagonal + n + margin)
+    literal = document[2][low:high].tolist()
+    best: dict = {"n_aligned": -1}
+    for name, tokens in (("literal", document[2]),) if item["plain"] else (("template", document[0]), ("caseless", document[1])):
+        blocks = SequenceMatcher(None, item[name], tokens[low:high].tolist(), autojunk=False).get_matching_blocks()
+        count = sum(block.size for block in blocks)
+        if count <= best["n_aligned"]:
+            continue
+        longest, fillers = 0, {}
+        for start, at, size in blocks:
+            run = 0
+            for i, j in zip(range(start, start + size), range(at, at + size)):
+                run = run + 1 if item["literal"][i] == literal[j] else 0
+                longest = max(longest, run)
+                if item["slot"][i]:
+                    fillers.setdefault(item["literal"][i], set()).add(literal[j])
+        best = {
+            "n_aligned": count, "longest_run": longest, "n_slots": len(fillers), "n_consistent": sum(len(f) == 1 for f in fillers.values()),
+            "n_own": sum(f == {own} for own, f in fillers.items())}
+    return best
+
+
+ALIGNED_SCHEMA = "asked bigint, n_tokens bigint, n_aligned bigint, longest_run bigint, n_slots bigint, n_consistent bigint, n_own bigint"
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known, columns = TypedTokens(), [part.split()[0] for part in ALIGNED_SCHEMA.split(", ")]
+    for batch in batches:
+        keys, out = [], []
+        for number, (value, places) in enumerate(zip(batch.column("text"), batch.column("places"))):
+            # Signed, as the items' tokens are in their table.
+            document = tuple(part.view(np.int64) for part in canonical(value.as_py() or "", known)[:3])
+            for item in places.as_py():
+                out.append({"asked": item["asked"], "n_tokens": item["n_tokens"], **aligned(item, document, item["diagonal"])})
+                keys.append(number)
+        table = pa.RecordBatch.from_pylist(out, pa.schema([(c, pa.int64()) for c in columns]))
+        yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(keys, pa.int64())), *table.columns], ["key", *columns])
 
 
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-    size: int = WINDOW, least_cover: float = 0.8, least_consistent: float = 0.8,
+    least_cover: float = 0.8, least_consistent: float = 0.8, verbatim_run: int = VERBATIM_RUN,
 ) -> DataFrame:
-    """``(key, item, n_windows, n_matched, cover, n_slots, n_consistent, kind)`` of contaminated pairs.
-
-    A document holds an item if at least ``least_cover`` of the item's template windows
-    occur in it and at least ``least_consistent`` of the item's slot fillers are each
-    replaced by one filler throughout. ``kind`` is ``exact`` if all matched fillers are the
-    item's own, else ``re-parameterised``.
-
-    Windows count for a copy if their diagonals (place in the document less place in the
-    item) are near each other; of several copies the best is taken. Documents are read
-    once: a fixed-size bitmap of the benchmark's windows drops nearly all of theirs in
-    place, and the rest are joined by hash. An item without words matches nothing. Each
-    different text of a repeated item id is looked for. Rows that repeat a key are one
-    document. Null texts are empty; rows without key or item id, and other columns, are
-    left out.
+    """``(key, item, n_tokens, n_aligned, longest_run, cover, n_slots, n_consistent, kind)`` of contaminated pairs.
+
+    A document holds an item if at one place at least ``least_cover`` of the item's
+    template tokens are aligned with its own, or ``verbatim_run`` tokens in a row are the
+    item's own; and at least ``least_consistent`` of the item's aligned slot fillers are
+    each replaced by one filler throughout. ``kind`` is ``exact`` if all tokens are the
+    item's, ``edited`` if the fillers are but some tokens are not, else
+    ``re-parameterised``.
+
+    Places are found by a join of hashed template windows, whose diagonals (place in the
+    document less place in the item) are near each other; there the tokens are compared.
+    One changed token leaves a window in items of eight tokens and more; items of fewer
+    than four tokens must occur literally. Documents are read once for the windows: a
+    fixed-size bitmap of the benchmark's drops nearly all of theirs in place. The texts of
+    candidates alone are read again, beside all their places.
+
+    An item without words matches nothing. Each different text of a repeated item id is
+    looked for. Rows that repeat a key are one document. Null texts are empty; rows without
+    key or item id, and other columns, are left out. Empty tables give no rows.
     """
     docs = pick(documents, key=key, text=text).filter("key IS NOT NULL")
     # Each different text of an item id is an item of its own, known by its hash.
-    items = pick(benchmark, item=item, text=item_text).filter("item IS NOT NULL").distinct().withColumn("key", F.xxhash64("item", "text"))
-    asked = materialise(_window_rows(items.select("key", "text"), None, size), "benchmark-windows").select(
-        F.col("key").alias("asked"), "window", F.col("pos").alias("item_pos"), F.col("literals").alias("item_literals"), "slots")
-    found = _window_rows(docs, bitmap_of(F.col("window"), asked), size).select("key", "window", "pos", "literals")
-    totals = asked.groupBy("asked").agg((F.max("item_pos") + 1).alias("n_windows"))
-    met = found.join(asked, "window").join(totals, "asked").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
-    met = materialise(met.drop("window", "pos"), "window-matches")
+    named = pick(benchmark, item=item, text=item_text).filter("item IS NOT NULL").distinct().withColumn("asked", F.xxhash64("item", "text"))
+    items = materialise(named.select("asked", "text").mapInArrow(_item_rows, ITEM_SCHEMA), "benchmark-items")
+    seeds = materialise(items.select("asked", "size", "n_tokens", F.inline("seeds")), "benchmark-windows")
+    kinds = sorted((r["size"], r["plain"]) for r in items.select("size", "plain").distinct().collect())  # ten at most
+    found = _document_windows(docs, bitmap_of(F.col("window"), seeds), kinds)
+    met = materialise(found.join(seeds, "window").withColumn("diagonal", F.col("pos") - F.col("item_pos")).drop("window", "pos"), "window-matches")
 
     # A copy lies on diagonals near each other. Every diagonal is in two areas, each twice
     # as wide as the item is long, so that one area has a whole copy.
-    area = F.floor(F.col("diagonal") / F.col("n_windows"))
+    first = F.floor(F.col("diagonal") / F.col("n_tokens"))
     pair = ["key", "asked"]
-    covers = met.select(*pair, "n_windows", "item_pos", F.explode(F.array(area, area + 1)).alias("area")).groupBy(*pair, "n_windows", "area").agg(
-        F.count_distinct("item_pos").alias("n_matched"))
-    best = covers.groupBy(*pair, "n_windows").agg(F.max("n_matched").alias("n_matched")).filter(F.col("n_matched") >= least_cover * F.col("n_windows"))
-
-    # Fillers are compared on the diagonal that has the most windows: what stands there in
-    # the document for each token that is a slot of the item.
-    likely = met.join(best.select(*pair), pair, "left_semi")
-    main = likely.groupBy(*pair, "diagonal").agg(F.count(F.lit(1)).alias("n")).groupBy(*pair).agg(
-        F.max(F.struct("n", (-F.col("diagonal")).alias("d"))).alias("m")).select(*pair, (-F.col("m.d")).alias("diagonal"))
-    fillers = likely.join(main, [*pair, "diagonal"]).select(*pair, F.explode(F.arrays_zip("item_literals", "literals", "slots")).alias("s")).filter("s.slots").groupBy(
-        *pair, F.col("s.item_literals").alias("filler")).agg(F.min("s.literals").alias("low"), F.max("s.literals").alias("high"))
-    same = F.col("low") == F.col("high")
-    consistent = fillers.groupBy(*pair).agg(
-        F.count(F.lit(1)).alias("n_slots"), F.sum(same.cast("long")).alias("n_consistent"), F.sum((same & (F.col("low") == F.col("filler"))).cast("long")).alias("n_own"))
-    judged = best.join(consistent, pair, "left").fillna(0, ["n_slots", "n_consistent", "n_own"]).filter(F.col("n_consistent") >= least_consistent * F.col("n_slots"))
-    named = judged.join(items.select(F.col("key").alias("asked"), "item"), "asked")
-    return named.select(
-        F.col("key").alias(key), F.col("item").alias(item), "n_windows", "n_matched", (F.col("n_matched") / F.col("n_windows")).alias("cover"),
-        "n_slots", "n_consistent", F.when(F.col("n_own") == F.col("n_slots"), "exact").otherwise("re-parameterised").alias("kind"))
+    placed = met.withColumn("area", F.explode(F.array(first, first + 1)))
+    steps = placed.select(*pair, "area", "n_tokens", "size", "item_pos").distinct()
+    following = F.lead("item_pos").over(Window.partitionBy(*pair, "area").orderBy("item_pos"))
+    new = F.coalesce(F.least(F.col("size").cast("long"), following - F.col("item_pos")), F.col("size").cast("long"))
+    covered = steps.withColumn("new", new).groupBy(*pair, "area", "n_tokens").agg(F.sum("new").alias("covered"))
+    likely = covered.filter(F.col("covered") >= F.least(F.lit(float(verbatim_run)), LEAST_SEEDED * F.col("n_tokens"))).select(*pair, "area")
+    # The diagonal of most windows is where the tokens are compared.
+    votes = placed.join(likely, [*pair, "area"], "left_semi").groupBy(*pair, "area", "diagonal").agg(F.count(F.lit(1)).alias("n"))
+    main = votes.groupBy(*pair, "area").agg(F.max(F.struct("n", (-F.col("diagonal")).alias("back"))).alias("m"))
+    places = main.select(*pair, (-F.col("m.back")).alias("diagonal")).distinct().join(items.drop("seeds", "size"), "asked")
+    by_document = materialise(places.groupBy("key").agg(F.collect_list(F.struct("asked", "diagonal", "n_tokens", "plain", "template", "caseless", "literal", "slot")).alias("places")), "contaminated-places")
+
+    sieve = Sieve.of(by_document, F.xxhash64("key"))
+    reread = sieve.mark(docs, F.xxhash64("key"), "met").filter("met").select("key", "text").join(by_document, "key")
+    compared = reread.mapInArrow(_compared, f"key {docs.schema['key'].dataType.simpleString()}, {ALIGNED_SCHEMA}")
+    held = (F.col("n_aligned") >= least_cover * F.col("n_tokens")) | (F.col("longest_run") >= verbatim_run)
+    judged = compared.filter(held & (F.col("n_consistent") >= least_consistent * F.col("n_slots")))
+    values = ["n_aligned", "longest_run", "n_own", "n_consistent", "n_slots", "n_tokens"]
+    best = judged.groupBy(*pair).agg(F.max(F.struct(*values)).alias("b")).select(*pair, "b.*")
+    kind = F.when(F.col("n_own") < F.col("n_slots"), "re-parameterised").when(F.col("longest_run") == F.col("n_tokens"), "exact").otherwise("edited")
+    return best.join(named.select("asked", "item"), "asked").select(
+        F.col("key").alias(key), F.col("item").alias(item), "n_tokens", "n_aligned", "longest_run", (F.col("n_aligned") / F.col("n_tokens")).alias("cover"),
+        "n_slots", "n_consistent", kind.alias("kind"))

@@ -20,8 +20,8 @@ from postloom.llm.common import mixed, pick
 BASE_CELLS, HASHES = 16, 3
 PARAGRAPH = re.compile(r"[^\n.!?]+[.!?]*")
 PARAGRAPH_CHARS = 160
-# Rows for one task when documents are put in order.
-ROWS_PER_BLOCK = 100_000
+# Octets of text for one task when documents are put in order.
+BLOCK_OCTETS = 32 << 20
 
 
 def paragraph_digests(text: str) -> np.ndarray:
@@ -140,13 +140,14 @@ class Fingerprint:
 def difference(first: Fingerprint, second: Fingerprint) -> tuple[np.ndarray, np.ndarray, int]:
     """Digests that only one of two documents has, and the cells that were needed.
 
-    Tries the stored sketches first. If their difference cannot be peeled, larger ones are
-    made: twice as many cells as both have digests, and twice as many again each time. The
-    places of digests change with the size, so digests that met everywhere part.
+    Tries the stored sketches first. If their difference cannot be peeled, sketches of four
+    times as many cells are tried, and so on: cells follow the size of the difference and
+    not that of the documents. The places of digests change with the size, so digests that
+    met everywhere part.
     """
     cells, sides = BASE_CELLS, first.base.minus(second.base).peel()
     while sides is None:
-        cells = 2 * max(cells, len(first.digests) + len(second.digests))
+        cells *= 4
         sides = Sketch.of_difference(first.digests, second.digests, cells).peel()
     return *sides, cells
 
@@ -170,19 +171,32 @@ def fingerprint(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return rows.mapInArrow(_fingerprints, f"key {rows.schema['key'].dataType.simpleString()}, fingerprint string").withColumnRenamed("key", key)
 
 
-def with_successor(df: DataFrame, key: str, text: str, rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, int]:
+def block_bounds(rows: DataFrame, block_octets: int) -> np.ndarray:
+    """Keys at which blocks of about ``block_octets`` of text, twice that at most, begin.
+
+    They are quantiles of the keys, each taken once and once more for every average length
+    that its text has: at most twice as many values as rows, by which long texts that lie
+    together are spread. The driver holds one number per block.
+    """
+    sized = rows.filter("key IS NOT NULL").select("key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("octets"))
+    total, n = sized.agg(F.coalesce(F.sum("octets"), F.lit(0)), F.count(F.lit(1))).first()
+    blocks = max(4 * rows.sparkSession.sparkContext.defaultParallelism, -(-total // block_octets))
+    average = max(1, total // max(1, n))
+    weighted = sized.select("key", F.explode(F.sequence(F.lit(0), F.floor(F.col("octets") / average))))
+    return np.unique(np.array(weighted.approxQuantile("key", [i / blocks for i in range(1, blocks)], 1 / (4 * blocks)), dtype=np.float64))
+
+
+def with_successor(df: DataFrame, key: str, text: str, block_octets: int = BLOCK_OCTETS) -> tuple[DataFrame, int]:
     """Rows of ``(key, text, block, tail)`` in blocks of rising keys, and the number of blocks.
 
     Every block ends with a copy of the first row of the next block (``tail``), the last
     one with that of the first: in a block, each document is followed by its successor.
-    Bounds are quantiles of the keys; the driver holds one bound and one first key per
-    block. Null keys come last. Only this one shuffle moves texts.
+    Bounds are keys between which lie about ``block_octets`` of text; the driver holds one
+    bound and one first key per block. Null keys come last, in a block of their own. Only
+    this one shuffle moves texts.
     """
     rows = pick(df, key=key, text=text)
-    spark = df.sparkSession
-    blocks = max(4 * spark.sparkContext.defaultParallelism, -(-rows.count() // rows_per_block))
-    error = 1 / (4 * blocks)
-    bounds = np.unique(np.array(rows.approxQuantile("key", [i / blocks for i in range(1, blocks)], error), dtype=np.float64))
+    bounds = block_bounds(rows, block_octets)
     last = np.iinfo(np.int64).max
 
     def numbers(keys: pd.Series, no_key: pd.Series) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -125,20 +125,24 @@ class SuffixAutomaton:
 class LicenceScanner:
     """Matching statistics of a word stream against templates and phrases.
 
-    A match is reported where it cannot be extended to the right, from ``least_match``
-    words on. Matches on one template that follow each other in the text and in the
+    A match is reported where it cannot be extended to the right in its template, be it
+    that the template ends or goes on otherwise, from ``least_match`` words on. Matches on one template that follow each other in the text and in the
     template, with at most ``gap`` words between them on either side, form a chain; a chain
-    that covers ``least_cover`` of its template (and of phrases, all) is a span.
+    that covers ``least_cover`` of its template (and of phrases, all) is a span, unless it
+    is incomplete and lies in the span of a template that covers more words there.
     """
 
     def __init__(self, templates=TEMPLATES, phrases=PHRASES, least_match: int = 3, gap: int = 8, least_cover: float = 0.6):
         self.labels = [label for label, _ in templates]
         sequences = [WORD.findall(lowered(text)) for _, text in templates]
-        self.sizes = [len(s) for s in sequences]
+        self.sizes, self.templates = [len(s) for s in sequences], sequences
         phrase_words = [WORD.findall(lowered(text)) for text, _ in phrases]
         self.phrases = [(label, len(w)) for w, (_, label) in zip(phrase_words, phrases)]
         self.automaton = SuffixAutomaton.of([*sequences, *phrase_words])
         self.least_match, self.gap, self.least_cover = least_match, gap, least_cover
+        # Places in templates that a state's suffix link has beyond those of the state.
+        places, link = self.automaton.places, self.automaton.link
+        self.extra = [[] if at <= 0 else sorted(set(places[at]) - set(places[state])) if at else [] for state, at in enumerate(link)]
         # Phrases that may end where a state is current: those of the state and of its suffix links.
         own: dict[int, list[int]] = {}
         for number, w in enumerate(phrase_words):
@@ -160,17 +164,14 @@ class LicenceScanner:
         state = length = position = 0
         for words in words_of(text):
             for word in words:
+                if length >= self.least_match:
+                    self._report(anchors, state, length, position, word)
                 if word not in known:
-                    if length >= self.least_match:
-                        self._anchor(anchors, state, length, position)
                     state = length = 0
                 else:
-                    if word not in step[state]:
-                        if length >= self.least_match:
-                            self._anchor(anchors, state, length, position)
-                        while word not in step[state]:
-                            state = link[state]
-                            length = longest[state]
+                    while word not in step[state]:
+                        state = link[state]
+                        length = longest[state]
                     state = step[state][word]
                     length += 1
                     if ending[state]:
@@ -180,15 +181,26 @@ class LicenceScanner:
                                 hits.append((label, position + 1 - size))
                 position += 1
         if length >= self.least_match:
-            self._anchor(anchors, state, length, position)
+            self._report(anchors, state, length, position, None)
         spans = [span for number, found in enumerate(anchors) if found for span in self._chains(number, found)]
         spans.sort(key=lambda s: (s[1], s[2], s[0]))
-        return position, hits, spans
-
-    def _anchor(self, anchors, state: int, length: int, end: int) -> None:
-        for template, last in self.automaton.places[state]:
-            if template < len(anchors):
-                anchors[template].append((end, last + 1, length))
+        return position, hits, _undominated(spans)
+
+    def _report(self, anchors, state: int, length: int, end: int, word: str | None) -> None:
+        """Matches that end before text position ``end`` and that ``word`` does not extend in their template.
+
+        The current state has the places of the longest match, its suffix links those of
+        shorter ones.
+        """
+        places = self.automaton.places[state]
+        while length >= self.least_match:
+            for template, last in places:
+                if template < len(anchors):
+                    words = self.templates[template]
+                    if last + 1 == len(words) or words[last + 1] != word:
+                        anchors[template].append((end, last + 1, length))
+            places, state = self.extra[state], self.automaton.link[state]
+            length = self.automaton.longest[state] if state > 0 else 0
 
     def _chains(self, template: int, anchors: list[tuple[int, int, int]]):
         """Best chains of ``(text end, template end, length)``; the look-back ends with the gap."""
@@ -214,23 +226,41 @@ class LicenceScanner:
                 yield self.labels[template], start, end, covered, covered / self.sizes[template]
 
 
+def _undominated(spans: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
+    """Spans, by start, without incomplete ones inside a span of more covered words."""
+    kept, wide = [], []
+    longest = max((end - start for _, start, end, _, _ in spans), default=0)
+    for span in sorted(spans, key=lambda s: (s[1], -s[2], -s[3])):
+        _, start, end, covered, cover = span
+        wide = [o for o in wide if o[1] + longest >= start]
+        if cover >= 1 or not any(o[2] >= end and o[3] > covered for o in wide):
+            kept.append(span)
+        wide.append(span)
+    return sorted(kept, key=lambda s: (s[1], s[2], s[0]))
+
+
 def _slot(taken: list[tuple[int, int]], start: int) -> int:
     from bisect import bisect_left
 
     return bisect_left(taken, (start, start))
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=4)
+def scanner_of(templates: tuple[tuple[str, str], ...], phrases: tuple[tuple[str, str], ...]) -> LicenceScanner:
+    """One scanner per process for each set of templates."""
+    return LicenceScanner(templates, phrases)
+
+
 def default_scanner() -> LicenceScanner:
-    return LicenceScanner()
+    return scanner_of(TEMPLATES, PHRASES)
 
 
 PHRASE_TYPE = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64())]))
 SPAN_TYPE = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("covered", pa.int64()), ("cover", pa.float64())]))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    scanner = default_scanner()
+def _scan(batches: Iterator[pa.RecordBatch], templates=TEMPLATES, phrases_of=PHRASES) -> Iterator[pa.RecordBatch]:
+    scanner = scanner_of(templates, phrases_of)
     for batch in batches:
         counts, phrases, spans = [], [], []
         for value in batch.column("text"):
@@ -243,9 +273,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["key", "n_words", "phrases", "spans"])
 
 
-def scan_licences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licences(df: DataFrame, key: str = "doc_id", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Sequence[tuple[str, str]] = PHRASES) -> DataFrame:
     """``(key, n_words, phrases, spans)``, one row per input row.
 
+    ``templates`` and ``phrases`` are pairs of a label (first of a template, last of a
+    phrase) and wording; the defaults are common notices. They go to every task whole.
+
     ``phrases`` are all places of the fixed phrases (label, first word), ``spans`` the
     covered template spans (label, first word, end, words covered, share of the template).
     Positions count words from 0. Rows are scanned where they are, text in blocks; nothing
@@ -255,4 +288,5 @@ def scan_licences(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = pick(df, key=key, text=text)
     schema = f"""key {rows.schema['key'].dataType.simpleString()}, n_words bigint, phrases array<struct<label:string,start:bigint>>,
         spans array<struct<label:string,start:bigint,end:bigint,covered:bigint,cover:double>>"""
-    return rows.mapInArrow(_scan, schema).withColumnRenamed("key", key)
+    scan = partial(_scan, templates=tuple(map(tuple, templates)), phrases_of=tuple(map(tuple, phrases)))
+    return rows.mapInArrow(scan, schema).withColumnRenamed("key", key)

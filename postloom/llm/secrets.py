@@ -21,6 +21,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 FORGE = re.compile(r"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 WEB_TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
 KEY_BLOCK = re.compile(r"-----BEGIN (?P<kind>[A-Z ]*PRIVATE KEY)-----(?P<body>[A-Za-z0-9+/=\s]+)-----END (?P=kind)-----")
+# A web token's parts are runs of these characters.
+TOKEN_RUN = re.compile(r"[A-Za-z0-9_-]+")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -78,7 +80,10 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
 
     Per kind the matches are leftmost and do not overlap: a pattern is tried at keyword
     hits from left to right, and hits inside its last match are passed over, whether or
-    not that match was dropped by its length or checksum.
+    not that match was dropped by its length or checksum. A web token that does not match
+    from one hit matches from no other hit in the same run of token characters, since
+    what must follow the run is the same: those hits are passed over too, so a run of
+    keywords is read a bounded number of times.
     """
     lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only: positions stay
     spans = [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
@@ -95,6 +100,8 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
             free = match.end()
             if valid(match):
                 spans.append((kind, match.start(), match.end()))
+        elif kind == "web_token":
+            free = TOKEN_RUN.match(text, start).end()
     spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return spans
 

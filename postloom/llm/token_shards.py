@@ -12,11 +12,13 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from postloom.llm.common import mixed, pick
+from postloom.llm.common import Sieve, mixed, pick
+from postloom.session import materialise
 
 # Fixed value: how the byte-level vocabularies split a text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -24,6 +26,8 @@ ROUNDS = 6
 # Text bytes for one shard.
 SHARD_OCTETS = 32 << 20
 NO_KEY = -(1 << 63)
+# Most elements of a permutation.
+LIMIT = 1 << 62
 FORMAT = "postloom_token_shards"
 HEADER = 16  # key (8 bytes), sequence number (4), tokens (4)
 
@@ -36,7 +40,7 @@ class Permutation:
     key: int
 
     def __post_init__(self):
-        if not 0 < self.size <= 1 << 62:
+        if not 0 < self.size <= LIMIT:
             raise ValueError("a permutation needs 1 to 2 ** 62 elements")
 
     def __call__(self, values: np.ndarray) -> np.ndarray:
@@ -124,10 +128,16 @@ def placed_sequences(df: DataFrame, ranks: dict[bytes, int], sequence_tokens: in
 
     A text is encoded whole, ended by the end token and cut every ``sequence_tokens``
     tokens. Sequence ``seq`` of the document with key ``k`` is element
-    ``(k - min + 1) * most + seq`` of the permuted domain, ``most`` being the most
-    sequences that the longest text can give (a token is at least a byte). So the place
-    of a sequence follows from its own row and three totals: texts are encoded once and
-    nothing is numbered before the one shuffle.
+    ``(k - min) * most + seq`` of the permuted domain, ``most`` being the most sequences
+    that the longest text can give (a token is at least a byte). So the place of a
+    sequence follows from its own row and few totals: texts are encoded once and nothing
+    is numbered before the one shuffle.
+
+    Rows without key, or with a key that others have too, would share elements and so go
+    to one shard. They have a part of the domain of their own, where the first element is
+    drawn by a hash of key and text; a sieve of the repeated keys tells them (and a few
+    others, which does no harm). If the keys' range is too wide for the domain, as that of
+    hashes is, all rows are drawn so.
     """
     rows = pick(df, key=key, text=text).select(F.col("key").cast("long").alias("key"), "text")
     octets = F.octet_length("text")
@@ -135,7 +145,13 @@ def placed_sequences(df: DataFrame, ranks: dict[bytes, int], sequence_tokens: in
     low, high = (0, 0) if low is None else (low, high)
     most = -(-((longest or 0) + 1) // sequence_tokens)
     dtype = np.dtype("<u2" if max(ranks.values()) + 1 < 1 << 16 else "<u4")
-    layout = Layout(sequence_tokens, dtype.itemsize, max(1, -(-(total or 0) // shard_octets)), (high - low + 2) * most, permutation_key)
+    repeated = materialise(rows.filter("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "repeated-keys")
+    rows = Sieve.of(repeated, F.xxhash64("key")).mark(rows, F.xxhash64("key"), "shared")
+    span = high - low + 1
+    draws = LIMIT // most // 2
+    if span > draws:
+        span = 0
+    layout = Layout(sequence_tokens, dtype.itemsize, max(1, -(-(total or 0) // shard_octets)), (span + draws) * most, permutation_key)
     permutation = Permutation(layout.domain, permutation_key)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     width, step = -(-layout.domain // layout.shards), sequence_tokens * dtype.itemsize
@@ -144,10 +160,13 @@ def placed_sequences(df: DataFrame, ranks: dict[bytes, int], sequence_tokens: in
         encoder = Encoder(shared.value)
         for batch in batches:
             keys, seqs, elements, tokens = [], [], [], []
-            for k, value in zip(batch.column("key").to_pylist(), batch.column("text")):
+            for k, shared_key, value in zip(batch.column("key").to_pylist(), batch.column("shared").to_pylist(), batch.column("text")):
                 data = encoder(value.as_py() or "")
                 parts = [data[i:i + step] for i in range(0, len(data), step)]
-                base = (0 if k is None else k - low + 1) * most
+                if span and k is not None and not shared_key:
+                    base = (k - low) * most
+                else:
+                    base = (span + xxhash.xxh3_64_intdigest(data, seed=0 if k is None else k & (1 << 64) - 1) % draws) * most
                 keys.extend([k] * len(parts))
                 seqs.extend(range(len(parts)))
                 elements.extend(range(base, base + len(parts)))
@@ -296,9 +315,10 @@ def write_training_order(
     ``s - first_slot`` of its shard. The order depends on the documents and the key alone,
     not on partitions. ``path`` is new, a URI that all executors reach.
 
-    Null and empty texts are one sequence, the end token. Rows that repeat a key share
-    places and follow each other by content; rows with a null key are such rows too. An
-    empty table gives a manifest without shards. Keys are integers.
+    Null and empty texts are one sequence, the end token. Rows that repeat a key, or have
+    none, have places drawn by key and text; rows equal in both share places and follow
+    each other. An empty table gives a manifest without shards. Keys are integers of any
+    range.
     """
     sequences, layout = placed_sequences(df, ranks, sequence_tokens, permutation_key, key, text, shard_octets)
     df.sparkSession.dataSource.register(TokenShards)

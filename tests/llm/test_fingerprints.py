@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from postloom.llm import fingerprints as fp
 
@@ -31,6 +32,24 @@ def test_retries_grow():
     assert fp.difference(print_of(sets[1]), print_of(set()))[2] > fp.BASE_CELLS
 
 
+def test_cells_follow_the_difference():
+    rng = random.Random(3)
+    common = {rng.getrandbits(64) for _ in range(5000)}
+    assert fp.difference(print_of(common | {1, 2, 3}), print_of(common))[2] <= 4 * fp.BASE_CELLS
+    assert fp.difference(print_of(common | set(range(100))), print_of(common))[2] <= 64 * fp.BASE_CELLS
+
+
+def test_blocks_hold_bounded_text(spark):
+    """Long texts lie together: blocks are cut by octets, not by rows."""
+    rows = spark.createDataFrame([(i, "x" * (100_000 if i < 60 else 10)) for i in range(3000)], "doc_id long, text string")
+    bounds = fp.block_bounds(rows.select(F.col("doc_id").alias("key"), "text"), block_octets=400_000)
+    sizes = np.zeros(len(bounds) + 1)
+    for i in range(3000):
+        sizes[np.searchsorted(bounds, i, side="right")] += 100_000 if i < 60 else 10
+    total, blocks = 60 * 100_000 + 2940 * 10, 4 * spark.sparkContext.defaultParallelism
+    assert sizes.sum() == total and sizes.max() <= 3 * total / blocks + 100_000
+
+
 def test_sketches_survive_text():
     sketch = fp.Fingerprint.of("one. two.\nthree").base
     again = fp.Sketch.parse(sketch.text())

@@ -13,10 +13,13 @@ COLUMNS = {
     "op4_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op5_minhash": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
     "op6_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
-    "op7_decontamination": "doc_id bigint, item_id bigint, n_windows bigint, n_matched bigint, cover double, n_slots bigint, n_consistent bigint, kind string",
+    "op7_decontamination": "doc_id bigint, item_id bigint, n_tokens bigint, n_aligned bigint, longest_run bigint, cover double, n_slots bigint, n_consistent bigint, kind string",
     "op8_fingerprints": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     "op9_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op10_mixing": "doc_id bigint, n_tokens bigint, p_good double, p_poor double, p_toxic double, rate double, copies int",
+    "op11_importance": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op12_exact": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
+    "op13_collocations": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
 }
 
 
@@ -38,7 +41,7 @@ def test_columns_and_sql(spark, connection, plan, name):
         assert types[own] == kind
     text = plan(df)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "BatchEvalPython" not in text
-    if name in ("op1_sharding", "op6_warc", "op10_mixing"):
+    if name in ("op1_sharding", "op6_warc", "op10_mixing", "op12_exact", "op13_collocations"):
         assert "EvalPython" not in text and "MapInArrow" not in text
     if name in SQL:
         assert compare(df, connection, SQL[name]) == ""

@@ -5,7 +5,9 @@ import json
 import random
 import re
 import string
+import time
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from postloom.llm import licences, secrets
@@ -29,6 +31,23 @@ def test_base_secrets_are_those_of_the_plain_patterns(text):
     assert [s for s in secrets.find_secrets(text) if s[0] in secrets.BASE_KINDS] == plain(text)
 
 
+OWN = ["eyJ", "eyJhbGciOiJub25lIn0", ".", "-", "_", "x", " ", "ghp_", "npm_", "a1B2c3D4e5F6g7H8i9J0k1L2m3N4o5", "123456", "-----BEGIN ", "PRIVATE KEY", "-----", "RSA ", "QUJD", "\n", "-----END "]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(OWN), max_size=30).map("".join))
+def test_own_kinds_are_those_of_the_plain_patterns(text):
+    expected = sorted((kind, m.start(), m.end()) for kind, _, pattern, valid in secrets.KEYWORD_KINDS[2:] for m in pattern.finditer(text) if valid(m))
+    assert sorted(s for s in secrets.find_secrets(text) if s[0] not in secrets.BASE_KINDS) == expected
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "eyJ.", "eyJa.eyJb ", "token", "token=", "api_key ", "AKIA", "akia", "ghp_", "-----BEGIN ", "-----BEGIN PRIVATE KEY-----", "PRIVATE KEY ", "f", "password" + " " * 50])
+def test_long_runs_are_scanned_once(piece):
+    began = time.perf_counter()
+    secrets.find_secrets(piece * (5_000_000 // len(piece)))
+    assert time.perf_counter() - began < 30
+
+
 def test_checksums_decide():
     body = "".join(random.Random(1).choices(string.ascii_letters + string.digits, k=30))
     good = f"ghp_{body}{secrets.forge_checksum(body)}"
@@ -91,3 +110,45 @@ def test_licence_rows(spark):
     found = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string, spans int")).collect()
     assert sorted((r["doc_id"] or 0, r["n_words"], len(r["phrases"])) for r in found) == [(0, 1, 0), (1, 2, 1), (1, 2, 1), (2, 0, 0), (3, 0, 0), (4, 50_000, 0)]
     assert licences.scan_licences(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def right_maximal(templates, words, least):
+    """Per template: ``(text end, template end, length)`` of all matches that go on neither to the left nor to the right."""
+    out = set()
+    for number, template in enumerate(templates):
+        for i in range(len(words)):
+            for j in range(len(template)):
+                if words[i] == template[j] and not (i and j and words[i - 1] == template[j - 1]):
+                    n = 0
+                    while i + n < len(words) and j + n < len(template) and words[i + n] == template[j + n]:
+                        n += 1
+                    if n >= least:
+                        out.add((number, i + n, j + n, n))
+    return out
+
+
+TOKENS = st.lists(st.sampled_from("abc"), min_size=1, max_size=9)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TOKENS, min_size=1, max_size=5), st.lists(st.sampled_from("abcd"), max_size=40))
+def test_matches_are_those_of_brute_force(templates, words):
+    scanner = licences.LicenceScanner([(str(i), " ".join(t)) for i, t in enumerate(templates)], [("a b", "x")], least_match=2)
+    anchors = []
+    scanner._chains = lambda number, found: anchors.extend((number, *a) for a in found) or []
+    scanner.scan(" ".join(words))
+    assert len(anchors) == len(set(anchors)) and set(anchors) == right_maximal(templates, words, 2)
+
+
+def test_a_template_that_begins_another_keeps_its_span():
+    start = "Licensed under the Apache License, Version 2.0. "
+    for follower in ("The rest is ours.", "Nothing else.", "the license", ""):
+        spans = licences.default_scanner().scan("x " + start + follower)[2]
+        assert ("apache", 1, 9, 8, 1.0) in spans
+
+
+def test_templates_of_the_caller(spark):
+    rows = spark.createDataFrame([(1, "all rights are reserved by us"), (2, "Licensed under CC BY 4.0")], "doc_id long, text string")
+    found = licences.scan_licences(rows, templates=[("ours", "all rights are reserved")], phrases=[("by us", "us")]).orderBy("doc_id").collect()
+    assert [[(s["label"], s["start"], s["end"]) for s in r["spans"]] for r in found] == [[("ours", 0, 4)], []]
+    assert [[(p["label"], p["start"]) for p in r["phrases"]] for r in found] == [[("us", 4)], []]

@@ -70,3 +70,14 @@ def test_empty(spark):
     path = fresh_path(spark, "shards")
     ts.write_training_order(spark.createDataFrame([], "doc_id long, text string"), path, RANKS)
     assert ts.read_manifest(path)["records"] == 0 and ts.read_training_order(spark, path).collect() == []
+
+
+def test_null_and_repeated_keys_spread(spark):
+    docs = [(None, f"text {i}") for i in range(300)] + [(5, f"other {i}") for i in range(300)] + [(k, "x") for k in (6, -(1 << 62), (1 << 62) + 5)]
+    path = fresh_path(spark, "shards")
+    ts.write_training_order(spark.createDataFrame(docs, "doc_id long, text string"), path, RANKS, sequence_tokens=16, shard_octets=500)
+    shards = ts.read_manifest(path)["shards"]
+    assert sum(s["records"] for s in shards) == len(docs) and len(shards) >= 10 and max(s["records"] for s in shards) < len(docs) / 4
+    again = fresh_path(spark, "shards")
+    ts.write_training_order(spark.createDataFrame(docs[::-1], "doc_id long, text string").repartition(3), again, RANKS, sequence_tokens=16, shard_octets=500)
+    assert sorted(ts.read_training_order(spark, again).collect()) == sorted(ts.read_training_order(spark, path).collect())
