@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -13,11 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postloom.llm.common import hashed_sample, pick
+from postloom.session import materialise
 
-FEATURE_BITS = 10
+FEATURE_BITS = 11
 FEATURES = 1 << FEATURE_BITS
 # The machines are fitted on at most this many labelled documents, shared by the languages.
-TRAINING_ROWS = 2_000
+TRAINING_ROWS = 4_000
+# Rows that a machine multiplies at once.
+BLOCK_ROWS = 512
 UNKNOWN = "und"
 # Bytes of lower-cased text that are counted at once.
 BLOCK_CHARS = 1 << 20
@@ -59,23 +62,32 @@ def linear_machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int
     """Weights and bias of a linear support vector machine with squared hinge loss.
 
     Newton steps on the primal problem; both classes weigh the same in all. ``y`` is +1
-    or -1. The arrays are bounded by TRAINING_ROWS and FEATURES.
+    or -1. The arrays are bounded by TRAINING_ROWS and FEATURES; products are taken
+    BLOCK_ROWS rows at a time, so that ``x`` is not copied.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
+    size = x.shape[1] + 1
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * cost * len(y) / 10
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], 1.0)
+    blocks = [slice(i, i + BLOCK_ROWS) for i in range(0, len(x), BLOCK_ROWS)]
+
+    def rows(block: slice) -> np.ndarray:
+        return np.hstack([x[block].astype(np.float64), np.ones((len(x[block]), 1))])
+
+    w = np.zeros(size)
+    ridge = np.full(size, 1.0)
     ridge[-1] = 1e-3
     active = None
     for _ in range(steps):
-        now = y * (x @ w) < 1
+        now = np.concatenate([y[block] * (rows(block) @ w) < 1 for block in blocks])
         if active is not None and np.array_equal(now, active):
             break
         active = now
-        xa, wa = x[active], weight[active]
-        hessian = (xa * wa[:, None]).T @ xa
-        hessian[np.diag_indices_from(hessian)] += ridge
-        w = np.linalg.solve(hessian, (xa * (wa * y[active])[:, None]).sum(axis=0))
+        hessian, right = np.diag(ridge), np.zeros(size)
+        for block in blocks:
+            chosen = active[block]
+            xa, wa = rows(block)[chosen], weight[block][chosen]
+            hessian += (xa * wa[:, None]).T @ xa
+            right += xa.T @ (wa * y[block][chosen])
+        w = np.linalg.solve(hessian, right)
     return w
 
 
@@ -87,21 +99,6 @@ class LanguageModel:
     family_weights: np.ndarray  # (families, FEATURES + 1)
     pair_weights: dict[tuple[str, str], np.ndarray]
 
-    @classmethod
-    def fit(cls, x: np.ndarray, languages: Sequence[str]) -> "LanguageModel":
-        labels = np.array(languages, dtype=object)
-        families: dict[str, list[str]] = {}
-        for language in sorted(set(languages)):
-            families.setdefault(family_of(language), []).append(language)
-        own = np.array([family_of(l) for l in languages], dtype=object)
-        rest = [linear_machine(x, np.where(own == f, 1.0, -1.0)) if len(families) > 1 else np.zeros(FEATURES + 1) for f in families]
-        pairs = {}
-        for members in families.values():
-            for a, b in combinations(members, 2):
-                chosen = (labels == a) | (labels == b)
-                pairs[a, b] = linear_machine(x[chosen], np.where(labels[chosen] == a, 1.0, -1.0))
-        return cls(families, np.array(rest).reshape(len(families), FEATURES + 1), pairs)
-
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         """The language of a feature vector, and a score: the product of both steps' confidence."""
         if not self.families:
@@ -144,9 +141,9 @@ def fit_languages(df: DataFrame, key: str = "doc_id", text: str = "text", lang:
     """Learn from a bounded sample of the labelled rows that are not held out.
 
     Per language the keys with the smallest hashes are taken, at most ``training_rows``
-    divided by the number of languages. The sample's keys are chosen from a
-    narrow scan and are broadcast, being bounded; the driver gets the feature vectors (4 KB
-    each). Rows without text, letters or language are not learned from.
+    divided by the number of languages. The sample's keys are chosen from a narrow scan and
+    are broadcast, being bounded. Each machine is fitted by a task of its own, whose group
+    is the part of the sample that it separates (8 KB a row); the driver gets the weights. Rows without text, letters or language are not learned from.
     """
     rows = pick(df, key=key, text=text, lang=lang).filter(~held_out(F.col("key")) & F.col("lang").isNotNull())
     narrow = rows.select("key", "lang")
@@ -157,11 +154,31 @@ def fit_languages(df: DataFrame, key: str = "doc_id", text: str = "text", lang:
         raise ValueError(f"more than {training_rows} languages; raise training_rows")
     chosen = hashed_sample(narrow, "lang", "key", training_rows // len(counts), counts).select("key").distinct()
     sample = rows.join(F.broadcast(chosen), "key", "left_semi").filter(F.col("text").rlike(r"\p{L}"))
-    pairs = sample.select("lang", "text").mapInArrow(_features, "lang string, vector binary").toPandas().sort_values(["lang", "vector"])
-    if not len(pairs):
-        return LanguageModel({}, np.zeros((0, FEATURES + 1)), {})
-    x = np.frombuffer(b"".join(bytes(v) for v in pairs["vector"]), dtype=np.float32).reshape(len(pairs), FEATURES).astype(np.float64)
-    return LanguageModel.fit(x, pairs["lang"].tolist())
+    vectors = materialise(sample.select("lang", "text").mapInArrow(_features, "lang string, vector binary"), "language-vectors")
+    languages = sorted(r["lang"] for r in vectors.select("lang").distinct().collect())
+    families: dict[str, list[str]] = {}
+    for language in languages:
+        families.setdefault(family_of(language), []).append(language)
+    # The sides of each machine, by number: a family against the rest, or one language against another.
+    machines: list[tuple[list[str], list[str]]] = [(own, [l for l in languages if l not in own]) for own in families.values() if len(families) > 1]
+    pairs = [pair for members in families.values() for pair in combinations(members, 2)]
+    machines += [([a], [b]) for a, b in pairs]
+    sides = [(l, number, side) for number, both in enumerate(machines) for l, side in [*((l, 1.0) for l in both[0]), *((l, -1.0) for l in both[1])]]
+    fitted: dict[int, np.ndarray] = {}
+    if sides:
+        table = df.sparkSession.createDataFrame(sides, "lang string, machine int, side double")  # a few rows per language
+        weights = vectors.join(F.broadcast(table), "lang").groupBy("machine").applyInPandas(_fitted, "machine int, weights binary").collect()
+        fitted = {r["machine"]: np.frombuffer(bytes(r["weights"])) for r in weights}
+    n = len(machines) - len(pairs)
+    rest = [fitted[i] for i in range(n)] if n else [np.zeros(FEATURES + 1) for _ in families]
+    return LanguageModel(families, np.array(rest).reshape(len(families), FEATURES + 1), {pair: fitted[n + i] for i, pair in enumerate(pairs)})
+
+
+def _fitted(rows: pd.DataFrame) -> pd.DataFrame:
+    """One machine from its rows of the sample, in an order that does not depend on partitions."""
+    rows = rows.sort_values(["lang", "vector"])
+    x = np.frombuffer(b"".join(map(bytes, rows["vector"])), dtype=np.float32).reshape(len(rows), FEATURES)
+    return pd.DataFrame({"machine": rows["machine"].iloc[:1], "weights": [linear_machine(x, rows["side"].to_numpy()).tobytes()]})
 
 
 def predict_languages(df: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,7 +203,9 @@ def predict_languages(df: DataFrame, model: LanguageModel, key: str = "doc_id",
 def keep_identified(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows whose text is in a language the model knows; the columns stay.
 
-    The text passes once through Python beside its row, which stays where it is.
+    Every text with a letter gets one of the learned languages, however unlike them it is:
+    what this drops is null and letterless text (and all rows if nothing was learned). A
+    threshold on the margin would drop short and mixed documents that are clean. The text passes once through Python beside its row, which stays where it is.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
