@@ -158,13 +158,28 @@ def _first_letters():
 
 @query("stemmer_hook", r"""
     WITH w AS (SELECT doc_id AS id, lang, string_split(text, ' ') AS ws FROM documents)
-    SELECT id, array_to_string(CASE WHEN lang = 'de' THEN list_transform(ws, lambda x: left(x, 4)) ELSE ws END, ' ') AS stems FROM w WHERE lang IN ('de', 'fr')""")
+    SELECT id, array_to_string(CASE WHEN lang IN ('de', 'en', 'es') THEN list_transform(ws, lambda x: left(x, 4)) ELSE ws END, ' ') AS stems FROM w""")
 def _(spark, sf):
-    docs = table(spark, sf, "documents", ["doc_id", "lang", "text"]).filter(F.col("lang").isin("de", "fr"))
-    stems = stem_tokens(F.split("text", " "), "lang", {"de": _first_letters})
+    docs = table(spark, sf, "documents", ["doc_id", "lang", "text"])
+    stems = stem_tokens(F.split("text", " "), "lang", {code: _first_letters for code in ("de", "en", "es")})
     return docs.select(F.col("doc_id").alias("id"), F.array_join(stems, " ").alias("stems"))
 
 
+def _letter_counter():
+    """A deterministic encoder for the hook: how often some letters are in what the model reads."""
+    return lambda texts: [[float(text.count(letter)) for letter in "eans"] for text in texts]
+
+
+@query("encoder_hook", f"""
+    WITH cut AS (SELECT doc_id AS id, {truncated_sql('text', 512)} AS text FROM documents),
+    letters AS (SELECT * FROM (VALUES (0, 'e'), (1, 'a'), (2, 'n'), (3, 's')) v(pos, letter))
+    SELECT id, pos::INTEGER AS pos, (length(text) - length(replace(text, letter, '')))::DOUBLE AS value FROM cut, letters""")
+def _(spark, sf):
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    vectors = embed_column(docs, encoder=_letter_counter)
+    return vectors.select("id", F.posexplode("embedding").alias("pos", "value")).withColumn("value", F.col("value").cast("double"))
+
+
 @query("cv_prompts", f"""
     WITH eligible AS (
         SELECT doc_id AS id, text FROM documents JOIN nation ON n_nationkey = doc_id % 25

@@ -8,9 +8,11 @@ from catalog.registry import embedded_rows, embedded_sql, N_TOKENS_SQL, POSTINGS
 from postloom.functions.money import EMBEDDING_PRICES, completion_cost, embedding_cost
 from postloom.operators.embedding import assemble_embeddings, dimension_check, embed_column, mean_pool
 from postloom.operators.filters import country_filter, id_lookup, id_lookup_in, recent_filter
+from postloom.operators.index import build_index, search_index
 from postloom.operators.ordering import chunk_rows, order_check, restore_order
 from postloom.operators.search import nearest_postings, query_vector
 from postloom.operators.stats import batch_stats, budget_tokens, cost_total, describe_table, distinct_locations, location_token_counts, row_count
+from postloom.session import fresh_path
 from postloom.sources.countries import country_values
 
 
@@ -265,7 +267,7 @@ def _(spark, sf):
     return dimension_check(table(spark, sf, "embeddings"))
 
 
-@query("nearest_postings", """
+NEAREST_SQL = """
     WITH centroids AS (
         SELECT query_id, list(m ORDER BY p) AS q FROM (
             SELECT label::BIGINT AS query_id, p, avg(embedding[p]::DOUBLE) AS m
@@ -275,12 +277,27 @@ def _(spark, sf):
         SELECT query_id, vec_id AS id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6)::DOUBLE AS score
         FROM embeddings, centroids),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM scored)
-    SELECT query_id, rank, id, score FROM ranked WHERE rank <= 10""")
-def _(spark, sf):
+    SELECT query_id, rank, id, score FROM ranked WHERE rank <= 10"""
+
+
+def _label_means(vectors):
     """Each label's mean vector as the query."""
-    vectors = table(spark, sf, "embeddings")
     tokens = vectors.select(F.col("label").alias("query_id"), F.lit(1).alias("mask"), F.col("embedding").alias("vec"))
-    return nearest_postings(vectors.select(F.col("vec_id").alias("id"), "embedding"), mean_pool(tokens, "query_id"), k=10)
+    return mean_pool(tokens, "query_id")
+
+
+@query("nearest_postings", NEAREST_SQL)
+def _(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return nearest_postings(vectors.select(F.col("vec_id").alias("id"), "embedding"), _label_means(vectors), k=10)
+
+
+@query("nearest_indexed", NEAREST_SQL)
+def _(spark, sf):
+    """The same from an inverted-file index, which is built first."""
+    vectors, path = table(spark, sf, "embeddings"), fresh_path(spark, "index")
+    build_index(vectors.select(F.col("vec_id").alias("id"), "embedding"), path)
+    return search_index(spark, path, _label_means(vectors), k=10).rows
 
 
 NEAREST_DOCUMENTS_SQL = f"""

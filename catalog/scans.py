@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, embedded_rows, embedded_sql, hashed_sql, postings, query, table, truncated_sql
 from postloom.operators.embedding import embed_column
 from postloom.operators.merge import append_keep_last, create_keyed_table, insert_ignore, insert_into, insert_report, read_keyed_table, update_table
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
-from postloom.session import fresh_path
+from postloom.session import fresh_path, materialise
 from postloom.sources.collection import collection_add, collection_count, collection_get, collection_peek
 from postloom.sources.postings import incremental_scan, watermark_advance
+from postloom.sources.processed import commit_processed, read_processed, unprocessed
 from postloom.sources.tables import append_tables, csv_scan, csv_sink, ensure_table, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan, with_file_order
 from postloom.sources.watermark import commit_watermark, read_watermark
-from postloom.streaming.increments import embedding_stream, posting_stream
+from postloom.streaming.increments import embedding_stream, posting_stream, state_insert_stream
 
 
 @query("parquet_scan", "SELECT doc_id, lang, source, n_chars FROM documents")
@@ -310,3 +311,39 @@ def _(spark, sf):
     FROM (SELECT *, {POSTING_TEXT_SQL} AS full_text FROM ({POSTINGS_SQL}))""")
 def _(spark, sf):
     return budgeted_postings(postings(spark, sf))
+
+
+@query("late_ids", """
+    WITH late AS (SELECT doc_id AS id FROM documents WHERE doc_id % 7 = 3),
+    marked AS (SELECT id, id >> 10 AS cell, id - row_number() OVER (PARTITION BY id >> 10 ORDER BY id) AS island FROM (SELECT DISTINCT doc_id AS id FROM documents))
+    SELECT 'read' AS kind, id AS lo, id AS hi FROM late
+    UNION ALL SELECT 'mark', min(id), max(id) FROM marked GROUP BY cell, island""")
+def _(spark, sf):
+    """A second run reads the ids that the first one did not have, low ones too, each once; then nothing is left."""
+    docs = table(spark, sf, "documents", ["doc_id"]).select(F.col("doc_id").alias("id"))
+    path = fresh_path(spark, "processed")
+    commit_processed(spark, path, docs.filter("id % 7 <> 3"))
+    late = materialise(unprocessed(docs, read_processed(spark, path)), "late-ids")
+    commit_processed(spark, path, late)
+    mark = read_processed(spark, path)
+    again = unprocessed(docs, mark).select(F.lit("again").alias("kind"), F.col("id").alias("lo"), F.col("id").alias("hi"))
+    read = late.select(F.lit("read").alias("kind"), F.col("id").alias("lo"), F.col("id").alias("hi"))
+    return read.unionAll(mark.select(F.lit("mark").alias("kind"), "lo", "hi")).unionAll(again)
+
+
+STATE_INSERT_SQL = """
+    SELECT doc_id AS id, min(wave)::INTEGER AS wave FROM (
+        SELECT doc_id, 0 AS wave FROM documents WHERE doc_id % 3 <> 0 UNION ALL SELECT doc_id, 1 FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 2 FROM documents)
+    GROUP BY doc_id"""
+
+
+@query("state_insert", STATE_INSERT_SQL)
+def _(spark, sf):
+    """Three arrivals with repeats and late low ids through a keyed state store: the first row of each id stays."""
+    docs = table(spark, sf, "documents", ["doc_id"]).select(F.col("doc_id").alias("id"))
+    source, target, checkpoint = (fresh_path(spark, n) for n in ("arrivals", "state-table", "state-checkpoint"))
+    for wave, rows in enumerate((docs.filter("id % 3 <> 0"), docs.filter("id % 2 = 0"), docs)):
+        rows.withColumn("wave", F.lit(wave)).write.mode("append").parquet(source)
+        stream = posting_stream(spark, source, T.StructType([T.StructField("id", T.LongType()), T.StructField("wave", T.IntegerType())]))
+        state_insert_stream(stream, target, checkpoint, order_by="wave").awaitTermination()
+    return spark.read.parquet(target).select("id", "wave")

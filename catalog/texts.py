@@ -13,6 +13,7 @@ from postloom.functions.text import clean_text, e5_prefix, join_sections, nest_s
 from postloom.functions.tokens import token_count
 from postloom.operators.filters import length_gate
 from postloom.operators.stats import budget_tokens
+from postloom.operators.vocabulary import build_vocabulary, model_budget, model_token_counts, read_ranks
 
 
 @query("section_format", """
@@ -198,3 +199,50 @@ def _detected_norm_sql() -> str:
 @query("normalise_detected", lambda: f"WITH {_tokens_sql(_detected_norm_sql())}, {_kept_sql()}, {_stems_sql()} {_joined('stemmed', 'stem', 'normalised')}")
 def _(spark, sf):
     return L.normalise_text(_documents(spark, sf), "text").select("id", "normalised")
+
+
+# Where the public vocabularies are.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# The pattern's last but one alternative, white space that nothing follows, as a mark before
+# the last blank of a run; then every different piece is merged pair by pair, lowest rank first.
+# A character that the cut leaves incomplete is dropped.
+MODEL_TOKENS_SQL = rf"""
+    WITH RECURSIVE ranks AS (SELECT hex(from_base64(token)) AS h, rank FROM read_csv('{VOCABULARY}', delim = ' ', header = false, quote = '', escape = '', columns = {{'token': 'VARCHAR', 'rank': 'INTEGER'}})),
+    docs AS (SELECT doc_id AS id, text, regexp_extract_all(regexp_replace(text, '(\s)(\s\S)', '\1' || chr(1) || '\2', 'g'),
+        '''s|''t|''re|''ve|''m|''ll|''d| ?\pL+| ?\pN+| ?[^\s\pL\pN' || chr(1) || ']+|\s+') AS ps FROM documents),
+    words AS (SELECT DISTINCT unnest(ps) AS piece FROM docs),
+    merging AS (
+        SELECT piece, regexp_extract_all(hex(encode(piece)), '..') AS parts FROM words
+        UNION ALL
+        SELECT piece, list_concat(list_concat(parts[:k - 1], [parts[k] || parts[k + 1]]), parts[k + 2:]) AS parts FROM (
+            SELECT piece, parts, min(rank::BIGINT * 100000 + i) % 100000 AS k
+            FROM (SELECT piece, parts, unnest(range(1, len(parts))) AS i FROM merging) JOIN ranks ON h = parts[i] || parts[i + 1]
+            GROUP BY piece, parts)),
+    encoded AS (SELECT piece, arg_min(parts, len(parts)) AS parts FROM merging GROUP BY piece),
+    placed AS (SELECT id, ps[i] AS piece, i FROM (SELECT id, ps, unnest(range(1, len(ps) + 1)) AS i FROM docs)),
+    counted AS (SELECT id, flatten(list(parts ORDER BY i)) AS parts FROM placed JOIN encoded USING (piece) GROUP BY id),
+    cut AS (SELECT id, len(parts)::INTEGER AS n_tokens, len(parts) > 1000 AS truncated,
+        length(regexp_replace(array_to_string(parts[:1000], ''), '([CDEF].|[EF].[89AB].|F.[89AB].[89AB].)$', '')) // 2 AS octets FROM counted)"""
+
+
+def _model_vocabulary(spark, docs):
+    return build_vocabulary(docs, read_ranks(spark, f"file:{VOCABULARY}"))
+
+
+@query("model_token_count", f"{MODEL_TOKENS_SQL} SELECT d.id, coalesce(n_tokens, 0)::INTEGER AS n_tokens FROM docs d LEFT JOIN cut USING (id)")
+def _(spark, sf):
+    """Tokens of a model's vocabulary; every different piece of text is encoded once."""
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    counts = model_token_counts(docs, _model_vocabulary(spark, docs))
+    return docs.select("id").join(counts, "id", "left").fillna(0, ["n_tokens"])
+
+
+@query("model_budget", f"""{MODEL_TOKENS_SQL}
+    SELECT d.id, coalesce(n_tokens, 0)::INTEGER AS n_tokens, coalesce(truncated, false) AS truncated,
+        CASE WHEN truncated THEN octets ELSE strlen(text) END::INTEGER AS n_octets, sha256(CASE WHEN truncated THEN encode(text)[:octets] ELSE encode(text) END) AS text_sha256
+    FROM docs d LEFT JOIN cut USING (id)""")
+def _(spark, sf):
+    """Texts cut to 1,000 tokens of a model's vocabulary."""
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    cut = model_budget(docs, _model_vocabulary(spark, docs), 1000)
+    return cut.select("id", "n_tokens", "truncated", F.octet_length("text").alias("n_octets"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))

@@ -7,11 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from postloom import hooks
 from postloom.functions.text import e5_prefix
 from postloom.operators.embedding import embed_column
+from postloom.session import materialise
 
 # Bytes of query vectors that are shipped to the tasks at once.
 BLOCK_BYTES = 50 << 20
@@ -93,14 +95,32 @@ def nearest_postings(postings: DataFrame, queries: DataFrame, k: int = 10, digit
     the driver in blocks of at most ``block_bytes``; each block is shipped to the tasks,
     which scan their postings with a matrix product and keep ``k`` rows per query. Only
     these are shuffled, and ranked in parts before the last ranking, so one query with
-    very many tasks does not meet in one task whole.
+    very many tasks does not meet in one task whole. With several blocks each is scanned,
+    its candidates written and its vectors released before the next one is made.
     """
     vectors = queries.select(F.col("query_id").cast("long").alias("query_id"), "embedding").filter("embedding IS NOT NULL")
     table = postings.select(F.col("id").cast("long").alias("id"), "embedding").filter("embedding IS NOT NULL")
-    blocks = [_scan_candidates(table, ids, matrix, k, digits) for ids, matrix in _query_blocks(vectors, block_bytes)]
-    if not blocks:
+    blocks: list[DataFrame] = []
+    pending = None
+    for ids, matrix in _query_blocks(vectors, block_bytes):
+        if pending is not None:
+            blocks.append(_written(*pending))
+        pending = _scan_candidates(table, ids, matrix, k, digits)
+    if pending is None:
         return queries.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
-    candidates = reduce(DataFrame.unionByName, blocks)
+    blocks.append(_written(*pending) if blocks else pending[0])
+    return ranked(reduce(DataFrame.unionByName, blocks), k)
+
+
+def _written(candidates: DataFrame, shared: Broadcast) -> DataFrame:
+    """The candidates of a block in a table; its query vectors leave the tasks."""
+    table = materialise(candidates, "nearest-candidates")
+    shared.destroy()
+    return table
+
+
+def ranked(candidates: DataFrame, k: int) -> DataFrame:
+    """``(query_id, rank, id, score)`` from candidates of any number of tasks, in salted parts first."""
     best = [F.desc("score"), F.asc("id")]
     salted = candidates.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     part = salted.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_salt").orderBy(*best))).filter(F.col("_r") <= k)
@@ -123,7 +143,7 @@ def _query_blocks(vectors: DataFrame, block_bytes: int) -> Iterator[tuple[np.nda
         yield np.array(ids), _unit(np.stack(rows))
 
 
-def _scan_candidates(table: DataFrame, query_ids: np.ndarray, matrix: np.ndarray, k: int, digits: int) -> DataFrame:
+def _scan_candidates(table: DataFrame, query_ids: np.ndarray, matrix: np.ndarray, k: int, digits: int) -> tuple[DataFrame, Broadcast]:
     shared = table.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,4 +153,4 @@ def _scan_candidates(table: DataFrame, query_ids: np.ndarray, matrix: np.ndarray
             _merge_batch(best, queries, batch.column("id").to_numpy(), batch.column("embedding"), k, digits)
         yield from _candidates(best, ids).to_batches()
 
-    return table.mapInArrow(run, _CANDIDATES)
+    return table.mapInArrow(run, _CANDIDATES), shared

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from postloom import hooks
 from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, is_long, outcome, parse_responses, request_json, request_key
+from postloom.session import fresh_path, materialise
 from postloom.sources.tables import ensure_table, run_report_append
 
 ANSWERS = "key string, summary string, prompt_tokens int, completion_tokens int, cost double"
+REQUESTS = "key string, request string"
 # Requests that are answered before their answers are stored.
 WAVE_REQUESTS = 10_000
 
@@ -29,16 +31,22 @@ def answer_requests(requests: DataFrame, call, answers_path: str, model: str, wa
     ``requests (key, request)`` may repeat: each key is asked once. Answers are parsed and
     appended in waves of about ``wave_requests``, so a run that dies loses one wave, and the
     next run asks only for the rest. Failed requests are stored without a summary and asked
-    again by a later run.
+    again by a later run. What is to be asked is written once, a folder for each wave, and
+    a wave reads its own folder: the work does not grow with the number of waves.
     """
     spark = requests.sparkSession
     ensure_table(spark, answers_path, spark.createDataFrame([], ANSWERS).schema)
     usable = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").select("key")
     todo = requests.groupBy("key").agg(F.first("request").alias("request")).join(usable, "key", "left_anti")
-    waves = -(-todo.select("key").count() // wave_requests)
+    # Written before the waves are cut, because their number follows from the rows.
+    todo = materialise(todo, "requests-to-ask")
+    waves = -(-todo.count() // wave_requests)
+    path = fresh_path(spark, "request-waves")
+    if waves:
+        todo.withColumn("wave", F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")).repartition(F.col("wave")).write.partitionBy("wave").parquet(path)
     total = 0.0
     for wave in range(waves):
-        part = todo.filter(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
+        part = spark.read.schema(f"{REQUESTS}, wave int").parquet(path).filter(F.col("wave") == wave).repartition(spark.sparkContext.defaultParallelism)
         answered = part.select("key", call(F.col("request")).alias("_answer")).select("key", "_answer.response")
         parsed = parse_responses(answered, model).select("key", "summary", F.col("prompt_tokens").cast("int"), F.col("completion_tokens").cast("int"), "cost")
         cost = Observation()

@@ -17,6 +17,13 @@ WATERMARK = T.StructType([
     T.StructField("max_id", T.LongType()),
 ])
 
+PROCESSED = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("cell", T.LongType()),
+    T.StructField("lo", T.LongType()),
+    T.StructField("hi", T.LongType()),
+])
+
 RUN_REPORT = T.StructType([
     T.StructField("ts", T.TimestampType()),
     T.StructField("batches", T.LongType()),

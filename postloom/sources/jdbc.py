@@ -51,7 +51,12 @@ def jdbc_increment(spark: SparkSession, url: str, table: str, max_id: int, parti
     return incremental_scan(source, max_id, upper_id, columns, key)
 
 
-def jdbc_insert(new: DataFrame, url: str, table: str, partitions: int, key: str = "id", vector_col: str = "embedding", batch_size: int = INSERT_BATCH, **extra) -> None:
+def rows_to_insert(stored: DataFrame, new: DataFrame, key: str = "id", vector_col: str = "embedding", *, order_by) -> DataFrame:
+    """The rows of ``new`` that the table lacks, vectors as text; of one key the first by ``order_by``."""
+    return fresh_rows(stored, new, key, order_by=order_by).withColumn(vector_col, vector_text(vector_col))
+
+
+def jdbc_insert(new: DataFrame, url: str, table: str, partitions: int, key: str = "id", vector_col: str = "embedding", batch_size: int = INSERT_BATCH, *, order_by, **extra) -> None:
     """Append the rows whose key the database table lacks, in batches per task.
 
     Only the stored keys inside the key range of ``new`` are read. Spark writes each task in
@@ -61,6 +66,6 @@ def jdbc_insert(new: DataFrame, url: str, table: str, partitions: int, key: str
     if low is None:
         return
     options = jdbc_options(url, table, low - 1, high, partitions, key=key, **extra)
-    stored = new.sparkSession.read.format("jdbc").options(**options).load().select(key)
-    rows = fresh_rows(stored.filter(F.col(key).between(low, high)), new, key).withColumn(vector_col, vector_text(vector_col))
+    stored = new.sparkSession.read.format("jdbc").options(**options).load().select(key).filter(F.col(key).between(low, high))
+    rows = rows_to_insert(stored, new, key, vector_col, order_by=order_by)
     rows.write.format("jdbc").options(**jdbc_write_options(url, table, batch_size, **extra)).mode("append").save()

@@ -6,10 +6,12 @@ files were read, so a posting that arrives late with a low id is not lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from postloom import hooks
 from postloom.operators.embedding import assemble_embeddings
@@ -55,6 +57,35 @@ def insert_stream(
     )
 
 
+def state_insert_stream(rows: DataFrame, table_path: str, checkpoint: str, key: str = "id", *, order_by) -> StreamingQuery:
+    """Insert-ignore by a keyed state store: the first row of each key goes to the table.
+
+    The state remembers the keys that were seen, so a micro-batch is compared with its own
+    keys' state and the stored table is never scanned; a late low id is a new key as any
+    other. Of the rows of a micro-batch with one key the first by ``order_by`` counts. State
+    and file sink commit with the checkpoint, so each key is written once, also when a
+    batch is repeated. The table must be this stream's own and begin empty. Null keys are
+    left out.
+    """
+    names = [order_by] if isinstance(order_by, str) else list(order_by)
+    columns = rows.columns
+
+    def first_seen(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            return
+        best = None
+        for batch in batches:  # one row is kept, however many the key has
+            first = batch.sort_values(names, kind="stable").iloc[:1]
+            best = first if best is None else pd.concat([best, first]).sort_values(names, kind="stable").iloc[:1]
+        if best is not None:
+            state.update((True,))
+            yield best[columns]
+
+    inserted = rows.filter(F.col(key).isNotNull()).groupBy(key).applyInPandasWithState(
+        first_seen, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    return inserted.writeStream.format("parquet").option("path", table_path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def embedding_stream(
     postings: DataFrame,
     table_path: str,

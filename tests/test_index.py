@@ -1,0 +1,44 @@
+import numpy as np
+import pytest
+
+from postloom.operators.index import build_index, search_index
+from postloom.operators.search import nearest_postings
+from postloom.session import fresh_path
+
+
+def frames(spark, n, clusters, seed=1, dim=12, queries=25):
+    rng = np.random.default_rng(seed)
+    means = rng.normal(size=(clusters, dim))
+    points = means[rng.integers(0, clusters, n)] + 0.05 * rng.normal(size=(n, dim))
+    asked = means[rng.integers(0, clusters, queries)] + 0.05 * rng.normal(size=(queries, dim))
+    rows = [(i, p.tolist()) for i, p in enumerate(points.round(3))] + [(n, [0.0] * dim), (n + 1, None), (n + 2, points[0].round(3).tolist()), (None, points[1].tolist())]
+    wanted = [(i, q.tolist()) for i, q in enumerate(asked)] + [(90, [0.0] * dim), (91, None)]
+    return spark.createDataFrame(rows, "id long, embedding array<double>").repartition(4), spark.createDataFrame(wanted, "query_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("n, clusters, k, block_bytes", [(2000, 20, 5, 1 << 20), (300, 1, 10, 400), (7, 2, 10, 1 << 20)])
+def test_equals_the_full_scan(spark, n, clusters, k, block_bytes):
+    postings, queries = frames(spark, n, clusters)
+    path = fresh_path(spark, "index")
+    build_index(postings, path)
+    found = search_index(spark, path, queries, k, block_bytes=block_bytes)
+    exact = nearest_postings(postings.filter("id IS NOT NULL"), queries, k)
+    assert sorted(map(tuple, found.rows.collect())) == sorted(map(tuple, exact.collect()))
+    if clusters == 20:
+        assert found.scored_share < 0.25
+
+
+def test_without_rows_or_queries(spark):
+    path = fresh_path(spark, "index")
+    postings, queries = frames(spark, 50, 3)
+    build_index(postings.limit(0), path)
+    assert search_index(spark, path, queries).rows.collect() == []
+    path = fresh_path(spark, "index")
+    build_index(postings, path)
+    assert search_index(spark, path, queries.limit(0)).rows.collect() == []
+
+
+def test_blocks_are_released(spark):
+    postings, queries = frames(spark, 200, 3)
+    whole, cut = nearest_postings(postings.filter("id IS NOT NULL"), queries, 4), nearest_postings(postings.filter("id IS NOT NULL"), queries, 4, block_bytes=200)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))

@@ -1,18 +1,20 @@
+import inspect
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from postloom.__main__ import main
 from postloom.plans import embedding as runs
+from postloom.plans.summaries import answer_requests
 from postloom.schemas import POSTINGS, RUN_REPORT
 from postloom.session import fresh_path, materialise, shared_dir
 from postloom.sources.collection import collection_count, collection_peek
-from postloom.sources.jdbc import jdbc_options, jdbc_write_options, vector_text
+from postloom.sources.jdbc import jdbc_insert, jdbc_options, jdbc_write_options, rows_to_insert, vector_text
 from postloom.sources.postings import incremental_scan, watermark_advance
 from postloom.sources.tables import csv_scan, csv_sink, run_report_scan
 from postloom.sources.watermark import commit_watermark, read_watermark, watermark_table
-from postloom.streaming.increments import embedding_stream, posting_stream
+from postloom.streaming.increments import embedding_stream, posting_stream, state_insert_stream
 
 
 def postings(spark, *ids):
@@ -132,6 +134,34 @@ def test_jdbc_writes_vectors_as_text(spark):
     assert (options["batchsize"], options["stringtype"], options["user"]) == ("500", "unspecified", "u")
 
 
+def test_jdbc_insert_takes_first_rows_of_new_keys(spark):
+    stored = spark.createDataFrame([(1,), (5,)], "id long")
+    new = spark.createDataFrame([(1, 1, [1.0]), (2, 9, [2.0]), (2, 3, [3.0]), (7, 1, None)], "id long, seq int, embedding array<float>")
+    rows = rows_to_insert(stored, new, order_by="seq").collect()
+    assert sorted((r["id"], r["seq"], r["embedding"]) for r in rows) == [(2, 3, "[3.0]"), (7, 1, None)]
+    assert "order_by" in inspect.signature(jdbc_insert).parameters
+    jdbc_insert(new.limit(0), "jdbc:none://nowhere", "t", 2, order_by="seq")  # nothing to insert: no connection
+
+
+def test_state_store_inserts_once(spark):
+    source, target, checkpoint = (fresh_path(spark, n) for n in ("source", "target", "checkpoint"))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("seq", T.IntegerType()), T.StructField("text", T.StringType())])
+    for batch in ([(5, 2, "b"), (5, 1, "a"), (None, 1, "n")], [(1, 9, "late"), (5, 0, "again")], [(1, 1, "x"), (6, 1, None)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        state_insert_stream(posting_stream(spark, source, schema), target, checkpoint, order_by="seq").awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(1, 9, "late"), (5, 1, "a"), (6, 1, None)]
+
+
+def test_waves_read_their_own_folder(spark):
+    requests = spark.createDataFrame([(f"k{i % 40}", f'{{"n": {i % 40}}}') for i in range(100)], "key string, request string")
+    answer = F.udf(lambda r: "{}", "string")
+    call = lambda column: F.struct(F.lit(1).alias("attempts"), answer(column).alias("response"))
+    path = fresh_path(spark, "answers")
+    answer_requests(requests, call, path, "m", wave_requests=10)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 40 and stored.select("key").distinct().count() == 40
+
+
 def test_shared_folder(spark):
     assert fresh_path(spark, "x").startswith(shared_dir(spark)) and fresh_path(spark, "x") != fresh_path(spark, "x")
     assert materialise(spark.range(3), "three").count() == 3
