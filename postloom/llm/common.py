@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postloom.session import materialise
@@ -106,10 +108,16 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one Arrow's unused memory goes back, as worker processes outlive their tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 class HashedWords(dict):
     """64-bit hashes of words, remembered for a bounded number of different words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from postloom.llm.common import Sieve, bitmap_of, in_bitmap, mixed, pick
+from postloom.llm.common import Sieve, bitmap_of, in_bitmap, mixed, pick, released
 from postloom.session import materialise
 
 # Tokens of a window: of items of LONG_ITEM tokens or more, one changed token anywhere leaves
@@ -42,7 +42,7 @@ PLACE = {kind: np.uint64(xxhash.xxh3_64_intdigest(name) & ~7) for kind, name in
 class TypedTokens(dict):
     """Hashes of lower-cased tokens with their kind, remembered for a bounded number of tokens."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
@@ -119,7 +119,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     an item that has no others, or fewer than SHORT_WINDOW tokens, is known by its literal tokens.
     """
     known = TypedTokens()
-    for batch in batches:
+    for batch in released(batches):
         rows: list[dict] = []
         for asked, value in zip(batch.column("asked").to_pylist(), batch.column("text")):
             template, caseless, literal, slot = canonical(value.as_py() or "", known)
@@ -156,7 +156,7 @@ def _document_windows(docs: DataFrame, bitmap: np.ndarray, kinds: list[tuple[int
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TypedTokens()
-        for batch in batches:
+        for batch in released(batches):
             rows, hashes, places = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for number, value in enumerate(batch.column("text")):
                 template, caseless, literal, _ = canonical(value.as_py() or "", known)
@@ -215,7 +215,7 @@ ALIGNED_SCHEMA = "asked bigint, n_tokens bigint, n_aligned bigint, longest_run b
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known, columns = TypedTokens(), [part.split()[0] for part in ALIGNED_SCHEMA.split(", ")]
-    for batch in batches:
+    for batch in released(batches):
         keys, out = [], []
         for number, (value, places) in enumerate(zip(batch.column("text"), batch.column("places"))):
             # Signed, as the items' tokens are in their table.

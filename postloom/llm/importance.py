@@ -56,7 +56,7 @@ def crc_after(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class KnownWords(dict):
     """CRC-32 and length of words in one number, remembered for a bounded number of them; the sentinel is 0."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__({SENTINEL: 0})
         self.limit = limit
 

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import hashed_sample, pick
+from postloom.llm.common import hashed_sample, pick, released
 from postloom.session import materialise
 
 FEATURE_BITS = 11
@@ -127,7 +127,7 @@ def _sigmoid(margin: float) -> float:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         vectors = [features(value.as_py()).astype(np.float32).tobytes() for value in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(vectors, pa.binary())], ["lang", "vector"])
 
@@ -190,7 +190,7 @@ def predict_languages(df: DataFrame, model: LanguageModel, key: str = "doc_id",
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = [shared.value.predict(features(t)) if has_letter(t := value.as_py()) else (UNKNOWN, 0.0) for value in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],

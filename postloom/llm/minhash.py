@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import HashedWords, bitmap_of, in_bitmap, mixed, pick
+from postloom.llm.common import HashedWords, bitmap_of, in_bitmap, mixed, pick, released
 from postloom.llm.components import connected_components
 from postloom.session import materialise
 
@@ -87,7 +87,7 @@ def band_keys(sorted_hashes: np.ndarray) -> np.ndarray:
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = HashedWords()
-    for batch in batches:
+    for batch in released(batches):
         counts, high, low, bands = [], [], [], []
         for value in batch.column("text"):
             found = shingles(value.as_py() or "", words)
@@ -116,7 +116,7 @@ def _full_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = HashedWords()
-        for batch in batches:
+        for batch in released(batches):
             member = in_bitmap(bitmap.value, np.asarray(batch.column("hash")).view(np.uint64))
             chosen = batch.filter(pa.array(member))
             hashes = [shingles(value.as_py() or "", words).tobytes() for value in chosen.column("text")]
@@ -139,7 +139,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kind = pairs.schema["a"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             sides = zip(batch.column("hashes_a"), batch.column("hashes_b"))
             similar = [_similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
@@ -220,7 +220,7 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, group = None, []
-        for batch in batches:
+        for batch in released(batches):
             found: list = []
             for bucket, low, high, own, key, component, hashes in zip(*(batch.column(c) for c in ("bucket", "low", "high", "own", "set", "component", "hashes"))):
                 here = (bucket.as_py(), low.as_py(), high.as_py())

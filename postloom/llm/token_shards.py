@@ -17,7 +17,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from postloom.llm.common import Sieve, mixed, pick
+from postloom.llm.common import Sieve, mixed, pick, released
 from postloom.session import materialise
 
 # Fixed value: how the byte-level vocabularies split a text into pieces.
@@ -66,7 +66,7 @@ class Permutation:
 class PieceCache(dict):
     """Token bytes of words, remembered for a bounded number of words."""
 
-    def __init__(self, encode, dtype, prefix: str, limit: int = 300_000):
+    def __init__(self, encode, dtype, prefix: str, limit: int = 100_000):
         super().__init__()
         self.encode, self.dtype, self.prefix, self.limit = encode, dtype, prefix, limit
 
@@ -158,7 +158,7 @@ def placed_sequences(df: DataFrame, ranks: dict[bytes, int], sequence_tokens: in
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in released(batches):
             keys, seqs, elements, tokens = [], [], [], []
             for k, shared_key, value in zip(batch.column("key").to_pylist(), batch.column("shared").to_pylist(), batch.column("text")):
                 data = encoder(value.as_py() or "")
