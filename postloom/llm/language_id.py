@@ -21,6 +21,8 @@ FEATURES = 1 << FEATURE_BITS
 TRAINING_ROWS = 4_000
 # Rows that a machine multiplies at once.
 BLOCK_ROWS = 512
+# Columns of the curvature matrix that are added at once.
+BLOCK_FEATURES = 256
 UNKNOWN = "und"
 # Bytes of lower-cased text that are counted at once.
 BLOCK_CHARS = 1 << 20
@@ -85,7 +87,8 @@ def linear_machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int
         for block in blocks:
             chosen = active[block]
             xa, wa = rows(block)[chosen], weight[block][chosen]
-            hessian += (xa * wa[:, None]).T @ xa
+            for c in range(0, size, BLOCK_FEATURES):
+                hessian[c:c + BLOCK_FEATURES] += (xa[:, c:c + BLOCK_FEATURES] * wa[:, None]).T @ xa
             right += xa.T @ (wa * y[block][chosen])
         w = np.linalg.solve(hessian, right)
     return w
@@ -167,18 +170,22 @@ def fit_languages(df: DataFrame, key: str = "doc_id", text: str = "text", lang:
     fitted: dict[int, np.ndarray] = {}
     if sides:
         table = df.sparkSession.createDataFrame(sides, "lang string, machine int, side double")  # a few rows per language
-        weights = vectors.join(F.broadcast(table), "lang").groupBy("machine").applyInPandas(_fitted, "machine int, weights binary").collect()
+        weights = vectors.join(F.broadcast(table), "lang").groupBy("machine").applyInArrow(_fitted, "machine int, weights binary").collect()
         fitted = {r["machine"]: np.frombuffer(bytes(r["weights"])) for r in weights}
     n = len(machines) - len(pairs)
     rest = [fitted[i] for i in range(n)] if n else [np.zeros(FEATURES + 1) for _ in families]
     return LanguageModel(families, np.array(rest).reshape(len(families), FEATURES + 1), {pair: fitted[n + i] for i, pair in enumerate(pairs)})
 
 
-def _fitted(rows: pd.DataFrame) -> pd.DataFrame:
+def _fitted(rows: pa.Table) -> pa.Table:
     """One machine from its rows of the sample, in an order that does not depend on partitions."""
-    rows = rows.sort_values(["lang", "vector"])
-    x = np.frombuffer(b"".join(map(bytes, rows["vector"])), dtype=np.float32).reshape(len(rows), FEATURES)
-    return pd.DataFrame({"machine": rows["machine"].iloc[:1], "weights": [linear_machine(x, rows["side"].to_numpy()).tobytes()]})
+    rows = rows.sort_by([("lang", "ascending"), ("vector", "ascending")])
+    x, y = np.empty((rows.num_rows, FEATURES), dtype=np.float32), rows.column("side").to_numpy()
+    for i, vector in enumerate(rows.column("vector")):
+        x[i] = np.frombuffer(vector.as_buffer(), dtype=np.float32)
+    machine = rows.column("machine")[0].as_py()
+    del rows
+    return pa.table({"machine": pa.array([machine], pa.int32()), "weights": pa.array([linear_machine(x, y).tobytes()], pa.binary())})
 
 
 def predict_languages(df: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
