@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, postings, query, section_sql, table, truncated_sql
 from postloom.functions import language as L
+from postloom.functions.ngrams import learn_languages, ngram_language
 from postloom.functions.text import clean_text, e5_prefix, join_sections, nest_sections, regex_normalise, section_format, word_count
 from postloom.functions.tokens import token_count
 from postloom.operators.filters import length_gate
+from postloom.operators.lemmas import lemmatise
 from postloom.operators.stats import budget_tokens
 from postloom.operators.vocabulary import build_vocabulary, model_budget, model_token_counts, read_ranks
 
@@ -201,6 +203,46 @@ def _(spark, sf):
     return L.normalise_text(_documents(spark, sf), "text").select("id", "normalised")
 
 
+# Trigrams of the basic plane's letters in 4,093 buckets; every count starts at one.
+TRIGRAM_SQL = r"""
+    WITH texts AS (SELECT doc_id AS id, lang, string_split(' ' || trim(regexp_replace(lower(text), '[\PL\x{10000}-\x{10FFFF}]+', ' ', 'g')) || ' ', '') AS cs FROM documents),
+    codes AS (SELECT id, lang, unicode(unnest(cs))::BIGINT AS c, generate_subscripts(cs, 1) AS i FROM texts),
+    grams AS (SELECT id, lang, c * 961 + lead(c) OVER w * 31 + lead(c, 2) OVER w AS code FROM codes WINDOW w AS (PARTITION BY id ORDER BY i)),
+    placed AS (SELECT id, lang, code % 4093 AS bucket FROM grams WHERE code IS NOT NULL),
+    counted AS (SELECT lang, bucket, count(*) AS n FROM placed WHERE lang IS NOT NULL GROUP BY ALL),
+    totals AS (SELECT lang, sum(n) + 4093 AS total FROM counted GROUP BY lang),
+    weights AS (
+        SELECT t.lang, b.bucket, floor(1000 * ln((coalesce(n, 0) + 1) / total))::BIGINT AS weight
+        FROM totals t CROSS JOIN (SELECT unnest(range(4093)) AS bucket) b LEFT JOIN counted c ON c.lang = t.lang AND c.bucket = b.bucket),
+    scored AS (SELECT p.id, w.lang, sum(weight) AS score FROM placed p JOIN weights w USING (bucket) GROUP BY ALL),
+    ranked AS (SELECT id, lang, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS place FROM scored)
+    SELECT d.doc_id AS id, r.lang AS detected FROM documents d LEFT JOIN ranked r ON r.id = d.doc_id AND place = 1"""
+
+
+@query("detect_language_ngrams", TRIGRAM_SQL)
+def _(spark, sf):
+    """The likeliest language of every document, learned from all rows that have one."""
+    docs = _documents(spark, sf)
+    return docs.select("id", ngram_language("text", learn_languages(docs)).alias("detected"))
+
+
+# A dictionary from the texts themselves: a word with a last s belongs to the word without it
+# where that one occurs in the same language too.
+_LEMMAS_SQL = """
+    attested AS (SELECT DISTINCT lang, token FROM toks WHERE lang IS NOT NULL),
+    lemmas AS (SELECT a.lang, a.token, b.token AS lemma FROM attested a JOIN attested b ON b.lang = a.lang AND a.token = b.token || 's' WHERE length(b.token) >= 3),
+    ruled AS (SELECT k.id, k.lang, k.token, k.pos, coalesce(words.stem, k.token) AS stem FROM kept k LEFT JOIN words ON words.lang = k.lang AND words.token = k.token),
+    lemmatised AS (SELECT r.id, r.pos, coalesce(l.lemma, r.stem) AS lemma FROM ruled r LEFT JOIN lemmas l ON l.lang = r.lang AND l.token = r.token)"""
+
+
+@query("lemma_dictionary", lambda: f"WITH {_tokens_sql()}, kept AS (SELECT * FROM toks), {_stems_sql()}, {_LEMMAS_SQL} {_joined('lemmatised', 'lemma', 'lemmas')}")
+def _(spark, sf):
+    docs = _clean_tokens(spark, sf)
+    words = docs.filter("lang IS NOT NULL").select("lang", F.explode("tokens").alias("word")).distinct()
+    plural = words.select("lang", F.col("word").alias("lemma")).filter("length(lemma) >= 3").withColumn("word", F.concat("lemma", F.lit("s")))
+    return lemmatise(docs, plural.join(words, ["lang", "word"])).select("id", F.array_join("tokens", " ").alias("lemmas"))
+
+
 # Where the public vocabularies are.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The pattern's last but one alternative, white space that nothing follows, as a mark before

@@ -1,8 +1,9 @@
 """Language-aware normalisation: detect, tokenise, drop stop words, stem.
 
-Detection, English lemmas and Spanish stems are deterministic substitutes for statistical
-and dictionary-based libraries: a vote of stop words, and short lists of suffix rules, all
-column expressions. Own models plug in through ``postloom.hooks``.
+Without further input, detection is a vote of stop words, and English lemmas and Spanish
+stems follow short lists of suffix rules, all column expressions. ``postloom.functions.ngrams``
+learns languages from labelled rows, ``postloom.operators.lemmas`` takes a dictionary, and
+own models plug in through ``postloom.hooks``.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postloom import hooks
+from postloom.functions.ngrams import NgramLanguages, ngram_language
 from postloom.functions.text import regex_normalise
 
 # Language code -> name of a stop-word list beside this package. The order decides ties.
@@ -122,12 +124,15 @@ def stem_tokens(tokens, lang, stemmers: dict[str, hooks.StemmerFactory] | None =
     return stemmed.otherwise(tokens)
 
 
-def normalise_text(df: DataFrame, text_col: str = "text", lang_col: str | None = None, output_col: str = "normalised", stemmers=None) -> DataFrame:
+def normalise_text(df: DataFrame, text_col: str = "text", lang_col: str | None = None, output_col: str = "normalised", stemmers=None,
+                   languages: NgramLanguages | None = None) -> DataFrame:
     """Add the normalised text: detect, clean, tokenise, drop stop words, stem, join.
 
-    ``lang_col`` names a column that already holds the language of the raw text.
+    ``lang_col`` names a column that already holds the language of the raw text. Without it
+    ``languages``, a learned table of trigrams, decides, and without that the stop words.
     """
-    known = df.withColumn("_lang", F.col(lang_col) if lang_col else detect_language(text_col))
+    detected = ngram_language(text_col, languages) if languages else detect_language(text_col)
+    known = df.withColumn("_lang", F.col(lang_col) if lang_col else detected)
     tokens = known.withColumn("_tokens", tokenize(regex_normalise(F.col(text_col))))
     kept = tokens.withColumn("_tokens", remove_stopwords("_tokens", "_lang"))
     stemmed = kept.withColumn(output_col, F.array_join(stem_tokens("_tokens", "_lang", stemmers), " "))
