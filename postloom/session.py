@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import importlib
 import tempfile
@@ -74,9 +75,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    release_dropped(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_dropped(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files and broadcasts of plans that nothing refers to any more.
+
+    Its cleaner waits until the driver collects its garbage, by itself every 30 minutes;
+    a job of many written tables would keep the files of all its earlier shuffles so long,
+    and their plans in the driver.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def package_archive(name: str, folder: Path) -> Path:
     """A zip of a package's sources, named by its content: equal sources give equal files."""
     root = Path(importlib.import_module(name).__file__).parent
