@@ -16,6 +16,7 @@ from postloom.sources.processed import commit_processed, read_processed, unproce
 from postloom.sources.tables import append_tables, csv_scan, csv_sink, ensure_table, parquet_scan, parquet_sink, rename_legacy_key, run_report_append, run_report_scan, with_file_order
 from postloom.sources.watermark import commit_watermark, read_watermark
 from postloom.streaming.increments import embedding_stream, posting_stream, state_insert_stream
+from postloom.streaming.marks import marked_stream
 
 
 @query("parquet_scan", "SELECT doc_id, lang, source, n_chars FROM documents")
@@ -347,3 +348,26 @@ def _(spark, sf):
         stream = posting_stream(spark, source, T.StructType([T.StructField("id", T.LongType()), T.StructField("wave", T.IntegerType())]))
         state_insert_stream(stream, target, checkpoint, order_by="wave").awaitTermination()
     return spark.read.parquet(target).select("id", "wave")
+
+
+MARKED_STREAM_SQL = """
+    SELECT doc_id AS id, CASE WHEN doc_id <= 2 * m // 3 THEN 0 ELSE 2 END::INTEGER AS run, lang
+    FROM documents, (SELECT max(doc_id) AS m FROM documents) WHERE doc_id > 0"""
+
+
+@query("marked_stream", MARKED_STREAM_SQL)
+def _(spark, sf):
+    """A stream whose offset is the id mark, over a table that grows by a third: each id is read once, in the run that could first see it.
+
+    The second run finds nothing new, and the third reads behind the mark of the first.
+    """
+    docs = table(spark, sf, "documents", ["doc_id", "lang", "source"]).withColumnRenamed("doc_id", "id")
+    top = docs.agg(F.max("id")).first()[0] or 0
+    source, target, checkpoint = (fresh_path(spark, n) for n in ("growing", "marked-table", "marked-checkpoint"))
+    schema = docs.select("id", "lang").schema
+    ensure_table(spark, target, T.StructType([*schema.fields, T.StructField("run", T.IntegerType())]))
+    for run, arrived in enumerate((docs.filter(F.col("id") <= 2 * top // 3), docs.limit(0), docs.filter(F.col("id") > 2 * top // 3))):
+        arrived.write.mode("append").parquet(source)
+        stream = marked_stream(spark, source, schema).withColumn("run", F.lit(run))
+        stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target).select("id", "run", "lang")
