@@ -8,6 +8,7 @@ from catalog.registry import embedded_rows, embedded_sql, N_TOKENS_SQL, POSTINGS
 from postloom.functions.money import EMBEDDING_PRICES, completion_cost, embedding_cost
 from postloom.operators.embedding import assemble_embeddings, dimension_check, embed_column, mean_pool
 from postloom.operators.filters import country_filter, id_lookup, id_lookup_in, recent_filter
+from postloom.operators.places import tag_countries
 from postloom.operators.index import build_index, search_index
 from postloom.operators.ordering import chunk_rows, order_check, restore_order
 from postloom.operators.search import nearest_postings, query_vector
@@ -51,11 +52,12 @@ def country_dictionary(spark, sf):
     return continents.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("r_name", F.struct("Countries"))))).alias("dictionary"))
 
 
-VALUES_SQL = """
+ALL_VALUES_SQL = """
     SELECT n_name AS country_name, unnest(['name', 'code', 'capital', 'subdivision_code', 'subdivision_name', 'subdivision_code', 'subdivision_name']) AS kind,
         unnest([n_name, 'N' || n_nationkey, 'Capital ' || n_nationkey, 'D1-' || n_nationkey, 'District 1 of ' || n_nationkey,
             'D2-' || n_nationkey, 'District 2 of ' || n_nationkey]) AS value
-    FROM nation WHERE n_name = 'NATION_1'"""
+    FROM nation"""
+VALUES_SQL = f"{ALL_VALUES_SQL} WHERE n_name = 'NATION_1'"
 
 
 @query("country_values", VALUES_SQL)
@@ -90,6 +92,15 @@ def _(spark, sf):
     return country_filter(_locations(spark, sf), country_values(country_dictionary(spark, sf), "NATION_1"), literal=True, lowercase=False)
 
 
+@query("country_tags", f"""
+    WITH places AS ({_LOCATIONS_SQL}), vals AS (SELECT DISTINCT country_name, lower(value) AS value FROM ({ALL_VALUES_SQL}))
+    SELECT DISTINCT id, location, country_name AS country FROM places, vals WHERE contains(lower(location), value)""")
+def _(spark, sf):
+    """All countries of every location, in one pass over the locations."""
+    tagged = tag_countries(_locations(spark, sf), country_values(country_dictionary(spark, sf)))
+    return tagged.select("id", "location", F.explode("countries").alias("country"))
+
+
 _COUNTED_SQL = f"SELECT doc_id, {N_TOKENS_SQL.format(text='text')} AS n FROM documents"
 
 

@@ -12,13 +12,15 @@ def read_country_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("dictionary"))
 
 
-def country_values(dictionary: DataFrame, country: str, json_column: str = "dictionary") -> DataFrame:
+def country_values(dictionary: DataFrame, country: str | None = None, json_column: str = "dictionary") -> DataFrame:
     """``(country_name, kind, value)`` for one country: its name, code and capital, and the
     code and name of every subdivision. The name must match exactly; an unknown country
-    gives no rows.
+    gives no rows. Without a name the values of all countries.
     """
     continents = dictionary.select(F.explode(F.from_json(json_column, COUNTRY_DICTIONARY)).alias("continent", "details"))
-    countries = continents.select(F.explode("details.Countries").alias("c")).filter(F.col("c.country_name") == F.lit(country))
+    countries = continents.select(F.explode("details.Countries").alias("c"))
+    if country is not None:
+        countries = countries.filter(F.col("c.country_name") == F.lit(country))
 
     def entry(kind, value):
         return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
