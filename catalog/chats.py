@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from catalog.registry import N_TOKENS_SQL, hashed_sql, postings, query, table, truncated_sql
@@ -13,6 +15,7 @@ from postloom.operators.matching import CV_DELIMITER, POSTINGS_HEADING, SUITABIL
 from postloom.operators.sections import CV_SECTION_LABELS, JOB_SECTION_LABELS, split_summary_sections
 from postloom.operators.stats import budget_tokens
 from postloom.plans.matching import eligible_postings, prompts_for_cvs
+from postloom.plans.retries import scheduled_run
 from postloom.plans.summaries import summary_run
 from postloom.session import fresh_path
 from postloom.sources.countries import country_values, read_country_dictionary
@@ -129,6 +132,40 @@ def _(spark, sf):
     return run_report_scan(spark, report).agg(F.count(F.lit(1)).alias("reports"), total.alias("total_cost"))
 
 
+def _service_of_run(run):
+    """A service that improves: in its n-th run (from 0) it fails requests whose text's length modulo 8 is above n."""
+    def service():
+        answer, frame = _echo_service(), len("Job Opening: --------")
+
+        def complete(request):
+            import json
+
+            if (len(json.loads(request)["messages"][1]["content"]) - frame) % 8 > run:
+                raise ConnectionError("later")
+            return answer(request)
+
+        return complete
+
+    return service
+
+
+# Seconds after the start at which the runs of the query begin: two seconds in, nothing is due.
+_RUN_SECONDS = (0, 2, 5, 30, 155, 780, 100_000)
+
+
+@query("retry_schedule", f"""
+    WITH t AS (SELECT doc_id AS id, length(text) % 8 AS c, {N_TOKENS_SQL.format(text='text')} > 50 AS long FROM documents),
+    asked AS (SELECT id, CASE WHEN NOT long THEN 0 WHEN c = 0 THEN 1 WHEN c <= 2 THEN 2 WHEN c <= 5 THEN c ELSE 5 END AS n, long, c FROM t)
+    SELECT id, n::INTEGER AS attempts, CASE WHEN NOT long THEN 'short' WHEN c <= 5 THEN 'ok' ELSE 'failed' END AS status FROM asked""")
+def _(spark, sf):
+    """Seven runs with a schedule: what failed is asked again when it is due, five times at most, and never after that."""
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(F.col("doc_id").alias("id"), "text")
+    start, path = datetime(2024, 1, 1, tzinfo=timezone.utc), fresh_path(spark, "attempts")
+    for run, second in enumerate(_RUN_SECONDS):
+        done = scheduled_run(docs, _service_of_run(run), path, clock=lambda: start + timedelta(seconds=second), pause=0.0)
+    return done.summaries.select("id", "attempts", "status")
+
+
 def _upper_tokenizer():
     """A deterministic tokenizer for the hook: the runs of capital letters and of others are tokens."""
     import re

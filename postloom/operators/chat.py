@@ -137,8 +137,8 @@ def request_key(request_col: str = "request") -> Column:
     return F.sha2(request_col, 256)
 
 
-def outcome(df: DataFrame, key: str = "id", text_col: str = "text") -> DataFrame:
-    """The result rows of texts that carry ``_long``, ``_summary`` and ``_cost``."""
+def outcome(df: DataFrame, key: str = "id", text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
+    """The result rows of texts that carry ``_long``, ``_summary`` and ``_cost``, and their columns ``extra``."""
     taken = F.col("_long") & F.col("_summary").isNotNull()
     return df.select(
         key,
@@ -146,4 +146,5 @@ def outcome(df: DataFrame, key: str = "id", text_col: str = "text") -> DataFrame
         F.when(taken, F.col("_summary")).otherwise(F.col(text_col)).alias("summary"),
         F.when(taken, F.col("_cost")).otherwise(F.lit(0.0)).alias("cost"),
         F.when(~F.col("_long"), "short").when(taken, "ok").otherwise("failed").alias("status"),
+        *extra,
     )

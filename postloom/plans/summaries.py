@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from postloom import hooks
 from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, is_long, outcome, parse_responses, request_json, request_key
@@ -13,7 +15,6 @@ from postloom.session import fresh_path, materialise
 from postloom.sources.tables import ensure_table, run_report_append
 
 ANSWERS = "key string, summary string, prompt_tokens int, completion_tokens int, cost double"
-REQUESTS = "key string, request string"
 # Requests that are answered before their answers are stored.
 WAVE_REQUESTS = 10_000
 
@@ -25,28 +26,39 @@ class SummaryRun:
     seconds: float
 
 
+def request_waves(todo: DataFrame, wave_requests: int) -> Iterator[DataFrame]:
+    """The rows of ``todo``, which has a ``key``, in parts of about ``wave_requests``.
+
+    They are written once, a folder for each wave, and a wave reads its own folder: the work
+    does not grow with the number of waves.
+    """
+    spark = todo.sparkSession
+    # Written before the waves are cut, because their number follows from the rows.
+    todo = materialise(todo, "requests-to-ask")
+    waves = -(-todo.count() // wave_requests)
+    if not waves:
+        return
+    path = fresh_path(spark, "request-waves")
+    todo.withColumn("wave", F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")).repartition(F.col("wave")).write.partitionBy("wave").parquet(path)
+    schema = StructType([*todo.schema.fields, StructField("wave", IntegerType())])
+    for wave in range(waves):
+        yield spark.read.schema(schema).parquet(path).filter(F.col("wave") == wave).repartition(spark.sparkContext.defaultParallelism)
+
+
 def answer_requests(requests: DataFrame, call, answers_path: str, model: str, wave_requests: int = WAVE_REQUESTS) -> float:
     """Ask what the table at ``answers_path`` has no usable answer to; the cost of this run.
 
     ``requests (key, request)`` may repeat: each key is asked once. Answers are parsed and
     appended in waves of about ``wave_requests``, so a run that dies loses one wave, and the
     next run asks only for the rest. Failed requests are stored without a summary and asked
-    again by a later run. What is to be asked is written once, a folder for each wave, and
-    a wave reads its own folder: the work does not grow with the number of waves.
+    again by a later run (``plans.retries`` has the form that keeps a schedule).
     """
     spark = requests.sparkSession
     ensure_table(spark, answers_path, spark.createDataFrame([], ANSWERS).schema)
     usable = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").select("key")
     todo = requests.groupBy("key").agg(F.first("request").alias("request")).join(usable, "key", "left_anti")
-    # Written before the waves are cut, because their number follows from the rows.
-    todo = materialise(todo, "requests-to-ask")
-    waves = -(-todo.count() // wave_requests)
-    path = fresh_path(spark, "request-waves")
-    if waves:
-        todo.withColumn("wave", F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")).repartition(F.col("wave")).write.partitionBy("wave").parquet(path)
     total = 0.0
-    for wave in range(waves):
-        part = spark.read.schema(f"{REQUESTS}, wave int").parquet(path).filter(F.col("wave") == wave).repartition(spark.sparkContext.defaultParallelism)
+    for part in request_waves(todo, wave_requests):
         answered = part.select("key", call(F.col("request")).alias("_answer")).select("key", "_answer.response")
         parsed = parse_responses(answered, model).select("key", "summary", F.col("prompt_tokens").cast("int"), F.col("completion_tokens").cast("int"), "cost")
         cost = Observation()
@@ -55,6 +67,14 @@ def answer_requests(requests: DataFrame, call, answers_path: str, model: str, wa
     return total
 
 
+def keyed_requests(texts: DataFrame, kind: str, instructions: str | None, model: str) -> DataFrame:
+    """``(id, text, request, _long, key)`` of ``texts (id, text)``; equal requests have one key."""
+    asked = request_json(build_requests(texts.select("id", "text"), kind, "text", instructions, model))
+    # Short texts have keys of their own, so that they spread over the tasks of the join.
+    return asked.select("id", "text", "request", is_long().alias("_long")).withColumn(
+        "key", F.when(F.col("_long"), request_key()).otherwise(F.concat(F.lit("short "), F.xxhash64("id").cast("string"))))
+
+
 def summary_run(
     texts: DataFrame,
     completion: hooks.CompletionFactory,
@@ -79,10 +99,7 @@ def summary_run(
     spark = texts.sparkSession
     model = model or REQUEST_KINDS[kind]["model"]
     call = hooks.complete_udf(completion, attempts, backoff, pause, concurrency)
-    asked = request_json(build_requests(texts.select("id", "text"), kind, "text", instructions, model))
-    # Short texts have keys of their own, so that they spread over the tasks of the join.
-    keyed = asked.select("id", "text", "request", is_long().alias("_long")).withColumn(
-        "key", F.when(F.col("_long"), request_key()).otherwise(F.concat(F.lit("short "), F.xxhash64("id").cast("string"))))
+    keyed = keyed_requests(texts, kind, instructions, model)
     total = answer_requests(keyed.filter("_long").select("key", "request"), call, answers_path, model, wave_requests)
     answers = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").dropDuplicates(["key"])
     answers = answers.select("key", F.col("summary").alias("_summary"), F.col("cost").alias("_cost"))
