@@ -6,7 +6,8 @@ from pyspark.sql import functions as F, types as T
 
 from catalog.registry import N_TOKENS_SQL, POSTING_TEXT_SQL, POSTINGS_SQL, embedded_rows, embedded_sql, hashed_sql, postings, query, table, truncated_sql
 from postloom.operators.embedding import embed_column
-from postloom.operators.merge import append_keep_last, create_keyed_table, insert_ignore, insert_into, insert_report, read_keyed_table, update_table
+from postloom.operators.keyed import create_keyed_table, read_keyed_table, update_table
+from postloom.operators.merge import append_keep_last, insert_ignore, insert_into, insert_report
 from postloom.operators.stats import batch_stats, budget_tokens
 from postloom.plans.embedding import api_embedding_run, budgeted_postings, embedding_run
 from postloom.session import fresh_path, materialise
@@ -143,8 +144,8 @@ def _(spark, sf):
     old, new = _documents_then_turns(spark, sf)
     path = fresh_path(spark, "kept")
     create_keyed_table(old, path, order_by="seq", buckets=8)
-    update_table(path, new, order_by="seq", buckets=8)
-    return read_keyed_table(parquet_scan(spark, path))
+    update_table(path, new, order_by="seq")
+    return read_keyed_table(spark, path)
 
 
 def _turn_files(spark, sf):

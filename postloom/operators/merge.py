@@ -13,11 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-# Files of a keyed table are grouped by this many hash buckets of the key.
-BUCKETS = 64
-# Rows of a bucket that one task writes.
-BUCKET_ROWS = 1_000_000
-
 
 def _one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     window = Window.partitionBy(key).orderBy(*order)
@@ -110,41 +105,3 @@ def append_keep_last(existing: DataFrame, new: DataFrame, key: str = "id", *, or
     stacked = existing.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
     order = [F.col("_src").desc()] + [F.col(n).desc() for n in _names(order_by)]
     return _one_per_key(stacked, key, order).select(*existing.columns)
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def _write_buckets(rows: DataFrame, path: str, key: str, buckets: int, at_most: int) -> None:
-    """Replace the buckets that ``rows`` has, and no others.
-
-    A bucket is written by as many tasks as its rows ask for, BUCKET_ROWS or so to each.
-    """
-    bucketed = rows.withColumn("bucket", _bucket(key, buckets))
-    parts = max(1, -(-at_most // (buckets * BUCKET_ROWS)))
-    part = F.pmod(F.shiftright(F.xxhash64(key), 32), F.lit(parts))  # other bits than the bucket's
-    bucketed.repartition("bucket", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-
-
-def create_keyed_table(rows: DataFrame, path: str, key: str = "id", *, order_by, buckets: int = BUCKETS) -> None:
-    """A table with the last row of each key, in folders by hash bucket of the key."""
-    _write_buckets(last_per_key(rows, key, order_by=order_by), path, key, buckets, rows.count())
-
-
-def read_keyed_table(df: DataFrame) -> DataFrame:
-    return df.drop("bucket")
-
-
-def update_table(path: str, new: DataFrame, key: str = "id", *, order_by, buckets: int = BUCKETS) -> None:
-    """Keep the last row per key in the keyed table at ``path``.
-
-    Only the buckets of new keys are read and replaced. The stored side has one row per
-    key, so an anti-join merges it. A dynamic overwrite moves finished files into place
-    when the job commits; until then the old ones stay.
-    """
-    touched = [row["bucket"] for row in new.select(_bucket(key, buckets).alias("bucket")).distinct().collect()]  # at most ``buckets``
-    table = new.sparkSession.read.parquet(path)
-    stored = table.filter(F.col("bucket").isin(touched)).select(*new.columns)
-    # Counts of parquet rows come from the files' footers.
-    _write_buckets(append_keep_last(stored, new, key, order_by=order_by, existing_unique=True), path, key, buckets, table.count() + new.count())

@@ -3,7 +3,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from postloom.operators.merge import append_keep_last, create_keyed_table, first_per_key, fresh_rows, insert_ignore, insert_into, insert_report, read_keyed_table, update_table
+from postloom.operators.keyed import create_keyed_table, read_keyed_table, update_table
+from postloom.operators.merge import append_keep_last, first_per_key, fresh_rows, insert_ignore, insert_into, insert_report
 from postloom.session import fresh_path
 from postloom.sources.tables import append_tables, ensure_table, with_file_order
 
@@ -73,11 +74,11 @@ def test_file_order(spark):
 def test_update_touches_only_its_buckets(spark):
     path = fresh_path(spark, "keyed")
     create_keyed_table(frame(spark, [(i, 0) for i in range(40)] + [(3, 9)], "o"), path, order_by="seq", buckets=8)
-    before = {f for f in spark.read.parquet(path).inputFiles()}
-    update_table(path, frame(spark, [(3, 5), (3, 6), (100, 1)], "n"), order_by="seq", buckets=8)
-    stored = {r["id"]: r["body"] for r in read_keyed_table(spark.read.parquet(path)).collect()}
+    before = {f for f in read_keyed_table(spark, path).inputFiles()}
+    update_table(path, frame(spark, [(3, 5), (3, 6), (100, 1)], "n"), order_by="seq")
+    stored = {r["id"]: r["body"] for r in read_keyed_table(spark, path).collect()}
     assert len(stored) == 41 and stored[3] == "n6" and stored[100] == "n1" and stored[4] == "o0"
-    assert len(before & {f for f in spark.read.parquet(path).inputFiles()}) >= 5
+    assert len(before & {f for f in read_keyed_table(spark, path).inputFiles()}) >= 5
 
 
 def test_insert_into_is_idempotent(spark):
