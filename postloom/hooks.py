@@ -16,6 +16,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 
@@ -30,6 +31,14 @@ EncoderFactory = Callable[[], Callable[[list[str]], "list[list[float]]"]]
 CompletionFactory = Callable[[], Callable[[str], "str | dict"]]
 StemmerFactory = Callable[[], Callable[[str], str]]
 
+# Rows that a hook holds as Python objects at a time, whatever the size of an Arrow batch.
+SLICE_ROWS = 256
+
+
+def _slices(batch: pa.Array) -> Iterator[pa.Array]:
+    for start in range(0, len(batch), SLICE_ROWS):
+        yield batch.slice(start, SLICE_ROWS)
+
 
 def tiktoken_tokenizer(model: str = "gpt-3.5-turbo") -> TokenizerFactory:
     """The byte-pair tokenizer of a model; the package fetches its vocabulary once per host."""
@@ -68,6 +77,32 @@ def truncate_udf(factory: TokenizerFactory, max_tokens: int):
     return truncate.asNondeterministic()
 
 
+_BUDGET = T.StructType([T.StructField("n_tokens", T.IntegerType()), T.StructField("text", T.StringType())])
+_BUDGET_ARROW = pa.struct([("n_tokens", pa.int32()), ("text", pa.string())])
+
+
+def budget_udf(factory: TokenizerFactory, max_tokens: int):
+    """``struct(n_tokens, text)``: the tokens of a text before truncation, and the text cut to ``max_tokens``.
+
+    Each text is encoded once, in one Python worker per task, and a few rows at a time.
+    """
+    @F.arrow_udf(_BUDGET)
+    def budget(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = factory()
+
+        def cut(text):
+            if text is None:
+                return {"n_tokens": None, "text": None}
+            tokens = tokenizer.encode(text)
+            return {"n_tokens": len(tokens), "text": text if len(tokens) <= max_tokens else tokenizer.decode(tokens[:max_tokens])}
+
+        for batch in batches:
+            for texts in _slices(batch):
+                yield pa.array([cut(text.as_py()) for text in texts], _BUDGET_ARROW)
+
+    return budget.asNondeterministic()
+
+
 def stem_udf(factory: StemmerFactory):
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def stem(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -6,6 +6,7 @@ from math import ceil, floor
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from postloom import hooks
 from postloom.functions.money import embedding_cost
 from postloom.functions.tokens import token_count, truncate_tokens
 
@@ -13,10 +14,17 @@ MAX_TOKENS = 1000
 
 
 def budget_tokens(df: DataFrame, max_tokens: int = MAX_TOKENS, text_col: str = "text", tokenizer=None) -> DataFrame:
-    """Add ``n_tokens`` (before truncation) and ``truncated``; cut the text to the budget."""
-    counted = df.withColumn("n_tokens", token_count(text_col, tokenizer))
+    """Add ``n_tokens`` (before truncation) and ``truncated``; cut the text to the budget.
+
+    A tokenizer hook encodes each text once for all three.
+    """
+    if tokenizer is not None:
+        budget = df.withColumn("_budget", hooks.budget_udf(tokenizer, max_tokens)(F.col(text_col)))
+        counted = budget.withColumn("n_tokens", F.col("_budget.n_tokens")).withColumn("truncated", F.col("n_tokens") > max_tokens)
+        return counted.withColumn(text_col, F.col("_budget.text")).drop("_budget")
+    counted = df.withColumn("n_tokens", token_count(text_col))
     return counted.withColumn("truncated", F.col("n_tokens") > max_tokens).withColumn(
-        text_col, truncate_tokens(text_col, max_tokens, "n_tokens", tokenizer)
+        text_col, truncate_tokens(text_col, max_tokens, "n_tokens")
     )
 
 
