@@ -111,14 +111,16 @@ def strip_suffixes(tokens: Column, rules) -> Column:
 def stem_tokens(tokens, lang, stemmers: dict[str, hooks.StemmerFactory] | None = None) -> Column:
     """Lemmas for ``en``, stems for ``es``, other languages unchanged.
 
-    A stemmer hook for a language code replaces or adds to these. A hook sees the tokens of
-    its own language only: the others reach it as NULL, because a conditional alone does
-    not keep a Python function from running.
+    A stemmer hook for a language code replaces or adds to these. All hooks are one Python
+    function, which sees the tokens of their languages only: the others reach it as NULL,
+    because a conditional alone does not keep a Python function from running.
     """
     tokens, lang = _col(tokens), _col(lang)
-    columns = {code: strip_suffixes(tokens, rules) for code, rules in SUFFIX_RULES.items()}
-    columns |= {code: hooks.stem_udf(factory)(F.when(lang == code, tokens)) for code, factory in (stemmers or {}).items()}
+    columns = {code: strip_suffixes(tokens, rules) for code, rules in SUFFIX_RULES.items() if code not in (stemmers or {})}
     stemmed = None
+    if stemmers:
+        hooked = lang.isin(*stemmers)
+        stemmed = F.when(hooked, hooks.stem_udf(dict(stemmers))(lang, F.when(hooked, tokens)))
     for code, column in columns.items():
         stemmed = F.when(lang == code, column) if stemmed is None else stemmed.when(lang == code, column)
     return stemmed.otherwise(tokens)

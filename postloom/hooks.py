@@ -17,6 +17,7 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F, types as T
 
 
@@ -103,12 +104,36 @@ def budget_udf(factory: TokenizerFactory, max_tokens: int):
     return budget.asNondeterministic()
 
 
-def stem_udf(factory: StemmerFactory):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def stem(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        stemmer = factory()
-        for rows in batches:
-            yield rows.map(lambda words: None if words is None else [stemmer(w) for w in words])
+def stem_udf(factories: dict[str, StemmerFactory]):
+    """The stems of the token lists whose language has a stemmer, as a function of language and tokens; else NULL.
+
+    All stemmers share one Python worker per task. Tokens stay in Arrow: a stemmer is
+    called once for each different token of a language in a slice of rows.
+    """
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def stem(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        stemmers: dict[str, Callable[[str], str]] = {}
+
+        def stemmed(words: pa.Array, code: str) -> pa.Array:
+            if code not in stemmers:
+                stemmers[code] = factories[code]()
+            different = words.flatten().dictionary_encode(null_encoding="encode")
+            stems = pa.array([stemmers[code](w) for w in different.dictionary.to_pylist()], pa.string()).take(different.indices)
+            offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), stems)
+
+        for langs, tokens in batches:
+            for lang, words in zip(_slices(langs), _slices(tokens), strict=True):
+                order, parts = [], []
+                for code in factories:
+                    chosen = np.flatnonzero(pc.and_(pc.fill_null(pc.equal(lang, code), False), words.is_valid()).to_numpy(zero_copy_only=False))
+                    if len(chosen):
+                        order.append(chosen)
+                        parts.append(stemmed(words.take(pa.array(chosen)), code))
+                left = np.setdiff1d(np.arange(len(words)), np.concatenate(order) if order else [])
+                order.append(left)
+                parts.append(pa.nulls(len(left), pa.list_(pa.string())))
+                yield pa.concat_arrays(parts).take(pa.array(np.argsort(np.concatenate(order))))
 
     return stem.asNondeterministic()
 
