@@ -16,6 +16,7 @@ from postloom.operators.filters import length_gate
 from postloom.operators.lemmas import lemmatise
 from postloom.operators.stats import budget_tokens
 from postloom.operators.vocabulary import build_vocabulary, model_budget, model_token_counts, read_ranks
+from postloom.session import materialise
 
 
 @query("section_format", """
@@ -237,7 +238,8 @@ _LEMMAS_SQL = """
 
 @query("lemma_dictionary", lambda: f"WITH {_tokens_sql()}, kept AS (SELECT * FROM toks), {_stems_sql()}, {_LEMMAS_SQL} {_joined('lemmatised', 'lemma', 'lemmas')}")
 def _(spark, sf):
-    docs = _clean_tokens(spark, sf)
+    # Written once: the words, the counts, the tokens in place and the result each read them.
+    docs = materialise(_clean_tokens(spark, sf), "tokens")
     words = docs.filter("lang IS NOT NULL").select("lang", F.explode("tokens").alias("word")).distinct()
     plural = words.select("lang", F.col("word").alias("lemma")).filter("length(lemma) >= 3").withColumn("word", F.concat("lemma", F.lit("s")))
     return lemmatise(docs, plural.join(words, ["lang", "word"])).select("id", F.array_join("tokens", " ").alias("lemmas"))

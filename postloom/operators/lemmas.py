@@ -42,8 +42,9 @@ def lemmatise(df: DataFrame, lemmas: DataFrame, key: str = "id", tokens: str = "
     are unique; rows without key, with null or with no tokens stay as they are, and so do
     null tokens. The language ``NULL`` has neither dictionary nor rules.
     """
+    # Not the inner form: for that the optimizer adds a filter that computes all tokens a second time.
     placed = df.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.posexplode(F.col(tokens)).alias("pos", "word"))
+        F.col(key).alias("key"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.posexplode_outer(F.col(tokens)).alias("pos", "word")).filter("pos IS NOT NULL")
     table = lemma_vocabulary(placed, lemmas)
     short = table.filter(F.length("word") <= FREQUENT_LENGTH).orderBy(F.desc("n"), "lang", "word").limit(frequent)
     top = materialise(short.select("lang", "word", "lemma"), "frequent-lemmas")

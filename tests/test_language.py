@@ -132,3 +132,20 @@ def test_lemmas_of_a_hot_word(spark):
     lemmas = spark.createDataFrame(LEMMAS, "lang string, word string, lemma string")
     found = lemmatise(df, lemmas, frequent=1)
     assert found.filter("tokens = array('mouse', 'w' || id, 'mouse')").count() == 2000
+
+
+def test_lemmas_compute_tokens_once_a_pass(spark, monkeypatch):
+    from postloom.operators import lemmas as module
+
+    plans = []
+    kept = module.materialise
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(module, "materialise", recorded)
+    df = spark.createDataFrame([(1, "mice went", "en")], "id int, text string, lang string").withColumn("tokens", F.split("text", "[ ]+"))
+    found = lemmatise(df, spark.createDataFrame(LEMMAS, "lang string, word string, lemma string"))
+    assert found.select("tokens").first()[0] == ["mouse", "go"]
+    assert plans and not any("size(split(" in text for text in plans)  # no filter that splits the text again
