@@ -73,13 +73,15 @@ def state_insert_stream(rows: DataFrame, table_path: str, checkpoint: str, key:
     def first_seen(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
             return
-        best = None
+        best = whole = None
         for batch in batches:  # one row is kept, however many the key has
-            first = batch.sort_values(names, kind="stable").iloc[:1]
+            # Most keys come with one row, which needs no order.
+            first = batch if len(batch) == 1 else batch.sort_values(names, kind="stable").iloc[:1]
+            whole = list(first.columns) == columns
             best = first if best is None else pd.concat([best, first]).sort_values(names, kind="stable").iloc[:1]
         if best is not None:
             state.update((True,))
-            yield best[columns]
+            yield best if whole else best[columns]
 
     inserted = rows.filter(F.col(key).isNotNull()).groupBy(key).applyInPandasWithState(
         first_seen, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
