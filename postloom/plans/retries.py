@@ -42,8 +42,9 @@ def request_schedule(spark: SparkSession, path: str, max_attempts: int = MAX_ATT
     usable = F.col("summary").isNotNull()
     first = F.min(F.when(usable, F.struct("attempt", "summary", "cost")))
     calls = spark.read.schema(ATTEMPTS).parquet(path).groupBy("key").agg(
-        F.max("attempt").alias("attempts"), F.max("asked_at").alias("asked_at"), first.alias("_first"))
-    state = F.when(F.col("_first").isNotNull(), "answered").when(F.col("attempts") >= max_attempts, "dead").otherwise("waiting")
+        F.max("attempt").alias("attempts"), F.max("asked_at").alias("asked_at"), F.bool_or(usable).alias("_answered"), first.alias("_first"))
+    # Not by the answer itself, which is then read only where it is asked for.
+    state = F.when(F.col("_answered"), "answered").when(F.col("attempts") >= max_attempts, "dead").otherwise("waiting")
     wait = F.round(F.pow(F.lit(float(backoff)), F.col("attempts")) * 1_000_000).cast("long")
     due = F.when(state == "waiting", F.timestamp_micros(F.unix_micros("asked_at") + wait))
     return calls.select("key", "attempts", "asked_at", state.alias("state"), due.alias("due"), F.col("_first.summary").alias("summary"), F.col("_first.cost").alias("cost"))
@@ -72,11 +73,10 @@ def ask_due(
     """
     spark = requests.sparkSession
     known = request_schedule(spark, path, max_attempts, backoff).select("key", "attempts", "state", "due")
-    once = requests.groupBy("key").agg(F.first("request").alias("request"))
     ready = F.col("state").isNull() | ((F.col("state") == "waiting") & (F.col("due") <= _at(clock())))
-    todo = once.join(known, "key", "left").filter(ready).select("key", "request", F.coalesce("attempts", F.lit(0)).alias("before"))
+    due = requests.select("key").distinct().join(known, "key", "left").filter(ready).select("key", F.coalesce("attempts", F.lit(0)).alias("before"))
     total = 0.0
-    for part in request_waves(todo, wave_requests):
+    for part in request_waves(requests, due, wave_requests):
         asked_at = _at(clock())
         answered = part.select("key", "before", call(F.col("request")).alias("_answer")).select("key", "before", "_answer.response")
         parsed = parse_responses(answered, model).select(

@@ -7,16 +7,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from postloom import hooks
 from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, build_requests, is_long, outcome, parse_responses, request_json, request_key
+from postloom.operators.sieve import Sieve
 from postloom.session import fresh_path, materialise
 from postloom.sources.tables import ensure_table, run_report_append
 
 ANSWERS = "key string, summary string, prompt_tokens int, completion_tokens int, cost double"
 # Requests that are answered before their answers are stored.
 WAVE_REQUESTS = 10_000
+# Files of all waves together; a wave has one for each task that may run at a time, if that is not more.
+MOST_FILES = 4_096
 
 
 @dataclass(frozen=True)
@@ -26,23 +29,37 @@ class SummaryRun:
     seconds: float
 
 
-def request_waves(todo: DataFrame, wave_requests: int) -> Iterator[DataFrame]:
-    """The rows of ``todo``, which has a ``key``, in parts of about ``wave_requests``.
+def request_waves(requests: DataFrame, due: DataFrame, wave_requests: int) -> Iterator[DataFrame]:
+    """The ``requests (key, request)`` whose key is ``due``, each key once, in parts of about ``wave_requests``.
 
-    They are written once, a folder for each wave, and a wave reads its own folder: the work
-    does not grow with the number of waves.
+    ``due`` has different keys, and columns that its rows bring along. Requests are
+    shuffled and written once, a folder of several files for each wave; a wave reads its
+    own folder only, without a shuffle: the work does not grow with the number of waves.
+    A sieve of the due keys keeps most other requests where they are read.
     """
-    spark = todo.sparkSession
+    spark = requests.sparkSession
     # Written before the waves are cut, because their number follows from the rows.
-    todo = materialise(todo, "requests-to-ask")
-    waves = -(-todo.count() // wave_requests)
+    due = materialise(due, "due-keys")
+    asked = due.count()
+    waves = -(-asked // wave_requests)
     if not waves:
         return
+    files = max(1, min(spark.sparkContext.defaultParallelism, MOST_FILES // waves))
+    parts = waves * files
+    hashed = F.xxhash64("key")
+    near = Sieve.of(due, hashed, at_most=asked).mark(requests, hashed, "_near").filter("_near").drop("_near")
+    # Both sides and the copies of a key meet in the partition that writes them.
+    met = near.repartition(parts, "key").join(due.repartition(parts, "key"), "key").dropDuplicates(["key"])
+    without = due.filter("key IS NULL")
+    if not without.isEmpty():
+        met = met.unionByName(requests.filter("key IS NULL").limit(1).drop("key").crossJoin(without))
     path = fresh_path(spark, "request-waves")
-    todo.withColumn("wave", F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")).repartition(F.col("wave")).write.partitionBy("wave").parquet(path)
-    schema = StructType([*todo.schema.fields, StructField("wave", IntegerType())])
-    for wave in range(waves):
-        yield spark.read.schema(schema).parquet(path).filter(F.col("wave") == wave).repartition(spark.sparkContext.defaultParallelism)
+    wave = F.pmod(F.spark_partition_id(), F.lit(waves))
+    met.select(*due.columns, "request", wave.alias("wave")).write.partitionBy("wave").parquet(path)
+    rows = spark.read.schema(StructType([*due.schema.fields, StructField("request", StringType()), StructField("wave", IntegerType())])).parquet(path)
+    # A wave without requests has no folder.
+    for number in sorted(row["wave"] for row in rows.select("wave").distinct().collect()):
+        yield spark.read.schema(rows.drop("wave").schema).parquet(f"{path}/wave={number}")
 
 
 def answer_requests(requests: DataFrame, call, answers_path: str, model: str, wave_requests: int = WAVE_REQUESTS) -> float:
@@ -56,9 +73,9 @@ def answer_requests(requests: DataFrame, call, answers_path: str, model: str, wa
     spark = requests.sparkSession
     ensure_table(spark, answers_path, spark.createDataFrame([], ANSWERS).schema)
     usable = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").select("key")
-    todo = requests.groupBy("key").agg(F.first("request").alias("request")).join(usable, "key", "left_anti")
+    due = requests.select("key").distinct().join(usable, "key", "left_anti")
     total = 0.0
-    for part in request_waves(todo, wave_requests):
+    for part in request_waves(requests, due, wave_requests):
         answered = part.select("key", call(F.col("request")).alias("_answer")).select("key", "_answer.response")
         parsed = parse_responses(answered, model).select("key", "summary", F.col("prompt_tokens").cast("int"), F.col("completion_tokens").cast("int"), "cost")
         cost = Observation()
@@ -72,7 +89,8 @@ def keyed_requests(texts: DataFrame, kind: str, instructions: str | None, model:
     asked = request_json(build_requests(texts.select("id", "text"), kind, "text", instructions, model))
     # Short texts have keys of their own, so that they spread over the tasks of the join.
     return asked.select("id", "text", "request", is_long().alias("_long")).withColumn(
-        "key", F.when(F.col("_long"), request_key()).otherwise(F.concat(F.lit("short "), F.xxhash64("id").cast("string"))))
+        # Never null, and said to be so: else joins add a filter that computes every key a second time.
+        "key", F.coalesce(F.when(F.col("_long"), request_key()).otherwise(F.concat(F.lit("short "), F.xxhash64("id").cast("string"))), F.lit("")))
 
 
 def summary_run(

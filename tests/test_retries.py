@@ -3,6 +3,7 @@ from datetime import datetime, timedelta, timezone
 
 from postloom import hooks
 from postloom.plans.retries import ask_due, dead_letters, request_schedule, scheduled_run
+from postloom.plans.summaries import request_waves
 from postloom.session import fresh_path
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -94,3 +95,11 @@ def test_nothing_to_ask(spark, tmp_path):
     done = scheduled_run(texts(spark).filter("id >= 5"), service(str(tmp_path / "calls")), path, pause=0.0)
     assert statuses(done) == {5: ("short", 0), 6: ("short", 0)} and done.total_cost == 0.0
     assert scheduled_run(texts(spark).limit(0), service(str(tmp_path / "calls")), path, pause=0.0).summaries.count() == 0
+
+
+def test_waves_hold_each_due_key_once_and_no_other(spark):
+    requests = spark.createDataFrame([(None if i % 50 == 49 else f"k{i % 50}", f"r{i % 50}") for i in range(200)], "key string, request string").repartition(3)
+    due = spark.createDataFrame([(f"k{i}", i) for i in range(0, 40, 2)] + [(None, 99)], "key string, before int")
+    parts = [[tuple(r) for r in part.select("key", "request", "before").collect()] for part in request_waves(requests, due, 7)]
+    assert 1 < len(parts) <= 3 and sorted((r for p in parts for r in p), key=str) == sorted([(f"k{i}", f"r{i}", i) for i in range(0, 40, 2)] + [(None, "r49", 99)], key=str)
+    assert list(request_waves(requests, due.limit(0), 7)) == []
