@@ -2,15 +2,19 @@
 
 The table is learned from labelled rows. Trigrams fall into a fixed number of buckets, so
 its size depends on the number of languages only and it travels as literals: scoring needs
-no join and no Python, and a text is scored where it is read.
+no join and no Python, and a text is scored where it is read. Counting takes one Arrow pass.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 # Buckets of the table; a prime, so that the sums below spread.
 BUCKETS = 4093
@@ -18,6 +22,13 @@ BUCKETS = 4093
 MOST_LANGUAGES = 200
 # Runs of anything but letters of the basic plane, which become one blank.
 OTHER = r"[\P{L}\x{10000}-\x{10FFFF}]+"
+# Characters that a counting task spreads out as numbers at a time.
+PART = 1 << 20
+
+
+def _letters(text: Column) -> Column:
+    """The lower-cased letters, words set apart by blanks, with a blank before and behind."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), F.lit(OTHER), F.lit(" "))), F.lit(" "))
 
 
 def trigrams(text: Column, buckets: int = BUCKETS) -> Column:
@@ -25,8 +36,7 @@ def trigrams(text: Column, buckets: int = BUCKETS) -> Column:
 
     NULL for a null text and one without letters.
     """
-    letters = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), F.lit(OTHER), F.lit(" "))), F.lit(" "))
-    codes = F.transform(F.filter(F.split(letters, ""), lambda c: c != ""), lambda c: F.ascii(c))
+    codes = F.transform(F.filter(F.split(_letters(text), ""), lambda c: c != ""), lambda c: F.ascii(c))
 
     def windows(cs: Column) -> Column:
         bucket = lambda i: (F.get(cs, i) * 961 + F.get(cs, i + 1) * 31 + F.get(cs, i + 2)) % buckets
@@ -43,15 +53,68 @@ class NgramLanguages:
     weights: dict[str, tuple[int, ...]]
 
 
+def count_trigrams(texts: Iterable[str], buckets: int = BUCKETS) -> np.ndarray:
+    """How many three-character windows of the ``texts`` fall into each bucket; none spans two texts.
+
+    The texts are letters and blanks, as ``_letters`` makes them.
+    """
+    counts = np.zeros(buckets, np.int64)
+
+    def add(joined: str) -> None:
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        for start in range(0, len(codes) - 2, PART):
+            part = codes[start:start + PART + 2].astype(np.int64)
+            whole = (part[:-2] != 0) & (part[1:-1] != 0) & (part[2:] != 0)
+            counts[:] += np.bincount(((part[:-2] * 961 + part[1:-1] * 31 + part[2:]) % buckets)[whole], minlength=buckets)
+
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= PART:
+            add("\0".join(held))
+            held, size = [], 0
+    add("\0".join(held))
+    return counts
+
+
 def learn_languages(df: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, most_languages: int = MOST_LANGUAGES) -> NgramLanguages:
     """Count the trigrams of all rows with text and language, whole texts; each trigram starts at one.
 
-    Counts are merged in the tasks, so at most ``buckets`` rows a language leave each of
+    Counts are summed up in the tasks, so at most ``buckets`` rows a language leave each of
     them. Repeated rows count as often as they stand. More than ``most_languages`` labels
     are an error; no labelled rows give a table without languages.
     """
-    rows = df.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text), buckets)).alias("bucket")).filter("lang IS NOT NULL")
-    counts = rows.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n")).limit(most_languages * buckets + 1).collect()
+    # Spread out as rows, the trigrams would take several times longer than the letters.
+    # Filtered by the text: a filter on its letters would compute them a second time.
+    letters = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), _letters(F.col(text)).alias("letters"))
+    schema = StructType([letters.schema["lang"], StructField("bucket", IntegerType()), StructField("n", LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict = {}
+
+        def counted(kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+            for code, counts in found.items():
+                places = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([code] * len(places), kind), pa.array(places, pa.int32()), pa.array(counts[places], pa.int64())], ["lang", "bucket", "n"])
+            found.clear()
+
+        kind = None
+        for batch in batches:
+            kind = batch.column("lang").type
+            rows: dict[object, list[int]] = {}
+            for place, code in enumerate(batch.column("lang").to_pylist()):
+                rows.setdefault(code, []).append(place)
+            for code, places in rows.items():
+                counts = count_trigrams((batch.column("letters")[place].as_py() for place in places), buckets)
+                found[code] = found[code] + counts if code in found else counts
+                if len(found) > most_languages:  # an error later on, but not one of memory
+                    yield from counted(kind)
+        yield from counted(kind)
+
+    rows = letters.mapInArrow(count, schema)
+    counts = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).limit(most_languages * buckets + 1).collect()
     seen: dict[str, dict[int, int]] = {}
     for row in counts:
         seen.setdefault(row["lang"], {})[row["bucket"]] = row["n"]

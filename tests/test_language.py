@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +97,33 @@ def test_language_likelihoods(spark, plan):
         learn_languages(spark.createDataFrame(rows, "text string, lang string"), most_languages=1)
 
 
+def test_trigrams_are_counted_without_a_row_for_each(spark, monkeypatch):
+    from collections import Counter
+
+    from postloom.functions import ngrams
+
+    rows = [("ab cd " * 400, "en"), ("x", "en"), ("Ñandú 日本語 \U0001d49c", "es"), ("", "es"), (None, "es"), ("das ist", None), ("...", "de"), ("ab cd " * 400, "en")]
+    texts = [t.lower() for t, code in rows if code == "en"]
+    monkeypatch.setattr(ngrams, "PART", 7)  # windows that span two parts count too, those that span two texts do not
+    counts = ngrams.count_trigrams([f" {t.strip()} " for t in texts])
+    assert {b: n for b, n in enumerate(counts) if n} == Counter(b for t in texts for b in plain_trigrams(t))
+    plans = []
+    collect = type(spark.range(1)).collect
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", recorded)
+    learned = learn_languages(spark.createDataFrame(rows, "text string, lang string").repartition(2))
+    assert plans and not any("Generate" in text for text in plans)
+    for code, weights in learned.weights.items():
+        seen = Counter(b for t, c in rows if c == code and t for b in plain_trigrams(t))
+        total = sum(seen.values()) + 4093
+        assert weights == tuple(math.floor(1000 * math.log((seen[b] + 1) / total)) for b in range(4093))
+    assert set(learned.weights) == {"en", "es"}
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
