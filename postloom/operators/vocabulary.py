@@ -33,9 +33,16 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?U){PATTERN}"), F.lit(0))
 
 
-def _whole_prefix(data: bytes) -> int:
-    """Octets of the longest prefix that ends with a whole character."""
-    return len(data.decode("utf-8", "ignore").encode())
+def whole_ends(data: bytes, tokens: list[bytes]) -> list[int]:
+    """For each number of first tokens of ``data``, the octets that they fill with whole characters."""
+    ends, filled = [0], 0
+    for token in tokens:
+        filled += len(token)
+        whole = filled
+        while whole < len(data) and data[whole] & 0xC0 == 0x80:  # inside a character of four octets at most
+            whole -= 1
+        ends.append(whole)
+    return ends
 
 
 @dataclass(frozen=True)
@@ -61,9 +68,10 @@ def build_vocabulary(texts: DataFrame, ranks: dict[bytes, int], text: str = "tex
         for batch in batches:
             counts, ends = [], []
             for value in batch.column("piece"):
-                tokens = encoding.decode_tokens_bytes(encoding.encode_ordinary(value.as_py()))
+                piece = value.as_py()
+                tokens = encoding.encode_ordinary(piece)
                 counts.append(len(tokens))
-                ends.append([_whole_prefix(b"".join(tokens[:k])) for k in range(len(tokens) + 1)] if len(tokens) > 1 else None)
+                ends.append(whole_ends(piece.encode(), encoding.decode_tokens_bytes(tokens)) if len(tokens) > 1 else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("piece"), batch.column("n_pieces"), pa.array(counts, pa.int32()), pa.array(ends, pa.list_(pa.int32()))], ["piece", "n_pieces", "n", "ends"])
 
@@ -95,15 +103,18 @@ def model_budget(df: DataFrame, vocabulary: Vocabulary, max_tokens: int, key: st
     are cut into pieces again, and of them the first ``max_tokens`` pieces only, since a
     piece has a token at least. A null text stays null and has no count, an empty one has 0.
     """
-    counts = model_token_counts(df, vocabulary, key, text)
+    # Written, as the texts over the budget and the result both read them.
+    counts = materialise(model_token_counts(df, vocabulary, key, text), "token-counts")
     over = counts.filter(F.col("n_tokens") > max_tokens).select(key)
     first = df.select(key, text).join(over, key, "left_semi").select(F.col(key).alias("key"), F.posexplode(F.slice(pieces(F.col(text)), 1, max_tokens)).alias("pos", "piece"))
-    met = materialise(first.join(F.broadcast(vocabulary.frequent), "piece", "left"), "first-pieces")
+    found = first.join(F.broadcast(vocabulary.frequent), "piece", "left")
+    # A piece that has met its tokens goes on as its length only.
+    met = materialise(found.select("key", "pos", F.when(F.col("n").isNull(), F.col("piece")).alias("piece"), F.octet_length("piece").alias("size"), "n", "ends"), "first-pieces")
     rest = met.filter("n IS NULL").drop("n", "ends").join(vocabulary.table.drop("n_pieces"), "piece")
-    placed = met.filter("n IS NOT NULL").unionByName(rest)
+    placed = met.filter("n IS NOT NULL").unionByName(rest).drop("piece")
     before = F.sum("n").over(Window.partitionBy("key").orderBy("pos")) - F.col("n")  # max_tokens rows at most
     left = F.lit(max_tokens) - F.col("before")
-    octets = F.when(left >= F.col("n"), F.octet_length("piece")).when(left > 0, F.get("ends", left.cast("int"))).otherwise(0)
+    octets = F.when(left >= F.col("n"), F.col("size")).when(left > 0, F.get("ends", left.cast("int"))).otherwise(0)
     kept = placed.withColumn("before", before).groupBy("key").agg(F.sum(octets).cast("int").alias("_octets")).withColumnRenamed("key", key)
     joined = df.join(counts, key, "left").join(kept, key, "left")
     cut = F.when(F.col("_octets").isNull(), F.col(text)).otherwise(F.substring(F.col(text).cast("binary"), F.lit(1), F.col("_octets")).cast("string"))

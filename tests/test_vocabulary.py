@@ -3,6 +3,7 @@ import random
 import pytest
 import tiktoken
 
+from postloom.operators import vocabulary as module
 from postloom.operators.vocabulary import PATTERN, build_vocabulary, model_budget, model_token_counts, read_ranks
 
 VOCABULARY = "file:/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -48,3 +49,28 @@ def test_no_encoder_runs_per_row(spark, ranks, plan):
     df = spark.createDataFrame(texts(), "id long, text string")
     text = plan(model_token_counts(df, build_vocabulary(df, ranks)))
     assert "MapInArrow" not in text and "EvalPython" not in text
+
+
+def test_ends_of_tokens_are_whole_characters():
+    rng = random.Random(5)
+    for _ in range(200):
+        data = "".join(rng.choices("aé日🙂", k=rng.randint(1, 12))).encode()
+        cuts = sorted({0, len(data), *(rng.randint(0, len(data)) for _ in range(6))})
+        tokens = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        assert module.whole_ends(data, tokens) == [len(data[:cut].decode("utf-8", "ignore").encode()) for cut in cuts]
+
+
+def test_budget_counts_once_and_moves_lengths(spark, ranks, monkeypatch):
+    plans = {}
+    kept = module.materialise
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(module, "materialise", recorded)
+    df = spark.createDataFrame(texts(), "id long, text string")
+    result = model_budget(df, build_vocabulary(df, ranks), 7)
+    assert set(plans) == {"vocabulary", "frequent-pieces", "piece-counts", "token-counts", "first-pieces"}
+    assert "regexp_extract_all" not in result._jdf.queryExecution().optimizedPlan().toString()
+    assert result.filter("truncated").count() > 0
