@@ -6,7 +6,7 @@ import base64
 import json
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -30,6 +30,9 @@ NO_KEY = -(1 << 63)
 LIMIT = 1 << 62
 FORMAT = "postloom_token_shards"
 HEADER = 16  # key (8 bytes), sequence number (4), tokens (4)
+# Records that a task reads.
+RUN = 1 << 16
+SEQUENCES = "slot bigint, shard int, key bigint, seq int, n_tokens int, tokens binary"
 
 
 @dataclass(frozen=True)
@@ -180,6 +183,85 @@ def placed_sequences(df: DataFrame, ranks: dict[bytes, int], sequence_tokens: in
     return rows.mapInArrow(encode, "shard int, place bigint, key bigint, seq int, n_tokens int, tokens binary"), layout
 
 
+def write_shard(path: str, layout: Layout, batches: Iterator[pa.RecordBatch]) -> tuple[int, int]:
+    """Write a sorted partition as one shard file at ``path``; its number and records, (-1, 0) without rows.
+
+    Records go to a file of this attempt, which takes the shard's name at the end.
+    Attempts that are lost leave a file that no manifest names; a repeated one writes
+    the same bytes.
+    """
+    system, folder = fs.FileSystem.from_uri(path)
+    system.create_dir(folder, recursive=True)
+    shard, records, part, out = -1, 0, f"{folder}/attempt-{uuid.uuid4().hex}", None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        out = out or system.open_output_stream(part)
+        owner = batch.column("shard").to_numpy()
+        if shard < 0:
+            shard = int(owner[0])
+        if (owner != shard).any():
+            raise ValueError("a partition must hold one shard")
+        table = np.zeros((batch.num_rows, layout.stride), dtype=np.uint8)
+        head = np.zeros(batch.num_rows, dtype=[("key", "<i8"), ("seq", "<u4"), ("n", "<u4")])
+        head["key"] = batch.column("key").fill_null(NO_KEY).to_numpy()
+        head["seq"], head["n"] = batch.column("seq").to_numpy(), batch.column("n_tokens").to_numpy()
+        table[:, :HEADER] = head.view(np.uint8).reshape(-1, HEADER)
+        for row, tokens in enumerate(batch.column("tokens")):
+            data = np.frombuffer(tokens.as_buffer(), dtype=np.uint8)
+            table[row, HEADER:HEADER + len(data)] = data
+        out.write(table.tobytes())
+        records += batch.num_rows
+    if out is not None:
+        out.close()
+        system.move(part, f"{folder}/shard-{shard:06d}.bin")
+    return shard, records
+
+
+def write_manifest(path: str, layout: Layout, written: Iterable[tuple[int, int]]) -> None:
+    """The manifest of the shards ``(number, records)``; with it the folder becomes a table."""
+    system, folder = fs.FileSystem.from_uri(path)
+    system.create_dir(folder, recursive=True)
+    first, shards = 0, []
+    for shard, records in sorted(x for x in written if x[1]):
+        shards.append({"shard": shard, "first_slot": first, "records": records})
+        first += records
+    with system.open_output_stream(f"{folder}/manifest.json") as out:
+        out.write(json.dumps({"layout": vars(layout), "records": first, "shards": shards}).encode())
+
+
+def read_manifest(path: str) -> dict:
+    system, folder = fs.FileSystem.from_uri(path)
+    with system.open_input_file(f"{folder}/manifest.json") as file:
+        return json.loads(file.read())
+
+
+def slot_runs(manifest: dict, start: int = 0) -> list[tuple[int, int, int, int]]:
+    """``(shard, first_slot, skip, records)`` of the runs of at most RUN records from slot ``start`` on."""
+    return [
+        (s["shard"], s["first_slot"], skip, min(RUN, s["records"] - skip))
+        for s in manifest["shards"] for skip in range(max(0, start - s["first_slot"]), s["records"], RUN)]
+
+
+def read_run(path: str, layout: Layout, shard: int, first_slot: int, skip: int, records: int) -> Iterator[pa.RecordBatch]:
+    """A sequential read of a shard's file: the offset of a record, and a run of records."""
+    system, folder = fs.FileSystem.from_uri(path)
+    with system.open_input_file(f"{folder}/shard-{shard:06d}.bin") as file:
+        file.seek(skip * layout.stride)
+        slot, left = first_slot + skip, records
+        while left:
+            n = min(left, 1 << 13)
+            table = np.frombuffer(file.read(n * layout.stride), dtype=np.uint8).reshape(n, layout.stride)
+            head = np.ascontiguousarray(table[:, :HEADER]).view([("key", "<i8"), ("seq", "<u4"), ("n", "<u4")]).ravel()
+            keys = head["key"]
+            tokens = [row[:size].tobytes() for row, size in zip(table[:, HEADER:], (head["n"].astype(np.int64) * layout.token_bytes).tolist())]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(slot, slot + n, dtype=np.int64)), pa.array(np.full(n, shard, np.int32)), pa.array(keys, mask=keys == NO_KEY),
+                pa.array(head["seq"].astype(np.int32)), pa.array(head["n"].astype(np.int32)), pa.array(tokens, pa.binary())],
+                ["slot", "shard", "key", "seq", "n_tokens", "tokens"])
+            slot, left = slot + n, left - n
+
+
 @dataclass
 class ShardWritten(WriterCommitMessage):
     shard: int
@@ -193,47 +275,10 @@ class ShardWriter(DataSourceArrowWriter):
         self.path, self.layout = options["path"], Layout(**json.loads(options["layout"]))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        """Records go to a file of this attempt, which takes the shard's name at the end.
-
-        Attempts that are lost leave a file that no manifest names; a repeated one writes
-        the same bytes.
-        """
-        system, folder = fs.FileSystem.from_uri(self.path)
-        system.create_dir(folder, recursive=True)
-        shard, records, part, out = -1, 0, f"{folder}/attempt-{uuid.uuid4().hex}", None
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
-            out = out or system.open_output_stream(part)
-            owner = batch.column("shard").to_numpy()
-            if shard < 0:
-                shard = int(owner[0])
-            if (owner != shard).any():
-                raise ValueError("a partition must hold one shard")
-            table = np.zeros((batch.num_rows, self.layout.stride), dtype=np.uint8)
-            head = np.zeros(batch.num_rows, dtype=[("key", "<i8"), ("seq", "<u4"), ("n", "<u4")])
-            head["key"] = batch.column("key").fill_null(NO_KEY).to_numpy()
-            head["seq"], head["n"] = batch.column("seq").to_numpy(), batch.column("n_tokens").to_numpy()
-            table[:, :HEADER] = head.view(np.uint8).reshape(-1, HEADER)
-            for row, tokens in enumerate(batch.column("tokens")):
-                data = np.frombuffer(tokens.as_buffer(), dtype=np.uint8)
-                table[row, HEADER:HEADER + len(data)] = data
-            out.write(table.tobytes())
-            records += batch.num_rows
-        if out is not None:
-            out.close()
-            system.move(part, f"{folder}/shard-{shard:06d}.bin")
-        return ShardWritten(shard, records)
+        return ShardWritten(*write_shard(self.path, self.layout, iterator))
 
     def commit(self, messages) -> None:
-        system, folder = fs.FileSystem.from_uri(self.path)
-        system.create_dir(folder, recursive=True)
-        first, shards = 0, []
-        for m in sorted((m for m in messages if m is not None and m.records), key=lambda m: m.shard):
-            shards.append({"shard": m.shard, "first_slot": first, "records": m.records})
-            first += m.records
-        with system.open_output_stream(f"{folder}/manifest.json") as out:
-            out.write(json.dumps({"layout": vars(self.layout), "records": first, "shards": shards}).encode())
+        write_manifest(self.path, self.layout, [(m.shard, m.records) for m in messages if m is not None])
 
     def abort(self, messages) -> None:
         """Without a manifest the folder is no table; its files stay for the caller to look at."""
@@ -241,56 +286,39 @@ class ShardWriter(DataSourceArrowWriter):
 
 @dataclass
 class SlotRange(InputPartition):
-    shard: int
-    first_slot: int
-    skip: int
-    records: int
+    run: tuple[int, int, int, int] | None
 
 
 class ShardReader(DataSourceReader):
-    """Sequential reads from a slot on: a shard's file, the offset of a record, a run of records."""
-
-    RUN = 1 << 16
+    """Sequential reads from a slot on, a run of records in each task."""
 
     def __init__(self, options):
-        self.path, self.start = options["path"], int(options.get("start", "0"))
+        self.path, start = options["path"], int(options.get("start", "0"))
         manifest = read_manifest(self.path)
-        self.layout, self.shards = Layout(**manifest["layout"]), manifest["shards"]
+        self.layout, self.runs = Layout(**manifest["layout"]), slot_runs(manifest, start)
 
     def partitions(self):
-        ranges = []
-        for s in self.shards:
-            for skip in range(max(0, self.start - s["first_slot"]), s["records"], self.RUN):
-                ranges.append(SlotRange(s["shard"], s["first_slot"], skip, min(self.RUN, s["records"] - skip)))
-        return ranges or [SlotRange(-1, 0, 0, 0)]
+        return [SlotRange(run) for run in self.runs] or [SlotRange(None)]
 
     def read(self, partition):
-        if not partition.records:
-            return
-        system, folder = fs.FileSystem.from_uri(self.path)
-        with system.open_input_file(f"{folder}/shard-{partition.shard:06d}.bin") as file:
-            file.seek(partition.skip * self.layout.stride)
-            slot, left = partition.first_slot + partition.skip, partition.records
-            while left:
-                n = min(left, 1 << 13)
-                table = np.frombuffer(file.read(n * self.layout.stride), dtype=np.uint8).reshape(n, self.layout.stride)
-                head = np.ascontiguousarray(table[:, :HEADER]).view([("key", "<i8"), ("seq", "<u4"), ("n", "<u4")]).ravel()
-                keys = head["key"]
-                tokens = [row[:size].tobytes() for row, size in zip(table[:, HEADER:], (head["n"].astype(np.int64) * self.layout.token_bytes).tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(slot, slot + n, dtype=np.int64)), pa.array(np.full(n, partition.shard, np.int32)), pa.array(keys, mask=keys == NO_KEY),
-                    pa.array(head["seq"].astype(np.int32)), pa.array(head["n"].astype(np.int32)), pa.array(tokens, pa.binary())],
-                    ["slot", "shard", "key", "seq", "n_tokens", "tokens"])
-                slot, left = slot + n, left - n
+        if partition.run:
+            yield from read_run(self.path, self.layout, *partition.run)
 
 
 class TokenShards(DataSource):
+    """The shard files as a data source, for ``spark.read.format`` and ``write.format`` once it is registered.
+
+    Spark plans and commits such a source in Python processes beside the driver, which stay:
+    342 MB for a write and a read. ``write_training_order`` and ``read_training_order``
+    write and read the same files in tasks alone.
+    """
+
     @classmethod
     def name(cls) -> str:
         return FORMAT
 
     def schema(self) -> str:
-        return "slot bigint, shard int, key bigint, seq int, n_tokens int, tokens binary"
+        return SEQUENCES
 
     def reader(self, schema):
         return ShardReader(self.options)
@@ -299,12 +327,6 @@ class TokenShards(DataSource):
         return ShardWriter(self.options)
 
 
-def read_manifest(path: str) -> dict:
-    system, folder = fs.FileSystem.from_uri(path)
-    with system.open_input_file(f"{folder}/manifest.json") as file:
-        return json.loads(file.read())
-
-
 def write_training_order(
     df: DataFrame, path: str, ranks: dict[bytes, int], sequence_tokens: int = 256, permutation_key: int = 1, key: str = "doc_id", text: str = "text", shard_octets: int = SHARD_OCTETS
 ) -> None:
@@ -321,12 +343,25 @@ def write_training_order(
     range.
     """
     sequences, layout = placed_sequences(df, ranks, sequence_tokens, permutation_key, key, text, shard_octets)
-    df.sparkSession.dataSource.register(TokenShards)
     ordered = sequences.repartitionById(layout.shards, F.col("shard")).sortWithinPartitions("place", "key", "seq", "tokens")
-    ordered.write.format(FORMAT).mode("append").option("layout", json.dumps(vars(layout))).save(path)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, records = write_shard(path, layout, released(batches))
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([records], pa.int64())], ["shard", "records"])
+
+    # The driver gets two numbers for each shard.
+    write_manifest(path, layout, [(r["shard"], r["records"]) for r in ordered.mapInArrow(write, "shard int, records bigint").collect()])
 
 
 def read_training_order(spark: SparkSession, path: str, start: int = 0) -> DataFrame:
     """``(slot, shard, key, seq, n_tokens, tokens)`` from slot ``start`` on; tokens little-endian."""
-    spark.dataSource.register(TokenShards)
-    return spark.read.format(FORMAT).option("start", str(start)).load(path)
+    manifest = read_manifest(path)
+    layout, runs = Layout(**manifest["layout"]), slot_runs(manifest, start)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column("id").to_pylist():
+                yield from read_run(path, layout, *runs[number])
+
+    # A partition for each run.
+    return spark.range(0, len(runs), 1, max(1, len(runs))).mapInArrow(read, SEQUENCES)

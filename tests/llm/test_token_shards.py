@@ -1,7 +1,10 @@
+import json
+
 import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from postloom.llm import token_shards as ts
 from postloom.llm.queries import VOCABULARY
@@ -81,3 +84,28 @@ def test_null_and_repeated_keys_spread(spark):
     again = fresh_path(spark, "shards")
     ts.write_training_order(spark.createDataFrame(docs[::-1], "doc_id long, text string").repartition(3), again, RANKS, sequence_tokens=16, shard_octets=500)
     assert sorted(ts.read_training_order(spark, again).collect()) == sorted(ts.read_training_order(spark, path).collect())
+
+
+def test_the_driver_starts_no_python_planners(spark, monkeypatch, plan):
+    """Spark plans and commits Python data sources in processes beside the driver, which keep their memory."""
+    register = type(spark.dataSource).register
+
+    def refused(self, source):
+        raise AssertionError("a data source was registered")
+
+    monkeypatch.setattr(type(spark.dataSource), "register", refused)
+    path, copy = fresh_path(spark, "shards"), fresh_path(spark, "shards")
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    ts.write_training_order(df, path, RANKS, sequence_tokens=16, shard_octets=20_000)
+    rows = ts.read_training_order(spark, path)
+    assert "BatchScan" not in plan(rows) and rows.rdd.getNumPartitions() == len(ts.read_manifest(path)["shards"])
+    # The data source has the same rows and writes the same files.
+    monkeypatch.setattr(type(spark.dataSource), "register", register)
+    spark.dataSource.register(ts.TokenShards)
+    for start in (0, 700):
+        assert sorted(spark.read.format(ts.FORMAT).option("start", str(start)).load(path).collect()) == sorted(ts.read_training_order(spark, path, start).collect())
+    sequences, layout = ts.placed_sequences(df, RANKS, 16, 1, shard_octets=20_000)
+    ordered = sequences.repartitionById(layout.shards, F.col("shard")).sortWithinPartitions("place", "key", "seq", "tokens")
+    ordered.write.format(ts.FORMAT).mode("append").option("layout", json.dumps(vars(layout))).save(copy)
+    assert ts.read_manifest(copy) == ts.read_manifest(path)
+    assert sorted(ts.read_training_order(spark, copy).collect()) == sorted(rows.collect())
