@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.functions.text import word_count
+from postloom.functions.text import UNICODE_SPACE, word_count
 
 MIN_WORDS = 50
 RECENT_DAYS = 14
@@ -54,8 +54,15 @@ def id_lookup_in(df: DataFrame, keys: DataFrame, value, key: str = "id", other_k
 
 
 def needs_summary(col, min_words: int = MIN_WORDS) -> Column:
-    """True for texts of more than ``min_words`` words; shorter ones pass through."""
-    return word_count(col) > min_words
+    """True for texts of more than ``min_words`` words; shorter ones pass through.
+
+    Splitting ends after the words that decide, whatever the length of the text. White
+    space at an end leaves an empty part there, and the last part is the rest of the text.
+    """
+    if min_words < 0:
+        return word_count(col) > min_words
+    parts = F.split(col, f"[{UNICODE_SPACE}]+", min_words + 2)
+    return F.size(F.filter(parts, lambda part: part != "")) > min_words
 
 
 def length_gate(df: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from postloom import hooks
 from postloom.operators.chat import MAX_ATTEMPTS, REQUEST_KINDS, outcome, parse_responses
-from postloom.plans.summaries import WAVE_REQUESTS, SummaryRun, keyed_requests, request_waves
+from postloom.plans.summaries import WAVE_REQUESTS, SummaryRun, keyed_requests, long_requests, request_waves
 from postloom.sources.tables import ensure_table
 
 ATTEMPTS = "key string, attempt int, asked_at timestamp, summary string, prompt_tokens int, completion_tokens int, cost double"
@@ -112,7 +112,7 @@ def scheduled_run(
     model = model or REQUEST_KINDS[kind]["model"]
     call = hooks.complete_udf(completion, 1, backoff, pause, concurrency)
     keyed = keyed_requests(texts, kind, instructions, model)
-    total = ask_due(keyed.filter("_long").select("key", "request"), call, path, model, clock, max_attempts, backoff, wave_requests)
+    total = ask_due(long_requests(keyed), call, path, model, clock, max_attempts, backoff, wave_requests)
     known = request_schedule(spark, path, max_attempts, backoff).select(
         "key", F.col("summary").alias("_summary"), F.col("cost").alias("_cost"), "attempts", "state", "due")
     joined = keyed.drop("request").join(known, "key", "left").withColumn("attempts", F.coalesce("attempts", F.lit(0)))

@@ -93,6 +93,11 @@ def keyed_requests(texts: DataFrame, kind: str, instructions: str | None, model:
         "key", F.coalesce(F.when(F.col("_long"), request_key()).otherwise(F.concat(F.lit("short "), F.xxhash64("id").cast("string"))), F.lit("")))
 
 
+def long_requests(keyed: DataFrame) -> DataFrame:
+    """``(key, request)`` of the texts that are asked; their key without asking again whether they are long."""
+    return keyed.filter("_long").select(F.coalesce(request_key(), F.lit("")).alias("key"), "request")
+
+
 def summary_run(
     texts: DataFrame,
     completion: hooks.CompletionFactory,
@@ -118,7 +123,7 @@ def summary_run(
     model = model or REQUEST_KINDS[kind]["model"]
     call = hooks.complete_udf(completion, attempts, backoff, pause, concurrency)
     keyed = keyed_requests(texts, kind, instructions, model)
-    total = answer_requests(keyed.filter("_long").select("key", "request"), call, answers_path, model, wave_requests)
+    total = answer_requests(long_requests(keyed), call, answers_path, model, wave_requests)
     answers = spark.read.schema(ANSWERS).parquet(answers_path).filter("summary IS NOT NULL").dropDuplicates(["key"])
     answers = answers.select("key", F.col("summary").alias("_summary"), F.col("cost").alias("_cost"))
     summaries = outcome(keyed.drop("request").join(answers, "key", "left"))

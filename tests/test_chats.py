@@ -9,7 +9,7 @@ from postloom.operators import chat
 from postloom.operators.matching import category_rank, match_prompt, match_results
 from postloom.operators.sections import CV_SECTION_LABELS, split_summary_sections
 from postloom.plans.matching import eligible_postings, prompts_for_cvs
-from postloom.plans.summaries import summary_run
+from postloom.plans.summaries import keyed_requests, long_requests, summary_run
 from postloom.session import fresh_path
 
 LONG = "word " * 51
@@ -153,3 +153,13 @@ def test_sections(spark):
         (1, 3, "Qualifications/Requirements/Experience", "A\n- B"), (1, 4, "Preferred Skills/Experience", "X"), (1, 5, "About the company", "Y")]
     cv = spark.createDataFrame([(1, "Skills: a\nOther Achivements: b")], "id long, summary string")
     assert [r["value"] for r in split_summary_sections(cv, CV_SECTION_LABELS).collect()] == ["a", "b"]
+
+
+def test_long_requests_have_the_keys_of_their_texts(spark, plan):
+    texts = spark.createDataFrame([(i, "word " * n) for i, n in enumerate((0, 50, 51, 51, 90))] + [(9, None)], "id long, text string")
+    keyed = keyed_requests(texts, "job", None, "m")
+    asked = long_requests(keyed)
+    assert sorted(asked.collect()) == sorted(keyed.filter("_long").select("key", "request").collect())
+    assert asked.count() == 3 and asked.select("key").distinct().count() == 2
+    # The gate is asked by the filter alone (its scan repeats it), not by the key again.
+    assert "CASE WHEN" not in plan(asked.select("key").distinct())

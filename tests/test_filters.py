@@ -3,7 +3,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from postloom.operators.filters import any_value_pattern, country_filter, id_lookup, id_lookup_in, recent_filter
+from postloom.functions.text import word_count
+from postloom.operators.filters import any_value_pattern, country_filter, id_lookup, id_lookup_in, needs_summary, recent_filter
 from postloom.sources.countries import country_values, read_country_dictionary
 
 DICTIONARY = """{"Europe": {"Countries": [
@@ -83,3 +84,16 @@ def test_lookups(spark):
     assert [r["v"] for r in id_lookup(df, 2).collect()] == ["b"]
     assert [r["v"] for r in id_lookup_in(df, keys, 2).collect()] == ["b"]
     assert id_lookup_in(df, keys, 1).count() == 0
+
+
+def test_the_length_gate_splits_no_more_than_it_needs(spark, plan):
+    spaces = (" ", "\n", "\x1c", "\x85", "\u00a0", "\u3000", " \t ")
+    texts = [None, "", *spaces] + [lead + gap.join(["é"] * n) + end for n in (1, 2, 3, 4, 9) for gap in spaces for lead in ("", gap) for end in ("", gap)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for most in (-1, 0, 1, 2, 3, 8):
+        gate = needs_summary(F.col("text"), most)
+        assert df.filter(~gate.eqNullSafe(word_count("text") > most)).count() == 0
+    # A count makes a list of all words of the text; a split with a limit stops after the words that decide.
+    assert "regexp_extract_all" in plan(df.select(word_count("text")))
+    shown = plan(df.select(needs_summary(F.col("text"), 8)))
+    assert "regexp_extract_all" not in shown and ", 10)" in shown
